@@ -16,9 +16,10 @@ from .tables import table
 
 CHANGE_TS = "header__change_ts"
 
-EVENTS_SPEC = TableSpec(name="events_cdc", keys=("user_id",), scd_types=(1, 2))
-LINEITEM_SPEC = TableSpec(name="lineitem_cdc", keys=("l_orderkey", "l_linenumber"), scd_types=(1, 2))
-ORDERS_SPEC = TableSpec(name="orders_cdc", keys=("o_custkey",), scd_types=(1,))
+EVENTS_SPEC = TableSpec(name="events_cdc", keys=("user_id",), scd_types=(1, 2), seq_type="bigint")
+LINEITEM_SPEC = TableSpec(name="lineitem_cdc", keys=("l_orderkey", "l_linenumber"), scd_types=(1, 2),
+                          seq_type="timestamp_ntz")
+ORDERS_SPEC = TableSpec(name="orders_cdc", keys=("o_custkey",), scd_types=(1,), seq_type="bigint")
 # The seed is ordered below every change event: event ids start at 0.
 CUSTOMER_SEED_SEQ = -1
 

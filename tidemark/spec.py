@@ -35,6 +35,7 @@ class TableSpec:
     scd_types: tuple[int, ...] = (1,)    # (1,), (2,) or (1, 2)
     merge_mode: str = "cdc"              # 'cdc' | 'append'
     seed_seq: Any = None                 # sequence given to snapshot rows
+    seq_type: str | None = None          # Spark SQL type of the sequence
     keep_last_values: bool = False       # soft delete keeps previous payload
     cluster_by: tuple[str, ...] = ()
     include_full_flow: bool = False
