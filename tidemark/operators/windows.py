@@ -50,6 +50,7 @@ def with_neighbors(
     max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     carry: dict | None = None,
+    number: str | None = None,
 ) -> DataFrame:
     """Add ``lead``/``lag`` values within each key, ordered ascending
     (NULLs first) by the value columns ``order``.
@@ -57,21 +58,25 @@ def with_neighbors(
     ``nxt = {"out": expr}`` adds column ``out`` = ``expr`` on the next row of
     the same key (NULL on the last row); ``prev`` likewise for the previous
     row.  ``carry = {"out": expr}`` adds the last non-NULL value of ``expr``
-    up to and including the row (a forward fill).  Boolean ``_has_next`` /
+    up to and including the row (a forward fill).  ``number="out"`` adds the
+    1-based row number within the key.  Boolean ``_has_next`` /
     ``_has_prev`` tell a NULL value from a missing neighbour.
     ``max_group_rows=None`` skips the hot-key check.
     """
     nxt, prev, carry, keys = dict(nxt or {}), dict(prev or {}), dict(carry or {}), list(keys)
     order = [_c(o) for o in order]
     if max_group_rows is None:
-        return _windowed(df, keys, order, nxt, prev, carry)
+        return _windowed(df, keys, order, nxt, prev, carry, number)
     hot, n_hot, hot_rows = hot_keys(df, keys, max_group_rows)
     if n_hot == 0:
-        return _windowed(df, keys, order, nxt, prev, carry)
+        return _windowed(df, keys, order, nxt, prev, carry, number)
 
     spark = df.sparkSession
-    marked = df.join(checked_broadcast(hot.withColumn("_hot", F.lit(True)), n_hot), keys, "left")
-    cold = _windowed(marked.filter(F.col("_hot").isNull()).drop("_hot"), keys, order, nxt, prev, carry)
+    if keys:
+        marked = df.join(checked_broadcast(hot.withColumn("_hot", F.lit(True)), n_hot), keys, "left")
+    else:  # the whole frame is one group
+        marked = df.withColumn("_hot", F.lit(True))
+    cold = _windowed(marked.filter(F.col("_hot").isNull()).drop("_hot"), keys, order, nxt, prev, carry, number)
 
     n_chunks = max(default_parallelism(spark), math.ceil(hot_rows / max(chunk_rows, 1)))
     # Range partitioning keeps equal (key, order) values together and hands
@@ -80,7 +85,7 @@ def with_neighbors(
     warm = (marked.filter(F.col("_hot").isNotNull()).drop("_hot")
             .repartitionByRange(n_chunks, *[F.col(k) for k in keys], *[o.asc_nulls_first() for o in order])
             .withColumn("_chunk", F.spark_partition_id()))
-    warm_w = _windowed(warm, keys + ["_chunk"], order, nxt, prev, carry)
+    warm_w = _windowed(warm, keys + ["_chunk"], order, nxt, prev, carry, number)
 
     # One row per (hot key, chunk): values of its first and last row.
     ord_key = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
@@ -90,14 +95,15 @@ def with_neighbors(
     carry_last = [F.max_by(_c(e), F.when(_c(e).isNotNull(), ord_key)).alias(f"_cl_{n}") for n, e in carry.items()]
     bounds = (warm.groupBy(*keys, "_chunk")
               .agg(F.min_by(first_vals, ord_key).alias("_first"), F.max_by(last_vals, ord_key).alias("_last"),
-                   *carry_last))
-    wc = Window.partitionBy(*keys).orderBy("_chunk")
+                   F.count(F.lit(1)).alias("_cnt"), *carry_last))
+    wc = (Window.partitionBy(*keys) if keys else Window).orderBy("_chunk")
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     edges = (bounds.withColumn("_next_first", F.lead("_first").over(wc))
-                   .withColumn("_prev_last", F.lag("_last").over(wc)))
+                   .withColumn("_prev_last", F.lag("_last").over(wc))
+                   .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0))))
     for n in carry:
         edges = edges.withColumn(f"_ci_{n}", F.last(f"_cl_{n}", ignorenulls=True).over(before))
-    edges = edges.select(*keys, "_chunk", "_next_first", "_prev_last", *[f"_ci_{n}" for n in carry])
+    edges = edges.select(*keys, "_chunk", "_next_first", "_prev_last", "_offset", *[f"_ci_{n}" for n in carry])
     # At most one edge row per chunk and hot key.
     patched = warm_w.join(checked_broadcast(edges, n_chunks + n_hot), [*keys, "_chunk"], "left")
     for name in nxt:
@@ -108,19 +114,24 @@ def with_neighbors(
             name, F.when(F.col("_has_prev"), F.col(name)).otherwise(F.col("_prev_last").getField(name)))
     for name in carry:
         patched = patched.withColumn(name, F.coalesce(F.col(name), F.col(f"_ci_{name}")))
+    if number:
+        patched = patched.withColumn(number, F.col(number) + F.col("_offset"))
     patched = (patched.withColumn("_has_next", F.col("_has_next") | F.col("_next_first").isNotNull())
                       .withColumn("_has_prev", F.col("_has_prev") | F.col("_prev_last").isNotNull())
-                      .drop("_chunk", "_next_first", "_prev_last", *[f"_ci_{n}" for n in carry]))
+                      .drop("_chunk", "_next_first", "_prev_last", "_offset", *[f"_ci_{n}" for n in carry]))
     return cold.unionByName(patched)
 
 
-def _windowed(df, keys, order, nxt, prev, carry=None) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[o.asc_nulls_first() for o in order])
+def _windowed(df, keys, order, nxt, prev, carry=None, number=None) -> DataFrame:
+    spec = Window.partitionBy(*keys) if keys else Window
+    w = spec.orderBy(*[o.asc_nulls_first() for o in order])
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.col(c) for c in df.columns]
     cols += [F.lead(_c(e)).over(w).alias(n) for n, e in nxt.items()]
     cols += [F.lag(_c(e)).over(w).alias(n) for n, e in prev.items()]
     cols += [F.last(_c(e), ignorenulls=True).over(upto).alias(n) for n, e in (carry or {}).items()]
+    if number:
+        cols.append(F.row_number().over(w).cast("bigint").alias(number))
     cols += [F.lead(F.lit(True)).over(w).isNotNull().alias("_has_next"),
              F.lag(F.lit(True)).over(w).isNotNull().alias("_has_prev")]
     return df.select(*cols)

@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import q_config, q_core, q_events, q_joins, q_reports, q_rules, q_stream  # noqa: F401
+    from . import q_config, q_core, q_events, q_joins, q_marts, q_patterns, q_quality, q_reports, q_rules, q_stream  # noqa: F401,E501

@@ -18,7 +18,7 @@ from ..spec import TableSpec
 # Configuration keys read by the engine.
 DATASET_KEYS = ["landing_table_name", "full_path", "ct_path", "incr_path", "op_col", "sequence_by",
                 "delete_code", "delete_mode", "scd_type", "merge_mode", "primary_keys", "cluster_by",
-                "load_type"]
+                "load_type", "seed_seq", "seq_type"]
 SOURCE_KEYS = ["landing_root", "full_suffix", "ct_suffix", "file_format", "qlik_op_col", "qlik_seq_col",
                "qlik_delete_code"]
 
@@ -135,6 +135,8 @@ def resolve(meta: dict, datasets: DataFrame | None = None) -> DataFrame:
         (F.lower(_pick(plat("liquid_cluster_auto"), default="true")) == "true").alias("cluster_auto"),
         load_type.alias("load_type"),
         load_type.isin("full", "both").alias("include_full_flow"),
+        _pick(F.col("d_seed_seq")).alias("seed_seq"),
+        _pick(F.col("d_seq_type")).alias("seq_type"),
     )
 
 
@@ -150,5 +152,5 @@ def to_specs(resolved_rows) -> list[TableSpec]:
             scd_types=types or (1,), merge_mode=r["merge_mode"],
             cluster_by=tuple(k for k in (r["cluster_by"] or "").split(",") if k),
             include_full_flow=bool(r["include_full_flow"]), full_path=r["full_path"], ct_path=r["ct_path"],
-            file_format=r["file_format"]))
+            file_format=r["file_format"], seed_seq=r["seed_seq"], seq_type=r["seq_type"]))
     return specs

@@ -1,0 +1,68 @@
+"""Batch build of one dataset's targets, a full reload, and the group run.
+
+``build_targets`` is the batch twin of the incremental merge: standardise
+once, cut the lineage there (a reliable checkpoint in the shared folder), and
+write every target of the spec from it: SCD1 and SCD2 for ``cdc``, the rows
+themselves for ``append``; targets with ``cluster_by`` are range-partitioned
+and sorted on those columns so readers prune files by min/max.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.cdc import standardize
+from ..operators import merge
+from ..session import default_parallelism
+from ..sources.files import read_landed
+from ..spec import TableSpec
+from ..streaming import fs
+
+
+def clustered(df: DataFrame, cluster_by: tuple[str, ...] | list[str], n_parts: int | None = None) -> DataFrame:
+    """Lay rows out by ``cluster_by`` ranges (K-CLUSTER)."""
+    if not cluster_by:
+        return df
+    n = n_parts or default_parallelism(df.sparkSession)
+    cols = [F.col(c) for c in cluster_by]
+    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+
+
+def build_targets(raw: DataFrame, spec: TableSpec, out_root: str, mode: str = "overwrite") -> dict[str, str]:
+    """Write the targets of one dataset; returns {target name: path}."""
+    out_root = out_root.rstrip("/")
+    paths = {}
+    if spec.merge_mode == "append":
+        p = f"{out_root}/append"
+        clustered(raw, spec.cluster_by).write.mode(mode).parquet(p)
+        return {"append": p}
+    std = standardize(raw, spec).checkpoint()
+    for scd, target in merge.scd_targets(std, spec).items():
+        p = f"{out_root}/scd{scd}"
+        clustered(target, spec.cluster_by).write.mode(mode).parquet(p)
+        paths[f"scd{scd}"] = p
+    return paths
+
+
+def full_reload(spark: SparkSession, spec: TableSpec, target_root: str, ct_path: str,
+                full_path: str | None = None) -> dict[str, str]:
+    """Full refresh from the landing (M-RELOAD): fold everything landed
+    (snapshot then changes) into a new version folder and switch the
+    ``CURRENT`` pointer to it; the previous version stays readable until the
+    pointer moves, and an incremental checkpoint of the dataset is to be
+    reset by the caller (it is not reused)."""
+    raw = read_landed(spark, ct_path, spec.file_format, "ct")
+    if full_path and spec.include_full_flow:
+        raw = read_landed(spark, full_path, spec.file_format, "full").unionByName(raw, allowMissingColumns=True)
+    version = uuid.uuid4().hex[:12]
+    paths = build_targets(raw, spec, f"{target_root}/v={version}")
+    fs.write_text(spark, f"{target_root}/CURRENT", json.dumps({"version": version, "paths": paths}))
+    return paths
+
+
+def current_paths(spark: SparkSession, target_root: str) -> dict[str, str]:
+    return json.loads(fs.read_text(spark, f"{target_root}/CURRENT"))["paths"]

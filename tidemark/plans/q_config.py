@@ -105,7 +105,8 @@ SELECT dataset_id, source_id, table_group_no, source_schema, source_table, targe
   {_csv('d_cluster_by')} AS cluster_by,
   lower({_pick(plat('liquid_cluster_auto'), default='true')}) = 'true' AS cluster_auto,
   {load} AS load_type,
-  {load} IN ('full', 'both') AS include_full_flow
+  {load} IN ('full', 'both') AS include_full_flow,
+  CAST(NULL AS VARCHAR) AS seed_seq, CAST(NULL AS VARCHAR) AS seq_type
 FROM selected x
 LEFT JOIN ds_cfg USING (dataset_id)
 LEFT JOIN src_cfg c USING (source_id)
