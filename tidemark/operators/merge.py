@@ -6,11 +6,14 @@ key is the maximum under the total order of ``functions.cdc.total_order``,
 and equal (key, sequence) events collapse to that winner.
 
 Physical shape:
-* SCD1 is ``row_number() = 1`` per key.  Catalyst plans it as a partial
-  ``WindowGroupLimit`` before the shuffle and a final one after it, so a hot
-  key is reduced map-side to one row per input partition.
-* SCD2 needs every version, so it uses ``operators.windows.with_neighbors``:
-  one shuffle per key normally, range-chunked for hot keys.
+* SCD1 and SCD2 share one fold: ``operators.windows.with_neighbors`` over
+  the total order gives each event its successor; the SCD1 winner is the
+  event without one, SCD2 versions are the last events of each sequence.
+  One shuffle per key normally, range-chunked for hot keys.  (A
+  ``row_number() = 1`` plan would add a full map-side sort for its partial
+  ``WindowGroupLimit``, which buys little when keys change a few times.)
+* ``latest_per_key`` keeps the ``row_number`` form for callers that want
+  every column of the winner including deletes.
 """
 
 from __future__ import annotations
@@ -44,50 +47,65 @@ def _valid_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.filter(cond) if cond is not None else df
 
 
-def scd1(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Latest state per key.  Hard mode drops keys whose winner is a delete;
-    soft mode keeps them flagged."""
-    latest = latest_per_key(_valid_keys(df, spec), spec)
-    if not spec.soft:
-        latest = latest.filter(F.col("_op") != F.lit("D"))
-    return latest.select(*target_columns(df, spec))
-
-
-def scd2(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """Version history per key: ``[__START_AT, __END_AT)``, open end = NULL.
-
-    Events are ordered by the total order; the last event of each equal
-    (key, sequence) run is its winner, and its successor's sequence is the
-    next distinct sequence, i.e. the version's end.  A delete ends the
-    version before it and adds none (hard); in soft mode it is a version.
-    """
+def fold(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+    """The one shuffle both targets share: every valid event with the
+    sequence of its successor in the key's total order (``_next_seq``) and
+    whether it has one (``_has_next``).  Persist or checkpoint it when both
+    targets are built from it."""
     df = _valid_keys(df, spec)
     _require_seq(df)
-    order = [o for o in total_order(df, spec)]
     order_vals = [F.col("_seq"), (F.col("_op") == F.lit("D"))]
     if spec.soft and spec.is_deleted_col in df.columns:
         order_vals.append(F.col(spec.is_deleted_col))
     order_vals += [F.col(c) for c in business_columns(df, spec)]
-    assert len(order) == len(order_vals)
-    nb = with_neighbors(df, list(spec.keys), order_vals, nxt={"_next_seq": "_seq"},
-                        max_group_rows=max_group_rows)
-    winners = nb.filter(~F.col("_has_next") | (F.col("_next_seq") != F.col("_seq")))
+    return with_neighbors(df, list(spec.keys), order_vals, nxt={"_next_seq": "_seq"},
+                          max_group_rows=max_group_rows).drop("_has_prev")
+
+
+def scd1_from_fold(folded: DataFrame, spec: TableSpec) -> DataFrame:
+    """Latest state: the last event of each key under the total order."""
+    latest = folded.filter(~F.col("_has_next"))
+    if not spec.soft:
+        latest = latest.filter(F.col("_op") != F.lit("D"))
+    return latest.select(*target_columns(folded.drop("_next_seq", "_has_next"), spec))
+
+
+def scd2_from_fold(folded: DataFrame, spec: TableSpec) -> DataFrame:
+    """History: the last event of each equal (key, sequence) run is its
+    winner, and its successor's sequence is the next distinct sequence, i.e.
+    the version's end.  A delete ends the version before it and adds none
+    (hard); in soft mode it is a version."""
+    winners = folded.filter(~F.col("_has_next") | (F.col("_next_seq") != F.col("_seq")))
     if not spec.soft:
         winners = winners.filter(F.col("_op") != F.lit("D"))
-    cols = target_columns(df, spec)
+    cols = target_columns(folded.drop("_next_seq", "_has_next"), spec)
     return winners.select(*cols, F.col("_seq").alias(START_COL), F.col("_next_seq").alias(END_COL))
 
 
+def scd1(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+    """Latest state per key.  Hard mode drops keys whose winner is a delete;
+    soft mode keeps them flagged."""
+    return scd1_from_fold(fold(df, spec, max_group_rows), spec)
+
+
+def scd2(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+    """Version history per key: ``[__START_AT, __END_AT)``, open end = NULL."""
+    return scd2_from_fold(fold(df, spec, max_group_rows), spec)
+
+
 def scd_targets(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> dict[int, DataFrame]:
-    """Both targets of one processed source (M-BOTH).
+    """Both targets of one processed source (M-BOTH) as plans."""
+    return targets_from_fold(fold(df, spec, max_group_rows), spec)
+
 
-    The caller persists or writes ``df`` once; each target is its own plan.
-    """
+def targets_from_fold(folded: DataFrame, spec: TableSpec) -> dict[int, DataFrame]:
+    """The spec's targets from a fold the caller may have persisted, so that
+    writing both targets costs one shuffle."""
     out = {}
     if 1 in spec.scd_types:
-        out[1] = scd1(df, spec)
+        out[1] = scd1_from_fold(folded, spec)
     if 2 in spec.scd_types:
-        out[2] = scd2(df, spec, max_group_rows=max_group_rows)
+        out[2] = scd2_from_fold(folded, spec)
     return out
 
 

@@ -23,22 +23,36 @@ from .sizing import checked_broadcast
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 # Target rows per chunk when a hot key is split.
 DEFAULT_CHUNK_ROWS = 1_000_000
+# Expected sampled rows of a key at the threshold (hot-key detection).
+HOT_SAMPLE_ROWS = 200
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_group_rows: int) -> tuple[DataFrame, int, int]:
-    """Keys with more than ``max_group_rows`` rows, how many, and their rows.
+def hot_keys(df: DataFrame, keys: list[str], max_group_rows: int,
+             sample_rows: int = HOT_SAMPLE_ROWS) -> tuple[DataFrame, int, int]:
+    """Keys estimated to hold more than ``max_group_rows`` rows, how many,
+    and an estimate of their rows.
 
-    The count is a partial (map-side combined) aggregate, so it is itself
-    skew-proof; only two numbers reach the driver.
+    A Bernoulli sample sized so that a key at the threshold shows about
+    ``sample_rows`` sampled rows is counted per key (partial aggregate, tiny
+    shuffle); keys at half the threshold or more count as hot.  Being wrong
+    about a key only changes the plan, never the result.  The (rare) hot-key
+    list is checkpointed so every later use sees the same keys.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > F.lit(max_group_rows))
+    fraction = min(1.0, sample_rows / max(max_group_rows, 1))
+    src = df.select(*keys)
+    if fraction < 1.0:
+        src = src.sample(withReplacement=False, fraction=fraction, seed=17)
+    counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") >= F.lit(max(1.0, max_group_rows * fraction / 2)))
     row = hot.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()
-    return hot.select(*keys), int(row["k"]), int(row["n"])
+    n_hot, est_rows = int(row["k"]), int(int(row["n"]) / fraction)
+    if n_hot and keys:
+        hot = hot.select(*keys).checkpoint()
+    return hot.select(*keys), n_hot, est_rows
 
 
 def with_neighbors(

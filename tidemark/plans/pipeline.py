@@ -1,7 +1,7 @@
 """Batch build of one dataset's targets, a full reload, and the group run.
 
 ``build_targets`` is the batch twin of the incremental merge: standardise
-once, cut the lineage there (a reliable checkpoint in the shared folder), and
+and fold once (one shuffle, persisted while both targets are written), and
 write every target of the spec from it: SCD1 and SCD2 for ``cdc``, the rows
 themselves for ``append``; targets with ``cluster_by`` are range-partitioned
 and sorted on those columns so readers prune files by min/max.
@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +41,19 @@ def build_targets(raw: DataFrame, spec: TableSpec, out_root: str, mode: str = "o
         p = f"{out_root}/append"
         clustered(raw, spec.cluster_by).write.mode(mode).parquet(p)
         return {"append": p}
-    std = standardize(raw, spec).checkpoint()
-    for scd, target in merge.scd_targets(std, spec).items():
-        p = f"{out_root}/scd{scd}"
-        clustered(target, spec.cluster_by).write.mode(mode).parquet(p)
-        paths[f"scd{scd}"] = p
+    folded = merge.fold(standardize(raw, spec), spec)
+    both = len(spec.scd_types) > 1
+    if both:
+        # one shuffle for both targets; recomputed from lineage if lost
+        folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for scd, target in merge.targets_from_fold(folded, spec).items():
+            p = f"{out_root}/scd{scd}"
+            clustered(target, spec.cluster_by).write.mode(mode).parquet(p)
+            paths[f"scd{scd}"] = p
+    finally:
+        if both:
+            folded.unpersist()
     return paths
 
 

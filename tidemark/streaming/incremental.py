@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,7 +94,8 @@ class IncrementalTarget:
                        .filter(F.col("_bucket").isin(touched))
                        .join(batch_keys, list(spec.keys), "left_semi")
                        .drop("_flow", "_batch"))
-            folds = merge.scd_targets(history, spec, max_group_rows=self.max_group_rows)
+            folded = merge.fold(history, spec, max_group_rows=self.max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
+            folds = merge.targets_from_fold(folded, spec)
             for scd, new_rows in folds.items():
                 name = f"scd{scd}"
                 versions = targets.get(name, {}).get("versions", {})
@@ -109,6 +111,7 @@ class IncrementalTarget:
                 nv.update({str(b): seq for b in written})
                 schema = out.drop("_bucket").schema.json()
                 targets[name] = {"versions": nv, "schema": schema}
+            folded.unpersist()
         std.unpersist()
         manifest = {"seq": seq, "flow": flow, "batch": int(batch_id), "targets": targets}
         fs.write_text(spark, f"{self.manifest_root}/{seq:012d}__{flow}__{int(batch_id):012d}.json",
