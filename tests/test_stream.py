@@ -55,7 +55,7 @@ def test_null_keys_go_to_quarantine(spark):
     root = scratch_dir(spark, "nullkey")
     t = IncrementalTarget(spark, root, SPEC, buckets=4)
     t.apply(ct.unionByName(bad), 0)
-    q = spark.read.parquet(f"{root}/quarantine")
+    q = t.read_quarantine()
     assert q.count() == 3
     assert {r["dq_reason"] for r in q.collect()} == {"null primary_key"}
 

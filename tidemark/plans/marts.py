@@ -48,9 +48,10 @@ def daily_order_totals(orders: DataFrame) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite") -> None:
-    """One shuffle on the partition column, so each partition folder gets one
-    file instead of one per task."""
-    df.repartition(partition_col).write.mode(mode).partitionBy(partition_col).parquet(path)
+    """Rebalance on the partition column before writing, so each partition
+    folder gets few files instead of one per task (AQE splits a skewed
+    partition value and coalesces small ones)."""
+    df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
 def refresh_partitions(spark: SparkSession, mart_path: str, base: DataFrame, changed: DataFrame,

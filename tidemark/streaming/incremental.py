@@ -4,6 +4,7 @@ Layout below ``root`` (a folder in the shared checkpoint area):
 
 * ``log/_flow=<f>/_batch=<id>/_bucket=<b>/``  every standardised event,
   deletes kept as tombstones, bucketed by ``pmod(xxhash64(keys), B)``;
+  rows with a NULL key go to bucket -1 (quarantine, never merged);
 * ``scd1/v=<n>/_bucket=<b>/``, ``scd2/v=<n>/_bucket=<b>/``  copy-on-write
   versions of the buckets a commit touched;
 * ``_manifest/<n>__<flow>__<batch>.json``  commit ``n``: which version holds
@@ -35,6 +36,23 @@ from ..spec import TableSpec
 from . import fs
 
 PART_COLS = ("_flow", "_batch", "_bucket")
+# Log bucket of rows that cannot be merged (NULL key); read as quarantine.
+QUARANTINE_BUCKET = -1
+
+
+class _Clock:
+    """Wall-clock seconds per phase of a micro-batch (``last_timings``)."""
+
+    def __init__(self):
+        import time
+        self._time = time.time
+        self._t = self._time()
+        self.laps: dict[str, float] = {}
+
+    def lap(self, name: str) -> None:
+        now = self._time()
+        self.laps[name] = round(now - self._t, 3)
+        self._t = now
 
 
 class IncrementalTarget:
@@ -69,32 +87,37 @@ class IncrementalTarget:
     def apply(self, batch: DataFrame, batch_id: int, flow: str = "ct") -> bool:
         """Merge one micro-batch.  Returns False when it was already committed."""
         spark, spec = self.spark, self.spec
+        clock = _Clock()
         if self.committed(flow, batch_id):
             return False
         state = self.latest()
         seq = int(state["seq"]) + 1
 
-        std = standardize(batch, spec).persist()
+        std = standardize(batch, spec)
         key_ok = None
         for k in spec.keys:
             c = F.col(k).isNotNull()
             key_ok = c if key_ok is None else key_ok & c
         log_path = f"{self.log_root}/_flow={flow}/_batch={int(batch_id)}"
-        (std.filter(key_ok).withColumn("_bucket", self.bucket_expr())
+        # one pass writes the log; rows with a NULL key land in bucket -1,
+        # which no fold reads (the quarantine view of the log)
+        (std.withColumn("_bucket", F.when(key_ok, self.bucket_expr()).otherwise(F.lit(QUARANTINE_BUCKET)))
+            .hint("rebalance", "_bucket")
             .write.mode("overwrite").partitionBy("_bucket").parquet(log_path))
-        bad = std.filter(~key_ok)
-        (bad.withColumn("dq_reason", F.lit("null primary_key"))
-            .write.mode("overwrite").parquet(f"{self.root}/quarantine/_flow={flow}/_batch={int(batch_id)}"))
-
-        touched = sorted(int(n.split("=", 1)[1]) for n in fs.list_names(spark, log_path) if n.startswith("_bucket="))
+        clock.lap("log")
+        touched = sorted(b for b in (int(n.split("=", 1)[1]) for n in fs.list_names(spark, log_path)
+                                     if n.startswith("_bucket=")) if b != QUARANTINE_BUCKET)
         targets = {k: dict(v) for k, v in state.get("targets", {}).items()}
         if touched:
-            batch_keys = spark.read.parquet(log_path).select(*spec.keys).distinct()
+            batch_keys = (spark.read.parquet(log_path).filter(F.col("_bucket") != QUARANTINE_BUCKET)
+                          .select(*spec.keys).distinct().persist(StorageLevel.MEMORY_AND_DISK))
             history = (spark.read.option("mergeSchema", "true").parquet(self.log_root)
                        .filter(F.col("_bucket").isin(touched))
                        .join(batch_keys, list(spec.keys), "left_semi")
-                       .drop("_flow", "_batch"))
+                       .drop("_flow", "_batch")
+                       .persist(StorageLevel.MEMORY_AND_DISK))  # read by the hot-key check and the fold
             folded = merge.fold(history, spec, max_group_rows=self.max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
+            clock.lap("plan_fold")
             folds = merge.targets_from_fold(folded, spec)
             for scd, new_rows in folds.items():
                 name = f"scd{scd}"
@@ -105,17 +128,22 @@ class IncrementalTarget:
                     kept = prev.join(batch_keys, list(spec.keys), "left_anti")
                     out = kept.unionByName(new_rows, allowMissingColumns=True)
                 path = f"{self.root}/{name}/v={seq}"
-                out.write.mode("overwrite").partitionBy("_bucket").parquet(path)
+                # files per bucket, not per task x bucket; AQE splits a hot bucket
+                out.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
                 written = {int(n.split("=", 1)[1]) for n in fs.list_names(spark, path) if n.startswith("_bucket=")}
                 nv = {str(b): v for b, v in versions.items() if int(b) not in touched}
                 nv.update({str(b): seq for b in written})
                 schema = out.drop("_bucket").schema.json()
                 targets[name] = {"versions": nv, "schema": schema}
+                clock.lap(f"write_{name}")
             folded.unpersist()
-        std.unpersist()
+            history.unpersist()
+            batch_keys.unpersist()
         manifest = {"seq": seq, "flow": flow, "batch": int(batch_id), "targets": targets}
         fs.write_text(spark, f"{self.manifest_root}/{seq:012d}__{flow}__{int(batch_id):012d}.json",
                       json.dumps(manifest, sort_keys=True))
+        clock.lap("commit")
+        self.last_timings = clock.laps
         return True
 
     # -- reading -----------------------------------------------------------
@@ -140,7 +168,14 @@ class IncrementalTarget:
         return df.select(*[F.col(f.name) for f in schema.fields])
 
     def read_log(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.log_root)
+        return (self.spark.read.option("mergeSchema", "true").parquet(self.log_root)
+                .filter(F.col("_bucket") != QUARANTINE_BUCKET))
+
+    def read_quarantine(self) -> DataFrame:
+        """Logged rows that could not be merged, with their reason."""
+        return (self.spark.read.option("mergeSchema", "true").parquet(self.log_root)
+                .filter(F.col("_bucket") == QUARANTINE_BUCKET)
+                .withColumn("dq_reason", F.lit("null primary_key")))
 
     def foreach_batch(self, flow: str = "ct"):
         """Function for ``writeStream.foreachBatch``."""
