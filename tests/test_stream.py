@@ -87,3 +87,27 @@ def test_schema_store_rejects_type_change(spark):
     ct.limit(5).withColumn("value", F.col("value").cast("string")).write.parquet(f"{root}/b")
     with pytest.raises(SchemaChangeError):
         store.resolve(f"{root}/b")
+
+
+@pytest.mark.parametrize("types", [(1,), (1, 2)])
+def test_compaction_keeps_results(spark, types):
+    spec = SPEC.with_(scd_types=types)
+    ct = feeds.feed_events(spark, SF_SMALL)
+    part = F.pmod(F.xxhash64(F.col("header__change_seq")), F.lit(4))
+    parts = [ct.filter(part == i) for i in range(4)]
+    t = IncrementalTarget(spark, scratch_dir(spark, "compact"), spec, buckets=4)
+    t.apply(parts[0], 0)
+    t.apply(parts[1], 1)
+    assert t.compact_log()
+    assert not t.compact_log()                      # nothing new to compact
+    t.apply(parts[2], 2)                            # late and new events after compaction
+    t.apply(parts[3], 3)
+    t.apply(parts[0], 4)                            # a replayed file
+    std = standardize(ct, spec)
+    assert rows(t.read(1)) == rows(merge.scd1(std, spec))
+    if 2 in types:
+        assert rows(t.read(2)) == rows(merge.scd2(std, spec))
+    # the compacted log holds one event per key when only the latest state is kept
+    if types == (1,):
+        assert t.compact_log()
+        assert t.read_log().count() == ct.select("user_id").distinct().count()

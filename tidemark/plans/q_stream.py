@@ -117,3 +117,24 @@ def stream_append_lineage(spark, sf_dir):
     return out.select("user_id", "event_type", "value", "header__change_oper", "header__change_seq",
                       "header__change_ts", "_ingest_source",
                       F.col("_ingest_file").isNotNull().alias("_has_file")).drop("_has_file")
+
+
+@register("stream_log_compaction", O.scd1_sql(O.EVENTS_STD, "user_id", O.EVENTS_ORDER_DESC, EV_COLS))
+def stream_log_compaction(spark, sf_dir):
+    """Half of the files flow in, the log is compacted to the last event per
+    key, the rest (including a replayed file) flows in: the latest state is
+    unchanged by compaction."""
+    root = scratch_dir(spark, "stream_compact")
+    ct = f"{root}/landing/events__ct"
+    parts = feeds.permuted_event_files(spark, sf_dir, 4)
+    spec = feeds.EVENTS_SPEC.with_(scd_types=(1,))
+    target = IncrementalTarget(spark, f"{root}/target", spec, buckets=TEST_BUCKETS)
+    for i in (0, 1):
+        parts[i].write.parquet(f"{ct}/part={i}")
+    run_flow(spark, target, Flow("ct", ct, max_files_per_trigger=4), f"{root}/state")
+    target.compact_log()
+    for i in (2, 3):
+        parts[i].write.parquet(f"{ct}/part={i}")
+    parts[0].write.parquet(f"{ct}/part=replay0")
+    run_flow(spark, target, Flow("ct", ct, max_files_per_trigger=4), f"{root}/state")
+    return target.read(1)

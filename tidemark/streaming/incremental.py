@@ -8,8 +8,11 @@ Layout below ``root`` (a folder in the shared checkpoint area):
 * ``scd1/v=<n>/_bucket=<b>/``, ``scd2/v=<n>/_bucket=<b>/``  copy-on-write
   versions of the buckets a commit touched;
 * ``_manifest/<n>__<flow>__<batch>.json``  commit ``n``: which version holds
-  each bucket of each target.  Writing it is the commit; both targets flip
-  together.
+  each bucket of each target, the compacted log base and the log batch
+  folders written since.  Writing it is the commit; both targets flip
+  together;
+* ``log_base/v=<n>/_bucket=<b>/``  the log compacted by ``compact_log`` (so a
+  batch's history read does not grow with the number of batches).
 
 A micro-batch appends its events to the log, finds the keys it touches,
 re-folds exactly those keys from their whole logged history (so late events
@@ -111,10 +114,10 @@ class IncrementalTarget:
         if touched:
             batch_keys = (spark.read.parquet(log_path).filter(F.col("_bucket") != QUARANTINE_BUCKET)
                           .select(*spec.keys).distinct().persist(StorageLevel.MEMORY_AND_DISK))
-            history = (spark.read.option("mergeSchema", "true").parquet(self.log_root)
+            log_batches = list(state.get("log_batches", [])) + [[flow, int(batch_id)]]
+            history = (self._read_log(state.get("log_base"), log_batches)
                        .filter(F.col("_bucket").isin(touched))
                        .join(batch_keys, list(spec.keys), "left_semi")
-                       .drop("_flow", "_batch")
                        .persist(StorageLevel.MEMORY_AND_DISK))  # read by the hot-key check and the fold
             folded = merge.fold(history, spec, max_group_rows=self.max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
             clock.lap("plan_fold")
@@ -139,7 +142,9 @@ class IncrementalTarget:
             folded.unpersist()
             history.unpersist()
             batch_keys.unpersist()
-        manifest = {"seq": seq, "flow": flow, "batch": int(batch_id), "targets": targets}
+        manifest = {"seq": seq, "flow": flow, "batch": int(batch_id), "targets": targets,
+                    "log_base": state.get("log_base"),
+                    "log_batches": list(state.get("log_batches", [])) + [[flow, int(batch_id)]]}
         fs.write_text(spark, f"{self.manifest_root}/{seq:012d}__{flow}__{int(batch_id):012d}.json",
                       json.dumps(manifest, sort_keys=True))
         clock.lap("commit")
@@ -167,13 +172,65 @@ class IncrementalTarget:
             return self.spark.createDataFrame([], schema)
         return df.select(*[F.col(f.name) for f in schema.fields])
 
+    def _read_log(self, base: str | None, batches: list) -> DataFrame:
+        """The committed log: the compacted base plus the batch folders
+        written since, read by explicit paths (no listing of old folders, no
+        orphans of failed attempts)."""
+        spark = self.spark
+        parts = []
+        if base:
+            parts.append(spark.read.option("basePath", base).option("mergeSchema", "true").parquet(base))
+        paths = [f"{self.log_root}/_flow={f}/_batch={b}" for f, b in batches]
+        if paths:
+            parts.append(spark.read.option("basePath", self.log_root).option("mergeSchema", "true")
+                         .parquet(*paths).drop("_flow", "_batch"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+
     def read_log(self) -> DataFrame:
-        return (self.spark.read.option("mergeSchema", "true").parquet(self.log_root)
+        state = self.latest()
+        return (self._read_log(state.get("log_base"), state.get("log_batches", []))
                 .filter(F.col("_bucket") != QUARANTINE_BUCKET))
 
+    def compact_log(self) -> bool:
+        """Rewrite the committed log as one compacted base (few files per
+        bucket) and commit it like a batch.
+
+        SCD1-only targets keep the last event of each key (a delete is kept
+        as its tombstone, so late older events still lose to it); targets
+        with history keep the winner of every (key, sequence).  The fold of
+        the compacted log equals the fold of the full log.  Returns False
+        when there is nothing to compact.
+        """
+        spark, spec = self.spark, self.spec
+        state = self.latest()
+        if not state.get("log_batches"):
+            return False
+        seq = int(state["seq"]) + 1
+        log = self._read_log(state.get("log_base"), state["log_batches"])
+        valid = log.filter(F.col("_bucket") != QUARANTINE_BUCKET)
+        folded = merge.fold(valid, spec, max_group_rows=self.max_group_rows)
+        if 2 in spec.scd_types:
+            keep = folded.filter(~F.col("_has_next") | (F.col("_next_seq") != F.col("_seq")))
+        else:
+            keep = folded.filter(~F.col("_has_next"))
+        keep = keep.drop("_next_seq", "_has_next")
+        quarantined = log.filter(F.col("_bucket") == QUARANTINE_BUCKET)
+        base = f"{self.root}/log_base/v={seq}"
+        (keep.unionByName(quarantined, allowMissingColumns=True)
+             .hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(base))
+        manifest = {"seq": seq, "flow": "_compact", "batch": seq, "targets": state.get("targets", {}),
+                    "log_base": base, "log_batches": []}
+        fs.write_text(spark, f"{self.manifest_root}/{seq:012d}___compact__{seq:012d}.json",
+                      json.dumps(manifest, sort_keys=True))
+        return True
+
     def read_quarantine(self) -> DataFrame:
         """Logged rows that could not be merged, with their reason."""
-        return (self.spark.read.option("mergeSchema", "true").parquet(self.log_root)
+        state = self.latest()
+        return (self._read_log(state.get("log_base"), state.get("log_batches", []))
                 .filter(F.col("_bucket") == QUARANTINE_BUCKET)
                 .withColumn("dq_reason", F.lit("null primary_key")))
 
