@@ -71,3 +71,22 @@ def test_hot_key_chunks_equal_plain_window(spark):
     chunked = rows(scd2(std, spec, max_group_rows=40))
     assert plain == chunked
     assert len(plain) > 0
+
+
+def test_write_and_check_scenario(spark):
+    from tidemark.operators.rules import summarize
+    from tidemark.session import scratch_dir
+    from tidemark.sources.scenario import check_scenario, write_scenario
+    from tidemark.sources.files import read_landed
+
+    root = scratch_dir(spark, "scenario")
+    changes = spark.createDataFrame(CHANGES, SCHEMA)
+    info = write_scenario(spark, root, "CUSTOMERS", ["customer_id"], changes, ["customer_id", "name", "city"])
+    assert info["expected_active_count"] == 1 and info["total_changes"] == 5
+    ct = read_landed(spark, info["ct_path"])
+    std = standardize(ct, SPEC)
+    res = check_scenario(scd1(std, SPEC), scd2(std, SPEC), ["customer_id"], info["expected_active_count"])
+    ok, text = summarize(res)
+    assert ok, text
+    # the snapshot is the latest non-deleted row per key
+    assert rows(read_landed(spark, info["full_path"]), "customer_id", "name") == [(7, "Asha R")]

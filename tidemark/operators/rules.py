@@ -117,3 +117,10 @@ def history_rules(scd2_df: DataFrame, changes: DataFrame, spec: TableSpec,
     out = out.unionByName(_rule("scd2_delete_closes", _count(bad_delete)))
     out = out.unionByName(_rule("scd2_versions_equal_events", _count(bad_count)))
     return out
+
+
+def summarize(results: DataFrame) -> tuple[bool, str]:
+    """(all passed, one line per rule) from a rules frame (a few rows)."""
+    rows = results.orderBy("rule").collect()
+    lines = [f"  [{'PASS' if r['passed'] else 'FAIL'}] {r['rule']} - violations: {r['violations']}" for r in rows]
+    return all(r["passed"] for r in rows), "\n".join(lines)

@@ -218,3 +218,30 @@ def feed_lag(spark, sf_dir):
     ev = _lag_for("events", feeds.feed_events(spark, sf_dir), EV)
     od = _lag_for("orders", feeds.feed_orders(spark, sf_dir), feeds.ORDERS_SPEC)
     return ev.unionByName(od)
+
+
+_COMMIT_SQL = "((SELECT max(ts) FROM events) + INTERVAL 5 MINUTE)"
+
+
+@register("latency_from_change_feed", f"""
+WITH c AS ({_cdf_sql()}),
+l AS (SELECT _change_type,
+             round((epoch_us({_COMMIT_SQL}) - epoch_us(header__change_ts)) / 1e6, 3) AS latency_sec
+      FROM c WHERE _change_type IN ('insert', 'update_postimage') AND header__change_ts IS NOT NULL)
+SELECT _change_type AS dataset_id, round(quantile_cont(latency_sec, 0.5), 3) AS p50_sec,
+       round(quantile_cont(latency_sec, 0.95), 3) AS p95_sec, round(max(latency_sec), 3) AS max_sec,
+       CAST(count(*) AS BIGINT) AS record_count
+FROM l GROUP BY _change_type
+""")
+def latency_from_change_feed(spark, sf_dir):
+    """Record latency from the target's change feed: the second load commits
+    five minutes after the newest change; arrivals (inserts, post-images)
+    only, exact percentiles."""
+    ev = table(spark, sf_dir, "events")
+    ct = feeds.feed_events(spark, sf_dir)
+    before = _events_scd1(spark, sf_dir, ct=ct.filter(F.col("header__change_seq") < _split_expr(ev)))
+    after = _events_scd1(spark, sf_dir, ct=ct)
+    commit = ev.agg(F.max("ts") + F.expr("INTERVAL 5 MINUTES")).scalar()
+    cdf = R.change_feed(before, after, ["user_id"], version=2, commit_ts=commit)
+    lat = R.latency_rows(cdf, "header__change_ts").withColumnRenamed("_change_type", "dataset_id")
+    return R.latency_summary(lat, ["dataset_id"])

@@ -45,6 +45,13 @@ def keyed_count(dataset_id: str, df: DataFrame, active_flag: str | None = None,
     return df.agg(F.count(F.lit(1)).cast("bigint").alias(name)).select(F.lit(dataset_id).alias("dataset_id"), name)
 
 
+def jdbc_count(spark: SparkSession, url: str, properties: dict, schema: str, table: str) -> DataFrame:
+    """Source count computed in the source database (the COUNT runs there;
+    one row comes back), for ``recon`` pairs on a real deployment."""
+    query = f"(SELECT COUNT(*) AS CNT FROM {schema}.{table}) t"
+    return spark.read.jdbc(url=url, table=query, properties=properties)
+
+
 def _union(dfs: list[DataFrame]) -> DataFrame:
     out = dfs[0]
     for d in dfs[1:]:
@@ -116,7 +123,8 @@ def change_feed(before: DataFrame, after: DataFrame, keys: list[str], version: i
     cols = [*[F.col(k) for k in keys], *[F.col("_c.v").getField(c).alias(c) for c in payload],
             F.col("_c.t").alias("_change_type"), F.lit(version).cast("bigint").alias("_commit_version")]
     if commit_ts is not None:
-        cols.append(F.lit(commit_ts).cast("timestamp").alias("_commit_timestamp"))
+        ts = commit_ts if hasattr(commit_ts, "_jc") else F.lit(commit_ts)
+        cols.append(ts.cast("timestamp_ntz").alias("_commit_timestamp"))
     return out.select(*cols)
 
 
@@ -124,8 +132,9 @@ def latency_rows(cdf: DataFrame, source_commit_col: str, target_commit_col: str
     """Per-record latency from a change feed: inserts and post-images only
     (pre-images and deletes are not arrivals), NULL latencies dropped."""
     arrivals = cdf.filter(F.col("_change_type").isin("insert", "update_postimage"))
-    lat = F.col(target_commit_col).cast("double") - F.col(source_commit_col).cast("double")
-    return arrivals.withColumn("latency_sec", lat).filter(F.col("latency_sec").isNotNull())
+    us = (F.unix_micros(F.col(target_commit_col).cast("timestamp"))
+          - F.unix_micros(F.col(source_commit_col).cast("timestamp")))
+    return arrivals.withColumn("latency_sec", F.round(us / F.lit(1e6), 3)).filter(F.col("latency_sec").isNotNull())
 
 
 # -- quantiles ----------------------------------------------------------------
