@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .windows import DEFAULT_MAX_GROUP_ROWS, with_neighbors
+from .windows import DEFAULT_MAX_GROUP_ROWS, hot_keys, with_neighbors
 
 
 def tumbling(df: DataFrame, ts: str, size: str, group_cols: list[str], aggs: list) -> DataFrame:
@@ -27,11 +27,14 @@ def sessionize(df: DataFrame, keys: list[str], ts: str, gap_sec: int,
     ``session_window``).  Two neighbour passes (previous time, then forward
     fill of session starts) so a hot key is split into chunks."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    # both passes see the same rows and keys: one hot-key decision
+    hot = hot_keys(df, list(keys), max_group_rows) if max_group_rows is not None else None
     a = with_neighbors(df.withColumn("_us", micros), keys, [F.col("_us")], prev={"_prev_us": "_us"},
-                       max_group_rows=max_group_rows)
+                       max_group_rows=max_group_rows, hot=hot)
     starts = (F.col("_prev_us").isNull()) | ((F.col("_us") - F.col("_prev_us")) >= F.lit(gap_sec * 1_000_000))
     a = a.withColumn("_start_us", F.when(starts, F.col("_us"))).drop("_has_next", "_has_prev", "_prev_us")
-    b = with_neighbors(a, keys, [F.col("_us")], carry={"_session_us": "_start_us"}, max_group_rows=max_group_rows)
+    b = with_neighbors(a, keys, [F.col("_us")], carry={"_session_us": "_start_us"}, max_group_rows=max_group_rows,
+                       hot=hot)
     return b.drop("_has_next", "_has_prev", "_start_us")
 
 

@@ -31,8 +31,30 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Hot-key decisions per (input plan, keys, threshold).  A stale entry can
+# only route a key to the other (equally correct) path.
+_HOT_CACHE: dict = {}
+_HOT_CACHE_MAX = 256
+
+
 def hot_keys(df: DataFrame, keys: list[str], max_group_rows: int,
              sample_rows: int = HOT_SAMPLE_ROWS) -> tuple[DataFrame, int, int]:
+    """Memoised :func:`find_hot_keys` (same plan, keys and threshold)."""
+    try:
+        ck = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(keys), max_group_rows, sample_rows)
+    except Exception:  # noqa: BLE001 - no hash, no memo
+        return find_hot_keys(df, keys, max_group_rows, sample_rows)
+    hit = _HOT_CACHE.get(ck)
+    if hit is None:
+        hit = find_hot_keys(df, keys, max_group_rows, sample_rows)
+        if len(_HOT_CACHE) >= _HOT_CACHE_MAX:
+            _HOT_CACHE.pop(next(iter(_HOT_CACHE)))
+        _HOT_CACHE[ck] = hit
+    return hit
+
+
+def find_hot_keys(df: DataFrame, keys: list[str], max_group_rows: int,
+                  sample_rows: int = HOT_SAMPLE_ROWS) -> tuple[DataFrame, int, int]:
     """Keys estimated to hold more than ``max_group_rows`` rows, how many,
     and an estimate of their rows.
 
@@ -65,6 +87,7 @@ def with_neighbors(
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
     carry: dict | None = None,
     number: str | None = None,
+    hot: tuple | None = None,
 ) -> DataFrame:
     """Add ``lead``/``lag`` values within each key, ordered ascending
     (NULLs first) by the value columns ``order``.
@@ -75,13 +98,15 @@ def with_neighbors(
     up to and including the row (a forward fill).  ``number="out"`` adds the
     1-based row number within the key.  Boolean ``_has_next`` /
     ``_has_prev`` tell a NULL value from a missing neighbour.
-    ``max_group_rows=None`` skips the hot-key check.
+    ``max_group_rows=None`` skips the hot-key check; ``hot`` passes a
+    decision from :func:`hot_keys` made on the same rows and keys (multi-pass
+    operators check once).
     """
     nxt, prev, carry, keys = dict(nxt or {}), dict(prev or {}), dict(carry or {}), list(keys)
     order = [_c(o) for o in order]
     if max_group_rows is None:
         return _windowed(df, keys, order, nxt, prev, carry, number)
-    hot, n_hot, hot_rows = hot_keys(df, keys, max_group_rows)
+    hot, n_hot, hot_rows = hot if hot is not None else hot_keys(df, keys, max_group_rows)
     if n_hot == 0:
         return _windowed(df, keys, order, nxt, prev, carry, number)
 
