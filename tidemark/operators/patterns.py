@@ -59,15 +59,21 @@ def noop_report(flagged: DataFrame) -> DataFrame:
 
 
 def synthetic_identity(df: DataFrame, content_cols: list[str], order_cols: list[str],
-                       max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """Identity for keyless rows (M-SYNTH): ``_row_hash`` over the content
-    and ``_dup_no``, the copy's number among identical rows ordered by
-    ``order_cols`` (e.g. file, sequence).  (``_row_hash``, ``_dup_no``) is
-    then a key; a group of copies holding a third of the data is chunked."""
-    h = df.withColumn("_row_hash", content_hash(content_cols))
-    out = with_neighbors(h, ["_row_hash"], [F.col(c) for c in order_cols], number="_dup_no",
-                         max_group_rows=max_group_rows)
-    return out.drop("_has_next", "_has_prev")
+                       max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, with_hash: bool = True) -> DataFrame:
+    """Identity for keyless rows (M-SYNTH): ``_dup_no``, the copy's number
+    among rows with identical content ordered by ``order_cols`` (e.g. file,
+    sequence), and optionally ``_row_hash`` (SHA-256 of the content).
+    (content, ``_dup_no``) or (``_row_hash``, ``_dup_no``) is then a key.
+
+    Copies are grouped on the content columns themselves (exact, no hash
+    collisions, no per-row hashing for the grouping); a group of copies
+    holding a third of the data is chunked by ``with_neighbors``.
+    """
+    out = with_neighbors(df, list(content_cols), [F.col(c) for c in order_cols], number="_dup_no",
+                         max_group_rows=max_group_rows).drop("_has_next", "_has_prev")
+    if with_hash:
+        out = out.withColumn("_row_hash", content_hash(content_cols))
+    return out
 
 
 def resolve_key_chains(mapping: DataFrame, old: str = "old_key", new: str = "new_key", max_hops: int = 8) -> DataFrame:

@@ -71,7 +71,7 @@ def dup_identity(spark, sf_dir):
     get (content hash, copy number) as identity."""
     li = table(spark, sf_dir, "lineitem").select(*_DUP_COLS)
     raw = feeds.full_and_ct(li, feeds.feed_lineitem(spark, sf_dir))
-    out = patterns.synthetic_identity(raw, _DUP_COLS, ["_ingest_source", "header__change_seq"])
+    out = patterns.synthetic_identity(raw, _DUP_COLS, ["_ingest_source", "header__change_seq"], with_hash=False)
     return out.select(*_DUP_COLS, "_ingest_source", "_dup_no")
 
 
