@@ -105,29 +105,30 @@ def dedup_then_join(left: DataFrame, right: DataFrame, keys: list[str], right_or
 
 def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str,
                   lower_sec: int, upper_sec: int, bucket_sec: int | None = None,
-                  how: str = "inner", left_id: str | None = None) -> DataFrame:
+                  how: str = "inner") -> DataFrame:
     """Pairs with equal keys and ``lower <= right_ts - left_ts <= upper``.
 
-    Both sides get a time bucket of ``bucket_sec`` (default: the interval
-    width); each left row is copied into the buckets its interval touches,
-    so pairs are formed only within (key, bucket).  ``how='left'`` keeps
-    unmatched left rows once (needs ``left_id``, a unique left column).
+    Each left row gets the time bucket (``bucket_sec``, default the
+    interval width) of its own time; each right row is copied into the left
+    buckets whose rows it can match, so one equi-join on (key, bucket) with
+    the exact interval as join condition forms every pair exactly once and
+    only compares rows of nearby buckets.  ``how='left'`` keeps unmatched
+    left rows (once, with NULLs) in the same join.
     """
-    width = upper_sec - lower_sec
-    b = bucket_sec or max(width, 1)
+    if how not in ("inner", "left"):
+        raise ValueError("interval_join supports how='inner' or 'left'")
+    b_us = (bucket_sec or max(upper_sec - lower_sec, 1)) * 1_000_000
     lt = F.unix_micros(F.col(left_ts).cast("timestamp"))
     rt = F.unix_micros(F.col(right_ts).cast("timestamp"))
-    lo_b = F.floor((lt + F.lit(lower_sec * 1_000_000)) / F.lit(b * 1_000_000))
-    hi_b = F.floor((lt + F.lit(upper_sec * 1_000_000)) / F.lit(b * 1_000_000))
-    lb = left.withColumn("_bkt", F.explode(F.sequence(lo_b.cast("bigint"), hi_b.cast("bigint"))))
-    rb = right.withColumn("_bkt", F.floor(rt / F.lit(b * 1_000_000)).cast("bigint"))
-    d = (F.unix_micros(F.col(right_ts).cast("timestamp")) - F.unix_micros(F.col(left_ts).cast("timestamp")))
-    pairs = (lb.join(rb, [*keys, "_bkt"], "inner")
-               .filter((d >= F.lit(lower_sec * 1_000_000)) & (d <= F.lit(upper_sec * 1_000_000)))
-               .drop("_bkt"))
-    if how == "inner":
-        return pairs
-    if how != "left" or not left_id:
-        raise ValueError("interval_join supports how='inner', or how='left' with left_id")
-    unmatched = left.join(pairs.select(left_id).distinct(), left_id, "left_anti")
-    return pairs.unionByName(unmatched, allowMissingColumns=True)
+    lb = left.withColumn("_bkt", F.floor(lt / F.lit(b_us)).cast("bigint"))
+    # left time lies in [right - upper, right - lower]
+    lo_b = F.floor((rt - F.lit(upper_sec * 1_000_000)) / F.lit(b_us)).cast("bigint")
+    hi_b = F.floor((rt - F.lit(lower_sec * 1_000_000)) / F.lit(b_us)).cast("bigint")
+    rk = {k: f"_r_{k}" for k in keys}
+    rb = right.withColumn("_r_bkt", F.explode(F.sequence(lo_b, hi_b)))
+    rb = rb.select(*[F.col(c).alias(rk.get(c, c)) for c in rb.columns])
+    d = F.unix_micros(F.col(right_ts).cast("timestamp")) - F.unix_micros(F.col(left_ts).cast("timestamp"))
+    cond = (F.col("_bkt") == F.col("_r_bkt")) & (d >= F.lit(lower_sec * 1_000_000)) & (d <= F.lit(upper_sec * 1_000_000))
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(rk[k]))
+    return lb.join(rb, cond, how).drop("_bkt", "_r_bkt", *rk.values())

@@ -103,5 +103,5 @@ def click_purchase_interval(spark, sf_dir):
     purchases = ev.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("purchase_ts"))
     out = joins.interval_join(clicks, purchases, ["user_id"], "click_ts", "purchase_ts", 0, CLICK_WINDOW_SEC,
-                              how="left", left_id="click_id")
+                              how="left")
     return out.select("click_id", "user_id", "click_ts", "purchase_id", "purchase_ts")
