@@ -111,3 +111,22 @@ def test_compaction_keeps_results(spark, types):
     if types == (1,):
         assert t.compact_log()
         assert t.read_log().count() == ct.select("user_id").distinct().count()
+
+
+def test_json_landing_flow_equals_batch(spark):
+    from tidemark.sources.files import read_landed
+    from tidemark.streaming.flows import Flow, run_flow
+
+    root = scratch_dir(spark, "json")
+    ct = feeds.feed_events(spark, SF_SMALL)
+    part = F.pmod(F.col("header__change_seq"), F.lit(3))
+    for i in range(3):
+        ct.filter(part == i).write.json(f"{root}/landing/events__ct/p={i}")
+    spec = SPEC.with_(file_format="json")
+    t = IncrementalTarget(spark, f"{root}/target", spec, buckets=4)
+    run_flow(spark, t, Flow("ct", f"{root}/landing/events__ct", file_format="json", max_files_per_trigger=2),
+             f"{root}/state")
+    batch = standardize(read_landed(spark, f"{root}/landing/events__ct", "json"), spec)
+    cols = ("user_id", "event_type", "value", "header__change_ts")
+    assert rows(t.read(1), *cols) == rows(merge.scd1(batch, spec), *cols)
+    assert t.read(1).count() == merge.scd1(standardize(ct, SPEC), SPEC).count()

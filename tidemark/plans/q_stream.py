@@ -9,8 +9,6 @@ or replay.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..session import scratch_dir
 from ..sources import feeds
 from ..streaming.append import AppendTarget
@@ -115,8 +113,7 @@ def stream_append_lineage(spark, sf_dir):
     target.run(Flow("ct", ct, max_files_per_trigger=4))      # seed flow no longer started
     out = target.read()
     return out.select("user_id", "event_type", "value", "header__change_oper", "header__change_seq",
-                      "header__change_ts", "_ingest_source",
-                      F.col("_ingest_file").isNotNull().alias("_has_file")).drop("_has_file")
+                      "header__change_ts", "_ingest_source")
 
 
 @register("stream_log_compaction", O.scd1_sql(O.EVENTS_STD, "user_id", O.EVENTS_ORDER_DESC, EV_COLS))

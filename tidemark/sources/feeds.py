@@ -45,7 +45,10 @@ def feed_events_evolved(spark: SparkSession, sf_dir: str, split_event_id: int |
     ev = table(spark, sf_dir, "events")
     base = feed_events(spark, sf_dir)
     if split_event_id is None:
-        split_event_id = ev.agg(F.max("event_id")).first()[0] // 2 + 1
+        # first id of the second half, as a scalar subquery (no driver round trip)
+        split_event_id = ev.agg((F.floor(F.max("event_id") / 2) + 1).cast("bigint")).scalar()
+    else:
+        split_event_id = F.lit(split_event_id)
     first = base.filter(F.col(SEQ) < split_event_id)
     second = (base.join(ev.select(F.col("event_id").alias(SEQ), "props"), SEQ, "inner")
               .filter(F.col(SEQ) >= split_event_id)
@@ -101,12 +104,6 @@ def events_with_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full_and_ct(seed_customer(spark, sf_dir), feed_events(spark, sf_dir))
 
 
-def lookup_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference data with constructed misses: only even customer keys."""
-    c = table(spark, sf_dir, "customer")
-    return c.filter(F.pmod(F.col("c_custkey"), F.lit(2)) == 0).select("c_custkey", "c_mktsegment")
-
-
 def permuted_event_files(spark: SparkSession, sf_dir: str, n_files: int = 4) -> list[DataFrame]:
     """The events feed split by a hash of its sequence into ``n_files`` parts,
     so that sequence order and arrival order disagree."""
