@@ -34,3 +34,21 @@ def test_single_group_numbering(spark):
     b = rows(with_neighbors(df, [], [F.col("o_orderkey")], number="rn", max_group_rows=100), "o_orderkey", "rn")
     assert a == b
     assert [r[1] for r in a] == list(range(1, len(a) + 1))
+
+
+def test_cumsum_and_exact_quantiles_chunked(spark):
+    from tidemark.plans.reports import exact_quantiles
+
+    ev = table(spark, SF_SMALL, "events")
+    a = rows(with_neighbors(ev, ["event_type"], [F.col("event_id")], cumsum={"cv": "value"}, max_group_rows=None),
+             "event_id", "cv")
+    b = rows(with_neighbors(ev, ["event_type"], [F.col("event_id")], cumsum={"cv": "value"}, max_group_rows=30),
+             "event_id", "cv")
+    assert [(i, round(x, 6)) for i, x in a] == [(i, round(x, 6)) for i, x in b]
+    q = {r["event_type"]: r for r in exact_quantiles(ev, ["event_type"], "value", {"p50": 0.5, "p95": 0.95}).collect()}
+    for t, r in q.items():
+        vals = sorted(x["value"] for x in ev.filter(F.col("event_type") == t).select("value").collect())
+        h = (len(vals) - 1) * 0.5
+        lo, hi = int(h), min(int(h) + 1, len(vals) - 1)
+        assert abs(r["p50"] - (vals[lo] + (vals[hi] - vals[lo]) * (h - int(h)))) < 1e-9
+        assert r["n"] == len(vals)

@@ -88,6 +88,7 @@ def with_neighbors(
     carry: dict | None = None,
     number: str | None = None,
     hot: tuple | None = None,
+    cumsum: dict | None = None,
 ) -> DataFrame:
     """Add ``lead``/``lag`` values within each key, ordered ascending
     (NULLs first) by the value columns ``order``.
@@ -96,26 +97,28 @@ def with_neighbors(
     the same key (NULL on the last row); ``prev`` likewise for the previous
     row.  ``carry = {"out": expr}`` adds the last non-NULL value of ``expr``
     up to and including the row (a forward fill).  ``number="out"`` adds the
-    1-based row number within the key.  Boolean ``_has_next`` /
+    1-based row number within the key; ``cumsum = {"out": expr}`` the running
+    sum of ``expr`` up to and including the row.  Boolean ``_has_next`` /
     ``_has_prev`` tell a NULL value from a missing neighbour.
     ``max_group_rows=None`` skips the hot-key check; ``hot`` passes a
     decision from :func:`hot_keys` made on the same rows and keys (multi-pass
     operators check once).
     """
     nxt, prev, carry, keys = dict(nxt or {}), dict(prev or {}), dict(carry or {}), list(keys)
+    cumsum = dict(cumsum or {})
     order = [_c(o) for o in order]
     if max_group_rows is None:
-        return _windowed(df, keys, order, nxt, prev, carry, number)
+        return _windowed(df, keys, order, nxt, prev, carry, number, cumsum)
     hot, n_hot, hot_rows = hot if hot is not None else hot_keys(df, keys, max_group_rows)
     if n_hot == 0:
-        return _windowed(df, keys, order, nxt, prev, carry, number)
+        return _windowed(df, keys, order, nxt, prev, carry, number, cumsum)
 
     spark = df.sparkSession
     if keys:
         marked = df.join(checked_broadcast(hot.withColumn("_hot", F.lit(True)), n_hot), keys, "left")
     else:  # the whole frame is one group
         marked = df.withColumn("_hot", F.lit(True))
-    cold = _windowed(marked.filter(F.col("_hot").isNull()).drop("_hot"), keys, order, nxt, prev, carry, number)
+    cold = _windowed(marked.filter(F.col("_hot").isNull()).drop("_hot"), keys, order, nxt, prev, carry, number, cumsum)
 
     n_chunks = max(default_parallelism(spark), math.ceil(hot_rows / max(chunk_rows, 1)))
     # Range partitioning keeps equal (key, order) values together and hands
@@ -124,7 +127,7 @@ def with_neighbors(
     warm = (marked.filter(F.col("_hot").isNotNull()).drop("_hot")
             .repartitionByRange(n_chunks, *[F.col(k) for k in keys], *[o.asc_nulls_first() for o in order])
             .withColumn("_chunk", F.spark_partition_id()))
-    warm_w = _windowed(warm, keys + ["_chunk"], order, nxt, prev, carry, number)
+    warm_w = _windowed(warm, keys + ["_chunk"], order, nxt, prev, carry, number, cumsum)
 
     # One row per (hot key, chunk): values of its first and last row.
     ord_key = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
@@ -134,7 +137,8 @@ def with_neighbors(
     carry_last = [F.max_by(_c(e), F.when(_c(e).isNotNull(), ord_key)).alias(f"_cl_{n}") for n, e in carry.items()]
     bounds = (warm.groupBy(*keys, "_chunk")
               .agg(F.min_by(first_vals, ord_key).alias("_first"), F.max_by(last_vals, ord_key).alias("_last"),
-                   F.count(F.lit(1)).alias("_cnt"), *carry_last))
+                   F.count(F.lit(1)).alias("_cnt"), *carry_last,
+                   *[F.sum(_c(e)).alias(f"_cs_{n}") for n, e in cumsum.items()]))
     wc = (Window.partitionBy(*keys) if keys else Window).orderBy("_chunk")
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     edges = (bounds.withColumn("_next_first", F.lead("_first").over(wc))
@@ -142,7 +146,10 @@ def with_neighbors(
                    .withColumn("_offset", F.coalesce(F.sum("_cnt").over(before), F.lit(0))))
     for n in carry:
         edges = edges.withColumn(f"_ci_{n}", F.last(f"_cl_{n}", ignorenulls=True).over(before))
-    edges = edges.select(*keys, "_chunk", "_next_first", "_prev_last", "_offset", *[f"_ci_{n}" for n in carry])
+    for n in cumsum:
+        edges = edges.withColumn(f"_co_{n}", F.coalesce(F.sum(f"_cs_{n}").over(before), F.lit(0)))
+    edges = edges.select(*keys, "_chunk", "_next_first", "_prev_last", "_offset", *[f"_ci_{n}" for n in carry],
+                         *[f"_co_{n}" for n in cumsum])
     # At most one edge row per chunk and hot key.
     patched = warm_w.join(checked_broadcast(edges, n_chunks + n_hot), [*keys, "_chunk"], "left")
     for name in nxt:
@@ -155,13 +162,16 @@ def with_neighbors(
         patched = patched.withColumn(name, F.coalesce(F.col(name), F.col(f"_ci_{name}")))
     if number:
         patched = patched.withColumn(number, F.col(number) + F.col("_offset"))
+    for name in cumsum:
+        patched = patched.withColumn(name, F.col(name) + F.col(f"_co_{name}"))
     patched = (patched.withColumn("_has_next", F.col("_has_next") | F.col("_next_first").isNotNull())
                       .withColumn("_has_prev", F.col("_has_prev") | F.col("_prev_last").isNotNull())
-                      .drop("_chunk", "_next_first", "_prev_last", "_offset", *[f"_ci_{n}" for n in carry]))
+                      .drop("_chunk", "_next_first", "_prev_last", "_offset", *[f"_ci_{n}" for n in carry],
+                            *[f"_co_{n}" for n in cumsum]))
     return cold.unionByName(patched)
 
 
-def _windowed(df, keys, order, nxt, prev, carry=None, number=None) -> DataFrame:
+def _windowed(df, keys, order, nxt, prev, carry=None, number=None, cumsum=None) -> DataFrame:
     spec = Window.partitionBy(*keys) if keys else Window
     w = spec.orderBy(*[o.asc_nulls_first() for o in order])
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -171,6 +181,7 @@ def _windowed(df, keys, order, nxt, prev, carry=None, number=None) -> DataFrame:
     cols += [F.last(_c(e), ignorenulls=True).over(upto).alias(n) for n, e in (carry or {}).items()]
     if number:
         cols.append(F.row_number().over(w).cast("bigint").alias(number))
+    cols += [F.sum(_c(e)).over(upto).alias(n) for n, e in (cumsum or {}).items()]
     cols += [F.lead(F.lit(True)).over(w).isNotNull().alias("_has_next"),
              F.lag(F.lit(True)).over(w).isNotNull().alias("_has_prev")]
     return df.select(*cols)

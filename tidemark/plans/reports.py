@@ -144,20 +144,26 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, qs: di
 
     The values are first reduced to a (group, value, count) histogram by a
     partial aggregate, so a group with a third of all rows is combined
-    map-side; the window then runs over distinct values only.
+    map-side.  The running count over the sorted distinct values comes from
+    ``with_neighbors`` (a group with very many distinct values is chunked),
+    and the group totals from a plain aggregate.
     """
+    from ..operators.windows import with_neighbors
+
     g = list(group_cols)
     hist = df.filter(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w))
-                .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g))))
-    aggs = [F.sum("_c").alias("n")]
+    cum = with_neighbors(hist, g, [F.col(value_col)], cumsum={"_cum": "_c"}).drop("_has_next", "_has_prev")
+    if g:
+        hist = cum.join(hist.groupBy(*g).agg(F.sum("_c").alias("_n")), g, "inner")
+    else:  # one global total, as a scalar subquery
+        hist = cum.withColumn("_n", hist.agg(F.sum("_c")).scalar())
+    aggs = [F.max("_n").alias("n")]
     for name, q in qs.items():
         h = (F.col("_n") - 1) * F.lit(q)
         lo, hi = F.floor(h), F.ceil(h)
         aggs.append(F.min(F.when(F.col("_cum") > lo, F.col(value_col))).alias(f"_{name}_lo"))
         aggs.append(F.min(F.when(F.col("_cum") > hi, F.col(value_col))).alias(f"_{name}_hi"))
-        aggs.append(F.max((F.col("_n") - 1) * F.lit(q) - F.floor((F.col("_n") - 1) * F.lit(q))).alias(f"_{name}_f"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_{name}_f"))
     agg = hist.groupBy(*g).agg(*aggs)
     out = [F.col(c) for c in g] + [F.col("n")]
     for name in qs:
