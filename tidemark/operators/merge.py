@@ -57,9 +57,23 @@ def fold(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MA
     order_vals = [F.col("_seq"), (F.col("_op") == F.lit("D"))]
     if spec.soft and spec.is_deleted_col in df.columns:
         order_vals.append(F.col(spec.is_deleted_col))
-    order_vals += [F.col(c) for c in business_columns(df, spec)]
-    return with_neighbors(df, list(spec.keys), order_vals, nxt={"_next_seq": "_seq"},
-                          max_group_rows=max_group_rows).drop("_has_prev")
+    payload = business_columns(df, spec)
+    order_vals += [F.col(c) for c in payload]
+    carry = {}
+    keep = spec.soft and spec.keep_last_values and spec.is_deleted_col in df.columns and payload
+    if keep:
+        # the last live (not deleted) payload up to each event, same window
+        live = F.when(~F.coalesce(F.col(spec.is_deleted_col), F.lit(False)), F.struct(*[F.col(c) for c in payload]))
+        carry = {"_live": live}
+    out = with_neighbors(df, list(spec.keys), order_vals, nxt={"_next_seq": "_seq"}, carry=carry,
+                         max_group_rows=max_group_rows).drop("_has_prev")
+    if keep:
+        # a soft delete keeps the last known values (when there are any)
+        flag = F.coalesce(F.col(spec.is_deleted_col), F.lit(False)) & F.col("_live").isNotNull()
+        for c in payload:
+            out = out.withColumn(c, F.when(flag, F.col("_live").getField(c)).otherwise(F.col(c)))
+        out = out.drop("_live")
+    return out
 
 
 def scd1_from_fold(folded: DataFrame, spec: TableSpec) -> DataFrame:

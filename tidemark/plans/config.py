@@ -75,7 +75,8 @@ def select_datasets(meta: dict, source: str | None = None, table_group_no: int |
     if table_group_no is not None and table_group_no != "ALL":
         dm = dm.filter(F.col("table_group_no") == int(table_group_no))
     if dataset_list != "ALL":
-        wanted = [dataset_list] if isinstance(dataset_list, str) else list(dataset_list)
+        # a list, or one string with comma-separated ids
+        wanted = dataset_list.split(",") if isinstance(dataset_list, str) else list(dataset_list)
         wanted = [w.strip() for w in wanted if w and w.strip()]
         dm = dm.filter(F.col("dataset_id").isin(wanted))
     return dm

@@ -147,3 +147,26 @@ def append_all_rows(spark, sf_dir):
     full = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
     raw = feeds.full_and_ct(full, feeds.feed_lineitem(spark, sf_dir))
     return merge.append_rows(raw).drop("_ingest_file", "_ingest_ts")
+
+
+_KEEP_STD = f"""
+SELECT user_id, _op, _seq, is_deleted,
+  CASE WHEN is_deleted AND lv IS NOT NULL THEN lv.event_type ELSE event_type END AS event_type,
+  CASE WHEN is_deleted AND lv IS NOT NULL THEN lv.value ELSE value END AS value,
+  CASE WHEN is_deleted AND lv IS NOT NULL THEN lv.header__change_ts ELSE header__change_ts END AS header__change_ts
+FROM (
+  SELECT *, last_value(CASE WHEN NOT is_deleted THEN {{'event_type': event_type, 'value': value,
+                                                     'header__change_ts': header__change_ts}} END IGNORE NULLS)
+              OVER (PARTITION BY user_id ORDER BY {_SOFT_ASC}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv
+  FROM ({_SOFT_STD}) s
+) x
+"""
+
+
+@register("scd2_soft_keep_values", O.scd2_sql(_KEEP_STD, "user_id", _SOFT_ASC, EV_COLS + ", is_deleted", soft=True))
+def scd2_soft_keep_values(spark, sf_dir):
+    """Soft deletes that keep the last known values of the key instead of
+    the delete event's own (option ``keep_last_values``)."""
+    spec = EV.with_(delete_mode="soft", keep_last_values=True)
+    return merge.scd2(standardize(feeds.feed_events(spark, sf_dir), spec), spec)
