@@ -170,3 +170,17 @@ def scd2_soft_keep_values(spark, sf_dir):
     the delete event's own (option ``keep_last_values``)."""
     spec = EV.with_(delete_mode="soft", keep_last_values=True)
     return merge.scd2(standardize(feeds.feed_events(spark, sf_dir), spec), spec)
+
+
+@register("scd2_fold_summary", f"""
+SELECT CAST(count(*) AS BIGINT) AS versions, CAST(count(*) FILTER (WHERE __END_AT IS NULL) AS BIGINT) AS open_versions,
+       round(sum(l_quantity), 2) AS total_quantity
+FROM ({O.scd2_sql(O.LINEITEM_STD, "l_orderkey, l_linenumber", O.LINEITEM_ORDER_ASC, LI_COLS)}) v
+""")
+def scd2_fold_summary(spark, sf_dir):
+    """The SCD2 fold of the lineitem feed with a narrow output (count, open
+    versions, quantity): the fold's own cost without writing the history."""
+    h = merge.scd2(standardize(feeds.feed_lineitem(spark, sf_dir), LI), LI)
+    return h.agg(F.count(F.lit(1)).cast("bigint").alias("versions"),
+                 F.count_if(F.col("__END_AT").isNull()).cast("bigint").alias("open_versions"),
+                 F.round(F.sum("l_quantity"), 2).alias("total_quantity"))
