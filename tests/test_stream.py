@@ -151,3 +151,35 @@ def test_processing_time_trigger_runs_and_stops(spark):
         q.stop()
     std = standardize(feeds.feed_events(spark, SF_SMALL), SPEC)
     assert rows(t.read(1)) == rows(merge.scd1(std, SPEC))
+
+
+def test_concurrent_flows_commit_optimistically(spark):
+    import threading
+
+    spec = SPEC.with_(scd_types=(1, 2), seed_seq=feeds.CUSTOMER_SEED_SEQ)
+    ct = feeds.feed_events(spark, SF_SMALL)
+    seed = feeds.seed_customer(spark, SF_SMALL)
+    part = F.pmod(F.xxhash64(F.col("header__change_seq")), F.lit(3))
+    t = IncrementalTarget(spark, scratch_dir(spark, "concurrent"), spec, buckets=4)
+    errors = []
+
+    def run(flow, batches):
+        try:
+            for i, b in enumerate(batches):
+                t.apply(b, i, flow)
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+
+    seeds = [seed.filter(F.pmod(F.col("user_id"), F.lit(2)) == i) for i in range(2)]
+    threads = [threading.Thread(target=run, args=("ct", [ct.filter(part == i) for i in range(3)])),
+               threading.Thread(target=run, args=("full", seeds))]
+    for th in threads:
+        th.start()
+    for th in threads:
+        th.join()
+    assert not errors, errors
+    std = standardize(feeds.events_with_seed(spark, SF_SMALL), spec)
+    cols = ("user_id", "event_type", "value", "header__change_ts")
+    assert rows(t.read(1), *cols) == rows(merge.scd1(std, spec), *cols)
+    cols2 = cols + ("__START_AT", "__END_AT")
+    assert rows(t.read(2), *cols2) == rows(merge.scd2(std, spec), *cols2)

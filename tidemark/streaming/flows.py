@@ -2,8 +2,8 @@
 checkpoint, each merging into the dataset's incremental target.
 
 A dataset has an optional snapshot flow (``__full``, seeds) and always a
-change flow (``__ct``).  Flows of one target are run one after another per
-trigger because a target has a single committer (its manifest).  Dropping
+change flow (``__ct``).  Flows of one target may run at the same time: the
+target commits optimistically (see ``IncrementalTarget.apply``).  Dropping
 the seed flow later (``load_type`` full -> incr) is simply not starting it:
 the target's state is kept.
 """
@@ -54,6 +54,7 @@ def run_flow(spark: SparkSession, target: IncrementalTarget, flow: Flow, state_r
 
 
 def run_flows(spark: SparkSession, target: IncrementalTarget, flows: list[Flow], state_root: str, **kw):
-    """Seed flow first (when present), then the change flow."""
+    """Seed flow first (when present), then the change flow (``availableNow``
+    runs them in turn; ``processingTime`` queries run side by side)."""
     ordered = sorted(flows, key=lambda f: 0 if f.name == "full" else 1)
     return [run_flow(spark, target, f, state_root, **kw) for f in ordered]

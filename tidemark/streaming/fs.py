@@ -44,6 +44,28 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise IOError(f"could not commit {path}")
 
 
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text`` only if it does not exist yet.
+
+    The commit point of optimistic writers: of two writers creating the same
+    name, one gets True and the other False (atomic on HDFS-like stores; on
+    a local filesystem existence check and create are separate calls).  A
+    writer that dies mid-write leaves a file readers must skip.
+    """
+    fs, p, _ = _fs(spark, path)
+    try:
+        if fs.exists(p):
+            return False
+        out = fs.create(p, False)  # fails if another writer created it meanwhile
+    except Exception:  # noqa: BLE001 - FileAlreadyExistsException through py4j
+        return False
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p, jvm = _fs(spark, path)
     stream = fs.open(p)

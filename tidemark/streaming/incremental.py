@@ -5,12 +5,15 @@ Layout below ``root`` (a folder in the shared checkpoint area):
 * ``log/_flow=<f>/_batch=<id>/_bucket=<b>/``  every standardised event,
   deletes kept as tombstones, bucketed by ``pmod(xxhash64(keys), B)``;
   rows with a NULL key go to bucket -1 (quarantine, never merged);
-* ``scd1/v=<n>/_bucket=<b>/``, ``scd2/v=<n>/_bucket=<b>/``  copy-on-write
-  versions of the buckets a commit touched;
-* ``_manifest/<n>__<flow>__<batch>.json``  commit ``n``: which version holds
-  each bucket of each target, the compacted log base and the log batch
-  folders written since.  Writing it is the commit; both targets flip
-  together;
+* ``scd1/v=<n>-<id>/_bucket=<b>/``, ``scd2/...``  copy-on-write versions of
+  the buckets a commit touched (unique per attempt, so a losing writer never
+  overwrites committed files);
+* ``_manifest/<n>.json``  commit ``n``: which version holds each bucket of
+  each target, the compacted log base and the log batch folders written
+  since.  Creating it exclusively is the commit (both targets flip together;
+  of two concurrent writers one wins, the other recomputes on top of it);
+* ``_batches/<flow>/<batch>``  marker of a committed micro-batch (replays
+  are skipped);
 * ``log_base/v=<n>/_bucket=<b>/``  the log compacted by ``compact_log`` (so a
   batch's history read does not grow with the number of batches).
 
@@ -26,6 +29,7 @@ whatever the arrival order, batching or replay.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -58,44 +62,74 @@ class _Clock:
         self._t = now
 
 
+class CommitConflict(RuntimeError):
+    """Another writer kept winning the commit; the batch was not applied."""
+
+
 class IncrementalTarget:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int = 64,
-                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS):
+                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.buckets = buckets
         self.max_group_rows = max_group_rows
+        self.max_commit_attempts = max_commit_attempts
         self.log_root = f"{self.root}/log"
         self.manifest_root = f"{self.root}/_manifest"
+        self.marker_root = f"{self.root}/_batches"
 
     # -- commits -----------------------------------------------------------
     def _manifests(self) -> list[str]:
         return [n for n in fs.list_names(self.spark, self.manifest_root) if n.endswith(".json")]
 
     def latest(self) -> dict:
+        """The newest readable manifest (a writer that died while writing its
+        manifest leaves an unreadable one, which is skipped)."""
+        for name in reversed(self._manifests()):
+            try:
+                state = json.loads(fs.read_text(self.spark, f"{self.manifest_root}/{name}"))
+            except ValueError:
+                continue
+            state["seq"] = int(name.split(".")[0])
+            return state
+        return {"seq": 0, "targets": {}}
+
+    def _next_seq(self) -> int:
         names = self._manifests()
-        if not names:
-            return {"seq": 0, "targets": {}}
-        return json.loads(fs.read_text(self.spark, f"{self.manifest_root}/{names[-1]}"))
+        return int(names[-1].split(".")[0]) + 1 if names else 1
+
+    def _marker(self, flow: str, batch_id: int) -> str:
+        return f"{self.marker_root}/{flow}/{int(batch_id):012d}"
 
     def committed(self, flow: str, batch_id: int) -> bool:
-        tag = f"__{flow}__{int(batch_id):012d}.json"
-        return any(n.endswith(tag) for n in self._manifests())
+        if fs.exists(self.spark, self._marker(flow, batch_id)):
+            return True
+        last = self.latest()  # committed, but the marker not written yet
+        return last.get("flow") == flow and last.get("batch") == int(batch_id)
+
+    def _commit(self, seq: int, manifest: dict) -> bool:
+        """Exclusive create of manifest ``seq``: the commit point."""
+        return fs.create_exclusive(self.spark, f"{self.manifest_root}/{seq:012d}.json",
+                                   json.dumps(manifest, sort_keys=True))
 
     # -- the micro-batch ---------------------------------------------------
     def bucket_expr(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]), F.lit(self.buckets)).cast("int")
 
     def apply(self, batch: DataFrame, batch_id: int, flow: str = "ct") -> bool:
-        """Merge one micro-batch.  Returns False when it was already committed."""
+        """Merge one micro-batch.  Returns False when it was already committed.
+
+        Writers of one target (e.g. a seed flow and a change flow) may run at
+        the same time: each attempt builds on the latest commit, writes
+        version folders of its own, and commits by creating the next
+        manifest exclusively; the loser re-reads and recomputes on top of the
+        winner.
+        """
         spark, spec = self.spark, self.spec
         clock = _Clock()
         if self.committed(flow, batch_id):
             return False
-        state = self.latest()
-        seq = int(state["seq"]) + 1
-
         std = standardize(batch, spec)
         key_ok = None
         for k in spec.keys:
@@ -110,46 +144,64 @@ class IncrementalTarget:
         clock.lap("log")
         touched = sorted(b for b in (int(n.split("=", 1)[1]) for n in fs.list_names(spark, log_path)
                                      if n.startswith("_bucket=")) if b != QUARANTINE_BUCKET)
-        targets = {k: dict(v) for k, v in state.get("targets", {}).items()}
+        batch_keys = None
         if touched:
             batch_keys = (spark.read.parquet(log_path).filter(F.col("_bucket") != QUARANTINE_BUCKET)
                           .select(*spec.keys).distinct().persist(StorageLevel.MEMORY_AND_DISK))
-            log_batches = list(state.get("log_batches", [])) + [[flow, int(batch_id)]]
-            history = (self._read_log(state.get("log_base"), log_batches)
-                       .filter(F.col("_bucket").isin(touched))
-                       .join(batch_keys, list(spec.keys), "left_semi")
-                       .persist(StorageLevel.MEMORY_AND_DISK))  # read by the hot-key check and the fold
-            folded = merge.fold(history, spec, max_group_rows=self.max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
-            clock.lap("plan_fold")
-            folds = merge.targets_from_fold(folded, spec)
-            for scd, new_rows in folds.items():
+        try:
+            for _ in range(self.max_commit_attempts):
+                state = self.latest()
+                seq = max(int(state["seq"]) + 1, self._next_seq())
+                vid = f"{seq}-{uuid.uuid4().hex[:8]}"
+                log_batches = list(state.get("log_batches", [])) + [[flow, int(batch_id)]]
+                targets = {k: dict(v) for k, v in state.get("targets", {}).items()}
+                if touched:
+                    targets = self._rewrite(state, targets, log_batches, touched, batch_keys, vid, clock)
+                manifest = {"flow": flow, "batch": int(batch_id), "targets": targets,
+                            "log_base": state.get("log_base"), "log_batches": log_batches}
+                if self._commit(seq, manifest):
+                    fs.write_text(spark, self._marker(flow, batch_id), str(seq))
+                    clock.lap("commit")
+                    self.last_timings = clock.laps
+                    return True
+                clock.lap("conflict")
+            raise CommitConflict(f"batch {flow}/{batch_id} lost {self.max_commit_attempts} commit races")
+        finally:
+            if batch_keys is not None:
+                batch_keys.unpersist()
+
+    def _rewrite(self, state, targets, log_batches, touched, batch_keys, vid, clock) -> dict:
+        """Re-fold the batch's keys from their logged history and write new
+        versions (folder ``v=<vid>``) of the touched buckets of each target."""
+        spark, spec = self.spark, self.spec
+        history = (self._read_log(state.get("log_base"), log_batches)
+                   .filter(F.col("_bucket").isin(touched))
+                   .join(batch_keys, list(spec.keys), "left_semi")
+                   .persist(StorageLevel.MEMORY_AND_DISK))  # read by the hot-key check and the fold
+        folded = merge.fold(history, spec, max_group_rows=self.max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        clock.lap("plan_fold")
+        try:
+            for scd, new_rows in merge.targets_from_fold(folded, spec).items():
                 name = f"scd{scd}"
                 versions = targets.get(name, {}).get("versions", {})
                 prev = self._read_buckets(name, {b: v for b, v in versions.items() if int(b) in touched})
                 out = new_rows
                 if prev is not None:
                     kept = prev.join(batch_keys, list(spec.keys), "left_anti")
-                    out = kept.unionByName(new_rows, allowMissingColumns=True)
-                path = f"{self.root}/{name}/v={seq}"
+                    # column order follows the fresh fold (new columns included)
+                    out = new_rows.unionByName(kept, allowMissingColumns=True)
+                path = f"{self.root}/{name}/v={vid}"
                 # files per bucket, not per task x bucket; AQE splits a hot bucket
                 out.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
                 written = {int(n.split("=", 1)[1]) for n in fs.list_names(spark, path) if n.startswith("_bucket=")}
                 nv = {str(b): v for b, v in versions.items() if int(b) not in touched}
-                nv.update({str(b): seq for b in written})
-                schema = out.drop("_bucket").schema.json()
-                targets[name] = {"versions": nv, "schema": schema}
+                nv.update({str(b): vid for b in written})
+                targets[name] = {"versions": nv, "schema": out.drop("_bucket").schema.json()}
                 clock.lap(f"write_{name}")
+        finally:
             folded.unpersist()
             history.unpersist()
-            batch_keys.unpersist()
-        manifest = {"seq": seq, "flow": flow, "batch": int(batch_id), "targets": targets,
-                    "log_base": state.get("log_base"),
-                    "log_batches": list(state.get("log_batches", [])) + [[flow, int(batch_id)]]}
-        fs.write_text(spark, f"{self.manifest_root}/{seq:012d}__{flow}__{int(batch_id):012d}.json",
-                      json.dumps(manifest, sort_keys=True))
-        clock.lap("commit")
-        self.last_timings = clock.laps
-        return True
+        return targets
 
     # -- reading -----------------------------------------------------------
     def _read_buckets(self, name: str, versions: dict) -> DataFrame | None:
@@ -208,7 +260,7 @@ class IncrementalTarget:
         state = self.latest()
         if not state.get("log_batches"):
             return False
-        seq = int(state["seq"]) + 1
+        seq = max(int(state["seq"]) + 1, self._next_seq())
         log = self._read_log(state.get("log_base"), state["log_batches"])
         valid = log.filter(F.col("_bucket") != QUARANTINE_BUCKET)
         folded = merge.fold(valid, spec, max_group_rows=self.max_group_rows)
@@ -218,14 +270,13 @@ class IncrementalTarget:
             keep = folded.filter(~F.col("_has_next"))
         keep = keep.drop("_next_seq", "_has_next")
         quarantined = log.filter(F.col("_bucket") == QUARANTINE_BUCKET)
-        base = f"{self.root}/log_base/v={seq}"
+        base = f"{self.root}/log_base/v={seq}-{uuid.uuid4().hex[:8]}"
         (keep.unionByName(quarantined, allowMissingColumns=True)
              .hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(base))
-        manifest = {"seq": seq, "flow": "_compact", "batch": seq, "targets": state.get("targets", {}),
+        manifest = {"flow": "_compact", "batch": seq, "targets": state.get("targets", {}),
                     "log_base": base, "log_batches": []}
-        fs.write_text(spark, f"{self.manifest_root}/{seq:012d}___compact__{seq:012d}.json",
-                      json.dumps(manifest, sort_keys=True))
-        return True
+        # a batch committed meanwhile: leave compaction for the next call
+        return self._commit(seq, manifest)
 
     def read_quarantine(self) -> DataFrame:
         """Logged rows that could not be merged, with their reason."""
