@@ -84,3 +84,8 @@ def read_text(spark: SparkSession, path: str) -> str:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
     fs.mkdirs(p)
+
+
+def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.delete(p, recursive))

@@ -278,6 +278,64 @@ class IncrementalTarget:
         # a batch committed meanwhile: leave compaction for the next call
         return self._commit(seq, manifest)
 
+    def vacuum(self, keep_commits: int = 50) -> dict:
+        """Delete what no retained commit can read (retention).
+
+        Keeps the newest ``keep_commits`` manifests.  Deletes older
+        manifests; target version folders and log bases older than the
+        oldest retained commit and referenced by none of them (in-flight
+        attempts of concurrent writers are newer, so never touched); and log
+        batch folders of committed batches that no retained commit lists
+        (they were compacted into a base).  Returns what was deleted.
+        """
+        spark = self.spark
+        names = self._manifests()
+        keep = names[-keep_commits:] if keep_commits > 0 else []
+        if not keep:
+            return {}
+        floor = int(keep[0].split(".")[0])
+        kept = []
+        for n in keep:
+            try:
+                kept.append(json.loads(fs.read_text(spark, f"{self.manifest_root}/{n}")))
+            except ValueError:
+                continue
+        refs = {name: set() for name in ("scd1", "scd2")}
+        bases, batches = set(), set()
+        for m in kept:
+            for name, t in m.get("targets", {}).items():
+                refs.setdefault(name, set()).update(str(v) for v in t.get("versions", {}).values())
+            if m.get("log_base"):
+                bases.add(m["log_base"].rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
+            batches.update((f, int(b)) for f, b in m.get("log_batches", []))
+        done = {"manifests": 0, "versions": 0, "log_bases": 0, "log_batches": 0}
+
+        def old(vid: str) -> bool:
+            return int(vid.split("-")[0]) < floor
+
+        for n in names[:-keep_commits]:
+            done["manifests"] += fs.delete(spark, f"{self.manifest_root}/{n}", False)
+        for name, vids in refs.items():
+            for d in fs.list_names(spark, f"{self.root}/{name}"):
+                vid = d.split("=", 1)[1] if d.startswith("v=") else None
+                if vid and vid not in vids and old(vid):
+                    done["versions"] += fs.delete(spark, f"{self.root}/{name}/{d}")
+        for d in fs.list_names(spark, f"{self.root}/log_base"):
+            vid = d.split("=", 1)[1] if d.startswith("v=") else None
+            if vid and vid not in bases and old(vid):
+                done["log_bases"] += fs.delete(spark, f"{self.root}/log_base/{d}")
+        for fd in fs.list_names(spark, self.log_root):
+            if not fd.startswith("_flow="):
+                continue
+            flow = fd.split("=", 1)[1]
+            for bd in fs.list_names(spark, f"{self.log_root}/{fd}"):
+                if not bd.startswith("_batch="):
+                    continue
+                b = int(bd.split("=", 1)[1])
+                if (flow, b) not in batches and fs.exists(spark, self._marker(flow, b)):
+                    done["log_batches"] += fs.delete(spark, f"{self.log_root}/{fd}/{bd}")
+        return done
+
     def read_quarantine(self) -> DataFrame:
         """Logged rows that could not be merged, with their reason."""
         state = self.latest()
