@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import checked_broadcast
-from .pipeline import clustered
+from .build import clustered
 
 
 def daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:

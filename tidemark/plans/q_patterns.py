@@ -11,7 +11,7 @@ from ..session import scratch_dir
 from ..sources import feeds
 from ..sources.tables import table
 from . import oracle_sql as O
-from . import pipeline
+from . import build
 from .catalog import register
 from .q_core import EV_COLS, LI_COLS
 from .q_stream import land_permuted_events
@@ -124,8 +124,8 @@ def full_reload(spark, sf_dir):
     root = scratch_dir(spark, "reload")
     ct = land_permuted_events(spark, sf_dir, f"{root}/landing")
     spec = EV.with_(scd_types=(2,))
-    pipeline.full_reload(spark, spec, f"{root}/target", ct)
-    paths = pipeline.current_paths(spark, f"{root}/target")
+    build.full_reload(spark, spec, f"{root}/target", ct)
+    paths = build.current_paths(spark, f"{root}/target")
     return spark.read.parquet(paths["scd2"])
 
 
@@ -162,7 +162,7 @@ def scd_both_modes(spark, sf_dir):
     ]
     rows = None
     for i, (name, raw, spec) in enumerate(jobs):
-        paths = pipeline.build_targets(raw, spec, f"{root}/{i}")
+        paths = build.build_targets(raw, spec, f"{root}/{i}")
         for target, path in paths.items():
             n = spark.read.parquet(path).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")).select(
                 F.lit(name).alias("dataset"), F.lit(spec.delete_mode).alias("delete_mode"),

@@ -119,8 +119,8 @@ def stream_append_lineage(spark, sf_dir):
 @register("stream_log_compaction", O.scd1_sql(O.EVENTS_STD, "user_id", O.EVENTS_ORDER_DESC, EV_COLS))
 def stream_log_compaction(spark, sf_dir):
     """Half of the files flow in, the log is compacted to the last event per
-    key, the rest (including a replayed file) flows in: the latest state is
-    unchanged by compaction."""
+    key, the rest (including a replayed file) flows in, and old commits are
+    vacuumed: the latest state is unchanged by compaction and retention."""
     root = scratch_dir(spark, "stream_compact")
     ct = f"{root}/landing/events__ct"
     parts = feeds.permuted_event_files(spark, sf_dir, 4)
@@ -134,4 +134,5 @@ def stream_log_compaction(spark, sf_dir):
         parts[i].write.parquet(f"{ct}/part={i}")
     parts[0].write.parquet(f"{ct}/part=replay0")
     run_flow(spark, target, Flow("ct", ct, max_files_per_trigger=4), f"{root}/state")
+    target.vacuum(keep_commits=1)   # retention: only the latest commit stays readable
     return target.read(1)
