@@ -259,5 +259,5 @@ def run_report_rows(spark, sf_dir):
     feeds.feed_lineitem(spark, sf_dir).write.parquet(f"{landing}/lineitem__ct")
     feeds.feed_orders(spark, sf_dir).write.parquet(f"{landing}/orders__ct")
     meta = feed_metadata(spark, landing)
-    log = run_group(spark, meta, "FEEDS", 1, f"{root}/targets", log_path=f"{root}/pipeline_log")
+    log = run_group(spark, meta, "FEEDS", 1, f"{root}/targets", log_path=f"{root}/run_log", parallelism=4)
     return log

@@ -191,8 +191,11 @@ class IncrementalTarget:
                     # column order follows the fresh fold (new columns included)
                     out = new_rows.unionByName(kept, allowMissingColumns=True)
                 path = f"{self.root}/{name}/v={vid}"
-                # files per bucket, not per task x bucket; AQE splits a hot bucket
-                out.hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+                # files per bucket, not per task x bucket (AQE splits a hot
+                # bucket); sorted inside so min/max statistics prune key lookups
+                order = [F.col(c) for c in (spec.cluster_by or spec.keys)]
+                (out.hint("rebalance", "_bucket").sortWithinPartitions("_bucket", *order)
+                    .write.mode("overwrite").partitionBy("_bucket").parquet(path))
                 written = {int(n.split("=", 1)[1]) for n in fs.list_names(spark, path) if n.startswith("_bucket=")}
                 nv = {str(b): v for b, v in versions.items() if int(b) not in touched}
                 nv.update({str(b): vid for b in written})
