@@ -3,7 +3,6 @@ A-DISTINCT, O-SORT) over a fleet derived from region / nation / supplier."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..sources import metadata as M
 from . import config as C
