@@ -157,7 +157,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, qs: di
         hist = cum.join(hist.groupBy(*g).agg(F.sum("_c").alias("_n")), g, "inner")
     else:  # one global total, as a scalar subquery
         hist = cum.withColumn("_n", hist.agg(F.sum("_c")).scalar())
-    aggs = [F.max("_n").alias("n")]
+    aggs = [F.max("_n").alias("n"), F.max(value_col).alias("_max")]
     for name, q in qs.items():
         h = (F.col("_n") - 1) * F.lit(q)
         lo, hi = F.floor(h), F.ceil(h)
@@ -165,7 +165,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, qs: di
         aggs.append(F.min(F.when(F.col("_cum") > hi, F.col(value_col))).alias(f"_{name}_hi"))
         aggs.append(F.max(h - F.floor(h)).alias(f"_{name}_f"))
     agg = hist.groupBy(*g).agg(*aggs)
-    out = [F.col(c) for c in g] + [F.col("n")]
+    out = [F.col(c) for c in g] + [F.col("n"), F.col("_max").alias(f"max_{value_col}")]
     for name in qs:
         lo, hi, f = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_f")
         out.append((lo + (hi - lo) * f).cast("double").alias(name))
@@ -179,9 +179,9 @@ def latency_summary(lat: DataFrame, group_cols: list[str], value_col: str = "lat
     (bounded memory whatever the number of distinct values)."""
     g = list(group_cols)
     if method == "exact":
-        q = exact_quantiles(lat, g, value_col, {"p50_sec": 0.5, "p95_sec": 0.95})
-        mx = lat.groupBy(*g).agg(F.max(value_col).cast("double").alias("max_sec"))
-        s = q.join(mx, g, "inner")
+        # one pass: the histogram also gives the maximum
+        s = (exact_quantiles(lat, g, value_col, {"p50_sec": 0.5, "p95_sec": 0.95})
+             .withColumn("max_sec", F.col(f"max_{value_col}").cast("double")))
     else:
         s = lat.groupBy(*g).agg(
             F.count(F.lit(1)).alias("n"),
