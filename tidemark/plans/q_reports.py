@@ -175,6 +175,10 @@ def latency_approx(spark, sf_dir):
     return R.latency_summary(lat, ["dataset_id"], method="approx")
 
 
+# Alert when the applied state is more than this far behind the landing.
+LAG_ALERT_SEC = 3600
+
+
 def _lag_for(dataset_id, ct, spec, ts_col="header__change_ts"):
     """Landed vs applied for one feed; the applier is one day behind the
     newest landed change."""
@@ -187,11 +191,12 @@ def _lag_for(dataset_id, ct, spec, ts_col="header__change_ts"):
     lg = landed.select(F.lit(dataset_id).alias("dataset_id"), "*")
     ap = app.select(F.lit(dataset_id).alias("dataset_id"), "*")
     j = lg.join(ap, "dataset_id")
+    lag_sec = F.round((F.unix_micros(F.col("landed_max_ts").cast("timestamp"))
+                       - F.unix_micros(F.col("applied_max_ts").cast("timestamp"))) / 1e6, 3)
     return j.select("dataset_id", F.col("landed_rows").cast("bigint"), F.col("landed_max_seq").cast("bigint"),
                     F.col("applied_max_seq").cast("bigint"),
                     (F.col("landed_max_seq") - F.col("applied_max_seq")).cast("bigint").alias("seq_lag"),
-                    F.round((F.unix_micros(F.col("landed_max_ts").cast("timestamp"))
-                             - F.unix_micros(F.col("applied_max_ts").cast("timestamp"))) / 1e6, 3).alias("lag_sec"))
+                    lag_sec.alias("lag_sec"), (lag_sec > F.lit(LAG_ALERT_SEC)).alias("alert"))
 
 
 def _lag_sql(name, ct, keys, order_asc, cols, ts="header__change_ts"):
@@ -201,7 +206,8 @@ def _lag_sql(name, ct, keys, order_asc, cols, ts="header__change_ts"):
     return f"""
 SELECT '{name}' AS dataset_id, CAST(l.n AS BIGINT) AS landed_rows, CAST(l.s AS BIGINT) AS landed_max_seq,
        CAST(a.s AS BIGINT) AS applied_max_seq, CAST(l.s - a.s AS BIGINT) AS seq_lag,
-       round((epoch_us(l.t) - epoch_us(a.t)) / 1e6, 3) AS lag_sec
+       round((epoch_us(l.t) - epoch_us(a.t)) / 1e6, 3) AS lag_sec,
+       round((epoch_us(l.t) - epoch_us(a.t)) / 1e6, 3) > {LAG_ALERT_SEC} AS alert
 FROM (SELECT count(*) AS n, max(header__change_seq) AS s, max({ts}) AS t FROM ({ct}) c2) l,
      (SELECT max(greatest(__START_AT, coalesce(__END_AT, __START_AT))) AS s, max({ts}) AS t FROM ({applied}) v) a
 """
