@@ -68,13 +68,15 @@ class CommitConflict(RuntimeError):
 
 class IncrementalTarget:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int = 64,
-                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8):
+                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8,
+                 commit_wait_s: float = 30.0):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.buckets = buckets
         self.max_group_rows = max_group_rows
         self.max_commit_attempts = max_commit_attempts
+        self.commit_wait_s = commit_wait_s
         self.log_root = f"{self.root}/log"
         self.manifest_root = f"{self.root}/_manifest"
         self.marker_root = f"{self.root}/_batches"
@@ -83,16 +85,32 @@ class IncrementalTarget:
     def _manifests(self) -> list[str]:
         return [n for n in fs.list_names(self.spark, self.manifest_root) if n.endswith(".json")]
 
-    def latest(self) -> dict:
-        """The newest readable manifest (a writer that died while writing its
-        manifest leaves an unreadable one, which is skipped)."""
-        for name in reversed(self._manifests()):
+    def _read_manifest(self, name: str, wait_s: float = 0.0) -> dict | None:
+        """A manifest's content, or None if unreadable.  The commit creates
+        the file before its content lands, so the newest one is retried for
+        up to ``wait_s`` seconds before it counts as a crashed commit."""
+        import time as _time
+        deadline = _time.time() + wait_s
+        while True:
             try:
                 state = json.loads(fs.read_text(self.spark, f"{self.manifest_root}/{name}"))
+                state["seq"] = int(name.split(".")[0])
+                return state
             except ValueError:
-                continue
-            state["seq"] = int(name.split(".")[0])
-            return state
+                if _time.time() >= deadline:
+                    return None
+                _time.sleep(0.05)
+
+    def latest(self) -> dict:
+        """The newest committed manifest.  The newest file may still be being
+        written by a concurrent writer: wait for it.  Only a manifest that
+        stays unreadable (a writer that died mid-commit) is skipped, by
+        readers and writers alike."""
+        names = self._manifests()
+        for i, name in enumerate(reversed(names)):
+            state = self._read_manifest(name, wait_s=self.commit_wait_s if i == 0 else 0.0)
+            if state is not None:
+                return state
         return {"seq": 0, "targets": {}}
 
     def _next_seq(self) -> int:
@@ -298,11 +316,10 @@ class IncrementalTarget:
             return {}
         floor = int(keep[0].split(".")[0])
         kept = []
-        for n in keep:
-            try:
-                kept.append(json.loads(fs.read_text(spark, f"{self.manifest_root}/{n}")))
-            except ValueError:
-                continue
+        for i, n in enumerate(keep):
+            m = self._read_manifest(n, wait_s=self.commit_wait_s if i == len(keep) - 1 else 0.0)
+            if m is not None:
+                kept.append(m)
         refs = {name: set() for name in ("scd1", "scd2")}
         bases, batches = set(), set()
         for m in kept:
