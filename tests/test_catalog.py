@@ -5,11 +5,12 @@ import pytest
 
 from conftest import SF_SMALL
 
-import __spark_entry__ as E
 from oracle_check import compare, duck
+from tidemark.plans import catalog
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+catalog.load_all()
+QUERIES = dict(catalog.QUERIES)
+SQL = dict(catalog.ORACLE_SQL)
 # Checked by rows only: the sketch percentile differs from the exact value by design.
 ROWS_ONLY = {"latency_approx"}
 
