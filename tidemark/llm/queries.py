@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import warc
+from . import line_windows, mixing, syncmers, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,63 @@ from h
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read_table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+@register("op4_mix_budgets", """
+with tok as (select doc_id,
+    coalesce(case when regexp_matches(source, '[0-9]+$')
+             then 'd' || (right(regexp_extract(source, '[0-9]+$'), 9)::bigint % 4) end, 'other') as domain,
+    coalesce(lang, 'und') as language, coalesce(source, 'unknown') as source,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as n_tokens from documents),
+leaves as (select domain, language, source, sum(n_tokens)::bigint as available from tok group by all),
+root as (select *, available * 2 as cap,
+    least(floor((sum(available) over ())::bigint * 0.6::double)::bigint, (sum(available) over ())::bigint * 2) as b0 from leaves),
+d1 as (select domain, b0, sum(cap)::bigint as c,
+    case domain when 'd0' then 4 when 'd1' then 3 when 'd2' then 2 else 1 end::bigint as w from root group by all),
+d2 as (select *, (b0 - coalesce(sum(c) over (order by c::double / w, domain rows between unbounded preceding and 1 preceding), 0)::bigint)::double
+    / (sum(w) over (order by c::double / w, domain rows between current row and unbounded following))::bigint as lv from d1),
+d3 as (select domain, greatest(least(c, floor(w * max(lv) over ())::bigint), 0) as b1 from d2),
+l1 as (select domain, language, b1, sum(cap)::bigint as c,
+    case language when 'en' then 5 when 'de' then 2 when 'fr' then 2 else 1 end::bigint as w from root join d3 using (domain) group by all),
+l2 as (select *, (b1 - coalesce(sum(c) over (partition by domain order by c::double / w, language rows between unbounded preceding and 1 preceding), 0)::bigint)::double
+    / (sum(w) over (partition by domain order by c::double / w, language rows between current row and unbounded following))::bigint as lv from l1),
+l3 as (select domain, language, greatest(least(c, floor(w * max(lv) over (partition by domain))::bigint), 0) as b2 from l2),
+s1 as (select domain, language, source, b2, cap as c, 1::bigint as w from root join l3 using (domain, language)),
+s2 as (select *, (b2 - coalesce(sum(c) over (partition by domain, language order by c::double / w, source rows between unbounded preceding and 1 preceding), 0)::bigint)::double
+    / (sum(w) over (partition by domain, language order by c::double / w, source rows between current row and unbounded following))::bigint as lv from s1),
+s3 as (select domain, language, source, greatest(least(c, floor(w * max(lv) over (partition by domain, language))::bigint), 0) as leaf_budget from s2),
+a as (select *, case when available > 0 then least(floor(leaf_budget::double / available)::bigint, 2) else 0 end as n_full
+    from leaves join s3 using (domain, language, source)),
+j as (select tok.*, a.leaf_budget, a.n_full, a.leaf_budget - a.n_full * a.available as rest
+    from tok join a using (domain, language, source)),
+p as (select *, sum(n_tokens) over (partition by domain, language, source order by md5('mix-1:' || n_full || ':' || doc_id)) as run from j where rest > 0)
+select doc_id, domain, language, source, n_tokens, leaf_budget, unnest(range(n_full))::bigint as epoch from j
+union all select doc_id, domain, language, source, n_tokens, leaf_budget, n_full::bigint as epoch from p where run <= rest
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), mixing.QUERY_PLAN)
+
+
+@register("op8_line_windows", """
+with l as (select doc_id, t.i, t.s from (select doc_id, unnest(list_zip(range(len(string_split(text, chr(10)))), string_split(text, chr(10)))) z
+                                         from documents where text is not null) q, lateral (select z[1] as i, z[2] as s) t),
+f as (select *, row_number() over (partition by doc_id order by i) as k, count(*) over (partition by doc_id) as n
+      from l where regexp_matches(s, '[^\\x20\\x09-\\x0D]')),
+w as (select doc_id, k, n, i, list(s) over (partition by doc_id order by k rows between current row and 2 following) as win from f),
+v as (select doc_id, k, least(n, 3) as m, win from w where k <= greatest(n - 2, 1)),
+o as (select *, row_number() over (partition by win order by doc_id, k) as r from v),
+gone as (select distinct f.doc_id, f.i from f join o on o.doc_id = f.doc_id and o.r > 1 and f.k between o.k and o.k + o.m - 1),
+kept as (select l.doc_id, string_agg(l.s, chr(10) order by l.i) as s from l left join gone using (doc_id, i) where gone.i is null group by 1),
+cnt as (select d.doc_id, coalesce((select count(*) from f where f.doc_id = d.doc_id), 0) as n,
+               coalesce((select count(*) from gone where gone.doc_id = d.doc_id), 0) as g from documents d)
+select d.doc_id, case when d.text is null then null when g > 0 and g = n then '' else kept.s end as text, n as n_lines, g as n_removed
+from documents d join cnt using (doc_id) left join kept using (doc_id)
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_windows.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", out["_n_lines"].alias("n_lines"), out["_n_removed"].alias("n_removed"))
+
+
+@register("op9_closed_syncmers")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(read_table(spark, sf_dir, "documents"))
