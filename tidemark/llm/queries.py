@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_windows, mixing, syncmers, warc
+from . import line_windows, mixing, packing, syncmers, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_closed_syncmers")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+@register("op2_certified_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(read_table(spark, sf_dir, "documents")))
