@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_windows, mixing, packing, syncmers, warc
-from .common import read_table
+from . import langid, line_windows, mixing, packing, syncmers, warc
+from .common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -102,3 +103,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_certified_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(read_table(spark, sf_dir, "documents")))
+
+
+@register("op6_langid_ftrl")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
+    model = langid.train(docs.filter(~F.col("held_out")))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
