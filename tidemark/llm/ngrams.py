@@ -17,7 +17,10 @@ def code_points(text: str) -> np.ndarray:
 
 def hashed(text: str, orders: tuple[int, ...], bits: int) -> np.ndarray:
     """The hash slot of every n-gram of the given orders (1 to 4)."""
-    a = code_points(text)
+    return hashed_points(code_points(text), orders, bits)
+
+
+def hashed_points(a: np.ndarray, orders: tuple[int, ...], bits: int) -> np.ndarray:
     out, h = [], np.zeros(len(a), np.uint64)
     shift = np.uint64(64 - bits)
     for n in range(1, max(orders) + 1):

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_windows, mixing, packing, syncmers, warc
+from . import langid, line_windows, mixing, packing, quality_knn, syncmers, warc
 from .common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
     model = langid.train(docs.filter(~F.col("held_out")))
     return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
+@register("op5_quality_neighbours")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
+    labels = read_table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2)
+    scored = quality_knn.score(docs, quality_knn.train(docs, labels), ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
