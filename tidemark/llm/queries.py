@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_windows, mixing, packing, quality_knn, syncmers, warc
+from . import langid, line_windows, mixing, packing, quality_knn, syncmers, toxicity, warc
 from .common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2)
     scored = quality_knn.score(docs, quality_knn.train(docs, labels), ["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@register("op3_toxic_compression")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)))
+    labels = read_table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0)
+    scored = toxicity.score(docs, toxicity.train(docs, labels), ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
