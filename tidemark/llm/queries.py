@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_windows, mixing, packing, quality_knn, syncmers, toxicity, warc
+from . import langid, line_windows, mixing, packing, quality_knn, shingle_join, syncmers, toxicity, warc
 from .common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0)
     scored = toxicity.score(docs, toxicity.train(docs, labels), ["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@register("op7_shingle_components", """
+with recursive w as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\\x20\\x09-\\x0D]+') as ws from documents),
+s as (select distinct doc_id, unnest(case when coalesce(len(ws), 0) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
+      else list_transform(range(len(ws) - 3), lambda i: array_to_string(ws[i + 1:i + 4], ' ')) end) as sh from w),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as same from s a join s b on a.sh = b.sh and a.doc_id <> b.doc_id group by 1, 2),
+e as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * same >= 85 * (na.n + nb.n - same)),
+r as (select doc_id as node, doc_id as reach from documents union select r.node, e.b from r join e on e.a = r.reach)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
+from documents d left join n using (doc_id) join (select node, min(reach) as component_id from r group by 1) c on c.node = d.doc_id
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join_components(read_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
