@@ -1,15 +1,68 @@
-"""Corpus pipeline: the stages over ``documents``, each written and read again."""
+"""Corpus pipeline over ``documents``: language ID, line dedup, n-gram Jaccard
+join, mixing to target weights, best-fit packing.
+
+Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
+Parquet and read again as the next one's ``docs``.  All but the last return
+the columns of ``documents``.  Nulls, empty tables and extra columns pass
+through as the operators define.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import langid, line_windows, mixing, packing, shingle_join
 from tidemark.llm.common import read_table, written
 
+#: A document goes if its language cannot be told: no letter, or a calibrated
+#: confidence below this.
+LEAST_CONFIDENCE = 0.5
+#: Near copies: five-word shingles, Jaccard 0.8 or more.
+SHINGLE_WORDS, NUM, DEN = 5, 80, 100
+#: Nine tenths of the tokens, each document at most once.
+MIX = mixing.MixPlan(0.9, 1, "pipeline-mix-1", {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, {"en": 5, "de": 2, "fr": 2, "es": 1})
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; a null ``lang`` is filled in.
+    Trained on the ``lang`` values of the stage's own input."""
+    model = langid.train(docs)
+    told = langid.predict(docs, model, docs.columns, out=("_stage_lang", "_stage_score"))
+    kept = told.filter((F.col("_stage_lang") != langid.UND) & (F.col("_stage_score") >= LEAST_CONFIDENCE))
+    return kept.withColumn("lang", F.coalesce("lang", "_stage_lang")).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Text without the later occurrences of repeated three-line windows; a
+    document of which no line is left goes.  ``n_chars`` follows the text."""
+    out = line_windows.dedup_lines(docs, counts=("_stage_lines", "_stage_removed")).filter("_stage_lines > _stage_removed or _stage_lines = 0")
+    return out.withColumn("n_chars", F.when(F.col("_stage_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the smallest id.  Documents
+    without an id or without words are in no group."""
+    groups = shingle_join.join_components(docs, SHINGLE_WORDS, NUM, DEN)
+    gone = groups.filter("component_id != doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the token budgets of domains, languages and sources take."""
+    taken = mixing.mix(docs, MIX).select("doc_id").distinct()
+    return docs.join(taken, "doc_id", "left_semi").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 2048 tokens."""
+    return packing.pack(packing.pieces(docs))
+
+
 #: (name, function(spark, docs, sf_dir) -> DataFrame), in order.
-STAGES: list = []
+STAGES = [("language_id", language), ("line_dedup", lines), ("ngram_join", near_copies), ("mix", mix), ("pack", pack)]
 
-#: Trained models and tokenizers: SQL cannot express them; tests compare with brute force.
+#: Trained models and tokenizers: SQL cannot express the whole; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -133,26 +133,32 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return fit(rows) if rows else None
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model: Model | None, text: str, out: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         langs, scores = [], []
-        for text, lettered in zip(b.column("_text"), b.column("_letter").to_pylist(), strict=True):
+        for t, lettered in zip(b.column(text), b.column("_letter").to_pylist(), strict=True):
             if not lettered or model is None:
                 langs.append(UND)
                 scores.append(0.0)
                 continue
-            p = model.probabilities(*counts(text.as_py().lower(), ORDERS, BITS))
+            p = model.probabilities(*counts(t.as_py().lower(), ORDERS, BITS))
             k = int(p.argmax())
             langs.append(model.languages[k])
             scores.append(min(1.0, float(p[k])))
         keep = [i for i, n in enumerate(b.schema.names) if n not in ("_text", "_letter")]
         yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                         [*(b.schema.names[i] for i in keep), "lang_pred", "score"])
+                                         [*(b.schema.names[i] for i in keep), *out])
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` with ``lang_pred`` and ``score`` of the whole text."""
+def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text",
+            out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` with the predicted language and its probability
+    (``out``, which replace columns of those names) of the whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one row of weights per hash slot
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    keep = [c for c in keep if c not in (*out, "_text", "_letter")]
+    reuse = text_col in keep and docs.schema[text_col].dataType.simpleString() == "string"
+    extra = [] if reuse else [F.col(text_col).cast("string").alias("_text")]
+    rows = docs.select(*keep, *extra, F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keep)
-    return map_arrow(rows, lambda it: _predict(it, shared.value), f"{types}, lang_pred string, score double")
+    source = text_col if reuse else "_text"
+    return map_arrow(rows, lambda it: _predict(it, shared.value, source, out), f"{types}{', ' if types else ''}`{out[0]}` string, `{out[1]}` double")

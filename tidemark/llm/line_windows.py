@@ -64,19 +64,19 @@ def later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return later.groupBy("_id", "_th").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("_gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
-    """All columns of ``docs`` with the text shortened, plus ``_n_lines`` and
-    ``_n_removed`` (non-blank lines before, and lines removed)."""
-    gone = later_lines(docs, id_col, text_col, size).select(
-        F.col("_id").alias("_gone_id"), F.col("_th").alias("_gone_th"), "_gone")
-    cond = F.col("_did").eqNullSafe(F.col("_gone_id")) & (F.col("_dth") == F.col("_gone_th"))
-    j = docs.withColumns({"_did": F.col(id_col), "_dth": F.xxhash64(text_col)}).join(gone, cond, "left")
-    lines = _lines(F.col(text_col))
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW,
+                counts: tuple[str, str] = ("_n_lines", "_n_removed")) -> DataFrame:
+    """All columns of ``docs`` with the text shortened, plus the number of
+    non-blank lines before and of lines removed (``counts``, which replace
+    columns of those names)."""
+    gone = later_lines(docs, id_col, text_col, size)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"))
+    j = row.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    text = F.col("row").getField(text_col)
+    lines = _lines(text)
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: F.get(lines, i))
-    n_full = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.filter(lines, lambda s: s.rlike(_WORD_CHAR))))
-    n_gone = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))
-    text = (F.when(F.col("_gone").isNull(), F.col(text_col)).when(F.col("_n_lines") == F.col("_n_removed"), F.lit(""))
-            .otherwise(F.array_join(kept, "\n")))
-    return (j.withColumns({"_n_lines": n_full.cast("long"), "_n_removed": n_gone.cast("long")})
-            .withColumn("_new", text).select(*[F.col("_new").alias(c) if c == text_col else F.col(c) for c in docs.columns],
-                                             "_n_lines", "_n_removed"))
+    n_full = F.when(text.isNull(), 0).otherwise(F.size(F.filter(lines, lambda s: s.rlike(_WORD_CHAR)))).cast("long")
+    n_gone = F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long")
+    short = F.when(n_gone == 0, text).when(n_full == n_gone, F.lit("")).otherwise(F.array_join(kept, "\n"))
+    columns = [short.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in counts]
+    return j.select(*columns, n_full.alias(counts[0]), n_gone.alias(counts[1]))

@@ -164,8 +164,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` with ``score`` of the whole text."""
+    """Columns ``keep`` with ``score`` of the whole text (it replaces a column of that name)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LIMIT, RANK and BITS
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    rows = docs.select(*[c for c in keep if c not in ("score", "_text")], F.col(text_col).cast("string").alias("_text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return map_arrow(rows, lambda it: _score(it, shared.value), f"{types}, score double")
