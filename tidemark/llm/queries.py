@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_windows, mixing, packing, quality_knn, shingle_join, syncmers, toxicity, warc
+from . import fertility, langid, line_windows, mixing, packing, quality_knn, shingle_join, syncmers, toxicity, warc
 from .common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read_table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+@register("op1_token_fertility")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(read_table(spark, sf_dir, "documents"))
+
+
 @register("op4_mix_budgets", """
 with tok as (select doc_id,
     coalesce(case when regexp_matches(source, '[0-9]+$')

@@ -78,8 +78,8 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(max(n - 1, 0), _STEP)]))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words of UTF-8 text, A to Z lower-cased."""
+def word_hashes(data: bytes, lower: bool = True) -> np.ndarray:
+    """64-bit hashes of the words of UTF-8 text, A to Z lower-cased by default."""
     b = np.frombuffer(data, np.uint8)
     inside = ~_SPACE[b]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
@@ -87,7 +87,7 @@ def word_hashes(data: bytes) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     size = ends - starts
-    chars = _LOWER[b[inside]]
+    chars = _LOWER[b[inside]] if lower else b[inside]
     first = np.concatenate([[0], np.cumsum(size)[:-1]])
     at = np.arange(len(chars)) - np.repeat(first, size)
     h = np.add.reduceat(_BYTE[chars] * _powers(int(size.max()))[at], first)
