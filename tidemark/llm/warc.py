@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from .common import map_arrow
 
-VERSION = b"WARC/1.0"
 GZIP_MAGIC = b"\x1f\x8b\x08"
 #: A gzip member of no bytes; as text in ISO-8859-1 it is the line separator.
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00" + b"\x00" * 8
@@ -85,12 +84,14 @@ def _headers(block: bytes) -> dict[str, str]:
 
 def parse_record(data: bytes, pos: int) -> tuple[dict, int]:
     """The record at ``pos`` and the position after it; BadRecord if any check fails."""
-    if data[pos:pos + 7] != b"WARC/1.":
+    if not _VERSION.match(data, pos):
         raise BadRecord("no version line")
     end = data.find(b"\r\n\r\n", pos)
     if end < 0:
         raise BadRecord("header without an end")
     head = _headers(data[pos:end])
+    if not all(head.get(name) for name in ("warc-record-id", "warc-type", "warc-date")):
+        raise BadRecord("a mandatory header is missing")
     length = head.get("content-length", "")
     if not length.isdigit():
         raise BadRecord("no content length")
@@ -146,7 +147,8 @@ def _unit(data: bytes, pos: int) -> tuple[list[dict], int]:
     return [one], after
 
 
-_NEXT = re.compile(rb"\x1f\x8b\x08|(?<=\n)WARC/1\.")
+_VERSION = re.compile(rb"WARC/1\.\d\r\n")
+_NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.\d\r\n")
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
