@@ -14,22 +14,22 @@ from tidemark.sources.tables import table
 def test_example_resolution(spark):
     meta = M.example_metadata(spark)
     got = {r["dataset_id"]: r for r in C.resolve(meta).collect()}
-    o = got["ORA_SALES.ORDERS"]
-    assert o["full_path"] == "/landing/ora_sales/ORDERS__full"
-    assert o["ct_path"] == "/landing/ora_sales/ORDERS__ct"
-    assert o["scd1_target"] == "bronze.bronze_scd1.orders" and o["scd2_target"] == "bronze.bronze_scd2.orders"
+    o = got["CLINIC.VISITS"]
+    assert o["full_path"] == "/landing/clinic/VISITS__full"
+    assert o["ct_path"] == "/landing/clinic/VISITS__ct"
+    assert o["scd1_target"] == "bronze.bronze_scd1.visits" and o["scd2_target"] == "bronze.bronze_scd2.visits"
     assert o["include_full_flow"] is False and o["cluster_by"] == ""
-    c = got["ORA_SALES.CUSTOMERS"]
-    assert c["scd1_target"] is None and c["scd2_target"] == "bronze.bronze_scd2.customers"
-    assert c["include_full_flow"] is True and c["cluster_by"] == "customer_id"
+    c = got["CLINIC.PATIENTS"]
+    assert c["scd1_target"] is None and c["scd2_target"] == "bronze.bronze_scd2.patients"
+    assert c["include_full_flow"] is True and c["cluster_by"] == "patient_no"
     specs = {s.name: s for s in C.to_specs(got.values())}
-    assert specs["ORA_SALES.ORDERS"].scd_types == (1, 2)
-    assert specs["ORA_SALES.CUSTOMERS"].keys == ("customer_id",)
+    assert specs["CLINIC.VISITS"].scd_types == (1, 2)
+    assert specs["CLINIC.PATIENTS"].keys == ("patient_no",)
 
 
 def test_duplicate_config_key_fails(spark):
     meta = M.example_metadata(spark)
-    dup = spark.createDataFrame([("ORA_SALES.ORDERS", "scd_type", "1")], M.KV_DATASET)
+    dup = spark.createDataFrame([("CLINIC.VISITS", "scd_type", "1")], M.KV_DATASET)
     meta["dataset_config"] = meta["dataset_config"].unionByName(dup)
     with pytest.raises(C.DuplicateConfigError):
         C.resolve(meta)

@@ -84,12 +84,18 @@ def scd1_from_fold(folded: DataFrame, spec: TableSpec) -> DataFrame:
     return latest.select(*target_columns(folded.drop("_next_seq", "_has_next"), spec))
 
 
+def last_of_sequence(folded: DataFrame) -> DataFrame:
+    """The winner of each (key, sequence); a NULL sequence is a value like
+    any other here, so no event is lost to a comparison with NULL."""
+    return folded.filter(~(F.col("_has_next") & F.col("_next_seq").eqNullSafe(F.col("_seq"))))
+
+
 def scd2_from_fold(folded: DataFrame, spec: TableSpec) -> DataFrame:
     """History: the last event of each equal (key, sequence) run is its
     winner, and its successor's sequence is the next distinct sequence, i.e.
     the version's end.  A delete ends the version before it and adds none
     (hard); in soft mode it is a version."""
-    winners = folded.filter(~F.col("_has_next") | (F.col("_next_seq") != F.col("_seq")))
+    winners = last_of_sequence(folded)
     if not spec.soft:
         winners = winners.filter(F.col("_op") != F.lit("D"))
     cols = target_columns(folded.drop("_next_seq", "_has_next"), spec)
@@ -123,11 +129,6 @@ def targets_from_fold(folded: DataFrame, spec: TableSpec) -> dict[int, DataFrame
     return out
 
 
-def append_rows(df: DataFrame) -> DataFrame:
-    """Append target: every landed row kept, duplicates included."""
-    return df
-
-
 def current_versions(scd2_df: DataFrame) -> DataFrame:
     """Open SCD2 versions (``__END_AT IS NULL``)."""
     return scd2_df.filter(F.col(END_COL).isNull())

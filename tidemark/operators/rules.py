@@ -49,25 +49,25 @@ def scd2_rules(scd2_df: DataFrame, keys: list[str], start: str = START_COL, end:
     * ``scd2_start_before_end``: closed versions with start >= end.
     """
     keys = list(keys)
-    nb = with_neighbors(scd2_df.select(*keys, start, end), keys, [F.col(start), F.col(end)],
-                        nxt={"_next_start": start}, prev={"_prev_end": end}, max_group_rows=max_group_rows)
-    gaps = nb.filter(F.col(end).isNotNull() & F.col("_has_next") & (F.col(end) != F.col("_next_start")))
+    versions = with_neighbors(scd2_df.select(*keys, F.col(start).alias("_from"), F.col(end).alias("_to")), keys,
+                              [F.col("_from"), F.col("_to")], nxt={"_follows": "_from"}, prev={"_before": "_to"},
+                              max_group_rows=max_group_rows)
+    # one pass: violations per key (the fold's partitioning), then their sums
+    is_open, jump = F.col("_to").isNull(), F.col("_has_next") & (F.col("_to") != F.col("_follows"))
     if deletes is not None:
-        d = deletes.select(*keys, F.col("_seq").alias(end)).distinct()
-        gaps = gaps.join(d, [*keys, end], "left_anti")
-    open_rows = scd2_df.filter(F.col(end).isNull())
-    multi_open = open_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-    parts = [
-        _rule("scd2_one_current_per_key", _count(multi_open)),
-        _rule("scd2_only_last_open", _count(nb.filter(F.col(end).isNull() & F.col("_has_next")))),
-        _rule("scd2_no_overlap", _count(nb.filter(F.col("_prev_end").isNotNull() & (F.col(start) < F.col("_prev_end"))))),
-        _rule("scd2_contiguous_history", _count(gaps)),
-        _rule("scd2_start_before_end", _count(scd2_df.filter(F.col(end).isNotNull() & (F.col(start) >= F.col(end))))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        ends = deletes.select(*keys, F.col("_seq").alias("_to")).distinct().withColumn("_deleted", F.lit(True))
+        versions = versions.join(ends, [*keys, "_to"], "left")
+        jump = jump & F.col("_deleted").isNull()
+    per_key = versions.groupBy(*keys).agg(
+        F.count_if(is_open).alias("_open"), F.count_if(is_open & F.col("_has_next")).alias("scd2_only_last_open"),
+        F.count_if(F.col("_before") > F.col("_from")).alias("scd2_no_overlap"),
+        F.count_if(jump).alias("scd2_contiguous_history"), F.count_if(F.col("_to") <= F.col("_from")).alias("scd2_start_before_end"))
+    summed = ("scd2_only_last_open", "scd2_no_overlap", "scd2_contiguous_history", "scd2_start_before_end")
+    found = per_key.agg(F.count_if(F.col("_open") > 1).alias("scd2_one_current_per_key"),
+                        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in summed])
+    names = ("scd2_one_current_per_key", *summed)
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).cast("bigint").alias("violations")) for n in names]))
+    return found.select(rows.alias("r")).select("r.rule", "r.violations", (F.col("r.violations") == 0).alias("passed"))
 
 
 def applied_events(changes: DataFrame, spec: TableSpec) -> DataFrame:

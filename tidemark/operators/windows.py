@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import default_parallelism, materialise
 from .sizing import checked_broadcast
 
 # Default per-group row budget before a key is treated as hot.
@@ -31,38 +31,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Hot-key decisions per (input plan, keys, threshold).  A stale entry can
-# only route a key to the other (equally correct) path.
-_HOT_CACHE: dict = {}
-_HOT_CACHE_MAX = 256
-
-
 def hot_keys(df: DataFrame, keys: list[str], max_group_rows: int,
              sample_rows: int = HOT_SAMPLE_ROWS) -> tuple[DataFrame, int, int]:
-    """Memoised :func:`find_hot_keys` (same plan, keys and threshold)."""
-    try:
-        ck = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(keys), max_group_rows, sample_rows)
-    except Exception:  # noqa: BLE001 - no hash, no memo
-        return find_hot_keys(df, keys, max_group_rows, sample_rows)
-    hit = _HOT_CACHE.get(ck)
-    if hit is None:
-        hit = find_hot_keys(df, keys, max_group_rows, sample_rows)
-        if len(_HOT_CACHE) >= _HOT_CACHE_MAX:
-            _HOT_CACHE.pop(next(iter(_HOT_CACHE)))
-        _HOT_CACHE[ck] = hit
-    return hit
-
-
-def find_hot_keys(df: DataFrame, keys: list[str], max_group_rows: int,
-                  sample_rows: int = HOT_SAMPLE_ROWS) -> tuple[DataFrame, int, int]:
     """Keys estimated to hold more than ``max_group_rows`` rows, how many,
     and an estimate of their rows.
 
     A Bernoulli sample sized so that a key at the threshold shows about
     ``sample_rows`` sampled rows is counted per key (partial aggregate, tiny
-    shuffle); keys at half the threshold or more count as hot.  Being wrong
-    about a key only changes the plan, never the result.  The (rare) hot-key
-    list is checkpointed so every later use sees the same keys.
+    shuffle, key columns only); keys at half the threshold or more count as
+    hot.  Being wrong about a key only changes the plan, never the result.
+    The (rare) hot-key list is checkpointed so every later use sees the same
+    keys.
     """
     fraction = min(1.0, sample_rows / max(max_group_rows, 1))
     src = df.select(*keys)
@@ -73,7 +52,7 @@ def find_hot_keys(df: DataFrame, keys: list[str], max_group_rows: int,
     row = hot.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()
     n_hot, est_rows = int(row["k"]), int(int(row["n"]) / fraction)
     if n_hot and keys:
-        hot = hot.select(*keys).checkpoint()
+        hot = materialise(hot.select(*keys), "hot-keys")
     return hot.select(*keys), n_hot, est_rows
 
 
@@ -115,7 +94,9 @@ def with_neighbors(
 
     spark = df.sparkSession
     if keys:
-        marked = df.join(checked_broadcast(hot.withColumn("_hot", F.lit(True)), n_hot), keys, "left")
+        flag = checked_broadcast(hot.select(*[F.col(k).alias(f"_hk_{k}") for k in keys], F.lit(True).alias("_hot")), n_hot)
+        same = [F.col(k).eqNullSafe(F.col(f"_hk_{k}")) for k in keys]
+        marked = df.join(flag, same, "left").drop(*[f"_hk_{k}" for k in keys])
     else:  # the whole frame is one group
         marked = df.withColumn("_hot", F.lit(True))
     cold = _windowed(marked.filter(F.col("_hot").isNull()).drop("_hot"), keys, order, nxt, prev, carry, number, cumsum)
@@ -123,10 +104,13 @@ def with_neighbors(
     n_chunks = max(default_parallelism(spark), math.ceil(hot_rows / max(chunk_rows, 1)))
     # Range partitioning keeps equal (key, order) values together and hands
     # out contiguous, ordered slices of each hot key; the slice's partition id
-    # is its chunk number and grows with the order.
+    # is its chunk number and grows with the order.  The rows are written with
+    # their chunk once: the window and the boundary table below must agree on
+    # it, and two range exchanges would sample different split points.
     warm = (marked.filter(F.col("_hot").isNotNull()).drop("_hot")
             .repartitionByRange(n_chunks, *[F.col(k) for k in keys], *[o.asc_nulls_first() for o in order])
             .withColumn("_chunk", F.spark_partition_id()))
+    warm = materialise(warm, "hot-chunks")
     warm_w = _windowed(warm, keys + ["_chunk"], order, nxt, prev, carry, number, cumsum)
 
     # One row per (hot key, chunk): values of its first and last row.

@@ -146,7 +146,7 @@ def append_all_rows(spark, sf_dir):
     li = feeds.table(spark, sf_dir, "lineitem")
     full = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
     raw = feeds.full_and_ct(full, feeds.feed_lineitem(spark, sf_dir))
-    return merge.append_rows(raw).drop("_ingest_file", "_ingest_ts")
+    return raw.drop("_ingest_file", "_ingest_ts")
 
 
 _KEEP_STD = f"""
@@ -184,3 +184,47 @@ def scd2_fold_summary(spark, sf_dir):
     return h.agg(F.count(F.lit(1)).cast("bigint").alias("versions"),
                  F.count_if(F.col("__END_AT").isNull()).cast("bigint").alias("open_versions"),
                  F.round(F.sum("l_quantity"), 2).alias("total_quantity"))
+
+
+# A third of the events on one user, and a threshold far below that count.
+SKEW_ROWS = 500
+
+
+def skewed_events(spark, sf_dir):
+    ev = feeds.feed_events(spark, sf_dir)
+    return ev.withColumn("user_id", F.when(F.pmod(F.col("header__change_seq"), F.lit(3)) == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")))
+
+
+_SKEW_STD = f"SELECT * REPLACE (CASE WHEN header__change_seq % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM ({O.EVENTS_STD}) e"
+
+
+@register("skewed_history", O.scd2_sql(_SKEW_STD, "user_id", O.EVENTS_ORDER_ASC, EV_COLS))
+def skewed_history(spark, sf_dir):
+    return merge.scd2(standardize(skewed_events(spark, sf_dir), EV), EV, max_group_rows=SKEW_ROWS)
+
+
+@register("skewed_state", O.scd1_sql(_SKEW_STD, "user_id", O.EVENTS_ORDER_DESC, EV_COLS))
+def skewed_state(spark, sf_dir):
+    return merge.scd1(standardize(skewed_events(spark, sf_dir), EV), EV, max_group_rows=SKEW_ROWS)
+
+
+_LEAST = "(-9223372036854775807 - 1)"
+
+
+@register("scd2_seed_default", O.scd2_sql(OVERLAP_STD.replace("header__change_seq, -1)", f"header__change_seq, {_LEAST})"),
+                                          "user_id", O.EVENTS_ORDER_ASC, EV_COLS))
+def scd2_seed_default(spark, sf_dir):
+    """Seeds without a ``seed_seq``: the least value of the sequence's type."""
+    return merge.scd2(standardize(feeds.events_with_seed(spark, sf_dir), EV), EV)
+
+
+_NULL_SEQ_STD = f"""SELECT * REPLACE (CASE WHEN header__change_seq % 7 = 0 THEN {_LEAST} ELSE _seq END AS _seq)
+FROM ({O.EVENTS_STD}) e"""
+
+
+@register("scd2_null_sequence", O.scd2_sql(_NULL_SEQ_STD, "user_id", O.EVENTS_ORDER_ASC, EV_COLS))
+def scd2_null_sequence(spark, sf_dir):
+    """Changes that landed without a sequence order first and are not lost."""
+    ev = feeds.feed_events(spark, sf_dir)
+    seq = F.col("header__change_seq")
+    return merge.scd2(standardize(ev.withColumn("header__change_seq", F.when(F.pmod(seq, F.lit(7)) != 0, seq)), EV), EV)

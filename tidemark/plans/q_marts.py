@@ -222,24 +222,24 @@ def _log_row(ds, target, phase, status, message):
 
 
 _RUN_SQL = " UNION ALL ".join([
-    _log_row(None, None, "GROUP_START", "INFO", "source=FEEDS group=1 dataset_list=ALL"),
-    _log_row("FEEDS.BROKEN", "broken", "REGISTERED", "OK", "scd_type=1 load_type=incr"),
-    _log_row("FEEDS.BROKEN", "broken", "DERIVE", "OK", "mode=cdc keys=id"),
+    _log_row(None, None, "GROUP_START", "INFO", "run of group 1 of FEEDS; asked for: ALL"),
+    _log_row("FEEDS.BROKEN", "broken", "REGISTERED", "OK", "targets: scd 1; loads: incr"),
+    _log_row("FEEDS.BROKEN", "broken", "DERIVE", "OK", "cdc merge on (id)"),
     _log_row("FEEDS.BROKEN", "broken", "ERROR", "FAILED", "PATH_NOT_FOUND"),
-    _log_row("FEEDS.EVENTS", "events", "REGISTERED", "OK", "scd_type=both load_type=full"),
-    _log_row("FEEDS.EVENTS", "events", "DERIVE", "OK", "mode=cdc keys=user_id"),
+    _log_row("FEEDS.EVENTS", "events", "REGISTERED", "OK", "targets: scd both; loads: full"),
+    _log_row("FEEDS.EVENTS", "events", "DERIVE", "OK", "cdc merge on (user_id)"),
     _log_row("FEEDS.EVENTS", "events", "READER", "OK", "flows=full+ct"),
     _log_row("FEEDS.EVENTS", "events", "WRITER", "OK",
              f"('scd1=' || (SELECT count(*) FROM ({O.scd1_sql(OVERLAP_STD, 'user_id', O.EVENTS_ORDER_DESC, EV_COLS)}) a)"
              f" || ' scd2=' || (SELECT count(*) FROM ({O.scd2_sql(OVERLAP_STD, 'user_id', O.EVENTS_ORDER_ASC, EV_COLS)}) b))"),
     _log_row("FEEDS.EVENTS", "events", "DONE", "OK", ""),
-    _log_row("FEEDS.LINEITEM", "lineitem", "REGISTERED", "OK", "scd_type=1 load_type=incr"),
-    _log_row("FEEDS.LINEITEM", "lineitem", "DERIVE", "OK", "mode=cdc keys=l_orderkey,l_linenumber"),
+    _log_row("FEEDS.LINEITEM", "lineitem", "REGISTERED", "OK", "targets: scd 1; loads: incr"),
+    _log_row("FEEDS.LINEITEM", "lineitem", "DERIVE", "OK", "cdc merge on (l_orderkey, l_linenumber)"),
     _log_row("FEEDS.LINEITEM", "lineitem", "READER", "OK", "flows=ct"),
     _log_row("FEEDS.LINEITEM", "lineitem", "WRITER", "OK", f"('scd1=' || (SELECT count(*) FROM ({_LINES_SQL}) c))"),
     _log_row("FEEDS.LINEITEM", "lineitem", "DONE", "OK", ""),
-    _log_row("FEEDS.ORDERS", "orders", "REGISTERED", "OK", "scd_type=1 load_type=incr"),
-    _log_row("FEEDS.ORDERS", "orders", "DERIVE", "OK", "mode=cdc keys=o_custkey"),
+    _log_row("FEEDS.ORDERS", "orders", "REGISTERED", "OK", "targets: scd 1; loads: incr"),
+    _log_row("FEEDS.ORDERS", "orders", "DERIVE", "OK", "cdc merge on (o_custkey)"),
     _log_row("FEEDS.ORDERS", "orders", "READER", "OK", "flows=ct"),
     _log_row("FEEDS.ORDERS", "orders", "WRITER", "OK", "('scd1=' || (SELECT count(DISTINCT o_custkey) FROM orders))"),
     _log_row("FEEDS.ORDERS", "orders", "DONE", "OK", ""),

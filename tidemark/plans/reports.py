@@ -8,6 +8,7 @@ rather than one job per dataset.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +47,11 @@ def keyed_count(dataset_id: str, df: DataFrame, active_flag: str | None = None,
 
 
 def jdbc_count(spark: SparkSession, url: str, properties: dict, schema: str, table: str) -> DataFrame:
-    """Source count computed in the source database (the COUNT runs there;
-    one row comes back), for ``recon`` pairs on a real deployment."""
-    query = f"(SELECT COUNT(*) AS CNT FROM {schema}.{table}) t"
-    return spark.read.jdbc(url=url, table=query, properties=properties)
+    """Row count of a database table, for ``recon`` on a real deployment.
+    The aggregate is pushed into the source, so one row comes back."""
+    rows = spark.read.format("jdbc").options(**properties).option("url", url).option("dbtable", f"{schema}.{table}").option(
+        "pushDownAggregate", "true").load()
+    return rows.agg(F.count(F.lit(1)).alias("CNT"))
 
 
 def _union(dfs: list[DataFrame]) -> DataFrame:
@@ -90,12 +92,11 @@ def recon(spark: SparkSession, pairs: list[tuple[str, callable, callable]],
 
 
 def _short(e: Exception) -> str:
-    """The error condition when Spark names one, else the first line."""
+    """The error condition when Spark names one, else the whole message."""
     cond = getattr(e, "getCondition", None)
     if callable(cond) and cond():
         return cond()
-    msg = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
-    return msg[:300]
+    return str(e).strip() or type(e).__name__
 
 
 # -- change feed --------------------------------------------------------------
@@ -204,7 +205,8 @@ def sla_share(lat: DataFrame, group_cols: list[str], threshold_sec: float, value
 
 class RunLog:
     """Buffers log rows of one run on the driver (a few rows per dataset)
-    and writes them once, with an explicit schema.  Never raises."""
+    and writes them once, with an explicit schema.  A log folder that cannot
+    be written is reported, not raised."""
 
     def __init__(self, spark: SparkSession, run_id: str, source_id: str, table_group_no: int | None):
         self.spark = spark
@@ -226,6 +228,6 @@ class RunLog:
         if path:
             try:
                 df.write.mode("append").parquet(path)
-            except Exception as e:  # noqa: BLE001 - logging must not break the run
-                print(f"[tidemark] could not write run log: {_short(e)}")
+            except Exception as e:  # noqa: BLE001 - a log that cannot be written must not fail the run
+                logging.getLogger(__name__).error("run log not written to %s: %s", path, _short(e))
         return df

@@ -3,7 +3,7 @@
 Everything that must survive a lost executor (incremental logs, manifests,
 streaming checkpoints, lineage cuts) lives under the folder the cluster names
 in ``spark.checkpoint.dir``.  Only when that setting is absent (local runs,
-tests) do we create a private scratch folder and register it.
+tests) do we create a private scratch folder.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "tidemark", cpus: int | str = "*", shuffle_partitions: int | None = None,
@@ -29,6 +29,7 @@ def get_spark(app: str = "tidemark", cpus: int | str = "*", shuffle_partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -40,15 +41,17 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for durable intermediate state.
 
     Reads ``spark.checkpoint.dir`` (or a checkpoint dir already set on the
-    context).  Sets a private scratch folder only when neither exists.
+    context).  Only a local master gets a private scratch folder when neither
+    exists; on a cluster such a folder would be invisible to the executors,
+    so that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -57,5 +60,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read again: later uses
+    see the same rows, and a lost executor costs a re-read."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

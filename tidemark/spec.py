@@ -60,5 +60,5 @@ class TableSpec:
         return replace(self, **kw)
 
     def except_columns(self) -> list[str]:
-        """Columns dropped from stored targets (framework + raw headers)."""
-        return list(dict.fromkeys(list(FRAMEWORK_COLS) + [self.op_col, self.seq_col]))
+        """Columns dropped from stored targets: ours and the raw change header."""
+        return sorted({self.op_col, self.seq_col}.union(FRAMEWORK_COLS))

@@ -286,7 +286,7 @@ class IncrementalTarget:
         valid = log.filter(F.col("_bucket") != QUARANTINE_BUCKET)
         folded = merge.fold(valid, spec, max_group_rows=self.max_group_rows)
         if 2 in spec.scd_types:
-            keep = folded.filter(~F.col("_has_next") | (F.col("_next_seq") != F.col("_seq")))
+            keep = merge.last_of_sequence(folded)
         else:
             keep = folded.filter(~F.col("_has_next"))
         keep = keep.drop("_next_seq", "_has_next")
