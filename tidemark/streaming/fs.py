@@ -7,6 +7,9 @@ stores alike because it goes through Hadoop's FileSystem of the session.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -29,41 +32,67 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write ``text`` to ``path`` atomically: temp file, then rename."""
+def _temporary(spark: SparkSession, path: str, text: str):
+    """A complete, closed file of unique name next to ``path``."""
     fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), "." + p.getName() + ".tmp")
-    out = fs.create(tmp, True)
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise IOError(f"could not commit {path}")
+    return fs, tmp, p, jvm
 
 
-def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` with ``text`` only if it does not exist yet.
+def _rename(spark: SparkSession, tmp, p, jvm, overwrite: bool) -> None:
+    """One rename, which replaces the target or fails if it exists."""
+    how = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(how, 1)
+    options[0] = how.OVERWRITE if overwrite else how.NONE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(tmp, p, options)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write ``text`` to ``path``: a complete temporary file, then one rename
+    over the target, so a reader finds the old content or the new."""
+    fs, tmp, p, jvm = _temporary(spark, path, text)
+    try:
+        _rename(spark, fs.makeQualified(tmp), fs.makeQualified(p), jvm, overwrite=True)
+    except BaseException:
+        fs.delete(tmp, False)
+        raise
+
 
-    The commit point of optimistic writers: of two writers creating the same
-    name, one gets True and the other False (atomic on HDFS-like stores; on
-    a local filesystem existence check and create are separate calls).  A
-    writer that dies mid-write leaves a file readers must skip.
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Publish ``path`` with ``text`` only if it does not exist yet: True, or
+    False if another writer was first.  Any other error is raised.
+
+    The commit point of optimistic writers.  The content is written to a
+    temporary file first and the name appears with all of it: on a local file
+    system by a hard link (which fails if the name exists), elsewhere by a
+    rename without overwrite, which HDFS-like stores do atomically.  A writer
+    that dies before that leaves a temporary file that nobody reads.
     """
-    fs, p, _ = _fs(spark, path)
+    fs, tmp, p, jvm = _temporary(spark, path, text)
     try:
-        if fs.exists(p):
+        if fs.getScheme() == "file":
+            paths = jvm.java.nio.file.Paths
+            jvm.java.nio.file.Files.createLink(paths.get(fs.makeQualified(p).toUri().getPath(), _no_more(spark)),
+                                               paths.get(fs.makeQualified(tmp).toUri().getPath(), _no_more(spark)))
+        else:
+            _rename(spark, fs.makeQualified(tmp), fs.makeQualified(p), jvm, overwrite=False)
+        return True
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
             return False
-        out = fs.create(p, False)  # fails if another writer created it meanwhile
-    except Exception:  # noqa: BLE001 - FileAlreadyExistsException through py4j
-        return False
-    try:
-        out.write(bytearray(text.encode("utf-8")))
+        raise
     finally:
-        out.close()
-    return True
+        fs.delete(tmp, False)
+
+
+def _no_more(spark: SparkSession):
+    """The empty string array of Java's ``Paths.get(first, more...)``."""
+    return spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.java.lang.String, 0)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

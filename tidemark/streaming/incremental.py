@@ -9,19 +9,19 @@ Layout below ``root`` (a folder in the shared checkpoint area):
   the buckets a commit touched (unique per attempt, so a losing writer never
   overwrites committed files);
 * ``_manifest/<n>.json``  commit ``n``: which version holds each bucket of
-  each target, the compacted log base and the log batch folders written
-  since.  Creating it exclusively is the commit (both targets flip together;
-  of two concurrent writers one wins, the other recomputes on top of it);
-* ``_batches/<flow>/<batch>``  marker of a committed micro-batch (replays
-  are skipped);
+  each target, the compacted log base, the log batch folders written since,
+  and the batch ids applied so far per flow (replays are skipped).  It
+  appears complete and only if no other writer was first: that is the commit
+  (both targets flip together; of two concurrent writers one wins, the other
+  recomputes on top of it);
 * ``log_base/v=<n>/_bucket=<b>/``  the log compacted by ``compact_log`` (so a
   batch's history read does not grow with the number of batches).
 
 A micro-batch appends its events to the log, finds the keys it touches,
 re-folds exactly those keys from their whole logged history (so late events
 that split closed SCD2 versions come out right), copies the untouched keys of
-the touched buckets, and commits.  A batch whose (flow, batch id) already has
-a manifest is skipped, and a failed batch leaves only unreferenced folders
+the touched buckets, and commits.  A batch whose (flow, batch id) a manifest
+already lists is skipped, and a failed batch leaves only unreferenced folders
 that its retry overwrites.  The result equals the batch fold of all events,
 whatever the arrival order, batching or replay.
 """
@@ -68,66 +68,57 @@ class CommitConflict(RuntimeError):
 
 class IncrementalTarget:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int = 64,
-                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8,
-                 commit_wait_s: float = 30.0):
+                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.buckets = buckets
         self.max_group_rows = max_group_rows
         self.max_commit_attempts = max_commit_attempts
-        self.commit_wait_s = commit_wait_s
         self.log_root = f"{self.root}/log"
         self.manifest_root = f"{self.root}/_manifest"
-        self.marker_root = f"{self.root}/_batches"
 
     # -- commits -----------------------------------------------------------
     def _manifests(self) -> list[str]:
-        return [n for n in fs.list_names(self.spark, self.manifest_root) if n.endswith(".json")]
-
-    def _read_manifest(self, name: str, wait_s: float = 0.0) -> dict | None:
-        """A manifest's content, or None if unreadable.  The commit creates
-        the file before its content lands, so the newest one is retried for
-        up to ``wait_s`` seconds before it counts as a crashed commit."""
-        import time as _time
-        deadline = _time.time() + wait_s
-        while True:
-            try:
-                state = json.loads(fs.read_text(self.spark, f"{self.manifest_root}/{name}"))
-                state["seq"] = int(name.split(".")[0])
-                return state
-            except ValueError:
-                if _time.time() >= deadline:
-                    return None
-                _time.sleep(0.05)
+        return [n for n in fs.list_names(self.spark, self.manifest_root) if n.endswith(".json") and not n.startswith(".")]
 
-    def latest(self) -> dict:
-        """The newest committed manifest.  The newest file may still be being
-        written by a concurrent writer: wait for it.  Only a manifest that
-        stays unreadable (a writer that died mid-commit) is skipped, by
-        readers and writers alike."""
-        names = self._manifests()
-        for i, name in enumerate(reversed(names)):
-            state = self._read_manifest(name, wait_s=self.commit_wait_s if i == 0 else 0.0)
-            if state is not None:
-                return state
-        return {"seq": 0, "targets": {}}
+    def _read_manifest(self, name: str) -> dict:
+        """A manifest's content.  Manifests appear complete, so one that
+        cannot be read is an error and never skipped."""
+        state = json.loads(fs.read_text(self.spark, f"{self.manifest_root}/{name}"))
+        state["seq"] = int(name.split(".")[0])
+        return state
 
-    def _next_seq(self) -> int:
+    def latest(self) -> dict:
+        """The newest committed manifest."""
         names = self._manifests()
-        return int(names[-1].split(".")[0]) + 1 if names else 1
-
-    def _marker(self, flow: str, batch_id: int) -> str:
-        return f"{self.marker_root}/{flow}/{int(batch_id):012d}"
+        return self._read_manifest(names[-1]) if names else {"seq": 0, "targets": {}}
+
+    @staticmethod
+    def _has_batch(state: dict, flow: str, batch_id: int) -> bool:
+        return any(lo <= int(batch_id) <= hi for lo, hi in state.get("applied", {}).get(flow, []))
+
+    @staticmethod
+    def _with_batch(state: dict, flow: str, batch_id: int) -> dict:
+        """The applied batch ids per flow, as sorted ranges, with one more."""
+        applied = {f: [list(r) for r in ranges] for f, ranges in state.get("applied", {}).items()}
+        ranges = sorted([*applied.get(flow, []), [int(batch_id), int(batch_id)]])
+        merged = [ranges[0]]
+        for lo, hi in ranges[1:]:
+            if lo <= merged[-1][1] + 1:
+                merged[-1][1] = max(hi, merged[-1][1])
+            else:
+                merged.append([lo, hi])
+        applied[flow] = merged
+        return applied
 
     def committed(self, flow: str, batch_id: int) -> bool:
-        if fs.exists(self.spark, self._marker(flow, batch_id)):
-            return True
-        last = self.latest()  # committed, but the marker not written yet
-        return last.get("flow") == flow and last.get("batch") == int(batch_id)
+        """Whether a micro-batch is part of the target: every manifest lists
+        the batches before it, so commits of other flows hide nothing."""
+        return self._has_batch(self.latest(), flow, batch_id)
 
     def _commit(self, seq: int, manifest: dict) -> bool:
-        """Exclusive create of manifest ``seq``: the commit point."""
+        """Publish manifest ``seq`` if no other writer has: the commit point."""
         return fs.create_exclusive(self.spark, f"{self.manifest_root}/{seq:012d}.json",
                                    json.dumps(manifest, sort_keys=True))
 
@@ -160,8 +151,8 @@ class IncrementalTarget:
             .hint("rebalance", "_bucket")
             .write.mode("overwrite").partitionBy("_bucket").parquet(log_path))
         clock.lap("log")
-        touched = sorted(b for b in (int(n.split("=", 1)[1]) for n in fs.list_names(spark, log_path)
-                                     if n.startswith("_bucket=")) if b != QUARANTINE_BUCKET)
+        logged = [int(n.split("=", 1)[1]) for n in fs.list_names(spark, log_path) if n.startswith("_bucket=")]
+        touched = sorted(b for b in logged if b != QUARANTINE_BUCKET)
         batch_keys = None
         if touched:
             batch_keys = (spark.read.parquet(log_path).filter(F.col("_bucket") != QUARANTINE_BUCKET)
@@ -169,16 +160,19 @@ class IncrementalTarget:
         try:
             for _ in range(self.max_commit_attempts):
                 state = self.latest()
-                seq = max(int(state["seq"]) + 1, self._next_seq())
+                if self._has_batch(state, flow, batch_id):
+                    return False
+                seq = int(state["seq"]) + 1
                 vid = f"{seq}-{uuid.uuid4().hex[:8]}"
-                log_batches = list(state.get("log_batches", [])) + [[flow, int(batch_id)]]
+                # an empty batch leaves no files to list
+                log_batches = list(state.get("log_batches", [])) + ([[flow, int(batch_id)]] if logged else [])
                 targets = {k: dict(v) for k, v in state.get("targets", {}).items()}
                 if touched:
                     targets = self._rewrite(state, targets, log_batches, touched, batch_keys, vid, clock)
                 manifest = {"flow": flow, "batch": int(batch_id), "targets": targets,
-                            "log_base": state.get("log_base"), "log_batches": log_batches}
+                            "log_base": state.get("log_base"), "log_batches": log_batches,
+                            "applied": self._with_batch(state, flow, batch_id)}
                 if self._commit(seq, manifest):
-                    fs.write_text(spark, self._marker(flow, batch_id), str(seq))
                     clock.lap("commit")
                     self.last_timings = clock.laps
                     return True
@@ -281,7 +275,7 @@ class IncrementalTarget:
         state = self.latest()
         if not state.get("log_batches"):
             return False
-        seq = max(int(state["seq"]) + 1, self._next_seq())
+        seq = int(state["seq"]) + 1
         log = self._read_log(state.get("log_base"), state["log_batches"])
         valid = log.filter(F.col("_bucket") != QUARANTINE_BUCKET)
         folded = merge.fold(valid, spec, max_group_rows=self.max_group_rows)
@@ -295,7 +289,7 @@ class IncrementalTarget:
         (keep.unionByName(quarantined, allowMissingColumns=True)
              .hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(base))
         manifest = {"flow": "_compact", "batch": seq, "targets": state.get("targets", {}),
-                    "log_base": base, "log_batches": []}
+                    "log_base": base, "log_batches": [], "applied": state.get("applied", {})}
         # a batch committed meanwhile: leave compaction for the next call
         return self._commit(seq, manifest)
 
@@ -315,11 +309,7 @@ class IncrementalTarget:
         if not keep:
             return {}
         floor = int(keep[0].split(".")[0])
-        kept = []
-        for i, n in enumerate(keep):
-            m = self._read_manifest(n, wait_s=self.commit_wait_s if i == len(keep) - 1 else 0.0)
-            if m is not None:
-                kept.append(m)
+        kept = [self._read_manifest(n) for n in keep]
         refs = {name: set() for name in ("scd1", "scd2")}
         bases, batches = set(), set()
         for m in kept:
@@ -352,7 +342,7 @@ class IncrementalTarget:
                 if not bd.startswith("_batch="):
                     continue
                 b = int(bd.split("=", 1)[1])
-                if (flow, b) not in batches and fs.exists(spark, self._marker(flow, b)):
+                if (flow, b) not in batches and self._has_batch(kept[-1], flow, b):
                     done["log_batches"] += fs.delete(spark, f"{self.log_root}/{fd}/{bd}")
         return done
 
