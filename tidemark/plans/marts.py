@@ -3,10 +3,12 @@ cost attribution and file compaction."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import checked_broadcast
+from ..session import materialise
+from ..streaming import fs
 from .build import clustered
 
 
@@ -47,26 +49,50 @@ def daily_order_totals(orders: DataFrame) -> DataFrame:
     return g.withColumn("order_month", F.date_trunc("month", "order_day").cast("date"))
 
 
-def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str = "overwrite", overwrite: str = "static") -> None:
     """Rebalance on the partition column before writing, so each partition
     folder gets few files instead of one per task (AQE splits a skewed
-    partition value and coalesces small ones)."""
-    df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col).parquet(path)
+    partition value and coalesces small ones).  ``overwrite='dynamic'``
+    replaces only the partitions that ``df`` has; it is an option of this
+    write, not of the session."""
+    (df.hint("rebalance", partition_col).write.mode(mode).option("partitionOverwriteMode", overwrite)
+       .partitionBy(partition_col).parquet(path))
 
 
 def refresh_partitions(spark: SparkSession, mart_path: str, base: DataFrame, changed: DataFrame,
-                       partition_col: str, build) -> None:
-    """Recompute only the mart partitions touched by ``changed`` (A-INCR):
-    affected partition values by a semi join, rebuilt from the base, written
-    with dynamic partition overwrite (other partitions untouched)."""
-    affected = changed.select(partition_col).distinct()
-    part = build(base).join(affected, partition_col, "left_semi")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_partitioned(part, mart_path, partition_col)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+                       partition_col: str, build, partition_of: Column) -> None:
+    """Recompute only the mart partitions touched by ``changed`` (A-INCR).
+
+    ``partition_of`` gives a base row's partition, so the base is cut to the
+    touched partitions before the mart is built from it.  Rebuilt partitions
+    are overwritten; a touched partition that no row is left for is deleted.
+    """
+    touched = materialise(changed.select(partition_col).distinct(), "touched")
+    part = base.withColumn(partition_col, partition_of).join(touched, partition_col, "left_semi").drop(partition_col)
+    write_partitioned(build(part), mart_path, partition_col, overwrite="dynamic")
+    left = build(part).select(partition_col).distinct()
+    # folder names of touched partitions, as many as the change has partitions
+    for r in touched.join(left, partition_col, "left_anti").select(F.col(partition_col).cast("string")).collect():
+        fs.delete(spark, f"{mart_path}/{partition_col}={r[0]}")
+
+
+def push_changes(spark: SparkSession, changes_path: str, sink_path: str, checkpoint: str) -> None:
+    """Push landed change rows to a sink folder (T-PUSH), one sub-folder per
+    micro-batch.  A replayed micro-batch overwrites its own folder, so every
+    change arrives exactly once."""
+    schema = spark.read.parquet(changes_path).schema
+    q = (spark.readStream.schema(schema).parquet(changes_path).writeStream.foreachBatch(push_batch(sink_path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def push_batch(sink_path: str):
+    """The ``foreachBatch`` function of :func:`push_changes`."""
+    def send(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_path}/push={batch_id}")
+    return send
 
 
 def usage_cost(usage: DataFrame, prices: DataFrame, n_prices: int, key: str, ts: str, qty: str) -> DataFrame:

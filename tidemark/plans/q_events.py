@@ -9,7 +9,7 @@ from ..session import scratch_dir
 from ..sources.files import SchemaStore, stream_landed
 from ..sources.tables import table
 from ..streaming import event_time as ST
-from .catalog import register
+from .catalog import ORACLE_SQL, register
 
 
 @register("event_window_agg", """
@@ -47,6 +47,36 @@ def event_sessions(spark, sf_dir):
 
 
 DEDUP_PARTS = 4
+STREAM_COLS = ("event_id", "ts", "user_id", "event_type", "value")
+
+
+def _streamed(spark, sf_dir, name, transform):
+    """Run ``transform`` (stream reader -> streaming result) over the events,
+    landed in time order, one landing per trigger.  A last landing holds a
+    click and a purchase of nobody 30 days after the last event: they move the
+    watermark past every real window, session and interval, and stay open
+    themselves.  Returns what the stream emitted."""
+    root = scratch_dir(spark, name)
+    landing, out_path = f"{root}/landing", f"{root}/out"
+    ev = table(spark, sf_dir, "events").select(*STREAM_COLS)
+    part = F.least(F.lit(DEDUP_PARTS - 1), F.floor((F.dayofmonth("ts") - 1) / 8)).cast("int")
+    store = SchemaStore(spark, f"{root}/_schema")
+    last = ev.agg((F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    closing = last.select(F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(-1).cast("bigint").alias("user_id"),
+                          F.explode(F.array(F.lit("click"), F.lit("purchase"))).alias("event_type"), F.lit(0.0).alias("value"))
+    landings = [(f"part={i}", ev.filter(part == i)) for i in range(DEDUP_PARTS)] + [("part=closing", closing)]
+    for folder, rows in landings:
+        rows.write.parquet(f"{landing}/{folder}")
+        schema, _ = store.resolve(landing)
+
+        def read(schema=schema):
+            return stream_landed(spark, landing, schema).select(*STREAM_COLS)
+        q = (transform(read).writeStream.format("parquet").option("path", out_path)
+             .option("checkpointLocation", f"{root}/_checkpoint").outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return spark.read.parquet(out_path)
 
 
 @register("event_dedup", """
@@ -105,3 +135,52 @@ def click_purchase_interval(spark, sf_dir):
     out = joins.interval_join(clicks, purchases, ["user_id"], "click_ts", "purchase_ts", 0, CLICK_WINDOW_SEC,
                               how="left")
     return out.select("click_id", "user_id", "click_ts", "purchase_id", "purchase_ts")
+
+
+WINDOW_SQL, SESSION_SQL, INTERVAL_SQL = (ORACLE_SQL[n] for n in ("event_window_agg", "event_sessions", "click_purchase_interval"))
+STREAM_DELAY = "12 hours"
+
+
+def _totals():
+    return [F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value")]
+
+
+@register("stream_windows", WINDOW_SQL)
+def stream_windows(spark, sf_dir):
+    """Hourly windows per event type as a watermarked append-mode stream."""
+    out = _streamed(spark, sf_dir, "stream_windows",
+                    lambda read: ST.windowed_counts(read(), "ts", "1 hour", STREAM_DELAY, ["event_type"], _totals()))
+    return out.withColumn("total_value", F.round("total_value", 2))
+
+
+@register("stream_sessions", SESSION_SQL)
+def stream_sessions(spark, sf_dir):
+    """Six-hour-gap sessions per user as a watermarked append-mode stream."""
+    out = _streamed(spark, sf_dir, "stream_sessions",
+                    lambda read: ST.session_counts(read(), "ts", f"{SESSION_GAP_SEC} seconds", STREAM_DELAY, ["user_id"], _totals()))
+    return out.withColumn("total_value", F.round("total_value", 2))
+
+
+def _click_purchases(read, how):
+    clicks = read().filter("event_type = 'click'").select(F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("click_ts"))
+    bought = read().filter("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("purchase_ts"))
+    return ST.interval_join(clicks, bought, ["user_id"], "click_ts", "purchase_ts", "0 SECONDS", f"{CLICK_WINDOW_SEC} SECONDS", STREAM_DELAY, how)
+
+
+def _real(out):
+    """Without the pair that the closing rows form with each other."""
+    return out.filter("click_id >= 0").select("click_id", "user_id", "click_ts", "purchase_id", "purchase_ts")
+
+
+@register("stream_interval_join", f"SELECT * FROM ({INTERVAL_SQL}) j WHERE purchase_id IS NOT NULL")
+def stream_interval_join(spark, sf_dir):
+    """Clicks with the same user's purchases of the next hour, as an inner
+    stream-stream join with state bounded by the watermarks."""
+    return _real(_streamed(spark, sf_dir, "stream_ij", lambda read: _click_purchases(read, "inner")))
+
+
+@register("stream_interval_join_outer", INTERVAL_SQL)
+def stream_interval_join_outer(spark, sf_dir):
+    """The same as a left outer join: a click without a purchase comes out
+    once the watermark shows that none can follow."""
+    return _real(_streamed(spark, sf_dir, "stream_ijo", lambda read: _click_purchases(read, "leftOuter")))

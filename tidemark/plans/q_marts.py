@@ -60,6 +60,10 @@ def gold_customer_360(spark, sf_dir):
 REPRICE_FEE = 100.0
 
 
+def _month():
+    return F.date_trunc("month", F.col("o_orderdate")).cast("date")
+
+
 def _changed_orders(orders):
     """The change batch: pending orders re-priced with a flat fee."""
     return (orders.filter(F.col("o_orderstatus") == "P")
@@ -87,8 +91,24 @@ def mart_incremental(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = f"{root}/daily"
     marts.write_partitioned(marts.daily_order_totals(orders), path, "order_month")
-    changed = _changed_orders(orders).withColumn("order_month", F.date_trunc("month", "o_orderdate").cast("date"))
-    marts.refresh_partitions(spark, path, _updated_orders(orders), changed, "order_month", marts.daily_order_totals)
+    changed = _changed_orders(orders).withColumn("order_month", _month())
+    marts.refresh_partitions(spark, path, _updated_orders(orders), changed, "order_month", marts.daily_order_totals, _month())
+    return spark.read.parquet(path).select("order_day", "n_orders", "total_price")
+
+
+@register("mart_incremental_emptied", _DAILY_SQL.format(
+    src="SELECT * FROM orders WHERE date_trunc('month', o_orderdate) > (SELECT date_trunc('month', min(o_orderdate)) FROM orders)"))
+def mart_incremental_emptied(spark, sf_dir):
+    """All orders of the first month are deleted at the source: its partition
+    of the mart goes, the others are not touched."""
+    root = scratch_dir(spark, "mart_empty")
+    orders = table(spark, sf_dir, "orders")
+    path = f"{root}/daily"
+    marts.write_partitioned(marts.daily_order_totals(orders), path, "order_month")
+    first = orders.agg(F.date_trunc("month", F.min("o_orderdate")).cast("date")).scalar()
+    gone = orders.withColumn("order_month", _month()).filter(F.col("order_month") == first)
+    kept = orders.filter(_month() != first)
+    marts.refresh_partitions(spark, path, kept, gone, "order_month", marts.daily_order_totals, _month())
     return spark.read.parquet(path).select("order_day", "n_orders", "total_price")
 
 
@@ -101,15 +121,18 @@ SELECT a.order_day, a.n_orders, a.total_price, 'update_postimage', 2
 FROM b JOIN a USING (order_day) WHERE b.n_orders IS DISTINCT FROM a.n_orders OR b.total_price IS DISTINCT FROM a.total_price
 """)
 def mart_change_push(spark, sf_dir):
-    """Changes of the daily mart between two versions, pushed to a sink
-    folder per push batch (idempotent per batch id) and read back."""
+    """Changes of the daily mart between two versions, landed and pushed by a
+    stream to a sink folder per micro-batch, the last one replayed; read back
+    from the sink."""
     root = scratch_dir(spark, "push")
     orders = table(spark, sf_dir, "orders")
     v1 = marts.daily_order_totals(orders).drop("order_month")
     v2 = marts.daily_order_totals(_updated_orders(orders)).drop("order_month")
     cdf = reports.change_feed(v1, v2, ["order_day"], version=2)
-    cdf.write.mode("overwrite").parquet(f"{root}/sink/batch=2")
-    return spark.read.parquet(f"{root}/sink/batch=2")
+    cdf.write.parquet(f"{root}/changes/version=2")
+    marts.push_changes(spark, f"{root}/changes/version=2", f"{root}/sink", f"{root}/checkpoint")
+    marts.push_batch(f"{root}/sink")(spark.read.parquet(f"{root}/changes/version=2"), 0)  # a replay of the batch
+    return spark.read.parquet(f"{root}/sink").drop("push")
 
 
 # Unit prices per usage type and validity period (a price list).
