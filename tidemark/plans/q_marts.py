@@ -12,7 +12,7 @@ from ..session import scratch_dir
 from ..sources import feeds
 from ..sources import metadata as M
 from ..sources.tables import table
-from . import marts, reports
+from . import group_reports, marts, reports
 from . import oracle_sql as O
 from .catalog import register
 from .group import run_group
@@ -284,3 +284,101 @@ def run_report_rows(spark, sf_dir):
     meta = feed_metadata(spark, landing)
     log = run_group(spark, meta, "FEEDS", 1, f"{root}/targets", log_path=f"{root}/run_log", parallelism=4)
     return log
+
+
+# -- reports of a group, from the control tables ---------------------------------
+
+def _report_metadata(spark, landing):
+    """The feeds' group with one more dataset: history only, no latest state."""
+    meta = feed_metadata(spark, landing)
+    meta["dataset_master"] = meta["dataset_master"].unionByName(spark.createDataFrame(
+        [("FEEDS.HISTORY", "FEEDS", "APP", "events", "history", 2, True)], meta["dataset_master"].schema))
+    meta["dataset_config"] = meta["dataset_config"].unionByName(spark.createDataFrame(
+        [("FEEDS.HISTORY", "primary_keys", "user_id"), ("FEEDS.HISTORY", "scd_type", "2"), ("FEEDS.HISTORY", "seq_type", "bigint")],
+        meta["dataset_config"].schema))
+    return meta
+
+
+def _built_group(spark, sf_dir, name):
+    """Land the feeds and build every dataset of both groups."""
+    root = scratch_dir(spark, name)
+    landing = f"{root}/landing"
+    feeds.seed_customer(spark, sf_dir).write.parquet(f"{landing}/events__full")
+    feeds.feed_events(spark, sf_dir).write.parquet(f"{landing}/events__ct")
+    feeds.feed_lineitem(spark, sf_dir).write.parquet(f"{landing}/lineitem__ct")
+    feeds.feed_orders(spark, sf_dir).write.parquet(f"{landing}/orders__ct")
+    meta = _report_metadata(spark, landing)
+    for group in (1, 2):
+        run_group(spark, meta, "FEEDS", group, f"{root}/targets", parallelism=4)
+    return root, meta
+
+
+# The given table that stands for a dataset's source.
+SOURCE_OF = {"events": "customer", "lineitem": "lineitem", "orders": "customer"}
+_ACTIVE_ORDERS = "SELECT o_custkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) o WHERE rn = 1 AND o_orderstatus <> 'P'"
+
+
+def _recon_sql(ds, group, schema, src, table, source_sql, target_sql):
+    return f"""SELECT '{ds}' AS dataset_id, 'FEEDS' AS source_id, CAST({group} AS INTEGER) AS table_group_no, '{schema}' AS source_schema,
+  '{src}' AS source_table, '{table}' AS target_table, CAST(s AS BIGINT) AS source_count, CAST(t AS BIGINT) AS target_count,
+  CAST(s - t AS BIGINT) AS diff, CASE WHEN s = t THEN 'OK' ELSE 'MISMATCH' END AS status, CAST(NULL AS VARCHAR) AS message
+FROM (SELECT count(*) AS s FROM ({source_sql}) a) x, (SELECT count(*) AS t FROM ({target_sql}) b) y"""
+
+
+_RECON_GROUP_SQL = " UNION ALL ".join([
+    _recon_sql("FEEDS.EVENTS", 1, "APP", "events", "bronze.bronze_scd1.events", "SELECT * FROM customer",
+               O.scd1_sql(OVERLAP_STD, "user_id", O.EVENTS_ORDER_DESC, EV_COLS)),
+    _recon_sql("FEEDS.LINEITEM", 1, "SALES", "lineitem", "bronze.bronze_scd1.lineitem", "SELECT * FROM lineitem", _LINES_SQL),
+    _recon_sql("FEEDS.ORDERS", 1, "SALES", "orders", "bronze.bronze_scd1.orders", "SELECT * FROM customer", _ACTIVE_ORDERS),
+    _recon_sql("FEEDS.HISTORY", 2, "APP", "events", "bronze.bronze_scd2.history", "SELECT * FROM customer",
+               O.scd1_sql(O.EVENTS_STD, "user_id", O.EVENTS_ORDER_DESC, EV_COLS)),
+    """SELECT 'FEEDS.BROKEN', 'FEEDS', CAST(1 AS INTEGER), 'SALES', 'nothing_landed', 'bronze.bronze_scd1.broken', CAST(NULL AS BIGINT),
+  CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 'ERROR', 'PATH_NOT_FOUND'"""])
+
+
+@register("recon_group_report", _RECON_GROUP_SQL)
+def recon_group_report(spark, sf_dir):
+    """Every group reconciled from the control tables against the written
+    targets (open versions of the history-only one), appended and read back."""
+    root, meta = _built_group(spark, sf_dir, "recon_group")
+    group_reports.recon_group(
+        spark, meta, "FEEDS", source_rows=lambda r: table(spark, sf_dir, SOURCE_OF.get(r["source_table"], "customer")),
+        target_rows=lambda r, kind: spark.read.parquet(f"{root}/targets/{r['target_table']}/{kind}"), report_path=f"{root}/recon_report")
+    return spark.read.parquet(f"{root}/recon_report").drop("event_ts")
+
+
+_COMMIT = "(TIMESTAMP '2031-01-01 00:00:00')"
+
+
+def _latency_sql(ds, table, ts_sql):
+    return f"""SELECT '{ds}' AS dataset_id, '{table}' AS target_table, round(quantile_cont(l, 0.5), 3) AS p50_sec,
+  round(quantile_cont(l, 0.95), 3) AS p95_sec, round(max(l), 3) AS max_sec, CAST(count(l) AS BIGINT) AS record_count, 'OK' AS status, CAST(NULL AS VARCHAR) AS message
+FROM (SELECT round((epoch_us({_COMMIT}) - epoch_us(ts)) / 1e6, 3) AS l FROM ({ts_sql}) t) x"""
+
+
+_LATENCY_GROUP_SQL = " UNION ALL ".join([
+    _latency_sql("FEEDS.EVENTS", "bronze.bronze_scd1.events",
+                 f"SELECT header__change_ts AS ts FROM ({O.scd1_sql(OVERLAP_STD, 'user_id', O.EVENTS_ORDER_DESC, EV_COLS)}) e WHERE header__change_ts IS NOT NULL"),
+    _latency_sql("FEEDS.HISTORY", "bronze.bronze_scd2.history",
+                 f"SELECT header__change_ts AS ts FROM ({O.scd2_sql(O.EVENTS_STD, 'user_id', O.EVENTS_ORDER_ASC, EV_COLS)}) e"),
+    _latency_sql("FEEDS.ORDERS", "bronze.bronze_scd1.orders", """SELECT o_orderdate AS ts FROM
+  (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) o WHERE rn = 1"""),
+    """SELECT 'FEEDS.LINEITEM', 'bronze.bronze_scd1.lineitem', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(0 AS BIGINT), 'ERROR',
+  'the change feed has no column header__change_ts'""",
+    """SELECT 'FEEDS.BROKEN', 'bronze.bronze_scd1.broken', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(0 AS BIGINT), 'ERROR', 'PATH_NOT_FOUND'"""])
+
+
+@register("latency_group_report", _LATENCY_GROUP_SQL)
+def latency_group_report(spark, sf_dir):
+    """Latency of every dataset's first load from its change feed (all rows
+    arrive at one commit time), with ERROR rows for a feed without commit
+    times and a target that is missing; appended and read back."""
+    root, meta = _built_group(spark, sf_dir, "latency_group")
+    commit = F.expr("TIMESTAMP_NTZ '2031-01-01 00:00:00'")
+
+    def changes(r, kind):
+        rows = spark.read.parquet(f"{root}/targets/{r['target_table']}/{kind}")
+        keys = r["primary_keys"].split(",") + (["__START_AT"] if kind == "scd2" else [])
+        return reports.change_feed(rows.limit(0), rows, keys, 1, commit)
+    group_reports.latency_group(spark, meta, "FEEDS", changes=changes, from_version=1, report_path=f"{root}/latency_report")
+    return spark.read.parquet(f"{root}/latency_report").drop("event_ts")

@@ -29,6 +29,7 @@ whatever the arrival order, batching or replay.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark import StorageLevel
@@ -39,7 +40,7 @@ from pyspark.sql import types as T
 from ..functions.cdc import standardize
 from ..operators import merge
 from ..operators.windows import DEFAULT_MAX_GROUP_ROWS
-from ..spec import TableSpec
+from ..spec import START_COL, TableSpec
 from . import fs
 
 PART_COLS = ("_flow", "_batch", "_bucket")
@@ -171,7 +172,7 @@ class IncrementalTarget:
                     targets = self._rewrite(state, targets, log_batches, touched, batch_keys, vid, clock)
                 manifest = {"flow": flow, "batch": int(batch_id), "targets": targets,
                             "log_base": state.get("log_base"), "log_batches": log_batches,
-                            "applied": self._with_batch(state, flow, batch_id)}
+                            "applied": self._with_batch(state, flow, batch_id), "time_us": time.time_ns() // 1000}
                 if self._commit(seq, manifest):
                     clock.lap("commit")
                     self.last_timings = clock.laps
@@ -239,6 +240,44 @@ class IncrementalTarget:
             return self.spark.createDataFrame([], schema)
         return df.select(*[F.col(f.name) for f in schema.fields])
 
+    def change_feed(self, scd: int, from_seq: int = 0, to_seq: int | None = None) -> DataFrame:
+        """Row changes of a target between two commits (R-CDF), commit by
+        commit: ``_change_type``, ``_commit_version`` and
+        ``_commit_timestamp`` of the commit that made each change.
+
+        Only buckets whose version changed are read, on either side.
+        """
+        from ..plans.reports import change_feed
+
+        name = f"scd{scd}"
+        names = self._manifests()
+        states = [self._read_manifest(n) for n in names if from_seq <= int(n.split(".")[0]) and (to_seq is None or int(n.split(".")[0]) <= to_seq)]
+        if from_seq == 0:
+            states = [{"seq": 0, "targets": {}}, *states]
+        schema = T.StructType.fromJson(json.loads(states[-1]["targets"][name]["schema"]))
+        keys = [*self.spec.keys, *([START_COL] if scd == 2 else [])]
+
+        def side(versions):
+            df = self._read_buckets(name, versions)
+            if df is None:
+                return self.spark.createDataFrame([], schema)
+            return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+        parts = []
+        for before, after in zip(states[:-1], states[1:], strict=True):
+            old, new = (s.get("targets", {}).get(name, {}).get("versions", {}) for s in (before, after))
+            moved = {b for b in old.keys() | new.keys() if old.get(b) != new.get(b)}
+            if moved:
+                when = F.timestamp_micros(F.lit(int(after.get("time_us", 0))))
+                parts.append(change_feed(side({b: v for b, v in old.items() if b in moved}), side({b: v for b, v in new.items() if b in moved}),
+                                         keys, after["seq"], when))
+        if not parts:
+            none = self.spark.createDataFrame([], schema)
+            return change_feed(none, none, keys, 0, F.timestamp_micros(F.lit(0)))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
     def _read_log(self, base: str | None, batches: list) -> DataFrame:
         """The committed log: the compacted base plus the batch folders
         written since, read by explicit paths (no listing of old folders, no
@@ -289,7 +328,7 @@ class IncrementalTarget:
         (keep.unionByName(quarantined, allowMissingColumns=True)
              .hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(base))
         manifest = {"flow": "_compact", "batch": seq, "targets": state.get("targets", {}),
-                    "log_base": base, "log_batches": [], "applied": state.get("applied", {})}
+                    "log_base": base, "log_batches": [], "applied": state.get("applied", {}), "time_us": time.time_ns() // 1000}
         # a batch committed meanwhile: leave compaction for the next call
         return self._commit(seq, manifest)
 
