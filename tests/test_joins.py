@@ -1,5 +1,6 @@
 """Joins against brute force on small fixtures derived from the tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -48,3 +49,35 @@ def test_orphans_and_grain(spark):
     g = joins.grain_report(o, table(spark, SF_SMALL, "events"), ["o_custkey"], ["user_id"]).first()
     ev = table(spark, SF_SMALL, "events")
     assert g["join_rows"] == o.join(ev, o.o_custkey == ev.user_id).count()
+
+
+def test_key_chains_of_any_length_and_cycles(spark):
+    from tidemark.operators.patterns import resolve_key_chains
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 200), (7000, 7000)], "old_key long, new_key long")
+    got = {r["old_key"]: r["new_key"] for r in resolve_key_chains(chain).collect()}
+    assert got == {**{i: 40 for i in range(40)}, 100: 200}
+    with pytest.raises(ValueError):
+        resolve_key_chains(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "old_key long, new_key long"))
+
+
+def test_broadcast_size_counts_long_values(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.sizing import checked_broadcast, size_of
+
+    texts = spark.range(10).select("id", F.repeat(F.lit("x"), 100_000).alias("t"), F.array(F.lit("y" * 50)).alias("a"))
+    assert 1_000_000 < size_of(texts, 10) < 1_100_000
+    assert size_of(spark.range(10), 10) == 240
+    plan = lambda df: spark.range(5).join(df, "id")._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(checked_broadcast(texts, 10)).lower()
+    assert "broadcast" not in plan(checked_broadcast(texts, 10, max_bytes=500_000)).lower()
+
+
+def test_lookup_takes_the_largest_reference_row(spark):
+    from tidemark.operators.joins import lookup_split
+
+    facts = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string")
+    ref = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (None, "x", 3)], "rk long, name string, at int")
+    hit, missed = lookup_split(facts, ref, ["k"], ["rk"], ["name"], ref_order=["at"])
+    assert [tuple(r) for r in hit.collect()] == [(1, "a", "new")] and missed.count() == 2

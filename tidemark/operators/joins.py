@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from ..spec import END_COL, START_COL
 from .sizing import checked_broadcast
 from .windows import DEFAULT_MAX_GROUP_ROWS, with_neighbors
@@ -53,15 +54,19 @@ def as_of_join(facts: DataFrame, scd2: DataFrame, keys: list[str], fact_seq: str
 
 
 def lookup_split(facts: DataFrame, reference: DataFrame, fact_keys: list[str], ref_keys: list[str],
-                 ref_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+                 ref_cols: list[str], ref_order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Enrich facts from reference data; a miss is "not yet", not invalid.
 
-    Returns (resolved, missed).  The reference side is reduced to one row
-    per key before the join so the join cannot multiply facts.
+    Returns (resolved, missed).  The reference side is reduced to one row per
+    key before the join, the largest by ``ref_order`` (default: by the
+    looked-up columns), so the join cannot multiply facts and does not depend
+    on the order of the rows.  The joined rows are written once: both results
+    come from the same evaluation of facts and reference.
     """
-    ref = reference.select(*[F.col(r).alias(f) for r, f in zip(ref_keys, fact_keys)], *ref_cols)
-    ref = ref.dropDuplicates(fact_keys).withColumn("_hit", F.lit(True))
-    j = facts.join(ref, fact_keys, "left")
+    best = F.max_by(F.struct(*ref_cols), F.struct(*(ref_order or ref_cols)))
+    ref = (reference.groupBy(*[F.col(r).alias(f) for r, f in zip(ref_keys, fact_keys)]).agg(best.alias("_ref"))
+           .select(*fact_keys, "_ref.*", F.lit(True).alias("_hit")))
+    j = materialise(facts.join(ref, fact_keys, "left"), "lookup")
     resolved = j.filter(F.col("_hit").isNotNull()).drop("_hit")
     missed = j.filter(F.col("_hit").isNull()).drop("_hit", *ref_cols)
     return resolved, missed

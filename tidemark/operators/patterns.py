@@ -5,10 +5,13 @@ orderings go through ``with_neighbors`` (hot keys chunked)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cdc import business_columns, content_hash
+from ..session import materialise
 from ..spec import TableSpec
 from .windows import DEFAULT_MAX_GROUP_ROWS, with_neighbors
 
@@ -76,21 +79,24 @@ def synthetic_identity(df: DataFrame, content_cols: list[str], order_cols: list[
     return out
 
 
-def resolve_key_chains(mapping: DataFrame, old: str = "old_key", new: str = "new_key", max_hops: int = 8) -> DataFrame:
-    """Collapse renumbering chains a->b->c into a->c with bounded repeated
-    joins (one hop per join); fails on cycles or chains longer than
-    ``max_hops``."""
-    cur = mapping.select(F.col(old).alias("old_key"), F.col(new).alias("new_key"))
-    step = mapping.select(F.col(old).alias("_mid"), F.col(new).alias("_next"))
-    for _ in range(max_hops):
-        nxt = cur.join(step, cur.new_key == step._mid, "left")
-        moved = nxt.filter(F.col("_next").isNotNull()).limit(1).count()
-        cur = nxt.select("old_key", F.coalesce("_next", "new_key").alias("new_key"))
-        if moved == 0:
+def resolve_key_chains(mapping: DataFrame, old: str = "old_key", new: str = "new_key") -> DataFrame:
+    """Collapse renumbering chains a->b->c into a->c.
+
+    Pointer doubling: each round joins the mapping with itself, so a chain of
+    n hops is resolved in about log2(n) rounds, whatever its length.  Every
+    round is written, which cuts the lineage.  A mapping that still moves
+    after as many rounds as its number of rows allows has a cycle: an error.
+    """
+    cur = materialise(mapping.select(F.col(old).alias("old_key"), F.col(new).alias("new_key")).filter("old_key != new_key"), "rekey")
+    rounds = math.ceil(math.log2(max(cur.count(), 1))) + 2
+    for _ in range(rounds):
+        ahead = cur.select(F.col("old_key").alias("new_key"), F.col("new_key").alias("_next"))
+        step = materialise(cur.join(ahead, "new_key", "left").select("old_key", F.coalesce("_next", "new_key").alias("new_key"),
+                                                                     F.col("_next").isNotNull().alias("_moved")), "rekey")
+        cur = step.drop("_moved")
+        if not step.filter("_moved").limit(1).count():
             return cur
-        # cut the lineage of each hop (reliable checkpoint in the shared folder)
-        cur = cur.checkpoint()
-    raise ValueError(f"key chains longer than {max_hops} hops (or a cycle)")
+    raise ValueError("the key mapping has a cycle")
 
 
 def rekey(df: DataFrame, chains: DataFrame, key: str) -> DataFrame:

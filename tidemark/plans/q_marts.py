@@ -382,3 +382,44 @@ def latency_group_report(spark, sf_dir):
         return reports.change_feed(rows.limit(0), rows, keys, 1, commit)
     group_reports.latency_group(spark, meta, "FEEDS", changes=changes, from_version=1, report_path=f"{root}/latency_report")
     return spark.read.parquet(f"{root}/latency_report").drop("event_ts")
+
+
+# -- a group on the incremental path ------------------------------------------------
+
+def _half_sql(ct, order, half):
+    """The changes of the first landing (even sequences), or of both."""
+    return ct if half == 2 else f"SELECT * FROM ({ct}) h WHERE {order} % 2 = 0"
+
+
+def _two_runs_sql():
+    """Expected writer counts of two runs, the second with new files only."""
+    parts = []
+    for run in (1, 2):
+        events = _half_sql(O.EVENTS_CT, "header__change_seq", run)
+        orders = _half_sql(O.ORDERS_CT, "header__change_seq", run)
+        std = f"SELECT *, header__change_oper AS _op, header__change_seq AS _seq FROM ({events}) c"
+        seeded = OVERLAP_STD.replace(f"({O.EVENTS_CT})", f"({events})")
+        parts.append(f"""SELECT {run} AS run_no, 'FEEDS.EVENTS' AS dataset_id,
+  'scd1=' || (SELECT count(*) FROM ({O.scd1_sql(seeded, "user_id", O.EVENTS_ORDER_DESC, EV_COLS)}) a)
+  || ' scd2=' || (SELECT count(*) FROM ({O.scd2_sql(seeded, "user_id", O.EVENTS_ORDER_ASC, EV_COLS)}) b) AS message""")
+        parts.append(f"SELECT {run}, 'FEEDS.ORDERS', 'scd1=' || (SELECT count(DISTINCT o_custkey) FROM ({orders}) o)")
+        parts.append(f"SELECT {run}, 'FEEDS.HISTORY', 'scd2=' || (SELECT count(*) FROM ({O.scd2_sql(std, 'user_id', O.EVENTS_ORDER_ASC, EV_COLS)}) d)")
+    return " UNION ALL ".join(parts)
+
+
+@register("group_incremental", _two_runs_sql())
+def group_incremental(spark, sf_dir):
+    """Two incremental runs of the groups: the even sequences land first, the
+    odd ones before the second run, which reads the new files only."""
+    root = scratch_dir(spark, "group_incr")
+    landing = f"{root}/landing"
+    feeds.seed_customer(spark, sf_dir).write.parquet(f"{landing}/events__full/part=0")
+    meta = _report_metadata(spark, landing)
+    logs = []
+    for run in (1, 2):
+        for name, feed in (("events", feeds.feed_events(spark, sf_dir)), ("orders", feeds.feed_orders(spark, sf_dir))):
+            feed.filter(F.pmod("header__change_seq", F.lit(2)) == run - 1).write.parquet(f"{landing}/{name}__ct/part={run}")
+        for group, wanted in ((1, "FEEDS.EVENTS,FEEDS.ORDERS"), (2, "ALL")):
+            log = run_group(spark, meta, "FEEDS", group, f"{root}/targets", wanted, incremental=True, buckets=8, raise_at_end=True)
+            logs.append(log.filter("phase = 'WRITER'").select(F.lit(run).alias("run_no"), "dataset_id", "message"))
+    return reports._union(logs)

@@ -25,7 +25,7 @@ class AppendTarget:
     def sink_path(self, flow: str) -> str:
         return f"{self.root}/data/src={flow}"
 
-    def run(self, flow: Flow, timeout_s: int = 3600):
+    def run(self, flow: Flow, timeout_s: int | None = None):
         spark = self.spark
         store = SchemaStore(spark, f"{self.root}/_schemas/{flow.name}")
         schema, _ = store.resolve(flow.path, flow.file_format)
@@ -37,7 +37,7 @@ class AppendTarget:
              .option("path", self.sink_path(flow.name))
              .option("checkpointLocation", f"{self.root}/_checkpoints/{flow.name}")
              .trigger(availableNow=True).start())
-        q.awaitTermination(timeout_s)
+        q.awaitTermination(*([] if timeout_s is None else [timeout_s]))
         if q.isActive:
             q.stop()
             raise TimeoutError(f"append flow {flow.name} did not finish")

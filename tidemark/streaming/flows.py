@@ -27,7 +27,7 @@ class Flow:
 
 
 def run_flow(spark: SparkSession, target: IncrementalTarget, flow: Flow, state_root: str,
-             trigger: str = "availableNow", processing_time: str = "30 seconds", timeout_s: int = 3600):
+             trigger: str = "availableNow", processing_time: str = "30 seconds", timeout_s: int | None = None):
     """Run one flow into ``target``.
 
     ``availableNow`` processes everything landed so far (in micro-batches of
@@ -43,7 +43,7 @@ def run_flow(spark: SparkSession, target: IncrementalTarget, flow: Flow, state_r
          .option("checkpointLocation", f"{state_root}/_checkpoints/{flow.name}"))
     if trigger == "availableNow":
         q = w.trigger(availableNow=True).start()
-        q.awaitTermination(timeout_s)
+        q.awaitTermination(*([] if timeout_s is None else [timeout_s]))
         if q.isActive:
             q.stop()
             raise TimeoutError(f"flow {flow.name} did not finish in {timeout_s}s")
