@@ -262,3 +262,22 @@ def test_compaction_keeps_null_sequences(spark):
         target.compact_log()
         target.apply(ev.limit(0), 1)
         assert target.read_log().select("user_id").distinct().count() == ev.select("user_id").distinct().count()
+
+
+def test_long_runs_compact_their_log(spark):
+    """What a batch reads does not grow with the number of batches, and the
+    target and its change feed stay right."""
+    ev = feeds.feed_events(spark, SF_SMALL)
+    target = IncrementalTarget(spark, scratch_dir(spark, "long"), SPEC, buckets=2, compact_after=3)
+    part = F.pmod(F.xxhash64("header__change_seq"), F.lit(5))
+    for i in range(5):
+        assert target.apply(ev.filter(part == i), i)
+        assert len(target.latest()["log_batches"]) < 3
+    s1, s2 = _batch_folds(spark)
+    assert rows(target.read(1)) == s1 and rows(target.read(2)) == s2
+    feed = target.change_feed(1)
+    last = feed.filter("_change_type != 'update_preimage'").groupBy("user_id").agg(
+        F.max_by(F.struct("_change_type", "event_type", "value"), "_commit_version").alias("c")).filter("c._change_type != 'delete'")
+    want = target.read(1).select("user_id", "event_type", "value")
+    assert rows(last.select("user_id", "c.event_type", "c.value")) == rows(want)
+    assert feed.filter("_commit_timestamp is null or _commit_version < 1").count() == 0

@@ -69,13 +69,15 @@ class CommitConflict(RuntimeError):
 
 class IncrementalTarget:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int = 64,
-                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8):
+                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8,
+                 compact_after: int | None = 32):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.buckets = buckets
         self.max_group_rows = max_group_rows
         self.max_commit_attempts = max_commit_attempts
+        self.compact_after = compact_after  # log batches after which a batch compacts the log
         self.log_root = f"{self.root}/log"
         self.manifest_root = f"{self.root}/_manifest"
 
@@ -168,13 +170,17 @@ class IncrementalTarget:
                 # an empty batch leaves no files to list
                 log_batches = list(state.get("log_batches", [])) + ([[flow, int(batch_id)]] if logged else [])
                 targets = {k: dict(v) for k, v in state.get("targets", {}).items()}
+                log_schema = self._wider(state.get("log_schema"), std.schema) if logged else state.get("log_schema")
                 if touched:
-                    targets = self._rewrite(state, targets, log_batches, touched, batch_keys, vid, clock)
+                    targets = self._rewrite(state, targets, log_batches, log_schema, touched, batch_keys, vid, clock)
                 manifest = {"flow": flow, "batch": int(batch_id), "targets": targets,
-                            "log_base": state.get("log_base"), "log_batches": log_batches,
+                            "log_base": state.get("log_base"), "log_batches": log_batches, "log_schema": log_schema,
                             "applied": self._with_batch(state, flow, batch_id), "time_us": time.time_ns() // 1000}
                 if self._commit(seq, manifest):
                     clock.lap("commit")
+                    if self.compact_after and len(log_batches) >= self.compact_after:
+                        self.compact_log()
+                        clock.lap("compact")
                     self.last_timings = clock.laps
                     return True
                 clock.lap("conflict")
@@ -183,11 +189,18 @@ class IncrementalTarget:
             if batch_keys is not None:
                 batch_keys.unpersist()
 
-    def _rewrite(self, state, targets, log_batches, touched, batch_keys, vid, clock) -> dict:
+    @staticmethod
+    def _wider(known: str | None, schema: T.StructType) -> str:
+        """The log's schema with the fields that a batch adds (as JSON)."""
+        fields = list(T.StructType.fromJson(json.loads(known)).fields) if known else []
+        names = {f.name for f in fields}
+        return T.StructType([*fields, *[f for f in schema.fields if f.name not in names]]).json()
+
+    def _rewrite(self, state, targets, log_batches, log_schema, touched, batch_keys, vid, clock) -> dict:
         """Re-fold the batch's keys from their logged history and write new
         versions (folder ``v=<vid>``) of the touched buckets of each target."""
         spark, spec = self.spark, self.spec
-        history = (self._read_log(state.get("log_base"), log_batches)
+        history = (self._read_log(state.get("log_base"), log_batches, log_schema)
                    .filter(F.col("_bucket").isin(touched))
                    .join(batch_keys, list(spec.keys), "left_semi")
                    .persist(StorageLevel.MEMORY_AND_DISK))  # read by the hot-key check and the fold
@@ -197,7 +210,7 @@ class IncrementalTarget:
             for scd, new_rows in merge.targets_from_fold(folded, spec).items():
                 name = f"scd{scd}"
                 versions = targets.get(name, {}).get("versions", {})
-                prev = self._read_buckets(name, {b: v for b, v in versions.items() if int(b) in touched})
+                prev = self._read_buckets(name, {b: v for b, v in versions.items() if int(b) in touched}, targets.get(name, {}).get("schema"))
                 out = new_rows
                 if prev is not None:
                     kept = prev.join(batch_keys, list(spec.keys), "left_anti")
@@ -220,13 +233,17 @@ class IncrementalTarget:
         return targets
 
     # -- reading -----------------------------------------------------------
-    def _read_buckets(self, name: str, versions: dict) -> DataFrame | None:
+    def _with_bucket(self, schema_json: str) -> T.StructType:
+        return T.StructType([*T.StructType.fromJson(json.loads(schema_json)).fields, T.StructField("_bucket", T.IntegerType())])
+
+    def _read_buckets(self, name: str, versions: dict, schema_json: str) -> DataFrame | None:
+        """Bucket folders under the schema that the manifest records (no file
+        footers are read for it; older files read new columns as NULL)."""
         if not versions:
             return None
         base = f"{self.root}/{name}"
         paths = [f"{base}/v={v}/_bucket={b}" for b, v in sorted(versions.items(), key=lambda kv: int(kv[0]))]
-        return (self.spark.read.option("basePath", base).option("mergeSchema", "true")
-                .parquet(*paths).drop("v"))
+        return self.spark.read.schema(self._with_bucket(schema_json)).option("basePath", base).parquet(*paths).drop("v")
 
     def read(self, scd: int) -> DataFrame:
         """The committed target (as of the latest manifest)."""
@@ -234,7 +251,7 @@ class IncrementalTarget:
         t = self.latest().get("targets", {}).get(name)
         if not t:
             raise ValueError(f"{name} has no commit yet")
-        df = self._read_buckets(name, t["versions"])
+        df = self._read_buckets(name, t["versions"], t["schema"])
         schema = T.StructType.fromJson(json.loads(t["schema"]))
         if df is None:
             return self.spark.createDataFrame([], schema)
@@ -257,8 +274,8 @@ class IncrementalTarget:
         schema = T.StructType.fromJson(json.loads(states[-1]["targets"][name]["schema"]))
         keys = [*self.spec.keys, *([START_COL] if scd == 2 else [])]
 
-        def side(versions):
-            df = self._read_buckets(name, versions)
+        def side(state, versions):
+            df = self._read_buckets(name, versions, state.get("targets", {}).get(name, {}).get("schema"))
             if df is None:
                 return self.spark.createDataFrame([], schema)
             return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -268,7 +285,7 @@ class IncrementalTarget:
             moved = {b for b in old.keys() | new.keys() if old.get(b) != new.get(b)}
             if moved:
                 when = F.timestamp_micros(F.lit(int(after.get("time_us", 0))))
-                parts.append(change_feed(side({b: v for b, v in old.items() if b in moved}), side({b: v for b, v in new.items() if b in moved}),
+                parts.append(change_feed(side(before, {b: v for b, v in old.items() if b in moved}), side(after, {b: v for b, v in new.items() if b in moved}),
                                          keys, after["seq"], when))
         if not parts:
             none = self.spark.createDataFrame([], schema)
@@ -278,26 +295,25 @@ class IncrementalTarget:
             out = out.unionByName(p)
         return out
 
-    def _read_log(self, base: str | None, batches: list) -> DataFrame:
+    def _read_log(self, base: str | None, batches: list, schema_json: str) -> DataFrame:
         """The committed log: the compacted base plus the batch folders
-        written since, read by explicit paths (no listing of old folders, no
-        orphans of failed attempts)."""
-        spark = self.spark
-        parts = []
-        if base:
-            parts.append(spark.read.option("basePath", base).option("mergeSchema", "true").parquet(base))
+        written since, by explicit paths (no listing of old folders, no
+        orphans of failed attempts) and under the manifest's schema."""
+        schema = self._with_bucket(schema_json)
+        parts = [self.spark.read.schema(schema).option("basePath", base).parquet(base)] if base else []
         paths = [f"{self.log_root}/_flow={f}/_batch={b}" for f, b in batches]
         if paths:
-            parts.append(spark.read.option("basePath", self.log_root).option("mergeSchema", "true")
-                         .parquet(*paths).drop("_flow", "_batch"))
+            parts.append(self.spark.read.schema(schema).option("basePath", self.log_root).parquet(*paths).drop("_flow", "_batch"))
+        if not parts:
+            return self.spark.createDataFrame([], schema)
         out = parts[0]
         for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
+            out = out.unionByName(p)
         return out
 
     def read_log(self) -> DataFrame:
         state = self.latest()
-        return (self._read_log(state.get("log_base"), state.get("log_batches", []))
+        return (self._read_log(state.get("log_base"), state.get("log_batches", []), state["log_schema"])
                 .filter(F.col("_bucket") != QUARANTINE_BUCKET))
 
     def compact_log(self) -> bool:
@@ -315,7 +331,7 @@ class IncrementalTarget:
         if not state.get("log_batches"):
             return False
         seq = int(state["seq"]) + 1
-        log = self._read_log(state.get("log_base"), state["log_batches"])
+        log = self._read_log(state.get("log_base"), state["log_batches"], state["log_schema"])
         valid = log.filter(F.col("_bucket") != QUARANTINE_BUCKET)
         folded = merge.fold(valid, spec, max_group_rows=self.max_group_rows)
         if 2 in spec.scd_types:
@@ -328,7 +344,7 @@ class IncrementalTarget:
         (keep.unionByName(quarantined, allowMissingColumns=True)
              .hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(base))
         manifest = {"flow": "_compact", "batch": seq, "targets": state.get("targets", {}),
-                    "log_base": base, "log_batches": [], "applied": state.get("applied", {}), "time_us": time.time_ns() // 1000}
+                    "log_base": base, "log_batches": [], "log_schema": state["log_schema"], "applied": state.get("applied", {}), "time_us": time.time_ns() // 1000}
         # a batch committed meanwhile: leave compaction for the next call
         return self._commit(seq, manifest)
 
@@ -388,7 +404,7 @@ class IncrementalTarget:
     def read_quarantine(self) -> DataFrame:
         """Logged rows that could not be merged, with their reason."""
         state = self.latest()
-        return (self._read_log(state.get("log_base"), state.get("log_batches", []))
+        return (self._read_log(state.get("log_base"), state.get("log_batches", []), state["log_schema"])
                 .filter(F.col("_bucket") == QUARANTINE_BUCKET)
                 .withColumn("dq_reason", F.lit("null primary_key")))
 
