@@ -192,22 +192,47 @@ def family_rows(rng, copies, n_words, families=3):
     return rows
 
 
-@pytest.mark.parametrize(("words", "num", "den", "small", "block"), [(4, 85, 100, 24, 1024), (4, 85, 100, 3, 8), (5, 80, 100, 3, 1024), (3, 60, 100, 4, 8)])
-def test_shingle_join_matches_brute_force(spark, monkeypatch, words, num, den, small, block):
-    monkeypatch.setattr(shingle_join, "SMALL", small)
-    monkeypatch.setattr(shingle_join, "BLOCK", block)
+@pytest.mark.parametrize(("words", "num", "den", "limits"), [
+    (4, 85, 100, (6, 64, 96, 16_384, 700)), (4, 85, 100, (3, 8, 10, 8, 60)), (5, 80, 100, (24, 24, 50, 1024, 60)),
+    (5, 80, 100, (2, 500, 600, 16_384, 700)), (3, 60, 100, (4, 5, 7, 8, 60))])
+def test_shingle_join_matches_brute_force(spark, words, num, den, limits):
+    """Through every path: pairs, middle buckets, hubs, marked buckets, blocks."""
+    small = limits[0]
     rng = random.Random(small * 100 + num)
     rows = family_rows(rng, 25, 120) + [(500 + i, t) for i, t in family_rows(rng, 12, 20)] + [(800 + i, t) for i, t in family_rows(rng, 6, 900, 1)]
     common = " ".join(f"c{i}" for i in range(15))
     rows += [(900 + i, common + " " + " ".join(f"u{rng.randint(0, 9999)}" for _ in range(rng.randint(0, 8)))) for i in range(40)]
     rows += [(r[0], r[1]) for r in EDGE] + [(9100, rows[0][1].upper()), (9101, rows[0][1].replace(" ", "\n "))]
-    got = shingle_join.join_components(docs_of(spark, rows, ["n", "rep", "component", "id"]), words, num, den).collect()
+    got = shingle_join.join_components(docs_of(spark, rows, ["n", "rep", "component", "id"]), words, num, den,
+                                       limits=shingle_join.Limits(*limits)).collect()
     assert len(got) == len(rows)
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None), key=str) == brute_components(rows, words, num, den)
     nulls = [(r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is None]
     assert sorted(nulls, key=str) == sorted([(1, 9004), (0, None)], key=str)
 
 
+def test_near_pairs_keeps_every_pair_that_may_link():
+    rng = np.random.default_rng(9)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 2 ** 63, int(rng.integers(40, 1500)), dtype=np.uint64)
+        for _ in range(3):
+            sets.append(np.unique(np.concatenate([base[int(rng.integers(0, 6)):], rng.integers(0, 2 ** 63, int(rng.integers(0, 9)), dtype=np.uint64)])))
+    n = len(sets)
+    sk = np.empty(n, object)
+    for i, x in enumerate(sets):
+        sk[i] = shingle_join.sketch(x).view(np.uint64)
+    assert len({len(x) for x in sk}) >= 2
+    rows = {"n": np.array([len(x) for x in sets]), "component": np.where(rng.random(n) < 0.4, 1, np.arange(n) + 100), "sketch": sk}
+    linked = {(i, j) for i in range(n) for j in range(i) if rows["component"][i] != rows["component"][j]
+              and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    got = {tuple(sorted(p, reverse=True)) for p in shingle_join.near_pairs(rows, None, 80, 100).tolist()}
+    assert linked <= got and len(got) < 2 * len(linked) + 50 and linked
+    half = {c: v[:90] for c, v in rows.items()}, {c: v[90:] for c, v in rows.items()}
+    cross = {(j + 90, i) for i, j in shingle_join.near_pairs(*half, 80, 100).tolist()}
+    assert {p for p in linked if p[0] >= 90 > p[1]} <= cross
+
+
 def test_signatures_meet_for_every_linked_pair():
     """The pigeonhole itself, for many sizes, thresholds and allowances."""
     rng = np.random.default_rng(4)

@@ -17,11 +17,12 @@ segments of weight e + 1, so a document may leave out its empty parts with
 k = 0 unless it has more than e of them.
 
 Sets with equal content are one class from the start.  Buckets (equal
-signatures) of up to ``SMALL`` classes give their pairs.  In larger ones every
-class is first paired with the bucket's most central class; after those links
-have merged components, the bucket's remaining pairs across components are
-compared block by block inside tasks, and only pairs that a parity sketch
-cannot exclude leave the task.  A sketch (512 bits, each the parity of the
+signatures) of up to ``small`` classes give their pairs.  In those over
+``middle`` every class is first paired with the bucket's most central class.
+After those links have merged components, the remaining pairs across
+components of every bucket over ``small`` are compared block by block inside
+tasks, and only pairs that a parity sketch cannot exclude leave the task.  A
+sketch (512 bits or more, by the size of the set; each bit the parity of the
 shingles that hash to it) bounds the difference of two sets from below, so
 nothing linked is lost.  All pairs that remain are verified on the texts
 themselves, shingle by shingle.
@@ -49,9 +50,17 @@ from ..operators.sizing import checked_broadcast
 from .common import map_arrow, written
 from .components import components
 
-SKETCH_WORDS = 8          # 64-bit words of the parity sketch
-SMALL = 24                # largest bucket whose pairs are all written
-BLOCK = 1024              # classes compared at once in larger buckets
+@dataclass(frozen=True)
+class Limits:
+    """Sizes of the work units; they change plans, never results."""
+    small: int = 6            # largest bucket whose pairs are all written
+    middle: int = 64          # largest bucket that is compared without a hub
+    local_large: int = 96     # rows of a batch from which a bucket is known to be large
+    block: int = 16_384       # classes of a bucket that one task holds (twice)
+    sketch_size: int = 700    # largest set with a sketch of the least width (a doubling each beyond)
+
+
+SKETCH_WORDS, SKETCH_MOST = 8, 128  # 64-bit words of a parity sketch, least and most
 #: Cost model only: shingles that a document of any size shares by boilerplate,
 #: and the cost of a chance candidate in signatures.
 BOILERPLATE, CANDIDATE_COST = 10.0, 5.0
@@ -208,9 +217,14 @@ def signatures(tokens: np.ndarray, plan: list[Scheme], num: int, den: int) -> np
 
 # ---- tasks -----------------------------------------------------------------------
 
-def _sketch(tokens: np.ndarray) -> np.ndarray:
-    bits = np.bincount((mix(tokens, 77) >> _U(64 - 9)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def sketch(tokens: np.ndarray, size: int = Limits.sketch_size) -> np.ndarray:
+    """Parity of the shingles that hash to each bit; 64-bit words.  Halving a
+    sketch (first half XOR second half) gives that of half as many bits."""
+    words = SKETCH_WORDS
+    while len(tokens) > size * words // SKETCH_WORDS and words < SKETCH_MOST:
+        words *= 2
+    bits = np.bincount((mix(tokens, 77) & _U(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _bytes(scalar) -> bytes:
@@ -218,7 +232,7 @@ def _bytes(scalar) -> bytes:
     return v.encode("utf-8", "surrogatepass") if v else b""
 
 
-def _describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], words: int, limits: Limits) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.list_(pa.int64()))])
     for b in batches:
         n, h1, h2, sk = [], [], [], []
@@ -227,12 +241,12 @@ def _describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             n.append(len(t))
             h1.append(int(mix(t, 1).sum(dtype=np.uint64).astype(np.int64)))
             h2.append(int(mix(t, 2).sum(dtype=np.uint64).astype(np.int64)))
-            sk.append(_sketch(t).tolist())
+            sk.append(sketch(t, limits.sketch_size).tolist())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
                                           pa.array(sk, pa.list_(pa.int64()))], schema=schema)
 
 
-def _index(batches: Iterator[pa.RecordBatch], words: int, plan: list[Scheme], num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _index(batches: Iterator[pa.RecordBatch], words: int, plan: list[Scheme], num: int, den: int, limits: Limits) -> Iterator[pa.RecordBatch]:
     """Rows (part, doc, sig): the shuffle key, a document, and null, or for
     documents of a bucket that is large in this batch already the signature
     (those rows are dealt by document, and one more row with sig 0 tells the
@@ -260,8 +274,8 @@ def _index(batches: Iterator[pa.RecordBatch], words: int, plan: list[Scheme], nu
         sig, doc = sig[order], doc[order]
         run = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         size = np.diff(np.concatenate([run, [len(sig)]]))
-        large = np.repeat(size > 4 * SMALL, size)
-        first = run[size > 4 * SMALL]
+        large = np.repeat(size > limits.local_large, size)
+        first = run[size > limits.local_large]
         spread = mix(doc[large].view(np.uint64) ^ sig[large].view(np.uint64), 9).view(np.int64)
         part = np.concatenate([sig[~large], sig[first], spread])
         who = np.concatenate([doc[~large], doc[first], doc[large]])
@@ -273,14 +287,20 @@ def _index(batches: Iterator[pa.RecordBatch], words: int, plan: list[Scheme], nu
             yield pa.RecordBatch.from_arrays([pa.array(part[c]), pa.array(who[c]), pa.array(mark[c], mask=null[c])], schema=schema)
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by ``part`` to pairs (null, a, b) of small buckets and
-    members (sig, doc, null) of large ones.  A bucket that spans batches is
-    carried; once large, its rows pass through."""
-    schema = pa.schema([("sig", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+PAIR, MEMBER, CROWD = 0, 1, 2
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by ``part`` to (kind, sig, a, b): pairs (a, b) of buckets up
+    to ``small``, members a of buckets up to ``middle``, and members a of
+    larger ones.  A bucket that spans batches is carried while it is small
+    enough; after that its rows pass through."""
+    schema = pa.schema([("kind", pa.int32()), ("sig", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
-    def members(sig, doc):
-        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(doc), pa.nulls(len(sig), pa.int64())], schema=schema)
+    def rows(kind, sig, a, b=None):
+        n = len(a)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.nulls(n, pa.int64()) if sig is None else pa.array(sig), pa.array(a),
+                                           pa.nulls(n, pa.int64()) if b is None else pa.array(b)], schema=schema)
 
     def close(sig, doc, is_large):
         """Whole buckets, sorted."""
@@ -288,21 +308,23 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
         run = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         size = np.diff(np.concatenate([run, [len(sig)]]))
-        big = (size > SMALL) | np.logical_or.reduceat(is_large, run)
-        if big.any():
-            at = np.repeat(big, size)
-            yield members(sig[at], doc[at])
+        crowd = (size > limits.middle) | np.logical_or.reduceat(is_large, run)
+        for kind, chosen in ((CROWD, crowd), (MEMBER, ~crowd & (size > limits.small))):
+            at = np.repeat(chosen, size)
+            if at.any():
+                yield rows(kind, sig[at], doc[at])
         pairs = []
-        for k in np.unique(size[~big]):
+        small = ~crowd & (size <= limits.small)
+        for k in np.unique(size[small]):
             if k > 1:
-                rows = run[(size == k) & ~big]
+                first = run[(size == k) & small]
                 i, j = np.triu_indices(int(k), 1)
-                a, b = doc[rows[:, None] + i].ravel(), doc[rows[:, None] + j].ravel()
+                a, b = doc[first[:, None] + i].ravel(), doc[first[:, None] + j].ravel()
                 pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
         if pairs:
             p = np.concatenate(pairs)
             p = np.unique(p[p[:, 0] != p[:, 1]], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(p), pa.int64()), pa.array(p[:, 0]), pa.array(p[:, 1])], schema=schema)
+            yield rows(PAIR, None, p[:, 0], p[:, 1])
 
     held_sig, held_doc, held_large = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     open_large = None  # signature of a large bucket whose earlier rows were passed through
@@ -312,7 +334,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = b.column(2).fill_null(0).to_numpy()
         direct = known & (mark != 0)
         if direct.any():
-            yield members(mark[direct], doc[direct])
+            yield rows(CROWD, mark[direct], doc[direct])
         rest = ~direct
         sig = np.concatenate([held_sig, part[rest]])
         doc = np.concatenate([held_doc, doc[rest]])
@@ -320,53 +342,113 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if open_large is not None and len(sig):
             of = sig == open_large
             if of.any():
-                yield members(sig[of], doc[of])
+                yield rows(CROWD, sig[of], doc[of])
             if not of.all():
                 open_large = None
             sig, doc, big = sig[~of], doc[~of], big[~of]
-        if not len(sig):
-            held_sig, held_doc, held_large = sig, doc, big
-            continue
-        last = np.searchsorted(sig, sig[-1])
-        yield from close(sig[:last], doc[:last], big[:last])
-        sig, doc, big = sig[last:], doc[last:], big[last:]
-        if len(sig) > SMALL or big.any():
-            yield members(sig, doc)
-            open_large = int(sig[0])
-            sig, doc, big = sig[:0], doc[:0], big[:0]
+        if len(sig):
+            last = np.searchsorted(sig, sig[-1])
+            yield from close(sig[:last], doc[:last], big[:last])
+            sig, doc, big = sig[last:], doc[last:], big[last:]
+            if len(sig) > limits.middle or big.any():
+                yield rows(CROWD, sig, doc)
+                open_large = int(sig[0])
+                sig, doc, big = sig[:0], doc[:0], big[:0]
         held_sig, held_doc, held_large = sig, doc, big
     yield from close(held_sig, held_doc, held_large)
 
 
+def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def near_pairs(left: dict, right: dict | None, num: int, den: int) -> np.ndarray:
+    """Index pairs (i of left, j of right; of left with itself if right is
+    None) of different components that sizes and sketches cannot exclude.
+    Every pair has a member outside the most frequent component, so only
+    those are compared with the others."""
+    parts, counts = np.unique(np.concatenate([left["component"], *([] if right is None else [right["component"]])]), return_counts=True)
+    if len(parts) < 2:
+        return np.zeros((0, 2), np.int64)
+    main, out = parts[counts.argmax()], []
+    width = lambda rows: np.array([len(x) for x in rows["sketch"]])
+
+    def search(from_rows, pick, to_rows, flip, own, out):
+        from_width, to_width = width(from_rows)[pick], width(to_rows)
+        for w in np.unique(from_width):
+            mine = pick[from_width == w]
+            for v in np.unique(to_width):
+                theirs = np.flatnonzero(to_width == v)
+                n, comp = to_rows["n"][theirs], to_rows["component"][theirs]
+                if v * 2 < w or w * 2 < v:
+                    sk_m = sk_t = None  # of too different sizes for any link over one half
+                else:
+                    sk_m = _folded(np.stack(from_rows["sketch"][mine]), min(v, w))
+                    sk_t = _folded(np.stack(to_rows["sketch"][theirs]), min(v, w))
+                step = max(1, 200_000 // max(len(theirs), 1))
+                for c in range(0, len(mine), step):
+                    m = mine[c:c + step]
+                    a = from_rows["n"][m][:, None]
+                    ok = (comp != from_rows["component"][m][:, None]) & (den * np.minimum(a, n) >= num * np.maximum(a, n))
+                    if own:  # each pair of two outside the main component once
+                        ok &= (theirs > m[:, None]) | (comp == main)
+                    i, j = np.nonzero(ok)
+                    if len(i) and sk_m is not None:
+                        far = np.bitwise_count(sk_t[j] ^ sk_m[c + i]).sum(1)
+                        near = far <= (from_rows["n"][m][i] + n[j]) * (den - num) // (den + num)
+                        i, j = i[near], j[near]
+                    if len(i):
+                        found = np.stack([m[i], theirs[j]], 1)
+                        out.append(found[:, ::-1] if flip else found)
+
+    outside = np.flatnonzero(left["component"] != main)
+    if right is None:
+        search(left, outside, left, False, True, out)
+    else:
+        search(left, outside, right, False, False, out)
+        # the rest: right rows outside the main component with left rows inside it
+        inside = np.flatnonzero(left["component"] == main)
+        more: list[np.ndarray] = []
+        search(right, np.flatnonzero(right["component"] != main), {c: v[inside] for c, v in left.items()}, True, False, more)
+        out += [np.stack([inside[p[:, 0]], p[:, 1]], 1) for p in more]
+    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+
 def _compare(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Rows (sig, x, y, side, doc, component, n, sketch) sorted by bucket and
     block pair (x, y): pairs across components that sizes and sketches cannot
-    exclude.  At most two blocks are held."""
+    exclude.  At most two blocks are held, and the last pairs given, so that
+    pairs of several buckets of a task are given once."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    given: set[tuple[int, int]] = set()
 
     def block(rows: dict) -> Iterator[pa.RecordBatch]:
-        left, right = rows["side"] == 0, rows["side"] == 1
-        both = not right.any()  # a block with itself
-        li = np.flatnonzero(left)
-        ri = li if both else np.flatnonzero(right)
-        found = []
-        for i in li:
-            other = ri[ri > i] if both else ri
-            n, m = rows["n"][i], rows["n"][other]
-            ok = (rows["component"][other] != rows["component"][i]) & (den * np.minimum(n, m) >= num * np.maximum(n, m))
-            other = other[ok]
-            if len(other):
-                far = np.bitwise_count(rows["sketch"][other] ^ rows["sketch"][i]).sum(1)
-                other = other[far <= (n + rows["n"][other]) * (den - num) // (den + num)]
-                found += [(min(x, y), max(x, y)) for x, y in zip([int(rows["doc"][i])] * len(other), rows["doc"][other].tolist(), strict=True)]
-        if found:
-            p = np.array(sorted(set(found)), np.int64)
+        first = {c: v[rows["side"] == 0] for c, v in rows.items()}
+        second = {c: v[rows["side"] == 1] for c, v in rows.items()}
+        own = not len(second["doc"])  # a block with itself
+        if not len(first["doc"]):
+            return
+        p = near_pairs(first, None if own else second, num, den)
+        if len(p):
+            a, b = first["doc"][p[:, 0]], (first if own else second)["doc"][p[:, 1]]
+            if len(given) > 500_000:
+                given.clear()
+            new = {*zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)} - given
+            given.update(new)
+            p = np.array(sorted(new), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], schema=schema)
 
     held = None
     for b in batches:
         rows = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "x", "y", "side", "doc", "component", "n")}
-        rows["sketch"] = b.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)
+        values = b.column("sketch").flatten().to_numpy().view(np.uint64)
+        ends = np.cumsum(b.column("sketch").value_lengths().to_numpy())
+        rows["sketch"] = np.empty(len(ends), object)
+        for i, (at, end) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)):
+            rows["sketch"][i] = values[at:end]
         if held is not None:
             rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
         new = np.logical_or.reduce([rows[c][1:] != rows[c][:-1] for c in ("sig", "x", "y")])
@@ -406,7 +488,11 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, n
     """Verified pairs of ``pairs`` (a < b, class ids): sizes and sketches
     first, then the texts of the documents still needed."""
     side = lambda s: classes.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
-    far = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    half = lambda c: F.zip_with(F.slice(c, 1, (F.size(c) / 2).cast("int")), F.slice(c, (F.size(c) / 2).cast("int") + 1, (F.size(c) / 2).cast("int")), lambda x, y: x.bitwiseXOR(y))
+    fold = lambda c, other: F.when(F.size(c) == 2 * F.size(other), half(F.col(c))).otherwise(F.col(c))
+    bits = F.aggregate(F.zip_with(fold("sa", "sb"), fold("sb", "sa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    same_width = (F.size("sa") <= 2 * F.size("sb")) & (F.size("sb") <= 2 * F.size("sa"))
+    far = F.when(same_width, bits).otherwise(0)
     near = (pairs.join(side("a"), "a").join(side("b"), "b")
             .filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
             .filter(far <= F.floor((F.col("na") + F.col("nb")) * (den - num) / (den + num))).select("a", "b"))
@@ -418,10 +504,11 @@ def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, n
     return written(map_arrow(with_texts.select("a", "b", "ta", "tb"), lambda it: _verify(it, words, num, den), "a long, b long"), f"{name}-links")
 
 
-def join_components(docs: DataFrame, words: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join_components(docs: DataFrame, words: int, num: int, den: int, id_col: str = "doc_id", text_col: str = "text",
+                    limits: Limits = Limits()) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    base = written(map_arrow(texts, lambda it: _describe(it, words), "id long, n long, h1 long, h2 long, sketch array<long>"), "join-base")
+    base = written(map_arrow(texts, lambda it: _describe(it, words, limits), "id long, n long, h1 long, h2 long, sketch array<long>"), "join-base")
     key = ["n", "h1", "h2"]
     classes = written(base.filter("n > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch")), "join-classes")
     # one class per id: rows that repeat an id under different texts meet here
@@ -429,30 +516,35 @@ def join_components(docs: DataFrame, words: int, num: int, den: int, id_col: str
 
     stats = classes.groupBy(F.floor(4 * F.log2("n")).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("top")).collect()
     plan = schemes(max([r["top"] for r in stats], default=0), {r["k"]: r["c"] for r in stats}, num, den)
-    rows = map_arrow(texts, lambda it: _index(it, words, plan, num, den), "part long, doc long, sig long")
-    found = map_arrow(rows.repartition("part").sortWithinPartitions("part"), _buckets, "sig long, a long, b long")
+    rows = map_arrow(texts, lambda it: _index(it, words, plan, num, den, limits), "part long, doc long, sig long")
+    found = map_arrow(rows.repartition("part").sortWithinPartitions("part"), lambda it: _buckets(it, limits), "kind int, sig long, a long, b long")
     found = written(found, "join-buckets")
 
     ordered = lambda p: p.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    member = written(_as_classes(found.filter("b is null").select("sig", F.col("a").alias("doc")), copies, "doc").distinct(), "join-members")
-    size = member.groupBy("sig").agg(F.count(F.lit(1)).alias("c"))
-    central = member.join(size, "sig").groupBy("doc").agg(F.sum("c").alias("c"))
-    hub = member.join(central, "doc").groupBy("sig").agg(F.max(F.struct("c", F.negative("doc").alias("d"))).alias("m")).select("sig", F.negative("m.d").alias("hub"))
-    star = member.join(hub, "sig").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
-    small = _as_classes(found.filter("b is not null").select("a", "b").distinct(), copies, "a", "b")
+    member = _as_classes(found.filter(F.col("kind") == MEMBER).select("sig", F.col("a").alias("doc")), copies, "doc")
+    crowd = written(_as_classes(found.filter(F.col("kind") == CROWD).select("sig", F.col("a").alias("doc")), copies, "doc").distinct(), "join-crowds")
+    size = written(crowd.groupBy("sig").agg(F.count(F.lit(1)).alias("c")), "join-sizes")
+    central = crowd.join(size, "sig").groupBy("doc").agg(F.sum("c").alias("c"))
+    hub = written(crowd.join(central, "doc").groupBy("sig").agg(F.max(F.struct("c", F.negative("doc").alias("d"))).alias("m"))
+                  .select("sig", F.negative("m.d").alias("hub")), "join-hubs")
+    star = crowd.join(hub, "sig").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+    small = _as_classes(found.filter(F.col("kind") == PAIR).select("a", "b").distinct(), copies, "a", "b")
     tried = written(ordered(small.unionByName(star)), "join-pairs")
     links = _links(tried, classes, texts, words, num, den, "join-1")
 
     first = written(components(links), "join-components")
-    mixed = written(member.join(first.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), "join-mixed")
-    open_sigs = mixed.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    left = (mixed.join(open_sigs.select("sig", blocks.alias("_blocks")), "sig").join(classes.select(F.col("rep").alias("doc"), "n", "sketch"), "doc")
-            .withColumn("_own", F.pmod(F.xxhash64("doc"), F.col("_blocks")).cast("int"))
-            .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-            .select("sig", F.least("_own", "_with").alias("x"), F.greatest("_own", "_with").alias("y"),
-                    F.when(F.col("_own") <= F.col("_with"), 0).otherwise(1).alias("side"), "doc", "component", "n", "sketch"))
-    more = map_arrow(left.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y"), lambda it: _compare(it, num, den), "a long, b long")
+    state = written(classes.select(F.col("rep").alias("doc"), "n", "sketch").join(first.select(F.col("node").alias("doc"), "component"), "doc", "left")
+                    .withColumn("component", F.coalesce("component", "doc")), "join-state")
+    part = crowd.join(state.select("doc", "component"), "doc").groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
+    blocks = part.select("sig").join(size.select("sig", F.ceil(F.col("c") / limits.block).cast("int").alias("_blocks")), "sig")
+    # a bucket's pairs with its hub have been tried
+    spread = (crowd.join(blocks.join(hub, "sig"), "sig").filter("doc != hub").withColumn("_own", F.pmod(F.xxhash64("doc"), F.col("_blocks")).cast("int"))
+              .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+              .select("sig", "doc", F.least("_own", "_with").alias("x"), F.greatest("_own", "_with").alias("y"),
+                      F.when(F.col("_own") <= F.col("_with"), 0).otherwise(1).alias("side")))
+    every = spread.unionByName(member.withColumns({"x": F.lit(0), "y": F.lit(0), "side": F.lit(0)})).join(state, "doc")
+    every = every.select("sig", "x", "y", "side", "doc", "component", "n", "sketch")
+    more = map_arrow(every.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y"), lambda it: _compare(it, num, den), "a long, b long")
     more = written(ordered(more).join(tried, ["a", "b"], "left_anti"), "join-more")
     if more.limit(1).count():
         links = written(links.unionByName(_links(more, classes, texts, words, num, den, "join-2")), "join-links")
