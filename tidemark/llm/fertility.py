@@ -2,8 +2,8 @@
 
 Two public vocabularies measure every whole text: the byte-level one for many
 languages gives characters per token and the entropy of the token
-distribution, the piece vocabulary gives the share of byte-fallback tokens
-(each word encoded on its own).  Rejection bands are set per language (the
+distribution, the piece vocabulary gives the byte-fallback share: the share
+of characters that it has no piece for and spells in bytes.  Rejection bands are set per language (the
 script where the language is null) and length class, from all documents: the
 median, plus or minus a multiple of the distance from the median to the
 quartile on the side that junk does not reach.  Length classes are half
@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, written
+from .ngrams import code_points
 from .shingle_join import _SPACE, mix, word_hashes
 
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -41,13 +42,12 @@ LEAST_ROWS = 50
 #: Half-widths of the bands in quartile distances, and the least half-width.
 CHARS_WIDTH, CHARS_LEAST = 6.0, 0.12
 ENTROPY_WIDTH, ENTROPY_LEAST = 6.0, 0.35
-BYTES_WIDTH, BYTES_LEAST = 10.0, 0.03
+BYTES_WIDTH, BYTES_LEAST = 10.0, 0.02
 SHORT, SHORT_ENTROPY = 64, 0.6
 MEASURES = ("chars_per_token", "token_entropy", "byte_share")
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_MAX_RUN = 2000  # longer runs without white space are measured in pieces of this size
 
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, "
           "chars_per_token double, token_entropy double, byte_share double")
@@ -71,10 +71,10 @@ def base_measures(text: str) -> tuple[int, int, int, int, int]:
 
 
 class Vocabularies:
-    """The two vocabularies of one Python worker; the word cache is bounded
-    and only saves time."""
+    """The two vocabularies of one Python worker, and what is known so far
+    about which characters fall back to bytes (one byte per code point)."""
 
-    def __init__(self, bytes_path: str, pieces_path: str, max_words: int = 400_000):
+    def __init__(self, bytes_path: str, pieces_path: str):
         import public_tokenizers
         import sentencepiece
         import tiktoken
@@ -83,38 +83,27 @@ class Vocabularies:
             ranks = {base64.b64decode(a): int(r) for a, r in map(bytes.split, f)}
         self.bytes = tiktoken.Encoding("byte_bpe_multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
-        self.fallback = frozenset(i for i in range(self.pieces.get_piece_size()) if self.pieces.is_byte(i))
-        self.words: dict[str, int] = {}
-        self.max_words = max_words
+        self.spelt = np.full(0x110000, -1, np.int8)  # -1 unknown, 0 has a piece, 1 spelt in bytes
 
     def entropy(self, text: str) -> tuple[int, float]:
         """Tokens, and bits per token of their distribution."""
-        parts = [text]
-        if len(text) > _MAX_RUN:
-            parts = [w[i:i + _MAX_RUN] for w in _long_runs(text) for i in range(0, len(w), _MAX_RUN)] if any(len(w) > _MAX_RUN for w in text.split()) else [text]
-        ids = np.concatenate([self.bytes.encode_to_numpy(p, disallowed_special=()) for p in parts]) if text else np.zeros(0, np.uint32)
+        ids = np.array(self.bytes.encode_ordinary(text), np.int64)
         if not len(ids):
             return 0, 0.0
         n = np.unique(ids, return_counts=True)[1] / len(ids)
         return len(ids), float(-(n * np.log2(n)).sum()) + 0.0
 
     def fallback_share(self, text: str) -> float:
-        words = text.split()
-        new = [w for w in set(words).difference(self.words)]
-        fresh = {}
-        if new:
-            cut = [(w, w[i:i + _MAX_RUN]) for w in new for i in range(0, len(w), _MAX_RUN)]
-            for (w, _), ids in zip(cut, self.pieces.encode([part for _, part in cut], num_threads=1), strict=True):
-                fresh[w] = fresh.get(w, 0) + (len(ids) << 32 | sum(i in self.fallback for i in ids))
-            if len(self.words) < self.max_words:
-                self.words.update((w, v) for w, v in fresh.items() if len(w) <= 40)
-        known = self.words.get
-        total = sum([known(w) or fresh[w] for w in words])
-        return (total & 0xFFFFFFFF) / (total >> 32) if total >> 32 else 0.0
-
-
-def _long_runs(text: str) -> list[str]:
-    return [w + " " for w in text.split()]
+        points = code_points(text).astype(np.int64)
+        if not len(points):
+            return 0.0
+        spelt = self.spelt[points]
+        if (spelt < 0).any():
+            for p in np.unique(points[spelt < 0]).tolist():
+                ids = self.pieces.encode(chr(p)) if not 0xD800 <= p < 0xE000 else []
+                self.spelt[p] = any(self.pieces.is_byte(i) for i in ids)
+            spelt = self.spelt[points]
+        return float(spelt.mean())
 
 
 _LOADED: dict[tuple, Vocabularies] = {}
