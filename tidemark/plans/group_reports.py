@@ -20,9 +20,13 @@ from . import config as C
 from .reports import LATENCY_SCHEMA, _short, _union, latency_rows, latency_summary
 
 # Layout of the reconciliation report table.
-RECON_ROW = T.StructType.fromDDL(
-    "dataset_id string, source_id string, table_group_no int, source_schema string, source_table string, "
-    "target_table string, source_count bigint, target_count bigint, diff bigint, status string, message string, event_ts timestamp")
+RECON_ROW = T.StructType([
+    T.StructField("dataset_id", T.StringType()), T.StructField("source_id", T.StringType()),
+    T.StructField("table_group_no", T.IntegerType()), T.StructField("source_schema", T.StringType()),
+    T.StructField("source_table", T.StringType()), T.StructField("target_table", T.StringType()),
+    T.StructField("source_count", T.LongType()), T.StructField("target_count", T.LongType()),
+    T.StructField("diff", T.LongType()), T.StructField("status", T.StringType()),
+    T.StructField("message", T.StringType()), T.StructField("event_ts", T.TimestampType())])
 
 
 def datasets_of(meta: dict, source: str, group="ALL", dataset_list="ALL") -> list[Row]:
