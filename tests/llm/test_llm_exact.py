@@ -74,6 +74,32 @@ def test_fertility_rejects_junk_and_keeps_clean(spark):
     assert np.mean([kept[i] for i in range(300)]) > 0.97 and not any(kept[1000 + i] for i in range(30))
 
 
+def test_fertility_counts_byte_tokens_of_the_whole_text(spark):
+    import public_tokenizers
+    v = fertility.Vocabularies(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"), max_words=50)
+    rng = random.Random(12)
+    syll = ["ta", "re", "mi", "on", "el", "st", "an", "or"]
+    word = lambda: "".join(rng.choice(syll) for _ in range(rng.randint(1, 4)))
+    marked = lambda share: " ".join(word() + ("\ue000" if rng.random() < share else "") for _ in range(200))
+    for t in [marked(x) for x in (0, 0.05, 0.2, 1)] + ["", " \n", "\ue000", "a\n\tb\ue001\ue001 中\x85", "x\ue000" * 30_000, "\u1100\u1161 e\u0301"]:
+        ids = [i for w in re.findall(r"[^\x20\x09-\x0d]+", t) for i in v.pieces.encode(w)]
+        assert v.fallback_share(t) == pytest.approx(sum(v.pieces.is_byte(i) for i in ids) / max(1, len(ids)))
+    rows = [(i, marked(0)) for i in range(300)] + [(1000 + i, marked(0.06)) for i in range(30)]
+    kept = {r["doc_id"]: r["kept"] for r in fertility.judge(docs_of(spark, rows)).collect()}
+    assert np.mean([kept[i] for i in range(300)]) > 0.97 and not any(kept[1000 + i] for i in range(30))
+
+
+def test_fertility_small_bands_use_all_documents(spark):
+    rng = random.Random(13)
+    syll = ["ta", "re", "mi", "on", "el", "st", "an", "or"]
+    clean = lambda n: " ".join("".join(rng.choice(syll) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    junk = " ".join(w + "%$#" for w in clean(200).split())
+    docs = docs_of(spark, [(i, clean(200)) for i in range(300)] + [(900, junk), (901, clean(200)), (902, clean(40))])
+    rare = docs.withColumn("lang", F.when(F.col("doc_id") >= 900, "xx").otherwise(F.col("lang")))
+    kept = {r["doc_id"]: r["kept"] for r in fertility.judge(rare).collect()}
+    assert (kept[900], kept[901], kept[902]) == (False, True, True)
+
+
 def test_script_bands(spark):
     df = spark.createDataFrame([("hello",), ("привет",), ("中文",), ("123",), (None,)], "t string")
     assert [r[0] for r in df.select(F.coalesce(fertility.script(F.col("t")), F.lit("other"))).collect()] == ["Latin", "Cyrillic", "Han", "other", "other"]

@@ -2,15 +2,17 @@
 
 Two public vocabularies measure every whole text: the byte-level one for many
 languages gives characters per token and the entropy of the token
-distribution, the piece vocabulary gives the byte-fallback share: the share
-of characters that it has no piece for and spells in bytes.  Rejection bands are set per language (the
+distribution, the piece vocabulary gives the share of byte-fallback tokens
+among all tokens of the words (each word encoded on its own; white space is
+not counted).  Rejection bands are set per language (the
 script where the language is null) and length class, from all documents: the
 median, plus or minus a multiple of the distance from the median to the
 quartile on the side that junk does not reach.  Length classes are half
 octaves of the token count.  In a class with fewer than ``LEAST_ROWS``
 documents the limits of characters per token and byte share are those of the
 language over all lengths, and that of the entropy those of the length class
-over all languages; with fewer there, nothing is rejected.  Texts under ``SHORT`` tokens have noisy measures: their
+over all languages; with fewer there, those of all documents (the entropy then
+at most a share of what the length class can reach).  Texts under ``SHORT`` tokens have noisy measures: their
 band of characters per token is twice as wide, and their entropy is held
 against a share of the most it can be.
 
@@ -26,6 +28,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, written
+from .common import WORD, map_arrow, written
 from .ngrams import code_points
 from .shingle_join import _SPACE, mix, word_hashes
 
@@ -42,10 +45,11 @@ LEAST_ROWS = 50
 #: Half-widths of the bands in quartile distances, and the least half-width.
 CHARS_WIDTH, CHARS_LEAST = 6.0, 0.12
 ENTROPY_WIDTH, ENTROPY_LEAST = 6.0, 0.35
-BYTES_WIDTH, BYTES_LEAST = 10.0, 0.02
+BYTES_WIDTH, BYTES_LEAST = 10.0, 0.03
 SHORT, SHORT_ENTROPY = 64, 0.6
 MEASURES = ("chars_per_token", "token_entropy", "byte_share")
 
+_WORDS = re.compile(WORD)
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -71,10 +75,11 @@ def base_measures(text: str) -> tuple[int, int, int, int, int]:
 
 
 class Vocabularies:
-    """The two vocabularies of one Python worker, and what is known so far
-    about which characters fall back to bytes (one byte per code point)."""
+    """The two vocabularies of one Python worker; the word cache is bounded
+    and only saves time, as does the table of the characters that have a
+    piece (one byte per code point)."""
 
-    def __init__(self, bytes_path: str, pieces_path: str):
+    def __init__(self, bytes_path: str, pieces_path: str, max_words: int = 200_000):
         import public_tokenizers
         import sentencepiece
         import tiktoken
@@ -83,7 +88,11 @@ class Vocabularies:
             ranks = {base64.b64decode(a): int(r) for a, r in map(bytes.split, f)}
         self.bytes = tiktoken.Encoding("byte_bpe_multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
-        self.spelt = np.full(0x110000, -1, np.int8)  # -1 unknown, 0 has a piece, 1 spelt in bytes
+        self.fallback = frozenset(i for i in range(self.pieces.get_piece_size()) if self.pieces.is_byte(i))
+        self.spelt = np.full(0x110000, -1, np.int8)  # -1 unknown, 0 has a piece, 1 alone it is spelt in bytes
+        self.spelt[[*range(0x09, 0x0E), 0x20]] = 0   # white space is in no word
+        self.words: dict[str, tuple[int, int]] = {}
+        self.max_words = max_words
 
     def entropy(self, text: str) -> tuple[int, float]:
         """Tokens, and bits per token of their distribution."""
@@ -94,16 +103,25 @@ class Vocabularies:
         return len(ids), float(-(n * np.log2(n)).sum()) + 0.0
 
     def fallback_share(self, text: str) -> float:
+        """Byte-fallback tokens over tokens of the words of the whole text.
+
+        The vocabulary does not rewrite characters, and one that has a piece
+        of its own is never spelt in bytes: a text of such characters only
+        has the share 0, whatever its tokens are.
+        """
         points = code_points(text).astype(np.int64)
-        if not len(points):
+        unknown = np.unique(points[self.spelt[points] < 0])
+        for p in unknown.tolist():
+            self.spelt[p] = 0xD800 <= p < 0xE000 or any(i in self.fallback for i in self.pieces.encode(chr(p)))
+        if not self.spelt[points].any():
             return 0.0
-        spelt = self.spelt[points]
-        if (spelt < 0).any():
-            for p in np.unique(points[spelt < 0]).tolist():
-                ids = self.pieces.encode(chr(p)) if not 0xD800 <= p < 0xE000 else []
-                self.spelt[p] = any(self.pieces.is_byte(i) for i in ids)
-            spelt = self.spelt[points]
-        return float(spelt.mean())
+        words = _WORDS.findall(text.encode("utf-8", "replace").decode())
+        new = list(set(words).difference(self.words))
+        fresh = {w: (len(ids), sum(i in self.fallback for i in ids)) for w, ids in zip(new, self.pieces.encode(new, num_threads=1), strict=True)}
+        of = [self.words.get(w) or fresh[w] for w in words]
+        if len(self.words) < self.max_words:
+            self.words.update((w, n) for w, n in fresh.items() if len(w) <= 40)
+        return sum(b for _, b in of) / sum(n for n, _ in of)
 
 
 _LOADED: dict[tuple, Vocabularies] = {}
@@ -152,25 +170,29 @@ def _quartiles(rows: DataFrame, *by: str) -> DataFrame:
 
 def bands(measured: DataFrame) -> DataFrame:
     """One row per band and length class: the least and most that each
-    measure may be (null: no limit)."""
+    measure may be (null: no limit of its own)."""
     rows = measured.filter("n_tokens > 0")
     own = _quartiles(rows, "band", "length_class").select("band", "length_class", F.struct("n", *MEASURES).alias("_own"))
     by_band = _quartiles(rows, "band").select("band", F.struct("n", *MEASURES).alias("_band"))
     by_length = _quartiles(rows, "length_class").select("length_class", F.struct("n", *MEASURES).alias("_length"))
-    j = own.join(by_band, "band").join(by_length, "length_class")
+    every = _quartiles(rows).select(F.struct("n", *MEASURES).alias("_all"))  # one row
+    j = own.join(by_band, "band").join(by_length, "length_class").crossJoin(F.broadcast(every))
     wide = {"chars_per_token": "_band", "byte_share": "_band", "token_entropy": "_length"}
 
     def at(c, i):
         use = F.when(F.col("_own.n") >= LEAST_ROWS, F.col(f"_own.{c}")).when(F.col(f"{wide[c]}.n") >= LEAST_ROWS, F.col(f"{wide[c]}.{c}"))
-        return F.get(use, F.lit(i))
+        return F.get(use.otherwise(F.col(f"_all.{c}")), F.lit(i))
     short = F.col("length_class") < int(2 * np.log2(SHORT))
 
     def half(c, width, least):  # junk lies below the median: the upper quartile gives the spread
         return F.greatest(width * (at(c, 2) - at(c, 1)), F.lit(least))
     chars = half("chars_per_token", CHARS_WIDTH, CHARS_LEAST) * F.when(short, 2.0).otherwise(1.0)
+    entropy = at("token_entropy", 1) - half("token_entropy", ENTROPY_WIDTH, ENTROPY_LEAST)
+    # entropy grows with the length: the limit of all documents may be out of reach of a short class
+    entropy = F.when(F.greatest("_own.n", "_length.n") >= LEAST_ROWS, entropy).otherwise(F.least(entropy, SHORT_ENTROPY * F.col("length_class") / 2))
     return j.select("band", "length_class", (at("chars_per_token", 1) - chars).alias("chars_per_token_least"),
                     (at("chars_per_token", 1) + F.greatest(2 * chars, F.lit(4 * CHARS_LEAST))).alias("chars_per_token_most"),
-                    F.when(~short, at("token_entropy", 1) - half("token_entropy", ENTROPY_WIDTH, ENTROPY_LEAST)).alias("token_entropy_least"),
+                    F.when(~short, entropy).alias("token_entropy_least"),
                     (at("byte_share", 1) + half("byte_share", BYTES_WIDTH, BYTES_LEAST)).alias("byte_share_most"))
 
 
