@@ -227,3 +227,21 @@ def test_anchors_are_context_free(spark):
     assert a <= b and 30 <= len(a) <= 70
     m = syncmers.positional_matches(df.filter("doc_id = 1"), df.filter("doc_id = 2")).orderBy(F.desc("n")).first()
     assert m["n"] >= 0.8 * len(a)
+
+
+def test_short_texts_without_syncmers_are_not_alike(spark, tmp_path):
+    from tidemark.llm.queries import QUERIES
+    rng = random.Random(10)
+    short = [" ".join(f"v{rng.randint(0, 9999)}" for _ in range(n)) for n in range(9, 15) for _ in range(40)]
+    bare = [t for t in short if not brute_anchors(t)]
+    assert len(bare) > 20
+    texts = list(enumerate(bare)) + [(1000, ""), (1001, " \n"), (1002, bare[0]), (1003, bare[0])]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op9_closed_syncmers"](spark, str(tmp_path)).collect()}
+    for i, t in enumerate(bare):
+        tok = [signed(xx(w.encode())) for w in t.split()]
+        least = min(signed(chain(tok[k:k + syncmers.K])) for k in range(len(tok) - syncmers.K + 1))
+        assert got[i]["fingerprint"] == f"{least & 0xFFFFFFFF:08x}"
+        assert got[i]["near_next"] == 0.0  # different texts, and the empty text after the last
+    assert got[1000]["fingerprint"] == got[1001]["fingerprint"] == "" and got[1000]["near_next"] == 1.0
+    assert got[1001]["near_next"] == 0.0 and got[1002]["near_next"] == 1.0

@@ -102,7 +102,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_closed_syncmers")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return syncmers.fingerprints(read_table(spark, sf_dir, "documents"))
+    return syncmers.fingerprints(read_table(spark, sf_dir, "documents"), stand_in=True)
 
 
 @register("op2_certified_packing")

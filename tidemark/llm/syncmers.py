@@ -11,7 +11,10 @@ the 32-bit hashes of the chosen k-mers, in text order, as hexadecimal text.
 DataFrame functions only.  Defined cases: a null text counts as empty; a text
 without tokens has the empty fingerprint; one with fewer tokens than a k-mer
 has one anchor, the hash of all its tokens; the likeness of two fingerprints
-is the Jaccard coefficient of their anchor sets, 1 if both are empty.
+is the Jaccard coefficient of their anchor sets, 1 if both are empty.  A text
+of 9 to 14 tokens may have no closed syncmer.  With ``stand_in`` (the query)
+its smallest k-mer is then its anchor, so that only texts without tokens have
+the empty fingerprint; without, such a text has it too.
 """
 
 from __future__ import annotations
@@ -29,14 +32,18 @@ SLICE_ROWS = 5_000
 MAX_SLICES = 4096
 
 
-def anchors(text: Column, k: int = K) -> Column:
-    """Array of the 32-bit hashes of the closed syncmers of ``text``."""
+def anchors(text: Column, k: int = K, stand_in: bool = False) -> Column:
+    """Array of the 32-bit hashes of the closed syncmers of ``text``; with
+    ``stand_in`` that of the smallest k-mer if there are tokens but no
+    syncmer (it is no syncmer anywhere, so it only ever equals another)."""
     n_inner = k - 1  # s-mers of two tokens in a k-mer
     tokens = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), 0), lambda t: F.xxhash64(t))
     low = lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF)).cast("long")
 
+    starts_of = lambda tok: F.sequence(F.lit(1), F.size(tok) - (k - 1))
+
     def chosen(tok: Column, sm: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(tok) - (k - 1))
+        starts = starts_of(tok)
         smallest = lambda i: F.array_min(F.slice(sm, i, n_inner))
         at_edge = F.filter(starts, lambda i: smallest(i) == F.least(F.element_at(sm, i), F.element_at(sm, i + (n_inner - 1))))
         return F.transform(at_edge, lambda i: low(F.xxhash64(F.slice(tok, i, k))))
@@ -44,11 +51,13 @@ def anchors(text: Column, k: int = K) -> Column:
     # arrays that are used more than once are bound through a one-element transform, so they are computed once
     bind = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
     none = F.array().cast("array<bigint>")
+    smallest_of = lambda tok: F.array(low(F.array_min(F.transform(starts_of(tok), lambda i: F.xxhash64(F.slice(tok, i, k))))))
+    whole = lambda tok, found: bind(found, lambda c: F.when(F.size(c) == 0, smallest_of(tok)).otherwise(c)) if stand_in else found
     pairs = lambda tok: F.zip_with(F.slice(tok, 1, F.size(tok) - 1), F.slice(tok, 2, F.size(tok) - 1), lambda a, b: F.xxhash64(a, b))
     return F.when(text.isNull() | (text == ""), none).otherwise(bind(tokens, lambda tok: (
         F.when(F.size(tok) == 0, none)
         .when(F.size(tok) < k, F.array(low(F.xxhash64(tok))))
-        .otherwise(bind(pairs(tok), lambda sm: chosen(tok, sm))))))
+        .otherwise(whole(tok, bind(pairs(tok), lambda sm: chosen(tok, sm)))))))
 
 
 def fingerprint(anchor_list: Column) -> Column:
@@ -99,7 +108,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return rows.withColumn("_next", F.lead("_text").over(w)), w
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stand_in: bool = False) -> DataFrame:
     """One row per document: fingerprints of its text and of its edited text
     (the last half replaced by the start of the next document), and the
     likeness to the edited text and to the next document."""
@@ -107,9 +116,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n = F.length("_text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("_text"), F.lit(1), (n - half).cast("int")), F.substring(F.col("_next"), F.lit(1), half))
-    r = (rows.select("_id", "_text", "_mark", "_slice", n.cast("long").alias("n_chars"), edited.alias("_edited"), anchors(F.col("_text")).alias("_a"))
+    r = (rows.select("_id", "_text", "_mark", "_slice", n.cast("long").alias("n_chars"), edited.alias("_edited"), anchors(F.col("_text"), stand_in=stand_in).alias("_a"))
          .withColumn("_na", F.lead("_a").over(w)).filter("_mark = 0")
-         .select("_id", "n_chars", "_edited", "_a", "_na", anchors(F.col("_edited")).alias("_ea")))
+         .select("_id", "n_chars", "_edited", "_a", "_na", anchors(F.col("_edited"), stand_in=stand_in).alias("_ea")))
     return r.select(F.col("_id").alias(id_col), "n_chars", F.sha2(F.encode("_edited", "UTF-8"), 256).alias("edited_sha256"),
                     fingerprint(F.col("_a")).alias("fingerprint"), fingerprint(F.col("_ea")).alias("edited_fingerprint"),
                     likeness(F.col("_a"), F.col("_ea")).alias("near_edited"), likeness(F.col("_a"), F.col("_na")).alias("near_next"))
