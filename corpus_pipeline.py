@@ -18,6 +18,8 @@ from tidemark.llm.common import read_table, written
 #: A document goes if its language cannot be told: no letter, or a calibrated
 #: confidence below this.
 LEAST_CONFIDENCE = 0.5
+#: A repeated passage of over this many words goes, on however few lines.
+LONG_WORDS = 50
 #: Near copies: five-word shingles, Jaccard 0.8 or more.
 SHINGLE_WORDS, NUM, DEN = 5, 80, 100
 #: Nine tenths of the tokens, each document at most once.
@@ -34,9 +36,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Text without the later occurrences of repeated three-line windows; a
-    document of which no line is left goes.  ``n_chars`` follows the text."""
-    out = line_windows.dedup_lines(docs, counts=("_stage_lines", "_stage_removed")).filter("_stage_lines > _stage_removed or _stage_lines = 0")
+    """Text without the later occurrences of repeated three-line windows and
+    of repeated passages of over 50 words on one or two lines; a document of which no line is left goes.  ``n_chars`` follows the text."""
+    out = line_windows.dedup_lines(docs, counts=("_stage_lines", "_stage_removed"), long_words=LONG_WORDS).filter("_stage_lines > _stage_removed or _stage_lines = 0")
     return out.withColumn("n_chars", F.when(F.col("_stage_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

@@ -90,6 +90,20 @@ def test_lines_every_line_stays_somewhere(spark):
     assert {s for r in rows for s in r["text"].split("\n") if s} == {s for _, t in texts for s in t.split("\n")}
 
 
+def test_lines_long_passages_on_few_lines(spark):
+    rng = random.Random(14)
+    line = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n))
+    one, two, plain = line(51), f"{line(26)}\n{line(25)}", line(50)
+    texts = [(1, f"a1\n{one}\nb1"), (2, f"a2\n{one}\n\nb2"), (3, one), (4, f"a4\n{two}\nb4"), (5, f"a5\n{two}\nb5"), (6, two),
+             (7, f"a7\n{plain}\nb7"), (8, f"a8\n{plain}\nb8"), (9, plain), (10, None), (11, f"{one}\n{one}\nc")]
+    got = {r["doc_id"]: (r["text"], r["_n_removed"]) for r in line_windows.dedup_lines(docs_of(spark, texts), long_words=50).collect()}
+    want = {i: (t, 0) for i, t in texts} | {2: ("a2\n\nb2", 1), 3: ("", 1), 5: ("a5\nb5", 2), 6: ("", 2), 11: ("c", 2)}
+    assert got == want
+    import corpus_pipeline
+    staged = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, docs_of(spark, texts), "").collect()}
+    assert staged == {i: t for i, (t, _) in want.items() if t != ""}
+
+
 # ---- budgets ---------------------------------------------------------------------
 
 def fill(budget, children):
