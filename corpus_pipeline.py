@@ -51,9 +51,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the token budgets of domains, languages and sources take."""
-    taken = mixing.mix(docs, MIX).select("doc_id").distinct()
-    return docs.join(taken, "doc_id", "left_semi").select(*docs.columns)
+    """The documents that the token budgets of domains, languages and sources
+    take, those without an id as well; an id that stands in several leaves is
+    taken leaf by leaf."""
+    taken = mixing.mix(docs, MIX).select(F.col("doc_id").alias("_stage_id"), F.col("language").alias("_stage_lang"),
+                                         F.col("source").alias("_stage_source")).distinct()
+    same = (docs["doc_id"].eqNullSafe(taken["_stage_id"]) & (F.coalesce(docs["lang"], F.lit("und")) == taken["_stage_lang"])
+            & (F.coalesce(docs["source"], F.lit("unknown")) == taken["_stage_source"]))
+    return docs.join(taken, same, "left_semi").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -419,3 +419,14 @@ def test_pipeline_on_odd_tables(spark):
             docs = written(stage(spark, docs, SF_SMALL), f"odd-{name}")
             if name != "pack":
                 assert docs.columns == before
+
+
+def test_pipeline_mix_takes_rows_without_an_id(spark):
+    from collections import Counter
+
+    from tidemark.llm import mixing
+    docs = spark.createDataFrame([(None if i % 20 == 0 else i // 2, "w " * (1 + i % 7), "en" if i % 2 else None, f"src{i % 3}", 1)
+                                  for i in range(400)], DOCS)
+    left = Counter((r["doc_id"], r["lang"] or "und", r["source"]) for r in corpus_pipeline.mix(spark, docs, SF_SMALL).collect())
+    want = Counter((r["doc_id"], r["language"], r["source"]) for r in mixing.mix(docs, corpus_pipeline.MIX).collect())
+    assert left == want and 0 < sum(n for k, n in left.items() if k[0] is None) and sum(want.values()) < 400
