@@ -367,6 +367,35 @@ def test_salvage_recovers_around_any_damage(plain):
     assert parsed(parts[0] + warc.EMPTY_MEMBER + parts[1]) == (names[:2], []) if not plain else True
 
 
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_recovers_inside_members(level):
+    rng = random.Random(11)
+    recs = [warc.record_bytes(f"urn:page:{i}", f"http://x/{i}", rng.randbytes(3000), None, "1970-01-01T00:00:00Z") for i in range(20)]
+    names = [f"urn:page:{i}" for i in range(20)]
+    other = warc.gzip_member(warc.record_bytes("urn:page:z", "http://x/z", b"z", None, "1970-01-01T00:00:00Z"))
+    bad = bytearray(recs[7])
+    bad[-20] ^= 0xFF
+    whole = warc.gzip_member(b"".join(recs), level)
+    damaged = warc.gzip_member(b"".join([*recs[:7], bytes(bad), *recs[8:]]), level)
+    found = list(warc.salvage(other + damaged + other))     # one record of a sound member is damaged
+    assert [x["record_id"] for k, _, _, x in found if k == "record"] == ["urn:page:z", *names[:7], *names[8:], "urn:page:z"]
+    gaps = [x for k, _, _, x in found if k == "gap"]
+    at = sum(map(len, recs[:7]))
+    assert len(gaps) == 1 and gaps[0].startswith(f"bytes {at} to {at + len(recs[7])} of the member")
+    for cut in (len(whole) // 2, len(whole) - 5):          # truncated, and another member after it
+        ids, gaps = parsed(other + whole[:cut] + other)
+        n = len(ids) - 2
+        assert ids == ["urn:page:z", *names[:n], "urn:page:z"] and n >= 19 * cut // len(whole) - 1
+        assert gaps == [(len(other), len(other) + cut)]
+    broken = bytearray(whole)
+    broken[-6] ^= 1                                        # bad CRC: every record has its own digest
+    assert parsed(bytes(broken) + other) == ([*names, "urn:page:z"], [(0, len(whole))])
+    broken = bytearray(whole)
+    broken[len(whole) // 2] ^= 1                           # damage in the middle of the stream
+    ids, gaps = parsed(bytes(broken) + other)
+    assert ids[:9] == names[:9] and ids[-1] == "urn:page:z" and gaps
+
+
 def test_salvage_reads_from_spark_and_logs_gaps(spark, tmp_path):
     parts = members(20)
     bad = bytearray(b"".join(parts))

@@ -10,6 +10,13 @@ Content-Length, SHA-1 payload digest).  After a failed check it searches for
 the next gzip magic or version line that begins a valid record, goes on from
 there, and logs the skipped bytes as a quarantined gap.  Plain (uncompressed)
 archives and mixtures are read by the same rules.
+
+A member may hold many records.  Inside its text the search for the next
+version line is the same, and an inner gap is logged with the range of the
+member and its place in the text as reason.  Of a member that breaks off or
+fails its CRC, the records that the decompressor gave are kept if a digest of
+their own proves them; the last one before a break is taken only if more text
+follows it.  The gap of such a member begins at the member.
 """
 
 from __future__ import annotations
@@ -82,8 +89,9 @@ def _headers(block: bytes) -> dict[str, str]:
     return out
 
 
-def parse_record(data: bytes, pos: int) -> tuple[dict, int]:
-    """The record at ``pos`` and the position after it; BadRecord if any check fails."""
+def parse_record(data: bytes, pos: int, proof: bool = False) -> tuple[dict, int]:
+    """The record at ``pos`` and the position after it; BadRecord if any check
+    fails, with ``proof`` also if no digest covers the payload."""
     if not _VERSION.match(data, pos):
         raise BadRecord("no version line")
     end = data.find(b"\r\n\r\n", pos)
@@ -118,6 +126,8 @@ def parse_record(data: bytes, pos: int) -> tuple[dict, int]:
             raise BadRecord("payload digest differs")
         digest = actual
     strip = lambda v: v.strip("<>") if v is not None else None
+    if proof and not said.startswith("sha1:") and (kind == "revisit" or not head.get("warc-payload-digest", "").startswith("sha1:")):
+        raise BadRecord("no digest proves a record of a damaged member")
     return {"record_id": strip(head.get("warc-record-id")), "record_type": kind, "target_uri": head.get("warc-target-uri"),
             "payload_bytes": size, "payload_digest": digest, "refers_to": strip(head.get("warc-refers-to")),
             "payload": payload}, stop + 4
@@ -134,17 +144,72 @@ def _member(data: bytes, pos: int) -> tuple[bytes, int]:
     return out, len(data) - len(z.unused_data)
 
 
-def _unit(data: bytes, pos: int) -> tuple[list[dict], int]:
-    """All records of the gzip member, or the one plain record, at ``pos``."""
-    if data.startswith(GZIP_MAGIC, pos):
-        text, after = _member(data, pos)
-        found, at = [], 0
-        while at < len(text):
-            one, at = parse_record(text, at)
-            found.append(one)
-        return found, after
-    one, after = parse_record(data, pos)
-    return [one], after
+def _broken(data: bytes, pos: int) -> tuple[bytes, bool, list[tuple[int, int]]]:
+    """What the decompressor gives of the damaged member at ``pos``, whether
+    its text is complete (only the check value failed), and marks (bytes
+    read, bytes given)."""
+    z, view, out, marks = zlib.decompressobj(31), memoryview(data), bytearray(), []
+    step, at = 256, pos
+    while at < len(data) and not z.eof:
+        before = z.copy()
+        try:
+            out += z.decompress(view[at:at + step])
+        except zlib.error as e:
+            if step == 1:
+                return bytes(out), "incorrect data check" in str(e) or "incorrect length check" in str(e), marks
+            z, step = before, 1  # the output of the failing call is lost: byte by byte
+            continue
+        at += step
+        marks.append((min(at, len(data)), len(out)))
+    return bytes(out), False, marks
+
+
+def _inside(text: bytes, damaged: bool = False, complete: bool = True) -> Iterator[tuple[str, int, int, object]]:
+    """Records and gaps of a member's text, with places in the text."""
+    pos, gap, reason = 0, None, ""
+    while pos < len(text):
+        try:
+            one, after = parse_record(text, pos, damaged)
+            if after == len(text) and not complete:
+                raise BadRecord("the member breaks off at the record's end")
+        except BadRecord as e:
+            if gap is None:
+                gap, reason = pos, str(e)
+            m = _VERSION.search(text, pos + 1)
+            pos = m.start() if m else len(text)
+            continue
+        if gap is not None:
+            yield "gap", gap, pos, reason
+            gap = None
+        yield "record", pos, after, one
+        pos = after
+    if gap is not None:
+        yield "gap", gap, len(text), reason
+
+
+def _unit(data: bytes, pos: int) -> tuple[list[tuple[str, object]], int]:
+    """Records and inner gaps of the gzip member, or the one plain record, at
+    ``pos``.  A member with text but no valid record is a BadRecord."""
+    if not data.startswith(GZIP_MAGIC, pos):
+        one, after = parse_record(data, pos)
+        return [("record", one)], after
+    text, after = _member(data, pos)
+    found = list(_inside(text))
+    if text and not any(kind == "record" for kind, *_ in found):
+        raise BadRecord(found[0][3])
+    return [(kind, x if kind == "record" else f"bytes {a} to {b} of the member: {x}") for kind, a, b, x in found], after
+
+
+def _rescued(data: bytes, pos: int) -> tuple[list[dict], int]:
+    """Proven records of the damaged member at ``pos`` and the position up to
+    which their bytes go."""
+    if not data.startswith(GZIP_MAGIC, pos):
+        return [], pos
+    text, complete, marks = _broken(data, pos)
+    found = [(b, x) for kind, _, b, x in _inside(text, True, complete) if kind == "record"]
+    if not found:
+        return [], pos
+    return [x for _, x in found], next(at for at, given in marks if given >= found[-1][0])
 
 
 _VERSION = re.compile(rb"WARC/1\.\d\r\n")
@@ -153,22 +218,33 @@ _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.\d\r\n")
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
     """``("record", start, end, fields)`` and ``("gap", start, end, reason)``
-    in file order; together they cover every byte except empty members."""
-    pos, gap, reason = 0, None, ""
+    in file order; together they cover every byte except empty members.
+    Records and inner gaps of one member share its range; records of a
+    damaged member lie in its gap."""
+    pos, gap, reason, done = 0, None, "", 0  # done: end of the bytes of rescued records
     while pos < len(data):
         try:
             found, after = _unit(data, pos)
         except BadRecord as e:
+            rescued, upto = _rescued(data, pos) if pos >= done else ([], pos)
+            if rescued and gap is not None and gap < pos:
+                yield "gap", gap, pos, reason
+                gap = None
             if gap is None:
                 gap, reason = pos, str(e)
+            for one in rescued:
+                yield "record", pos, upto, one
+            done = max(done, upto)
             m = _NEXT.search(data, pos + 1)
+            while m and m.start() < done and not data.startswith(GZIP_MAGIC, m.start()):
+                m = _NEXT.search(data, m.start() + 1)  # stored text of a rescued record
             pos = m.start() if m else len(data)
             continue
         if gap is not None:
             yield "gap", gap, pos, reason
             gap = None
-        for one in found:
-            yield "record", pos, after, one
+        for kind, x in found:
+            yield kind, pos, after, x
         pos = after
     if gap is not None:
         yield "gap", gap, len(data), reason
