@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, langid, line_windows, mixing, packing, quality_knn, shingle_join, syncmers, toxicity, warc
+from . import fertility, langid, line_windows, mixing, packing, quality_knn, rp_forest, shingle_join, spelling, syncmers, token_alignment, toxicity, warc
 from .common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,38 @@ from documents d left join n using (doc_id) join (select node, min(reach) as com
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.join_components(read_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
+@register("op11_galloping_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_report(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_pivotal_variants", """
+with recursive tab as (select list(c order by i) as l from (select i, list_reduce(list_concat([i], range(8)),
+    lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) t(i))),
+runs as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[A-Za-z\\x{00C0}-\\x{00FF}]+')) as w from documents),
+d as (select doc_id, w, count(*) as k, hex(encode(coalesce(doc_id::varchar, '') || ':' || w)) as x from runs where length(w) >= 7 group by doc_id, w),
+h as (select w, k, xor(list_reduce(list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::bigint)),
+                                   lambda c, b: xor(c >> 8, l[1 + (xor(c, b) & 255)])), 4294967295) as h from d, tab),
+m as (select case when h % 31 = 0 then left(w, h % length(w)) || substr(w, h % length(w) + 2) else w end as w, k from h),
+v as (select w, sum(k)::bigint as n from m where length(w) >= 7 group by w having sum(k) >= 2),
+g as (select w, n, i, left(w, i) as a, substr(w, i + 2) as b from (select w, n, unnest(range(length(w))) as i from v)),
+e as (select x.w as w, y.w as o, y.n as m from g x join g y on x.i = y.i and x.a = y.a and x.b = y.b and x.w <> y.w
+      union select x.w, y.w, y.n from g x join v y on x.a || x.b = y.w
+      union select y.w, x.w, x.n from g x join v y on x.a || x.b = y.w),
+f as (select w, count(*) as n_near, arg_min(o, (-m, o)) as o, max(m) as m from e group by w),
+t as (select v.w as word, case when f.m >= 10 * v.n then f.o end as form, v.n, coalesce(f.n_near, 0) as n_near,
+             case when f.m >= 10 * v.n then f.m end as form_n from v left join f using (w)),
+c as (select word, word as at from t union all select c.word, t.form from c join t on t.word = c.at where t.form is not null),
+r as (select c.word, c.at as root from c join t on t.word = c.at where t.form is null)
+select word, form, root, n, n_near, form_n from t join r using (word)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), min_chars=7, min_n=2, ratio=10, thin_every=31)
+
+
+@register("op13_rp_forest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
