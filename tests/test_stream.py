@@ -33,22 +33,12 @@ def test_permuted_split_replayed_equals_batch(spark, seed):
     batches = [parts[i] for i in order] + [parts[order[0]]]  # the first batch replayed as new data
     t = IncrementalTarget(spark, scratch_dir(spark, "prop"), SPEC, buckets=8)
     for i, b in enumerate(batches):
-        assert t.apply(b, i)
+        t.apply(b, i)
     s1, s2 = _batch_folds(spark)
     assert rows(t.read(1)) == s1
     assert rows(t.read(2)) == s2
 
 
-def test_committed_batch_is_skipped(spark):
-    ct = feeds.feed_events(spark, SF_SMALL)
-    t = IncrementalTarget(spark, scratch_dir(spark, "skip"), SPEC, buckets=4)
-    assert t.apply(ct.filter(F.col("header__change_seq") < 500), 0)
-    before = rows(t.read(1))
-    # the same batch id again (a retried trigger) changes nothing, even with other data
-    assert not t.apply(ct, 0)
-    assert rows(t.read(1)) == before
-
-
 def test_null_keys_go_to_quarantine(spark):
     ct = feeds.feed_events(spark, SF_SMALL)
     bad = ct.limit(3).withColumn("user_id", F.lit(None).cast("bigint"))
@@ -89,30 +79,6 @@ def test_schema_store_rejects_type_change(spark):
         store.resolve(f"{root}/b")
 
 
-@pytest.mark.parametrize("types", [(1,), (1, 2)])
-def test_compaction_keeps_results(spark, types):
-    spec = SPEC.with_(scd_types=types)
-    ct = feeds.feed_events(spark, SF_SMALL)
-    part = F.pmod(F.xxhash64(F.col("header__change_seq")), F.lit(4))
-    parts = [ct.filter(part == i) for i in range(4)]
-    t = IncrementalTarget(spark, scratch_dir(spark, "compact"), spec, buckets=4)
-    t.apply(parts[0], 0)
-    t.apply(parts[1], 1)
-    assert t.compact_log()
-    assert not t.compact_log()                      # nothing new to compact
-    t.apply(parts[2], 2)                            # late and new events after compaction
-    t.apply(parts[3], 3)
-    t.apply(parts[0], 4)                            # a replayed file
-    std = standardize(ct, spec)
-    assert rows(t.read(1)) == rows(merge.scd1(std, spec))
-    if 2 in types:
-        assert rows(t.read(2)) == rows(merge.scd2(std, spec))
-    # the compacted log holds one event per key when only the latest state is kept
-    if types == (1,):
-        assert t.compact_log()
-        assert t.read_log().count() == ct.select("user_id").distinct().count()
-
-
 def test_json_landing_flow_equals_batch(spark):
     from tidemark.sources.files import read_landed
     from tidemark.streaming.flows import Flow, run_flow
@@ -144,140 +110,125 @@ def test_processing_time_trigger_runs_and_stops(spark):
                  processing_time="1 second")
     try:
         deadline = _t.time() + 120
-        while not t._manifests() and _t.time() < deadline:
+        while not q.recentProgress and _t.time() < deadline:
             _t.sleep(1)
-        assert t._manifests(), "no micro-batch committed"
+        assert q.recentProgress, "no micro-batch committed"
     finally:
         q.stop()
     std = standardize(feeds.feed_events(spark, SF_SMALL), SPEC)
     assert rows(t.read(1)) == rows(merge.scd1(std, SPEC))
 
 
-def test_concurrent_flows_commit_optimistically(spark):
-    import threading
+def _same(target, spec, std):
+    for scd, want in merge.scd_targets(std, spec).items():
+        got = target.read(scd).select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, scd
 
-    spec = SPEC.with_(scd_types=(1, 2), seed_seq=feeds.CUSTOMER_SEED_SEQ)
-    ct = feeds.feed_events(spark, SF_SMALL)
-    seed = feeds.seed_customer(spark, SF_SMALL)
-    part = F.pmod(F.xxhash64(F.col("header__change_seq")), F.lit(3))
-    t = IncrementalTarget(spark, scratch_dir(spark, "concurrent"), spec, buckets=4)
-    errors = []
-
-    def run(flow, batches):
-        try:
-            for i, b in enumerate(batches):
-                t.apply(b, i, flow)
-        except Exception as e:  # noqa: BLE001
-            errors.append(e)
-
-    seeds = [seed.filter(F.pmod(F.col("user_id"), F.lit(2)) == i) for i in range(2)]
-    threads = [threading.Thread(target=run, args=("ct", [ct.filter(part == i) for i in range(3)])),
-               threading.Thread(target=run, args=("full", seeds))]
-    for th in threads:
-        th.start()
-    for th in threads:
-        th.join()
-    assert not errors, errors
-    std = standardize(feeds.events_with_seed(spark, SF_SMALL), spec)
-    cols = ("user_id", "event_type", "value", "header__change_ts")
-    assert rows(t.read(1), *cols) == rows(merge.scd1(std, spec), *cols)
-    cols2 = cols + ("__START_AT", "__END_AT")
-    assert rows(t.read(2), *cols2) == rows(merge.scd2(std, spec), *cols2)
+
+def _parts(ct, n, seed=0):
+    part = F.pmod(F.xxhash64("header__change_seq", F.lit(seed)), F.lit(n))
+    return [ct.filter(part == i) for i in range(n)]
 
 
-def test_vacuum_keeps_results(spark):
-    spec = SPEC.with_(scd_types=(1, 2))
+@pytest.mark.parametrize("mode,keep", [("hard", False), ("soft", False), ("soft", True)])
+def test_late_batches_equal_the_fold_of_everything(spark, mode, keep):
+    """Events behind open, closed and deleted versions, equal sequences, NULL
+    sequences, two flows with equal batch ids, a replay and a compaction."""
+    spec = SPEC.with_(scd_types=(1, 2), delete_mode=mode, keep_last_values=keep)
+    ev = feeds.feed_events(spark, SF_SMALL)
+    op = F.when(F.col("header__change_seq") % 4 == 1, F.lit("D")).otherwise(F.lit("U"))
+    ct = ev.withColumn("header__change_oper", op).withColumn("header__change_seq", F.when(F.col("header__change_seq") % 29 != 0, F.floor(F.col("header__change_seq") / 3)))
+    ct = ct.withColumn("value", F.when(F.col("header__change_oper") == "D", F.lit(None)).otherwise(F.col("value")))
+    t = IncrementalTarget(spark, scratch_dir(spark, "late"), spec, buckets=3)
+    parts = _parts(ct, 4, 3)
+    for i, (n, flow) in enumerate([(2, "a"), (0, "b"), (3, "a"), (0, "a")]):
+        t.apply(parts[n], i // 2, flow)
+    t.compact()
+    t.apply(parts[1], 7, "b")
+    _same(t, spec, standardize(ct, spec))
+
+
+def test_a_replayed_batch_changes_nothing(spark):
+    t = IncrementalTarget(spark, scratch_dir(spark, "replay"), SPEC, buckets=2)
     ct = feeds.feed_events(spark, SF_SMALL)
-    part = F.pmod(F.xxhash64(F.col("header__change_seq")), F.lit(4))
-    root = scratch_dir(spark, "vacuum")
-    t = IncrementalTarget(spark, root, spec, buckets=4)
     for i in range(3):
-        t.apply(ct.filter(part == i), i)
-    assert t.compact_log()
-    t.apply(ct.filter(part == 3), 3)
-    done = t.vacuum(keep_commits=1)
-    assert done["manifests"] == 4 and done["log_batches"] == 3 and done["versions"] > 0
-    std = standardize(ct, spec)
-    assert rows(t.read(1)) == rows(merge.scd1(std, spec))
-    assert rows(t.read(2)) == rows(merge.scd2(std, spec))
-    t.apply(ct.filter(part == 0), 4)   # still writable after vacuum (a replayed file)
-    assert rows(t.read(2)) == rows(merge.scd2(std, spec))
-
-
-def test_exclusive_publish(spark):
-    from tidemark.streaming import fs
+        t.apply(_parts(ct, 3)[i], i)
+    before, feed = rows(t.state().drop("_part")), t.change_feed(2).count()
+    t.apply(_parts(ct, 3)[1], 1)
+    assert rows(t.state().drop("_part")) == before and t.change_feed(2).count() == feed
 
-    root = scratch_dir(spark, "excl")
-    path = f"{root}/m/000000000001.json"
-    assert fs.create_exclusive(spark, path, "first") is True
-    assert fs.create_exclusive(spark, path, "second") is False
-    assert fs.read_text(spark, path) == "first"
-    assert fs.list_names(spark, f"{root}/m") == ["000000000001.json"]  # nothing else is left
-    fs.write_text(spark, path, "third")
-    assert fs.read_text(spark, path) == "third"
-    with pytest.raises(Exception):  # noqa: B017 - a real error is not "another writer was first"
-        fs.create_exclusive(spark, f"{path}/below-a-file.json", "x")
-
-
-def test_slow_writer_is_invisible_until_it_publishes(spark):
-    """A manifest that is still being written is no commit; the writer that
-    publishes first wins and the slow one sees it."""
+
+def test_reads_do_not_grow_with_history(spark):
+    """In order, a batch reads the open rows of its buckets and no closed row;
+    a late event reads the versions of its own key that end after it."""
+    ct = feeds.feed_events(spark, SF_SMALL)
+    top = ct.agg(F.max("header__change_seq")).scalar()
+    t = IncrementalTarget(spark, scratch_dir(spark, "growth"), SPEC, buckets=2)
+    seen = []
+    for i in range(6):
+        t.apply(ct.filter((F.col("header__change_seq") > i * top / 6) & (F.col("header__change_seq") <= (i + 1) * top / 6)), i)
+        seen.append(dict(t.rows_read))
+    keys = ct.select("user_id").distinct().count()
+    assert all(s["closed"] == 0 and s["open"] <= keys for s in seen)
+    key, seq = ct.filter("header__change_oper != 'D'").orderBy("header__change_seq").select("user_id", "header__change_seq").first()
+    ends = t.state().filter((F.col("user_id") == key) & (F.col("__END_AT") > seq)).count()
+    t.apply(ct.filter((F.col("user_id") == key) & (F.col("header__change_seq") == seq)), 9)
+    assert t.rows_read["closed"] == ends
+    _same(t, SPEC, standardize(ct, SPEC))
+
+
+def test_a_run_that_died_while_publishing_is_finished(spark, monkeypatch):
+    """The staged result is complete before a partition is replaced, so the
+    next run publishes it whatever had been replaced."""
+    ct = feeds.feed_events(spark, SF_SMALL)
+    root = scratch_dir(spark, "crash")
+    t = IncrementalTarget(spark, root, SPEC, buckets=2)
+    first, second, third = _parts(ct, 3)
+    t.apply(first, 0)
     from tidemark.streaming import fs
 
-    target = IncrementalTarget(spark, scratch_dir(spark, "slow"), SPEC, buckets=2)
-    ev = feeds.feed_events(spark, SF_SMALL)
-    half = F.pmod(F.col("header__change_seq"), F.lit(2))
-    assert target.apply(ev.filter(half == 0), 0, "a")
-    fs.write_text(spark, f"{target.manifest_root}/.000000000002.json.partial.tmp", '{"targets": {')
-    assert target.latest()["seq"] == 1
-    assert target.apply(ev.filter(half == 1), 0, "b")
-    assert target._commit(2, {"targets": {}}) is False
-    want = merge.scd1(standardize(ev, SPEC), SPEC)
-    got = target.read(1).select(*want.columns)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_replay_after_another_flow_committed(spark):
-    """Whether a batch was applied is part of the commit itself, so a replay
-    after a crash is recognised however many commits followed."""
-    target = IncrementalTarget(spark, scratch_dir(spark, "replay"), SPEC, buckets=2)
-    ev = feeds.feed_events(spark, SF_SMALL)
-    part = F.pmod(F.col("header__change_seq"), F.lit(3))
-    assert target.apply(ev.filter(part == 0), 0, "a") and target.apply(ev.filter(part == 1), 0, "b") and target.apply(ev.filter(part == 2), 4, "b")
-    seq = target.latest()["seq"]
-    assert not target.apply(ev.filter(part == 0), 0, "a") and not target.apply(ev.filter(part == 2), 4, "b")
-    assert target.latest()["seq"] == seq and target.latest()["applied"] == {"a": [[0, 0]], "b": [[0, 0], [4, 4]]}
-    assert target.compact_log() and target.committed("a", 0) and not target.committed("b", 3)
-
-
-def test_compaction_keeps_null_sequences(spark):
-    spec = SPEC
-    ev = feeds.feed_events(spark, SF_SMALL).withColumn("header__change_seq", F.when(F.col("user_id") % 2 == 0, F.col("header__change_seq")))
-    target = IncrementalTarget(spark, scratch_dir(spark, "nullseq"), spec, buckets=2)
-    target.apply(ev, 0)
-    want = merge.scd2(standardize(ev, spec), spec)
-    for _ in range(2):
-        got = target.read(2).select(*want.columns)
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-        target.compact_log()
-        target.apply(ev.limit(0), 1)
-        assert target.read_log().select("user_id").distinct().count() == ev.select("user_id").distinct().count()
-
-
-def test_long_runs_compact_their_log(spark):
-    """What a batch reads does not grow with the number of batches, and the
-    target and its change feed stay right."""
-    ev = feeds.feed_events(spark, SF_SMALL)
-    target = IncrementalTarget(spark, scratch_dir(spark, "long"), SPEC, buckets=2, compact_after=3)
-    part = F.pmod(F.xxhash64("header__change_seq"), F.lit(5))
-    for i in range(5):
-        assert target.apply(ev.filter(part == i), i)
-        assert len(target.latest()["log_batches"]) < 3
-    s1, s2 = _batch_folds(spark)
-    assert rows(target.read(1)) == s1 and rows(target.read(2)) == s2
-    feed = target.change_feed(1)
+    def die(staged):
+        fs.delete(spark, f"{t.state_path}/_part=open/_bucket=0")  # the overwrite had removed it
+        raise RuntimeError("lost")
+    monkeypatch.setattr(t, "_publish", die)
+    with pytest.raises(RuntimeError):
+        t.apply(second, 1)
+    again = IncrementalTarget(spark, root, SPEC, buckets=2)
+    fs.mkdirs(spark, f"{root}/_staged/9_half/state")          # an incomplete one
+    again.apply(second, 1)
+    again.apply(third, 2)
+    _same(again, SPEC, standardize(ct, SPEC))
+    assert not fs.list_names(spark, f"{root}/_staged")
+
+
+def test_change_rows_rebuild_the_target(spark):
+    ct = feeds.feed_events(spark, SF_SMALL)
+    t = IncrementalTarget(spark, scratch_dir(spark, "feed"), SPEC, buckets=2)
+    for i, n in enumerate((1, 0, 2, 0)):
+        t.apply(_parts(ct, 3)[n], i)
+    feed = t.change_feed(1)
     last = feed.filter("_change_type != 'update_preimage'").groupBy("user_id").agg(
         F.max_by(F.struct("_change_type", "event_type", "value"), "_commit_version").alias("c")).filter("c._change_type != 'delete'")
-    want = target.read(1).select("user_id", "event_type", "value")
-    assert rows(last.select("user_id", "c.event_type", "c.value")) == rows(want)
-    assert feed.filter("_commit_timestamp is null or _commit_version < 1").count() == 0
+    assert rows(last.select("user_id", "c.event_type", "c.value")) == rows(t.read(1).select("user_id", "event_type", "value"))
+    assert {r["_commit_version"] for r in feed.select("_commit_version").distinct().collect()} == {1, 2, 3}
+    assert t.change_feed(1, from_version=2).filter("_commit_version < 3").count() == 0
+    history = t.change_feed(2)
+    net = history.groupBy("user_id", "__START_AT").agg(F.sum(F.when(F.col("_change_type").isin("insert", "update_postimage"), 1).otherwise(-1)).alias("n"))
+    assert rows(net.filter("n = 1").select("user_id", "__START_AT")) == rows(t.read(2).select("user_id", "__START_AT")) and net.filter("n not in (0, 1)").count() == 0
+
+
+def test_flows_that_keep_running_are_one_query(spark):
+    from tidemark.streaming.flows import Flow, run_flows
+
+    root = scratch_dir(spark, "both")
+    spec = SPEC.with_(seed_seq=feeds.CUSTOMER_SEED_SEQ)
+    feeds.seed_customer(spark, SF_SMALL).write.parquet(f"{root}/full")
+    feeds.feed_events(spark, SF_SMALL).write.parquet(f"{root}/ct")
+    t = IncrementalTarget(spark, f"{root}/target", spec, buckets=4)
+    (q,) = run_flows(spark, t, [Flow("ct", f"{root}/ct"), Flow("full", f"{root}/full")], f"{root}/state", trigger="processingTime", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    cols = ("user_id", "event_type", "value", "header__change_ts", "__START_AT", "__END_AT")
+    assert rows(t.read(2), *cols) == rows(merge.scd2(standardize(feeds.events_with_seed(spark, SF_SMALL), spec), spec), *cols)

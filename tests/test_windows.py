@@ -99,3 +99,19 @@ def test_skewed_identities_are_unique(spark):
     li = table(spark, SF_BIG, "lineitem")
     out = synthetic_identity(li, ["l_returnflag", "l_linestatus"], ["l_orderkey", "l_linenumber"], max_group_rows=2000, with_hash=False)
     assert out.select("l_returnflag", "l_linestatus", "_dup_no").distinct().count() == li.count()
+
+
+def test_hot_null_key(spark):
+    """A NULL key above the threshold is chunked like any other: every output
+    equals that of the plain window."""
+    li = table(spark, SF_SMALL, "lineitem").select(F.when(F.col("l_linenumber") > 2, F.lit(None)).otherwise(F.col("l_returnflag")).alias("k"),
+                                                   F.when(F.col("l_linenumber") > 1, F.lit(None)).otherwise(F.col("l_linestatus")).alias("k2"),
+                                                   "l_orderkey", "l_linenumber", "l_extendedprice", F.when(F.col("l_orderkey") % 3 == 0, F.col("l_quantity")).alias("q"))
+
+    def run(limit):
+        return with_neighbors(li, ["k", "k2"], [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice")], nxt={"n": "q", "no": "l_orderkey"}, prev={"p": "l_orderkey"},
+                              carry={"c": "q"}, number="rn", cumsum={"s": F.coalesce("q", F.lit(0))}, max_group_rows=limit, chunk_rows=300)
+    plain, chunked = run(None), run(200)
+    assert chunked.columns == plain.columns
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+    assert chunked.groupBy("k", "k2").agg(F.count_if(~F.col("_has_next")).alias("ends")).filter("ends != 1").count() == 0

@@ -47,24 +47,33 @@ def _valid_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.filter(cond) if cond is not None else df
 
 
-def fold(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+def fold(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, carry: dict | None = None,
+         helpers: tuple[str, ...] = (), known_live: str | None = None) -> DataFrame:
     """The one shuffle both targets share: every valid event with the
     sequence of its successor in the key's total order (``_next_seq``) and
     whether it has one (``_has_next``).  Persist or checkpoint it when both
-    targets are built from it."""
+    targets are built from it.
+
+    For folds over a part of the history: ``carry`` adds forward fills,
+    ``helpers`` names columns that are no payload, and ``known_live`` the
+    column with an event's last live payload, and the sequence ``_at`` that it
+    comes from, where that is known already."""
     df = _valid_keys(df, spec)
     _require_seq(df)
     order_vals = [F.col("_seq"), (F.col("_op") == F.lit("D"))]
     if spec.soft and spec.is_deleted_col in df.columns:
         order_vals.append(F.col(spec.is_deleted_col))
-    payload = business_columns(df, spec)
+    payload = [c for c in business_columns(df, spec) if c not in helpers]
     order_vals += [F.col(c) for c in payload]
-    carry = {}
+    carry = dict(carry or {})
     keep = spec.soft and spec.keep_last_values and spec.is_deleted_col in df.columns and payload
     if keep:
         # the last live (not deleted) payload up to each event, same window
-        live = F.when(~F.coalesce(F.col(spec.is_deleted_col), F.lit(False)), F.struct(*[F.col(c) for c in payload]))
-        carry = {"_live": live}
+        at = [F.col("_seq").alias("_at")] if known_live else []
+        live = F.when(~F.coalesce(F.col(spec.is_deleted_col), F.lit(False)), F.struct(*[F.col(c) for c in payload], *at))
+        if known_live:
+            live = F.coalesce(live, F.col(known_live))
+        carry["_live"] = live
     out = with_neighbors(df, list(spec.keys), order_vals, nxt={"_next_seq": "_seq"}, carry=carry,
                          max_group_rows=max_group_rows).drop("_has_prev")
     if keep:
@@ -72,7 +81,7 @@ def fold(df: DataFrame, spec: TableSpec, max_group_rows: int | None = DEFAULT_MA
         flag = F.coalesce(F.col(spec.is_deleted_col), F.lit(False)) & F.col("_live").isNotNull()
         for c in payload:
             out = out.withColumn(c, F.when(flag, F.col("_live").getField(c)).otherwise(F.col(c)))
-        out = out.drop("_live")
+        out = out if known_live else out.drop("_live")
     return out
 
 

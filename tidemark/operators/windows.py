@@ -132,10 +132,13 @@ def with_neighbors(
         edges = edges.withColumn(f"_ci_{n}", F.last(f"_cl_{n}", ignorenulls=True).over(before))
     for n in cumsum:
         edges = edges.withColumn(f"_co_{n}", F.coalesce(F.sum(f"_cs_{n}").over(before), F.lit(0)))
-    edges = edges.select(*keys, "_chunk", "_next_first", "_prev_last", "_offset", *[f"_ci_{n}" for n in carry],
-                         *[f"_co_{n}" for n in cumsum])
-    # At most one edge row per chunk and hot key.
-    patched = warm_w.join(checked_broadcast(edges, n_chunks + n_hot), [*keys, "_chunk"], "left")
+    edges = edges.select(*[F.col(k).alias(f"_ek_{k}") for k in keys], F.col("_chunk").alias("_ek"), "_next_first", "_prev_last", "_offset",
+                         *[f"_ci_{n}" for n in carry], *[f"_co_{n}" for n in cumsum])
+    # At most one edge row per chunk and hot key; a key may hold NULLs.
+    edge = F.col("_chunk") == F.col("_ek")
+    for k in keys:
+        edge = edge & F.col(k).eqNullSafe(F.col(f"_ek_{k}"))
+    patched = warm_w.join(checked_broadcast(edges, n_chunks + n_hot), edge, "left").drop("_ek", *[f"_ek_{k}" for k in keys])
     for name in nxt:
         patched = patched.withColumn(
             name, F.when(F.col("_has_next"), F.col(name)).otherwise(F.col("_next_first").getField(name)))

@@ -9,6 +9,8 @@ or replay.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import scratch_dir
 from ..sources import feeds
 from ..streaming.append import AppendTarget
@@ -118,9 +120,9 @@ def stream_append_lineage(spark, sf_dir):
 
 @register("stream_log_compaction", O.scd1_sql(O.EVENTS_STD, "user_id", O.EVENTS_ORDER_DESC, EV_COLS))
 def stream_log_compaction(spark, sf_dir):
-    """Half of the files flow in, the log is compacted to the last event per
-    key, the rest (including a replayed file) flows in, and old commits are
-    vacuumed: the latest state is unchanged by compaction and retention."""
+    """Half of the files flow in, the closed rows of all batches are merged
+    into one part, the rest (including a replayed file) flows in: the latest
+    state is unchanged by compaction."""
     root = scratch_dir(spark, "stream_compact")
     ct = f"{root}/landing/events__ct"
     parts = feeds.permuted_event_files(spark, sf_dir, 4)
@@ -129,10 +131,49 @@ def stream_log_compaction(spark, sf_dir):
     for i in (0, 1):
         parts[i].write.parquet(f"{ct}/part={i}")
     run_flow(spark, target, Flow("ct", ct, max_files_per_trigger=4), f"{root}/state")
-    target.compact_log()
+    target.compact()
     for i in (2, 3):
         parts[i].write.parquet(f"{ct}/part={i}")
     parts[0].write.parquet(f"{ct}/part=replay0")
     run_flow(spark, target, Flow("ct", ct, max_files_per_trigger=4), f"{root}/state")
-    target.vacuum(keep_commits=1)   # retention: only the latest commit stays readable
     return target.read(1)
+
+
+def _versions(upto: int) -> str:
+    """Latest state after the first ``upto`` thirds of the feed."""
+    third = "(SELECT max(event_id) FROM events) // 3 + 1"
+    std = f"SELECT * FROM ({O.EVENTS_STD}) s0 WHERE _seq < {upto} * ({third})" if upto < 3 else O.EVENTS_STD
+    return O.scd1_sql(std, "user_id", O.EVENTS_ORDER_DESC, EV_COLS)
+
+
+def _diff_sql(before: str, after: str, version: int) -> str:
+    cols = ["event_type", "value", "header__change_ts"]
+    same = " AND ".join(f"b.{c} IS NOT DISTINCT FROM a.{c}" for c in cols)
+    pick = lambda t: ", ".join(f"{t}.{c}" for c in cols)
+    return f"""
+    SELECT a.user_id, {pick('a')}, CASE WHEN b.user_id IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type, CAST({version} AS BIGINT) AS _commit_version
+    FROM ({after}) a LEFT JOIN ({before}) b ON a.user_id = b.user_id WHERE b.user_id IS NULL OR NOT ({same})
+    UNION ALL
+    SELECT b.user_id, {pick('b')}, CASE WHEN a.user_id IS NULL THEN 'delete' ELSE 'update_preimage' END, CAST({version} AS BIGINT)
+    FROM ({before}) b LEFT JOIN ({after}) a ON a.user_id = b.user_id WHERE a.user_id IS NULL OR NOT ({same})"""
+
+
+_NOTHING = f"SELECT * FROM ({_versions(1)}) z WHERE false"
+
+
+@register("target_change_feed", " UNION ALL ".join(f"SELECT * FROM ({_diff_sql(_NOTHING if v == 1 else _versions(v - 1), _versions(v), v)}) d{v}" for v in (1, 2, 3)))
+def target_change_feed(spark, sf_dir):
+    """Three thirds of the feed flow in as three batches, the second one comes
+    twice; the change rows that each micro-batch emitted are read on as a
+    stream into a sink (R-CDF, T-PUSH)."""
+    root = scratch_dir(spark, "target_cdf")
+    ct = feeds.feed_events(spark, sf_dir)
+    third = ct.agg(F.expr("max(header__change_seq) div 3 + 1")).scalar()
+    target = IncrementalTarget(spark, f"{root}/target", feeds.EVENTS_SPEC.with_(scd_types=(1,)), buckets=TEST_BUCKETS)
+    landing, sink = f"{root}/landing/events__ct", f"{root}/pushed"
+    for i, n in enumerate((0, 1, 1, 2)):
+        ct.filter(F.floor(F.col("header__change_seq") / third) == n).write.parquet(f"{landing}/part={i}")
+        run_flow(spark, target, Flow("ct", landing, max_files_per_trigger=64), f"{root}/state")
+        (target.stream_changes(1).writeStream.format("parquet").option("path", sink).option("checkpointLocation", f"{root}/push")
+            .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(sink).select("user_id", "event_type", "value", "header__change_ts", "_change_type", "_commit_version")

@@ -2,14 +2,15 @@
 checkpoint, each merging into the dataset's incremental target.
 
 A dataset has an optional snapshot flow (``__full``, seeds) and always a
-change flow (``__ct``).  Flows of one target may run at the same time: the
-target commits optimistically (see ``IncrementalTarget.apply``).  Dropping
-the seed flow later (``load_type`` full -> incr) is simply not starting it:
-the target's state is kept.
+change flow (``__ct``).  A target has one writer at a time: flows that run to
+completion run in turn, and those that keep running are one query over all
+their folders.  Dropping the seed flow later (``load_type`` full -> incr) is
+simply not starting it: the target's state is kept.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -26,35 +27,48 @@ class Flow:
     max_files_per_trigger: int | None = None
 
 
+def landed_stream(spark: SparkSession, flow: Flow, state_root: str):
+    """The flow's folder as a stream.  The schema is resolved first; an
+    additive change simply restarts the query with the wider schema (the
+    checkpoint keeps its place)."""
+    schema, _ = SchemaStore(spark, f"{state_root}/_schemas/{flow.name}").resolve(flow.path, flow.file_format)
+    return stream_landed(spark, flow.path, schema, flow.file_format, source_kind=flow.name, max_files_per_trigger=flow.max_files_per_trigger)
+
+
+def start(df, target: IncrementalTarget, name: str, state_root: str, trigger: str, processing_time: str, timeout_s: int | None):
+    w = (df.writeStream.queryName(f"{name}-{uuid.uuid4().hex[:8]}").foreachBatch(target.foreach_batch(name))
+         .option("checkpointLocation", f"{state_root}/_checkpoints/{name}"))
+    if trigger != "availableNow":
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
+    q.awaitTermination(*([] if timeout_s is None else [timeout_s]))
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"flow {name} did not finish in {timeout_s}s")
+    if q.exception() is not None:
+        raise q.exception()
+    return q
+
+
 def run_flow(spark: SparkSession, target: IncrementalTarget, flow: Flow, state_root: str,
              trigger: str = "availableNow", processing_time: str = "30 seconds", timeout_s: int | None = None):
     """Run one flow into ``target``.
 
     ``availableNow`` processes everything landed so far (in micro-batches of
     ``max_files_per_trigger`` files) and stops; ``processingTime`` keeps the
-    query running.  The schema is resolved first; an additive change simply
-    restarts the query with the wider schema (the checkpoint keeps its place).
+    query running.
     """
-    store = SchemaStore(spark, f"{state_root}/_schemas/{flow.name}")
-    schema, _ = store.resolve(flow.path, flow.file_format)
-    df = stream_landed(spark, flow.path, schema, flow.file_format, source_kind=flow.name,
-                       max_files_per_trigger=flow.max_files_per_trigger)
-    w = (df.writeStream.foreachBatch(target.foreach_batch(flow.name))
-         .option("checkpointLocation", f"{state_root}/_checkpoints/{flow.name}"))
-    if trigger == "availableNow":
-        q = w.trigger(availableNow=True).start()
-        q.awaitTermination(*([] if timeout_s is None else [timeout_s]))
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"flow {flow.name} did not finish in {timeout_s}s")
-        if q.exception() is not None:
-            raise q.exception()
-        return q
-    return w.trigger(processingTime=processing_time).start()
-
-
-def run_flows(spark: SparkSession, target: IncrementalTarget, flows: list[Flow], state_root: str, **kw):
-    """Seed flow first (when present), then the change flow (``availableNow``
-    runs them in turn; ``processingTime`` queries run side by side)."""
+    return start(landed_stream(spark, flow, state_root), target, flow.name, state_root, trigger, processing_time, timeout_s)
+
+
+def run_flows(spark: SparkSession, target: IncrementalTarget, flows: list[Flow], state_root: str, trigger: str = "availableNow",
+              processing_time: str = "30 seconds", timeout_s: int | None = None):
+    """Seed flow first (when present), then the change flow, in turn; with
+    ``processingTime`` one query reads the folders of all flows."""
     ordered = sorted(flows, key=lambda f: 0 if f.name == "full" else 1)
-    return [run_flow(spark, target, f, state_root, **kw) for f in ordered]
+    if trigger == "availableNow" or len(ordered) == 1:
+        return [run_flow(spark, target, f, state_root, trigger, processing_time, timeout_s) for f in ordered]
+    both = landed_stream(spark, ordered[0], state_root)
+    for f in ordered[1:]:
+        both = both.unionByName(landed_stream(spark, f, state_root), allowMissingColumns=True)
+    return [start(both, target, "+".join(f.name for f in ordered), state_root, trigger, processing_time, timeout_s)]

@@ -1,6 +1,6 @@
 """Small-file access on the shared (Hadoop-compatible) filesystem.
 
-Only tiny control files go through here (manifests, schema records); data is
+Only tiny control files go through here (schema records, positions); data is
 always read and written by Spark.  Works for local paths, HDFS and object
 stores alike because it goes through Hadoop's FileSystem of the session.
 """
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -63,36 +62,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise
 
 
-def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
-    """Publish ``path`` with ``text`` only if it does not exist yet: True, or
-    False if another writer was first.  Any other error is raised.
-
-    The commit point of optimistic writers.  The content is written to a
-    temporary file first and the name appears with all of it: on a local file
-    system by a hard link (which fails if the name exists), elsewhere by a
-    rename without overwrite, which HDFS-like stores do atomically.  A writer
-    that dies before that leaves a temporary file that nobody reads.
-    """
-    fs, tmp, p, jvm = _temporary(spark, path, text)
-    try:
-        if fs.getScheme() == "file":
-            paths = jvm.java.nio.file.Paths
-            jvm.java.nio.file.Files.createLink(paths.get(fs.makeQualified(p).toUri().getPath(), _no_more(spark)),
-                                               paths.get(fs.makeQualified(tmp).toUri().getPath(), _no_more(spark)))
-        else:
-            _rename(spark, fs.makeQualified(tmp), fs.makeQualified(p), jvm, overwrite=False)
-        return True
-    except Py4JJavaError as e:
-        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
-            return False
-        raise
-    finally:
-        fs.delete(tmp, False)
-
-
-def _no_more(spark: SparkSession):
-    """The empty string array of Java's ``Paths.get(first, more...)``."""
-    return spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.java.lang.String, 0)
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; False if the target is there already (an earlier
+    attempt moved it) or the source is gone."""
+    fs, p, jvm = _fs(spark, target)
+    if fs.exists(p) or not exists(spark, source):
+        return False
+    fs.mkdirs(p.getParent())
+    _rename(spark, fs.makeQualified(jvm.org.apache.hadoop.fs.Path(source)), fs.makeQualified(p), jvm, overwrite=False)
+    return True
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -118,3 +96,9 @@ def mkdirs(spark: SparkSession, path: str) -> None:
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p, _ = _fs(spark, path)
     return bool(fs.delete(p, recursive))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder, from its listing."""
+    fs, p, _ = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())

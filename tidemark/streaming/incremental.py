@@ -1,412 +1,313 @@
-"""Incremental SCD merge over micro-batches (log-structured, replay-safe).
-
-Layout below ``root`` (a folder in the shared checkpoint area):
-
-* ``log/_flow=<f>/_batch=<id>/_bucket=<b>/``  every standardised event,
-  deletes kept as tombstones, bucketed by ``pmod(xxhash64(keys), B)``;
-  rows with a NULL key go to bucket -1 (quarantine, never merged);
-* ``scd1/v=<n>-<id>/_bucket=<b>/``, ``scd2/...``  copy-on-write versions of
-  the buckets a commit touched (unique per attempt, so a losing writer never
-  overwrites committed files);
-* ``_manifest/<n>.json``  commit ``n``: which version holds each bucket of
-  each target, the compacted log base, the log batch folders written since,
-  and the batch ids applied so far per flow (replays are skipped).  It
-  appears complete and only if no other writer was first: that is the commit
-  (both targets flip together; of two concurrent writers one wins, the other
-  recomputes on top of it);
-* ``log_base/v=<n>/_bucket=<b>/``  the log compacted by ``compact_log`` (so a
-  batch's history read does not grow with the number of batches).
-
-A micro-batch appends its events to the log, finds the keys it touches,
-re-folds exactly those keys from their whole logged history (so late events
-that split closed SCD2 versions come out right), copies the untouched keys of
-the touched buckets, and commits.  A batch whose (flow, batch id) a manifest
-already lists is skipped, and a failed batch leaves only unreferenced folders
-that its retry overwrites.  The result equals the batch fold of all events,
-whatever the arrival order, batching or replay.
+"""Incremental SCD merge over micro-batches, on Spark's own commit.
+
+The target is one partitioned Parquet folder with a row per applied (key,
+sequence): the event's payload, its operation (deletes stay as tombstones) and
+its validity.  Both targets are views of it: SCD1 the open rows, SCD2 all
+rows, without hard deletes.
+
+* ``state/_part=open/_bucket=<b>/``  the newest row of every key, by
+  ``pmod(xxhash64(keys), B)``;
+* ``state/_part=<batch>/_bucket=-1/``  the rows that a batch closed or added
+  behind a newer one.
+
+A micro-batch reads the open rows of the buckets it touches and folds its
+events with those of its keys.  Closed rows are read only for keys with an
+event older than their open row, and of these only the *suffix*: versions that
+end after the key's earliest new sequence.  What a batch without late events
+reads therefore does not grow with the history.
+
+Commit and replay are Spark's: ``foreachBatch`` with the query's checkpoint
+delivers a batch again until it is done, the fold of a batch that was applied
+already changes nothing (equal (key, sequence) events collapse to one winner),
+and the result is written with a dynamic overwrite of the partitions it
+holds.  That overwrite replaces partitions one by one, so a batch first writes
+its whole result aside (``_staged``) and then publishes it; a run that finds a
+complete staged result publishes that first.  One writer at a time: the flows
+of a target run in turn.
+
+The change rows of a batch come from the same join of old and new rows
+(``changes_scd<n>/_commit=<v>``) and can be read as a stream.
 """
 
 from __future__ import annotations
 
 import json
 import time
-import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.cdc import standardize
+from ..functions.cdc import standardize, target_columns
 from ..operators import merge
 from ..operators.windows import DEFAULT_MAX_GROUP_ROWS
-from ..spec import START_COL, TableSpec
+from ..spec import END_COL, START_COL, TableSpec
 from . import fs
 
-PART_COLS = ("_flow", "_batch", "_bucket")
-# Log bucket of rows that cannot be merged (NULL key); read as quarantine.
-QUARANTINE_BUCKET = -1
-
-
-class _Clock:
-    """Wall-clock seconds per phase of a micro-batch (``last_timings``)."""
-
-    def __init__(self):
-        import time
-        self._time = time.time
-        self._t = self._time()
-        self.laps: dict[str, float] = {}
-
-    def lap(self, name: str) -> None:
-        now = self._time()
-        self.laps[name] = round(now - self._t, 3)
-        self._t = now
-
-
-class CommitConflict(RuntimeError):
-    """Another writer kept winning the commit; the batch was not applied."""
+OPEN = "open"
+CLOSED_BUCKET = -1
+# Columns of the fold that are no payload.
+HELPERS = ("_part", "_bucket", "_known", "_last_live", "_from", START_COL, END_COL)
+CHANGE_COLS = ("_change_type", "_commit_version", "_commit_timestamp")
 
 
 class IncrementalTarget:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int = 64,
-                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS, max_commit_attempts: int = 8,
-                 compact_after: int | None = 32):
+                 max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.buckets = buckets
         self.max_group_rows = max_group_rows
-        self.max_commit_attempts = max_commit_attempts
-        self.compact_after = compact_after  # log batches after which a batch compacts the log
-        self.log_root = f"{self.root}/log"
-        self.manifest_root = f"{self.root}/_manifest"
-
-    # -- commits -----------------------------------------------------------
-    def _manifests(self) -> list[str]:
-        return [n for n in fs.list_names(self.spark, self.manifest_root) if n.endswith(".json") and not n.startswith(".")]
-
-    def _read_manifest(self, name: str) -> dict:
-        """A manifest's content.  Manifests appear complete, so one that
-        cannot be read is an error and never skipped."""
-        state = json.loads(fs.read_text(self.spark, f"{self.manifest_root}/{name}"))
-        state["seq"] = int(name.split(".")[0])
-        return state
-
-    def latest(self) -> dict:
-        """The newest committed manifest."""
-        names = self._manifests()
-        return self._read_manifest(names[-1]) if names else {"seq": 0, "targets": {}}
-
-    @staticmethod
-    def _has_batch(state: dict, flow: str, batch_id: int) -> bool:
-        return any(lo <= int(batch_id) <= hi for lo, hi in state.get("applied", {}).get(flow, []))
-
-    @staticmethod
-    def _with_batch(state: dict, flow: str, batch_id: int) -> dict:
-        """The applied batch ids per flow, as sorted ranges, with one more."""
-        applied = {f: [list(r) for r in ranges] for f, ranges in state.get("applied", {}).items()}
-        ranges = sorted([*applied.get(flow, []), [int(batch_id), int(batch_id)]])
-        merged = [ranges[0]]
-        for lo, hi in ranges[1:]:
-            if lo <= merged[-1][1] + 1:
-                merged[-1][1] = max(hi, merged[-1][1])
-            else:
-                merged.append([lo, hi])
-        applied[flow] = merged
-        return applied
+        self.state_path = f"{self.root}/state"
+        self.staged_path = f"{self.root}/_staged"
+        self.quarantine_path = f"{self.root}/quarantine"
+        self.rows_read: dict[str, int] = {}  # of the last batch, for tests and reports
+
+    # -- schema and reading --------------------------------------------------
+    def _schema_file(self) -> str:
+        return f"{self.root}/_schema.json"
+
+    def _schema(self) -> T.StructType | None:
+        """The state's columns (without the partition columns)."""
+        if not fs.exists(self.spark, self._schema_file()):
+            return None
+        return T.StructType.fromJson(json.loads(fs.read_text(self.spark, self._schema_file())))
+
+    def _partitioned(self, schema: T.StructType) -> T.StructType:
+        return T.StructType([*schema.fields, T.StructField("_part", T.StringType()), T.StructField("_bucket", T.IntegerType())])
+
+    def state(self) -> DataFrame:
+        """Every applied (key, sequence) with its validity, tombstones
+        included.  Files without a later column read it as NULL."""
+        schema = self._schema()
+        if schema is None or not fs.exists(self.spark, self.state_path):
+            raise ValueError("the target has no committed batch yet")
+        return self.spark.read.schema(self._partitioned(schema)).parquet(self.state_path)
+
+    def _view(self, rows: DataFrame, scd: int) -> DataFrame:
+        """A target from state rows."""
+        cols = [c for c in rows.columns if c not in (*HELPERS, "_op")]
+        live = rows.filter(F.col("_op") != "D")
+        if scd == 1:
+            return live.filter(F.col("_part") == OPEN).select(*cols)
+        return live.select(*cols, START_COL, END_COL)
 
-    def committed(self, flow: str, batch_id: int) -> bool:
-        """Whether a micro-batch is part of the target: every manifest lists
-        the batches before it, so commits of other flows hide nothing."""
-        return self._has_batch(self.latest(), flow, batch_id)
+    def read(self, scd: int) -> DataFrame:
+        """The committed target; SCD1 reads the open partitions only."""
+        return self._view(self.state(), scd)
 
-    def _commit(self, seq: int, manifest: dict) -> bool:
-        """Publish manifest ``seq`` if no other writer has: the commit point."""
-        return fs.create_exclusive(self.spark, f"{self.manifest_root}/{seq:012d}.json",
-                                   json.dumps(manifest, sort_keys=True))
+    def read_quarantine(self) -> DataFrame:
+        """Rows that cannot be merged (NULL key), with their reason."""
+        if not fs.exists(self.spark, self.quarantine_path):
+            return self.spark.createDataFrame([], "dq_reason string")
+        return self.spark.read.option("mergeSchema", "true").parquet(self.quarantine_path).drop("_commit").withColumn("dq_reason", F.lit("null primary_key"))
+
+    def changes_path(self, scd: int) -> str:
+        return f"{self.root}/changes_scd{scd}"
+
+    def _changes_schema(self, scd: int) -> T.StructType:
+        fields = [f for f in self._schema().fields if f.name not in ("_op", *HELPERS)]
+        ends = [T.StructField(c, self._schema()[c].dataType) for c in (START_COL, END_COL)] if scd == 2 else []
+        return T.StructType([*fields, *ends, T.StructField("_change_type", T.StringType()), T.StructField("_commit_version", T.LongType()),
+                             T.StructField("_commit_timestamp", T.TimestampNTZType())])
+
+    def change_feed(self, scd: int, from_version: int = 0, to_version: int | None = None) -> DataFrame:
+        """Row changes of a target, commit by commit (R-CDF): only the
+        folders of the commits asked for are read."""
+        path = self.changes_path(scd)
+        if not fs.exists(self.spark, path):
+            return self.spark.createDataFrame([], self._changes_schema(scd))
+        out = self.spark.read.schema(T.StructType([*self._changes_schema(scd).fields, T.StructField("_commit", T.LongType())])).parquet(path)
+        keep = F.col("_commit") > from_version
+        return out.filter(keep if to_version is None else keep & (F.col("_commit") <= to_version)).drop("_commit")
+
+    def stream_changes(self, scd: int) -> DataFrame:
+        """The change rows as a stream, one commit's files at a time.  A
+        commit's files appear at once and are never rewritten."""
+        return (self.spark.readStream.schema(T.StructType([*self._changes_schema(scd).fields, T.StructField("_commit", T.LongType())]))
+                .option("maxFilesPerTrigger", "64").parquet(self.changes_path(scd)).drop("_commit"))
 
     # -- the micro-batch ---------------------------------------------------
     def bucket_expr(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]), F.lit(self.buckets)).cast("int")
 
-    def apply(self, batch: DataFrame, batch_id: int, flow: str = "ct") -> bool:
-        """Merge one micro-batch.  Returns False when it was already committed.
+    def _version(self) -> int:
+        """The next commit's number: one above those with change rows."""
+        known = [int(n.split("=")[1]) for scd in (1, 2) for n in fs.list_names(self.spark, self.changes_path(scd)) if n.startswith("_commit=")]
+        return max(known, default=0) + 1
 
-        Writers of one target (e.g. a seed flow and a change flow) may run at
-        the same time: each attempt builds on the latest commit, writes
-        version folders of its own, and commits by creating the next
-        manifest exclusively; the loser re-reads and recomputes on top of the
-        winner.
-        """
-        spark, spec = self.spark, self.spec
-        clock = _Clock()
-        if self.committed(flow, batch_id):
-            return False
-        std = standardize(batch, spec)
-        key_ok = None
-        for k in spec.keys:
-            c = F.col(k).isNotNull()
-            key_ok = c if key_ok is None else key_ok & c
-        log_path = f"{self.log_root}/_flow={flow}/_batch={int(batch_id)}"
-        # one pass writes the log; rows with a NULL key land in bucket -1,
-        # which no fold reads (the quarantine view of the log)
-        (std.withColumn("_bucket", F.when(key_ok, self.bucket_expr()).otherwise(F.lit(QUARANTINE_BUCKET)))
-            .hint("rebalance", "_bucket")
-            .write.mode("overwrite").partitionBy("_bucket").parquet(log_path))
-        clock.lap("log")
-        logged = [int(n.split("=", 1)[1]) for n in fs.list_names(spark, log_path) if n.startswith("_bucket=")]
-        touched = sorted(b for b in logged if b != QUARANTINE_BUCKET)
-        batch_keys = None
-        if touched:
-            batch_keys = (spark.read.parquet(log_path).filter(F.col("_bucket") != QUARANTINE_BUCKET)
-                          .select(*spec.keys).distinct().persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            for _ in range(self.max_commit_attempts):
-                state = self.latest()
-                if self._has_batch(state, flow, batch_id):
-                    return False
-                seq = int(state["seq"]) + 1
-                vid = f"{seq}-{uuid.uuid4().hex[:8]}"
-                # an empty batch leaves no files to list
-                log_batches = list(state.get("log_batches", [])) + ([[flow, int(batch_id)]] if logged else [])
-                targets = {k: dict(v) for k, v in state.get("targets", {}).items()}
-                log_schema = self._wider(state.get("log_schema"), std.schema) if logged else state.get("log_schema")
-                if touched:
-                    targets = self._rewrite(state, targets, log_batches, log_schema, touched, batch_keys, vid, clock)
-                manifest = {"flow": flow, "batch": int(batch_id), "targets": targets,
-                            "log_base": state.get("log_base"), "log_batches": log_batches, "log_schema": log_schema,
-                            "applied": self._with_batch(state, flow, batch_id), "time_us": time.time_ns() // 1000}
-                if self._commit(seq, manifest):
-                    clock.lap("commit")
-                    if self.compact_after and len(log_batches) >= self.compact_after:
-                        self.compact_log()
-                        clock.lap("compact")
-                    self.last_timings = clock.laps
-                    return True
-                clock.lap("conflict")
-            raise CommitConflict(f"batch {flow}/{batch_id} lost {self.max_commit_attempts} commit races")
-        finally:
-            if batch_keys is not None:
-                batch_keys.unpersist()
-
-    @staticmethod
-    def _wider(known: str | None, schema: T.StructType) -> str:
-        """The log's schema with the fields that a batch adds (as JSON)."""
-        fields = list(T.StructType.fromJson(json.loads(known)).fields) if known else []
-        names = {f.name for f in fields}
-        return T.StructType([*fields, *[f for f in schema.fields if f.name not in names]]).json()
-
-    def _rewrite(self, state, targets, log_batches, log_schema, touched, batch_keys, vid, clock) -> dict:
-        """Re-fold the batch's keys from their logged history and write new
-        versions (folder ``v=<vid>``) of the touched buckets of each target."""
+    def apply(self, batch: DataFrame, batch_id: int, flow: str = "ct") -> None:
+        """Merge one micro-batch.  Applying it again changes nothing."""
         spark, spec = self.spark, self.spec
-        history = (self._read_log(state.get("log_base"), log_batches, log_schema)
-                   .filter(F.col("_bucket").isin(touched))
-                   .join(batch_keys, list(spec.keys), "left_semi")
-                   .persist(StorageLevel.MEMORY_AND_DISK))  # read by the hot-key check and the fold
-        folded = merge.fold(history, spec, max_group_rows=self.max_group_rows).persist(StorageLevel.MEMORY_AND_DISK)
-        clock.lap("plan_fold")
+        self.recover()
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        tag, version = f"{flow}-{query[:8]}-{int(batch_id)}", self._version()
+        staged = f"{self.staged_path}/{version}_{tag}"
+        std = standardize(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
+        held = [std]
         try:
-            for scd, new_rows in merge.targets_from_fold(folded, spec).items():
-                name = f"scd{scd}"
-                versions = targets.get(name, {}).get("versions", {})
-                prev = self._read_buckets(name, {b: v for b, v in versions.items() if int(b) in touched}, targets.get(name, {}).get("schema"))
-                out = new_rows
-                if prev is not None:
-                    kept = prev.join(batch_keys, list(spec.keys), "left_anti")
-                    # column order follows the fresh fold (new columns included)
-                    out = new_rows.unionByName(kept, allowMissingColumns=True)
-                path = f"{self.root}/{name}/v={vid}"
-                # files per bucket, not per task x bucket (AQE splits a hot
-                # bucket); sorted inside so min/max statistics prune key lookups
-                order = [F.col(c) for c in (spec.cluster_by or spec.keys)]
-                (out.hint("rebalance", "_bucket").sortWithinPartitions("_bucket", *order)
-                    .write.mode("overwrite").partitionBy("_bucket").parquet(path))
-                written = {int(n.split("=", 1)[1]) for n in fs.list_names(spark, path) if n.startswith("_bucket=")}
-                nv = {str(b): v for b, v in versions.items() if int(b) not in touched}
-                nv.update({str(b): vid for b in written})
-                targets[name] = {"versions": nv, "schema": out.drop("_bucket").schema.json()}
-                clock.lap(f"write_{name}")
+            key_ok = F.lit(True)
+            for k in spec.keys:
+                key_ok = key_ok & F.col(k).isNotNull()
+            touched = (std.groupBy(*spec.keys).agg(F.min("_seq").alias("_from"), F.count(F.lit(1)).alias("_n"))
+                       .withColumn("_bucket", F.when(key_ok, self.bucket_expr())).persist(StorageLevel.MEMORY_AND_DISK))
+            held.append(touched)
+            size = touched.agg(F.collect_set("_bucket").alias("buckets"), F.sum(F.when(key_ok, F.col("_n"))).alias("n"), F.count_if(~key_ok).alias("bad")).first()
+            if size["bad"]:
+                std.filter(~key_ok).write.mode("overwrite").parquet(f"{staged}/quarantine")
+            if size["buckets"]:
+                self._merge(std.filter(key_ok), touched.filter(key_ok), sorted(size["buckets"]), size["n"], tag, version, staged, held)
+            if size["bad"] or size["buckets"]:
+                self._publish(staged)
         finally:
-            folded.unpersist()
-            history.unpersist()
-        return targets
-
-    # -- reading -----------------------------------------------------------
-    def _with_bucket(self, schema_json: str) -> T.StructType:
-        return T.StructType([*T.StructType.fromJson(json.loads(schema_json)).fields, T.StructField("_bucket", T.IntegerType())])
-
-    def _read_buckets(self, name: str, versions: dict, schema_json: str) -> DataFrame | None:
-        """Bucket folders under the schema that the manifest records (no file
-        footers are read for it; older files read new columns as NULL)."""
-        if not versions:
-            return None
-        base = f"{self.root}/{name}"
-        paths = [f"{base}/v={v}/_bucket={b}" for b, v in sorted(versions.items(), key=lambda kv: int(kv[0]))]
-        return self.spark.read.schema(self._with_bucket(schema_json)).option("basePath", base).parquet(*paths).drop("v")
-
-    def read(self, scd: int) -> DataFrame:
-        """The committed target (as of the latest manifest)."""
-        name = f"scd{scd}"
-        t = self.latest().get("targets", {}).get(name)
-        if not t:
-            raise ValueError(f"{name} has no commit yet")
-        df = self._read_buckets(name, t["versions"], t["schema"])
-        schema = T.StructType.fromJson(json.loads(t["schema"]))
-        if df is None:
-            return self.spark.createDataFrame([], schema)
-        return df.select(*[F.col(f.name) for f in schema.fields])
-
-    def change_feed(self, scd: int, from_seq: int = 0, to_seq: int | None = None) -> DataFrame:
-        """Row changes of a target between two commits (R-CDF), commit by
-        commit: ``_change_type``, ``_commit_version`` and
-        ``_commit_timestamp`` of the commit that made each change.
-
-        Only buckets whose version changed are read, on either side.
-        """
+            for df in held:
+                df.unpersist()
+
+    def _merge(self, valid: DataFrame, touched: DataFrame, buckets: list[int], n_events: int, tag: str, version: int, staged: str,
+               held: list) -> None:
+        spec, keys = self.spec, list(self.spec.keys)
+        events = valid.select(*target_columns(valid, spec), "_op", "_seq")
+        known, none = self._schema(), F.lit(None)
+        before, rest = None, []
+        self.rows_read = {"batch": n_events, "open": 0, "closed": 0}
+        if known is not None and fs.exists(self.spark, self.state_path):
+            state = self.state()
+            first = touched.select(*keys, "_from")
+            newest = (state.filter((F.col("_part") == OPEN) & F.col("_bucket").isin(buckets)).join(first, keys, "left")
+                      .persist(StorageLevel.MEMORY_AND_DISK))
+            held.append(newest)
+            late = newest.filter(F.col("_from") < F.col(START_COL))
+            seen = newest.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("_from") < F.col(START_COL), F.col("_from"))).alias("since")).first()
+            self.rows_read["open"] = seen["n"]
+            before = newest.filter(F.col("_from").isNotNull())
+            rest.append(newest.filter(F.col("_from").isNull()))
+            if seen["since"] is not None:
+                closed = state.filter((F.col("_part") != OPEN) & (F.col(END_COL) > F.lit(seen["since"])))
+                suffix = (closed.join(late.select(*keys, "_from"), keys).filter(F.col(END_COL) > F.col("_from"))
+                          .persist(StorageLevel.MEMORY_AND_DISK))
+                held.append(suffix)
+                parts = [r["_part"] for r in suffix.select("_part").distinct().collect()]  # batches that hold such rows
+                before = before.unionByName(suffix)
+                same = [*keys, START_COL]
+                others = state.filter(F.col("_part").isin([*parts, tag])).join(suffix.select(*same), same, "left_anti")
+                rest.append(others.withColumn("_from", none))
+                self.rows_read["closed"] = suffix.count()
+            elif f"_part={tag}" in fs.list_names(self.spark, self.state_path):
+                rest.append(state.filter(F.col("_part") == tag).withColumn("_from", none))
+            old = (before.withColumn("_seq", F.col(START_COL)).withColumn("_known", F.struct("_seq", "_part"))
+                   .drop(START_COL, END_COL, "_bucket"))
+            if "_last_live" in old.columns:
+                # known for the row that the suffix begins with: no event of the batch precedes it
+                flag, live = F.col(spec.is_deleted_col), F.col("_last_live")
+                # the live event that a delete of the same sequence has won over
+                under = old.filter(flag & (live["_at"] == F.col("_seq")))
+                shown = {f.name for f in old.schema["_last_live"].dataType.fields} - {"_at"}
+                under = under.select(*[live[c].alias(c) if c in shown else F.lit(False).alias(c) if c == spec.is_deleted_col
+                                       else none.cast(old.schema[c].dataType).alias(c) if c in ("_known", "_last_live") else F.col(c) for c in old.columns])
+                old = old.withColumn("_last_live", F.when(F.col("_seq") < F.col("_from"), live)).unionByName(under)
+            # recorded columns first, so the declared order of the payload stays
+            events = old.drop("_from", "_part").unionByName(events, allowMissingColumns=True)
+        else:
+            seq = valid.schema["_seq"].dataType.simpleString()
+            events = events.withColumn("_known", none.cast(f"struct<_seq:{seq},_part:string>"))
+        keep_live = spec.soft and spec.keep_last_values
+        if keep_live and "_last_live" not in events.columns:
+            payload = [c for c in events.columns if c not in (*keys, spec.is_deleted_col, "_op", "_seq", "_known")]
+            kind = T.StructType([f for f in events.schema.fields if f.name in payload] + [T.StructField("_at", events.schema["_seq"].dataType)]).simpleString()
+            events = events.withColumn("_last_live", none.cast(kind))
+        elif keep_live:
+            events = self._widened_live(events, keys)
+        # no key can be hot where all rows together are not
+        limit = None if self.max_group_rows is None or sum(self.rows_read.values()) <= self.max_group_rows else self.max_group_rows
+        folded = merge.fold(events, spec, limit, carry={"_kept": F.col("_known")}, helpers=HELPERS, known_live="_last_live" if keep_live else None)
+        winners = merge.last_of_sequence(folded)
+        mine = F.when(F.col("_kept._seq").eqNullSafe(F.col("_seq")) & (F.col("_kept._part") != OPEN), F.col("_kept._part"))
+        part = F.when(~F.col("_has_next"), F.lit(OPEN)).otherwise(F.coalesce(mine, F.lit(tag)))
+        stored = [c for c in events.columns if c not in (*HELPERS, "_op", "_seq")]
+        after = winners.select(*stored, "_op", *([F.col("_live").alias("_last_live")] if keep_live else []), F.col("_seq").alias(START_COL),
+                               F.col("_next_seq").alias(END_COL), part.alias("_part"))
+        after = after.withColumn("_bucket", F.when(F.col("_part") == OPEN, self.bucket_expr()).otherwise(F.lit(CLOSED_BUCKET))).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(after)
+        out = after
+        for other in rest:
+            out = out.unionByName(other.drop("_from"), allowMissingColumns=True)
+        now = F.timestamp_micros(F.lit(time.time_ns() // 1000))
         from ..plans.reports import change_feed
 
-        name = f"scd{scd}"
-        names = self._manifests()
-        states = [self._read_manifest(n) for n in names if from_seq <= int(n.split(".")[0]) and (to_seq is None or int(n.split(".")[0]) <= to_seq)]
-        if from_seq == 0:
-            states = [{"seq": 0, "targets": {}}, *states]
-        schema = T.StructType.fromJson(json.loads(states[-1]["targets"][name]["schema"]))
-        keys = [*self.spec.keys, *([START_COL] if scd == 2 else [])]
-
-        def side(state, versions):
-            df = self._read_buckets(name, versions, state.get("targets", {}).get(name, {}).get("schema"))
-            if df is None:
-                return self.spark.createDataFrame([], schema)
-            return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
-        parts = []
-        for before, after in zip(states[:-1], states[1:], strict=True):
-            old, new = (s.get("targets", {}).get(name, {}).get("versions", {}) for s in (before, after))
-            moved = {b for b in old.keys() | new.keys() if old.get(b) != new.get(b)}
-            if moved:
-                when = F.timestamp_micros(F.lit(int(after.get("time_us", 0))))
-                parts.append(change_feed(side(before, {b: v for b, v in old.items() if b in moved}), side(after, {b: v for b, v in new.items() if b in moved}),
-                                         keys, after["seq"], when))
-        if not parts:
-            none = self.spark.createDataFrame([], schema)
-            return change_feed(none, none, keys, 0, F.timestamp_micros(F.lit(0)))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def _read_log(self, base: str | None, batches: list, schema_json: str) -> DataFrame:
-        """The committed log: the compacted base plus the batch folders
-        written since, by explicit paths (no listing of old folders, no
-        orphans of failed attempts) and under the manifest's schema."""
-        schema = self._with_bucket(schema_json)
-        parts = [self.spark.read.schema(schema).option("basePath", base).parquet(base)] if base else []
-        paths = [f"{self.log_root}/_flow={f}/_batch={b}" for f, b in batches]
-        if paths:
-            parts.append(self.spark.read.schema(schema).option("basePath", self.log_root).parquet(*paths).drop("_flow", "_batch"))
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    def read_log(self) -> DataFrame:
-        state = self.latest()
-        return (self._read_log(state.get("log_base"), state.get("log_batches", []), state["log_schema"])
-                .filter(F.col("_bucket") != QUARANTINE_BUCKET))
-
-    def compact_log(self) -> bool:
-        """Rewrite the committed log as one compacted base (few files per
-        bucket) and commit it like a batch.
-
-        SCD1-only targets keep the last event of each key (a delete is kept
-        as its tombstone, so late older events still lose to it); targets
-        with history keep the winner of every (key, sequence).  The fold of
-        the compacted log equals the fold of the full log.  Returns False
-        when there is nothing to compact.
-        """
-        spark, spec = self.spark, self.spec
-        state = self.latest()
-        if not state.get("log_batches"):
-            return False
-        seq = int(state["seq"]) + 1
-        log = self._read_log(state.get("log_base"), state["log_batches"], state["log_schema"])
-        valid = log.filter(F.col("_bucket") != QUARANTINE_BUCKET)
-        folded = merge.fold(valid, spec, max_group_rows=self.max_group_rows)
-        if 2 in spec.scd_types:
-            keep = merge.last_of_sequence(folded)
-        else:
-            keep = folded.filter(~F.col("_has_next"))
-        keep = keep.drop("_next_seq", "_has_next")
-        quarantined = log.filter(F.col("_bucket") == QUARANTINE_BUCKET)
-        base = f"{self.root}/log_base/v={seq}-{uuid.uuid4().hex[:8]}"
-        (keep.unionByName(quarantined, allowMissingColumns=True)
-             .hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(base))
-        manifest = {"flow": "_compact", "batch": seq, "targets": state.get("targets", {}),
-                    "log_base": base, "log_batches": [], "log_schema": state["log_schema"], "applied": state.get("applied", {}), "time_us": time.time_ns() // 1000}
-        # a batch committed meanwhile: leave compaction for the next call
-        return self._commit(seq, manifest)
-
-    def vacuum(self, keep_commits: int = 50) -> dict:
-        """Delete what no retained commit can read (retention).
-
-        Keeps the newest ``keep_commits`` manifests.  Deletes older
-        manifests; target version folders and log bases older than the
-        oldest retained commit and referenced by none of them (in-flight
-        attempts of concurrent writers are newer, so never touched); and log
-        batch folders of committed batches that no retained commit lists
-        (they were compacted into a base).  Returns what was deleted.
-        """
+        for scd in spec.scd_types:
+            new = self._view(after, scd)
+            old = self._view(before.select(*[c if c in before.columns else none.cast(after.schema[c].dataType).alias(c) for c in after.columns]), scd) \
+                if before is not None else new.limit(0)
+            feed = change_feed(old, new, [*keys, *([START_COL] if scd == 2 else [])], version, now)
+            feed.write.mode("overwrite").parquet(f"{staged}/changes_scd{scd}")
+            if self.spark.read.schema(feed.schema).parquet(f"{staged}/changes_scd{scd}").isEmpty():
+                fs.delete(self.spark, f"{staged}/changes_scd{scd}")
+        fields = [f for f in out.schema.fields if f.name not in ("_part", "_bucket")]
+        fs.mkdirs(self.spark, self.root)
+        fs.write_text(self.spark, self._schema_file(), T.StructType(fields).json())
+        order = [F.col(c) for c in (spec.cluster_by or spec.keys)]
+        (out.hint("rebalance", "_part", "_bucket").sortWithinPartitions("_part", "_bucket", *order)
+            .write.mode("overwrite").partitionBy("_part", "_bucket").parquet(f"{staged}/state"))
+
+    def _widened_live(self, events: DataFrame, keys: list[str]) -> DataFrame:
+        """``_last_live`` with the fields that the payload has now."""
+        has = {f.name for f in events.schema["_last_live"].dataType.fields}
+        names = [c for c in events.columns if c not in (*keys, *HELPERS, "_op", "_seq", self.spec.is_deleted_col)]
+        names.append("_at")
+        fields = [F.col("_last_live").getField(c).alias(c) if c in has else F.lit(None).cast(events.schema[c].dataType).alias(c) for c in names]
+        return events.withColumn("_last_live", F.when(F.col("_last_live").isNotNull(), F.struct(*fields)))
+
+    # -- publishing ------------------------------------------------------------
+    def recover(self) -> None:
+        """Publish a complete staged result that an earlier run left, and
+        drop an incomplete one (its batch comes again)."""
+        for name in fs.list_names(self.spark, self.staged_path):
+            staged = f"{self.staged_path}/{name}"
+            if fs.exists(self.spark, f"{staged}/state/_SUCCESS"):
+                self._publish(staged)
+            else:
+                fs.delete(self.spark, staged)
+
+    def _publish(self, staged: str) -> None:
+        spark, version = self.spark, staged.rsplit("/", 1)[-1].split("_", 1)[0]
+        names = fs.list_names(spark, staged)
+        for name in [n for n in names if n.startswith("changes_")]:
+            fs.move(spark, f"{staged}/{name}", f"{self.root}/{name}/_commit={version}")
+        if "quarantine" in names:
+            fs.move(spark, f"{staged}/quarantine", f"{self.quarantine_path}/_commit={staged.rsplit('/', 1)[-1].split('_', 1)[1]}")
+        if "state" in names:
+            schema = self._partitioned(self._schema())
+            (spark.read.schema(schema).parquet(f"{staged}/state")
+                .sortWithinPartitions("_part", "_bucket", *(self.spec.cluster_by or self.spec.keys))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part", "_bucket").parquet(self.state_path))
+        if "drop.json" in names:  # parts that a compaction replaced
+            for part in json.loads(fs.read_text(spark, f"{staged}/drop.json")):
+                fs.delete(spark, f"{self.state_path}/_part={part}")
+        fs.delete(spark, staged)
+
+    def compact(self, max_bytes: int = 128 << 20) -> int:
+        """Merge the closed rows of batches that hold less than ``max_bytes``
+        into one part, so that the number of folders follows the data and not
+        the number of batches.  Larger parts stay as they are.  Returns how
+        many parts were merged."""
         spark = self.spark
-        names = self._manifests()
-        keep = names[-keep_commits:] if keep_commits > 0 else []
-        if not keep:
-            return {}
-        floor = int(keep[0].split(".")[0])
-        kept = [self._read_manifest(n) for n in keep]
-        refs = {name: set() for name in ("scd1", "scd2")}
-        bases, batches = set(), set()
-        for m in kept:
-            for name, t in m.get("targets", {}).items():
-                refs.setdefault(name, set()).update(str(v) for v in t.get("versions", {}).values())
-            if m.get("log_base"):
-                bases.add(m["log_base"].rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
-            batches.update((f, int(b)) for f, b in m.get("log_batches", []))
-        done = {"manifests": 0, "versions": 0, "log_bases": 0, "log_batches": 0}
-
-        def old(vid: str) -> bool:
-            return int(vid.split("-")[0]) < floor
-
-        for n in names[:-keep_commits]:
-            done["manifests"] += fs.delete(spark, f"{self.manifest_root}/{n}", False)
-        for name, vids in refs.items():
-            for d in fs.list_names(spark, f"{self.root}/{name}"):
-                vid = d.split("=", 1)[1] if d.startswith("v=") else None
-                if vid and vid not in vids and old(vid):
-                    done["versions"] += fs.delete(spark, f"{self.root}/{name}/{d}")
-        for d in fs.list_names(spark, f"{self.root}/log_base"):
-            vid = d.split("=", 1)[1] if d.startswith("v=") else None
-            if vid and vid not in bases and old(vid):
-                done["log_bases"] += fs.delete(spark, f"{self.root}/log_base/{d}")
-        for fd in fs.list_names(spark, self.log_root):
-            if not fd.startswith("_flow="):
-                continue
-            flow = fd.split("=", 1)[1]
-            for bd in fs.list_names(spark, f"{self.log_root}/{fd}"):
-                if not bd.startswith("_batch="):
-                    continue
-                b = int(bd.split("=", 1)[1])
-                if (flow, b) not in batches and self._has_batch(kept[-1], flow, b):
-                    done["log_batches"] += fs.delete(spark, f"{self.log_root}/{fd}/{bd}")
-        return done
-
-    def read_quarantine(self) -> DataFrame:
-        """Logged rows that could not be merged, with their reason."""
-        state = self.latest()
-        return (self._read_log(state.get("log_base"), state.get("log_batches", []), state["log_schema"])
-                .filter(F.col("_bucket") == QUARANTINE_BUCKET)
-                .withColumn("dq_reason", F.lit("null primary_key")))
+        self.recover()
+        parts = [n.split("=", 1)[1] for n in fs.list_names(spark, self.state_path) if n.startswith("_part=") and n != f"_part={OPEN}"]
+        small = [p for p in parts if fs.size(spark, f"{self.state_path}/_part={p}") < max_bytes]
+        if len(small) < 2:
+            return 0
+        version = self._version()
+        merged = f"merged-{time.time_ns()}"
+        staged = f"{self.staged_path}/{version}_{merged}"
+        fs.mkdirs(spark, staged)
+        fs.write_text(spark, f"{staged}/drop.json", json.dumps(small))
+        (self.state().filter(F.col("_part").isin(small)).withColumn("_part", F.lit(merged)).hint("rebalance", "_part", "_bucket")
+            .sortWithinPartitions("_part", "_bucket", *(self.spec.cluster_by or self.spec.keys))
+            .write.mode("overwrite").partitionBy("_part", "_bucket").parquet(f"{staged}/state"))
+        self._publish(staged)
+        return len(small)
 
     def foreach_batch(self, flow: str = "ct"):
         """Function for ``writeStream.foreachBatch``."""
