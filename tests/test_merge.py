@@ -74,7 +74,7 @@ def test_hot_key_chunks_equal_plain_window(spark):
 
 
 def test_write_and_check_scenario(spark):
-    from tidemark.operators.rules import summarize
+    from tidemark.operators.rules import with_total
     from tidemark.session import scratch_dir
     from tidemark.sources.scenario import check_scenario, write_scenario
     from tidemark.sources.files import read_landed
@@ -86,7 +86,9 @@ def test_write_and_check_scenario(spark):
     ct = read_landed(spark, info["ct_path"])
     std = standardize(ct, SPEC)
     res = check_scenario(scd1(std, SPEC), scd2(std, SPEC), ["customer_id"], info["expected_active_count"])
-    ok, text = summarize(res)
-    assert ok, text
+    (total,) = with_total(res).filter("rule = 'all rules'").collect()
+    assert total["passed"] and total["violations"] == 0
+    bad = with_total(res.unionByName(res.limit(1).withColumn("violations", F.lit(3).cast("long")).withColumn("passed", F.lit(False))))
+    assert [(r["violations"], r["passed"]) for r in bad.filter("rule = 'all rules'").collect()] == [(3, False)]
     # the snapshot is the latest non-deleted row per key
     assert rows(read_landed(spark, info["full_path"]), "customer_id", "name") == [(7, "Asha R")]

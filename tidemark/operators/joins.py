@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialise
 from ..spec import END_COL, START_COL
@@ -137,3 +138,28 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: s
     for k in keys:
         cond = cond & (F.col(k) == F.col(rk[k]))
     return lb.join(rb, cond, how).drop("_bkt", "_r_bkt", *rk.values())
+
+
+def scd2_join(left: DataFrame, right: DataFrame, keys: list[str], start: str = "__START_AT", end: str = "__END_AT",
+              max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+    """Both histories side by side (J-ASOF on two histories): one row per key
+    and span in which a version of each is valid, ``[start, end)``.
+
+    A sweep over the union of all starts and ends: every boundary sets or
+    clears its side, a forward fill carries both sides on, and a span is the
+    step to the key's next boundary.  The work is the number of versions, not
+    of overlapping pairs, and a hot key is chunked like any ordering.
+    Payload columns must not share names."""
+    def side(df: DataFrame, name: str, other: str) -> DataFrame:
+        payload = [c for c in df.columns if c not in (*keys, start, end)]
+        value = F.struct(*[F.col(c) for c in payload])
+        kind = T.StructType([T.StructField("on", T.BooleanType()), T.StructField("v", T.StructType([df.schema[c] for c in payload]))])
+        opens = df.select(*keys, F.col(start).alias("_t"), F.lit(1).alias("_k"), F.struct(F.lit(True).alias("on"), value.alias("v")).cast(kind).alias(name))
+        shuts = df.filter(F.col(end).isNotNull()).select(*keys, F.col(end).alias("_t"), F.lit(0).alias("_k"),
+                                                         F.struct(F.lit(False).alias("on"), F.lit(None).alias("v")).cast(kind).alias(name))
+        return opens.unionByName(shuts)
+    both = side(left, "_l", "_r").unionByName(side(right, "_r", "_l"), allowMissingColumns=True)
+    swept = with_neighbors(both, keys, [F.col("_t"), F.col("_k")], nxt={"_to": "_t"}, carry={"_lv": "_l", "_rv": "_r"}, max_group_rows=max_group_rows)
+    spans = swept.filter(F.col("_lv.on") & F.col("_rv.on") & (F.col("_to").isNull() | (F.col("_to") > F.col("_t"))))
+    cols = [F.col(f"{s}.v").getField(c).alias(c) for s, df in (("_lv", left), ("_rv", right)) for c in df.columns if c not in (*keys, start, end)]
+    return spans.select(*keys, *cols, F.col("_t").alias(start), F.col("_to").alias(end))

@@ -124,3 +124,17 @@ def segment_bounds(df: DataFrame, key: str, n_segments: int,
     seg = F.when(i <= big, F.floor((i - 1) / (q + 1)) + 1).otherwise(r + F.floor((i - big - 1) / q) + 1)
     return (numbered.withColumn("segment", seg.cast("int")).groupBy("segment")
             .agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).cast("bigint").alias("n_rows")))
+
+
+def sketched_segments(df: DataFrame, key: str, n_segments: int, accuracy: int = 10_000) -> DataFrame:
+    """Balanced key ranges without a sort of the keys (W-SEGMENT).
+
+    A mergeable quantile summary (rank error rows / ``accuracy``) picks the
+    ``n_segments - 1`` split points, which reach the driver; one aggregate
+    then counts every range exactly.  Equal keys are never split.
+    """
+    cuts = df.agg(F.percentile_approx(key, [i / n_segments for i in range(1, n_segments)], accuracy).alias("c")).first()["c"]
+    inner = F.array(*[F.lit(c) for c in cuts or []])
+    segment = F.when(F.col(key).isNotNull(), F.size(F.filter(inner, lambda c: c < F.col(key))) + 1) if cuts else F.lit(1)
+    return (df.select(key, segment.cast("int").alias("segment")).groupBy("segment")
+            .agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).cast("bigint").alias("n_rows")))

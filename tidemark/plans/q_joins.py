@@ -181,3 +181,25 @@ def lookup_miss_retry(spark, sf_dir):
     return out.select("event_id", "user_id", "status", F.col("_attempts").cast("int").alias("attempts"),
                       F.col("_batch").cast("int").alias("batch"), "c_mktsegment")
 
+
+_BOUGHT = f"SELECT * FROM ({O.EVENTS_STD}) b WHERE event_type IN ('purchase', 'error')"
+_SEEN = f"SELECT * FROM ({O.EVENTS_STD}) s WHERE event_type NOT IN ('purchase')"
+
+
+@register("scd2_join_scd2", f"""
+SELECT a.user_id, a.value AS bought_value, b.event_type AS seen_type, b.value AS seen_value,
+       greatest(a.__START_AT, b.__START_AT) AS __START_AT, least(a.__END_AT, b.__END_AT) AS __END_AT
+FROM ({O.scd2_sql(_BOUGHT, 'user_id', O.EVENTS_ORDER_ASC, EV_COLS)}) a
+JOIN ({O.scd2_sql(_SEEN, 'user_id', O.EVENTS_ORDER_ASC, EV_COLS)}) b
+  ON a.user_id = b.user_id AND (b.__END_AT IS NULL OR a.__START_AT < b.__END_AT) AND (a.__END_AT IS NULL OR b.__START_AT < a.__END_AT)
+""")
+def scd2_join_scd2(spark, sf_dir):
+    """Two histories of the same users (purchases; everything else), both
+    ended by errors, joined on the spans in which both are valid."""
+    ct = feeds.feed_events(spark, sf_dir)
+    spec = feeds.EVENTS_SPEC
+    bought = merge.scd2(standardize(ct.filter(F.col("event_type").isin("purchase", "error")), spec), spec)
+    seen = merge.scd2(standardize(ct.filter(F.col("event_type") != "purchase"), spec), spec)
+    span = ["user_id", "__START_AT", "__END_AT"]
+    return joins.scd2_join(bought.select(*span, F.col("value").alias("bought_value")),
+                           seen.select(*span, F.col("event_type").alias("seen_type"), F.col("value").alias("seen_value")), ["user_id"])

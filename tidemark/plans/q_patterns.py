@@ -3,6 +3,7 @@ reload, and all target modes of the batch build."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.cdc import standardize
@@ -169,3 +170,37 @@ def scd_both_modes(spark, sf_dir):
                 F.lit(spec.merge_mode).alias("merge_mode"), F.lit(target).alias("target"), "n_rows")
             rows = n if rows is None else rows.unionByName(n)
     return rows
+
+
+@register("segment_bounds_sketch", """
+SELECT CAST(s AS INTEGER) AS segment, true AS within_1_percent, true AS above_the_previous,
+       CAST((SELECT count(*) FROM orders) AS BIGINT) AS rows_in_all
+FROM range(1, {n}) t(s)
+""".format(n=SEGMENTS + 1))
+def segment_bounds_sketch(spark, sf_dir):
+    """Sketch-chosen order-key ranges: each holds its share of the rows to
+    one percent, they do not overlap, and no row is lost."""
+    seg = patterns.sketched_segments(table(spark, sf_dir, "orders"), "o_orderkey", SEGMENTS)
+    w = Window.orderBy("segment")  # one row per segment
+    total = F.sum("n_rows").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    share = total / F.lit(SEGMENTS)
+    return seg.select("segment", (F.abs(F.col("n_rows") - share) <= F.greatest(share * 0.01, F.lit(1.0))).alias("within_1_percent"),
+                      F.coalesce(F.col("lo") > F.lag("hi").over(w), F.lit(True)).alias("above_the_previous"), total.alias("rows_in_all"))
+
+
+_NULLED = ["l_returnflag", "l_linestatus", "l_linenumber"]
+_NULLED_SQL = """SELECT l_orderkey, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag, l_linestatus, l_linenumber, l_extendedprice
+FROM lineitem"""
+
+
+@register("skewed_null_identity", f"""
+SELECT {', '.join(_NULLED)}, l_orderkey, l_extendedprice, CAST(row_number() OVER (PARTITION BY {', '.join(_NULLED)} ORDER BY l_orderkey, l_extendedprice) AS BIGINT) AS _dup_no
+FROM ({_NULLED_SQL}) x
+""")
+def skewed_null_identity(spark, sf_dir):
+    """Keyless rows of few contents, a third of them with a NULL column, far
+    above the hot-key threshold: every copy gets a number of its own."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_returnflag")).alias("l_returnflag"),
+                                                 "l_linestatus", "l_linenumber", "l_extendedprice")
+    out = patterns.synthetic_identity(li, _NULLED, ["l_orderkey", "l_extendedprice"], max_group_rows=200, with_hash=False)
+    return out.select(*_NULLED, "l_orderkey", "l_extendedprice", "_dup_no")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.cdc import standardize
 from ..operators import merge, quality
 from ..operators.quality import Rule
+from ..session import scratch_dir
 from ..sources import feeds
 from ..sources.tables import table
 from . import oracle_sql as O
@@ -111,3 +112,49 @@ def dq_reprocess(spark, sf_dir):
                     F.when(F.col("l_returnflag") == "R", F.lit("D")).otherwise(F.lit("U")).alias("header__change_oper"),
                     F.col("l_shipdate").alias("header__change_seq"))
     return merge.scd1(standardize(ct, LI), LI)
+
+
+_LI_SOURCE = ["l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_shipdate", "l_extendedprice"]
+
+
+def _loaded_lines(spark, sf_dir, name):
+    root = scratch_dir(spark, name)
+    report = quality.load(table(spark, sf_dir, "lineitem").select(*_LI_SOURCE), lineitem_rules(), root, "lineitem", "1")
+    return root, report
+
+
+@register("dq_quarantine_table", f"""
+SELECT l_orderkey, l_linenumber, l_extendedprice, {_LI_REASON} AS dq_reason FROM lineitem WHERE {_LI_REASON} IS NOT NULL
+""")
+def dq_quarantine_table(spark, sf_dir):
+    """The stored quarantine table of a load whose counts, fail rules and
+    both tables come from one pass."""
+    root, _ = _loaded_lines(spark, sf_dir, "quarantine")
+    return quality.read_quarantine(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "dq_reason")
+
+
+@register("dq_load_report", " UNION ALL ".join([
+    _rep("lineitem", "discount_at_most_8pct", "warn", "l_discount <= 0.08", "lineitem"),
+    _rep("lineitem", "tax_below_8pct", "drop", "l_tax < 0.08", "lineitem"),
+    _rep("lineitem", "quantity_at_most_48", "drop", "l_quantity <= 48", "lineitem"),
+    _rep("lineitem", "shipdate_present", "fail", "l_shipdate IS NOT NULL", "lineitem"),
+]))
+def dq_load_report(spark, sf_dir):
+    """The rule report that the loading job itself observed."""
+    return _loaded_lines(spark, sf_dir, "load_report")[1]
+
+
+@register("dq_reprocess_stored", """
+SELECT l_orderkey, l_linenumber, l_extendedprice, least(l_quantity, 48.0) AS l_quantity,
+       CASE WHEN coalesce(l_tax < 0.08, false) THEN 'loaded' ELSE 'waiting' END AS place
+FROM lineitem
+""")
+def dq_reprocess_stored(spark, sf_dir):
+    """Rejected line items are read back from the quarantine table, their
+    quantity is capped, and they are loaded again: those over the tax limit
+    wait on, the others are in the table, and no row is lost."""
+    root, _ = _loaded_lines(spark, sf_dir, "reprocess")
+    quality.reload_quarantine(spark, lineitem_rules(), root, "lineitem", "2", lambda q: q.withColumn("l_quantity", F.least("l_quantity", F.lit(48.0))))
+    cols = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"]
+    return quality.read_loaded(spark, root, "lineitem").select(*cols, F.lit("loaded").alias("place")).unionByName(
+        quality.read_quarantine(spark, root, "lineitem").select(*cols, F.lit("waiting").alias("place")))

@@ -193,6 +193,27 @@ def latency_summary(lat: DataFrame, group_cols: list[str], value_col: str = "lat
                     F.round("max_sec", digits).alias("max_sec"), F.col("n").cast("bigint").alias("record_count"))
 
 
+#: Size parameter of the latency sketches, and the rank error that it keeps
+#: with 99 % confidence (two-sided, from the sketch's documentation).
+SKETCH_K, SKETCH_RANK_ERROR = 200, 0.0166
+
+
+def latency_sketches(lat: DataFrame, group_cols: list[str], value_col: str = "latency_sec") -> DataFrame:
+    """One mergeable row per group: count, maximum and a KLL quantile sketch.
+    Kept per commit, it stands for that commit's rows in every later report."""
+    v = F.col(value_col).cast("double")
+    return lat.filter(v.isNotNull()).groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"), F.max(v).alias("max_sec"),
+                                                              F.kll_sketch_agg_double(v, F.lit(SKETCH_K)).alias("sketch"))
+
+
+def latency_from_sketches(sketches: DataFrame, group_cols: list[str]) -> DataFrame:
+    """The latency summary of any union of kept sketches, without the rows."""
+    merged = sketches.groupBy(*group_cols).agg(F.sum("n").alias("record_count"), F.max("max_sec").alias("max_sec"),
+                                               F.kll_merge_agg_double("sketch").alias("_s"))
+    return merged.select(*group_cols, F.kll_sketch_get_quantile_double("_s", F.lit(0.5)).alias("p50_sec"),
+                         F.kll_sketch_get_quantile_double("_s", F.lit(0.95)).alias("p95_sec"), "max_sec", "record_count")
+
+
 def sla_share(lat: DataFrame, group_cols: list[str], threshold_sec: float, value_col: str = "latency_sec") -> DataFrame:
     """Share of records within the SLA, per group (R-SLA)."""
     return lat.groupBy(*group_cols).agg(
