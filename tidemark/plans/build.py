@@ -34,13 +34,25 @@ def clustered(df: DataFrame, cluster_by: tuple[str, ...] | list[str], n_parts: i
 
 
 def build_targets(raw: DataFrame, spec: TableSpec, out_root: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write the targets of one dataset; returns {target name: path}."""
+    """Write the targets of one dataset; returns {target name: path}.
+
+    With ``overwrite`` a target is written aside and replaces the live one
+    when it is complete: a run that fails leaves the live target as it was."""
     out_root = out_root.rstrip("/")
-    paths = {}
+    spark, paths = raw.sparkSession, {}
+
+    def put(df: DataFrame, name: str) -> str:
+        path = f"{out_root}/{name}"
+        if mode != "overwrite":
+            clustered(df, spec.cluster_by).write.mode(mode).parquet(path)
+            return path
+        staged = f"{out_root}/_building/{name}-{uuid.uuid4().hex[:8]}"
+        clustered(df, spec.cluster_by).write.parquet(staged)
+        fs.replace(spark, staged, path)
+        return path
+
     if spec.merge_mode == "append":
-        p = f"{out_root}/append"
-        clustered(raw, spec.cluster_by).write.mode(mode).parquet(p)
-        return {"append": p}
+        return {"append": put(raw, "append")}
     folded = merge.fold(standardize(raw, spec), spec)
     both = len(spec.scd_types) > 1
     if both:
@@ -48,9 +60,7 @@ def build_targets(raw: DataFrame, spec: TableSpec, out_root: str, mode: str = "o
         folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for scd, target in merge.targets_from_fold(folded, spec).items():
-            p = f"{out_root}/scd{scd}"
-            clustered(target, spec.cluster_by).write.mode(mode).parquet(p)
-            paths[f"scd{scd}"] = p
+            paths[f"scd{scd}"] = put(target, f"scd{scd}")
     finally:
         if both:
             folded.unpersist()

@@ -119,12 +119,6 @@ def cost_outliers(daily: DataFrame, group_col: str, day_col: str, cost_col: str,
         F.coalesce(F.col(cost_col) > avg + F.lit(z) * sd, F.lit(False)).alias("is_jump"))
 
 
-def file_report(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a Parquet folder with rows and bytes (K-COMPACT input)."""
-    df = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size")
-    return df.groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"), F.first("file_size").alias("bytes"))
-
-
 def compact(spark: SparkSession, src: str, dst: str, cluster_by: list[str], target_rows_per_file: int,
             n_parts: int | None = None) -> None:
     """Rewrite a folder of small files as fewer, clustered files."""

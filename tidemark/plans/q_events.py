@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import eventtime, joins
+from ..operators import eventtime, joins, quality
+from ..operators.quality import Rule
 from ..session import scratch_dir
-from ..sources.files import SchemaStore, stream_landed
+from ..sources.files import CORRUPT, SchemaStore, read_checked, stream_landed
 from ..sources.tables import table
 from ..streaming import event_time as ST
 from .catalog import ORACLE_SQL, register
@@ -184,3 +185,38 @@ def stream_interval_join_outer(spark, sf_dir):
     """The same as a left outer join: a click without a purchase comes out
     once the watermark shows that none can follow."""
     return _real(_streamed(spark, sf_dir, "stream_ijo", lambda read: _click_purchases(read, "leftOuter")))
+
+
+@register("stream_dedup_windows", ORACLE_SQL["event_window_agg"])
+def stream_dedup_windows(spark, sf_dir):
+    """Every event arrives twice; one query drops the repeats and counts
+    hourly windows of the rest (chained stateful operators)."""
+    aggs = [F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total_value")]
+    return _streamed(spark, sf_dir, "dedup_windows", lambda read: ST.deduplicated_windows(
+        read().unionByName(read()), "ts", ["event_id"], "1 hour", "15 minutes", ["event_type"], aggs))
+
+
+_BROKEN = 50
+
+
+@register("landing_corrupt_rows", " UNION ALL ".join(f"""
+SELECT '{f}' AS format, CASE WHEN event_id % {_BROKEN} = 0 THEN 'quarantine' ELSE 'loaded' END AS place, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(CASE WHEN event_id % {_BROKEN} <> 0 THEN event_id END) AS BIGINT) AS ids
+FROM events GROUP BY 2""" for f in ("json", "csv")))
+def landing_corrupt_rows(spark, sf_dir):
+    """Events land as JSON and as CSV with every fiftieth row broken: the
+    rows that the reader cannot parse are in the quarantine table, as text."""
+    root = scratch_dir(spark, "corrupt")
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    bad = F.col("event_id") % _BROKEN == 0
+    as_json, as_csv = F.to_json(F.struct(*ev.columns)), F.concat_ws(",", *ev.columns)
+    ev.select(F.when(bad, F.substr(as_json, F.lit(1), F.length(as_json) - 4)).otherwise(as_json)).write.text(f"{root}/landing/json")
+    ev.select(F.when(bad, F.concat(F.lit("x"), as_csv)).otherwise(as_csv)).write.text(f"{root}/landing/csv")
+    rule, out = [Rule("readable", F.col(CORRUPT).isNull(), "drop")], []
+    for f in ("json", "csv"):
+        quality.load(read_checked(spark, f"{root}/landing/{f}", f, ev.schema), rule, root, f, "1")
+        out.append(quality.read_loaded(spark, root, f).agg(F.lit(f).alias("format"), F.lit("loaded").alias("place"), F.count(F.lit(1)).alias("n_rows"),
+                                                           F.sum("event_id").alias("ids")))
+        out.append(quality.read_quarantine(spark, root, f).filter(F.length(CORRUPT) > 0).agg(
+            F.lit(f).alias("format"), F.lit("quarantine").alias("place"), F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("long").alias("ids")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cdc import standardize
-from ..operators import merge
+from ..operators import layout, merge, rules, sizing
 from ..session import scratch_dir
-from ..sources import feeds
+from ..sources import feeds, scenario
 from ..sources import metadata as M
+from ..sources.files import read_landed
 from ..sources.tables import table
-from . import group_reports, marts, reports
+from . import build, group_reports, marts, reports
 from . import oracle_sql as O
 from .catalog import register
-from .group import run_group
+from .group import latest_phase, run_group
 from .q_core import EV_COLS, LI_COLS, OVERLAP_STD
 
 LI = feeds.LINEITEM_SPEC
@@ -423,3 +424,88 @@ def group_incremental(spark, sf_dir):
             log = run_group(spark, meta, "FEEDS", group, f"{root}/targets", wanted, incremental=True, buckets=8, raise_at_end=True)
             logs.append(log.filter("phase = 'WRITER'").select(F.lit(run).alias("run_no"), "dataset_id", "message"))
     return reports._union(logs)
+
+
+@register("small_file_compaction", """
+SELECT CAST(2 * count(*) AS BIGINT) AS n_rows, true AS fewer_files, true AS sizes_in_range, true AS large_untouched FROM events
+""")
+def small_file_compaction(spark, sf_dir):
+    """Events as one large and forty small files: only the small ones are
+    merged, into files of at most about the target size."""
+    path = f"{scratch_dir(spark, 'small_files')}/events"
+    ev = table(spark, sf_dir, "events")
+    ev.coalesce(1).write.parquet(path)
+    large = layout.files_of(spark, path).first()
+    ev.repartition(40).write.mode("append").parquet(path)
+    target = large["bytes"] // 2
+    before = layout.files_of(spark, path).count()
+    layout.compact_small_files(spark, path, target, small_bytes=target, cluster_by=["event_id"])
+    files = layout.files_of(spark, path)
+    made = F.col("file_path") != large["file_path"]
+    return files.agg(F.sum("rows").alias("n_rows"), (F.count(F.lit(1)) < before / 4).alias("fewer_files"),
+                     F.bool_and(~made | F.col("bytes").between(target / 8, target * 1.5)).alias("sizes_in_range"),
+                     F.bool_or((F.col("file_path") == large["file_path"]) & (F.col("bytes") == large["bytes"])).alias("large_untouched"))
+
+
+@register("curve_clustered_write", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS fewer_files_for_second_column, true AS first_column_still_prunes FROM lineitem
+""")
+def curve_clustered_write(spark, sf_dir):
+    """Line items clustered along a curve through part and ship date: a filter
+    on the second column meets fewer files than with plain ranges of both,
+    and one on the first does not meet all."""
+    root = scratch_dir(spark, "curve")
+    cols = ["l_partkey", "l_shipdate"]
+    li = table(spark, sf_dir, "lineitem").select(*cols, "l_orderkey", "l_linenumber")
+    n = li.count()
+    layout.curve_clustered(li, cols, target_bytes=max(1, sizing.size_of(li, n) // 16), n_rows=n).write.parquet(f"{root}/curve")
+    li.repartitionByRange(16, *cols).sortWithinPartitions(*cols).write.parquet(f"{root}/plain")
+    cut = li.agg(*[F.percentile_approx(c, 0.1).alias(c) for c in cols]).first()
+
+    def met(path, c):
+        spans = spark.read.parquet(path).groupBy("_metadata.file_path").agg(F.min(c).alias("lo"))
+        return spans.filter(F.col("lo") <= F.lit(cut[c])).count(), spans.count()
+    curve2, _ = met(f"{root}/curve", "l_shipdate")
+    plain2, _ = met(f"{root}/plain", "l_shipdate")
+    curve1, files = met(f"{root}/curve", "l_partkey")
+    return spark.read.parquet(f"{root}/curve").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(curve2 < plain2).alias("fewer_files_for_second_column"),
+                                                   F.lit(curve1 < files).alias("first_column_still_prunes"))
+
+
+@register("group_latest_phase", """
+SELECT * FROM (VALUES ('FEEDS.BROKEN', 'ERROR', 'FAILED', 'PATH_NOT_FOUND'), ('FEEDS.EVENTS', 'DONE', 'OK', NULL), ('FEEDS.LINEITEM', 'DONE', 'OK', NULL),
+  ('FEEDS.ORDERS', 'DONE', 'OK', NULL)) t(dataset_id, phase, status, message)
+""")
+def group_latest_phase(spark, sf_dir):
+    """Where every dataset of a run got to, from the stored run log (R-LOG)."""
+    root = scratch_dir(spark, "phases")
+    landing = f"{root}/landing"
+    feeds.seed_customer(spark, sf_dir).write.parquet(f"{landing}/events__full")
+    feeds.feed_events(spark, sf_dir).write.parquet(f"{landing}/events__ct")
+    feeds.feed_lineitem(spark, sf_dir).write.parquet(f"{landing}/lineitem__ct")
+    feeds.feed_orders(spark, sf_dir).write.parquet(f"{landing}/orders__ct")
+    run_group(spark, feed_metadata(spark, landing), "FEEDS", 1, f"{root}/targets", log_path=f"{root}/run_log", parallelism=4)
+    return latest_phase(spark.read.parquet(f"{root}/run_log")).drop("run_id")
+
+
+@register("scenario_rules", f"""
+SELECT rule, CAST(0 AS BIGINT) AS violations, true AS passed, CAST(count(*) AS BIGINT) AS expected_active
+FROM (VALUES ('active_count'), ('scd2_one_current_per_key'), ('scd2_only_last_open'), ('scd2_no_overlap'), ('scd2_contiguous_history'),
+             ('scd2_start_before_end'), ('all rules')) r(rule),
+     ({O.scd1_sql(O.EVENTS_STD, 'user_id', O.EVENTS_ORDER_DESC, EV_COLS)}) s GROUP BY rule
+""")
+def scenario_rules(spark, sf_dir):
+    """A landed scenario with changes out of order, repeated rows and equal
+    sequences: the built targets pass the count check and the history rules."""
+    root = scratch_dir(spark, "scenario")
+    ct = feeds.feed_events(spark, sf_dir)
+    again = ct.filter(F.col("header__change_seq") % 3 == 0)
+    lower = ct.filter(F.col("header__change_seq") % 7 == 0).withColumn("value", F.lit(None).cast("double"))  # loses to its own sequence
+    lower = lower.withColumn("event_type", F.lit("")).withColumn("header__change_oper", F.lit("U"))
+    landed = ct.unionByName(again).unionByName(lower).repartition(7, F.xxhash64("header__change_seq"))
+    cols = ["user_id", "event_type", "value", "header__change_ts"]
+    info = scenario.write_scenario(spark, root, "events", ["user_id"], landed, cols)
+    spec = feeds.EVENTS_SPEC.with_(scd_types=(1, 2), delete_mode="soft")  # a hard delete would leave a gap
+    paths = build.build_targets(read_landed(spark, info["ct_path"]), spec, f"{root}/targets")
+    found = scenario.check_scenario(spark.read.parquet(paths["scd1"]), spark.read.parquet(paths["scd2"]), ["user_id"], info["expected_active_count"])
+    return rules.with_total(found).withColumn("expected_active", F.lit(info["expected_active_count"]).cast("long"))

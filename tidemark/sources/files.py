@@ -7,6 +7,7 @@ reads by name works (parquet by default; json, csv, orc).
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,24 +53,34 @@ def stream_landed(spark: SparkSession, path: str, schema: T.StructType, file_for
     return add_lineage(r.load(path), source_kind)
 
 
-class SchemaChangeError(RuntimeError):
-    """A landed schema changed in a way that is not purely additive."""
+CORRUPT = "_corrupt_record"
+
 
+def read_checked(spark: SparkSession, path: str, file_format: str, schema: T.StructType, source_kind: str = "ct", options: dict | None = None) -> DataFrame:
+    """Batch read of JSON or CSV in which a row that the reader cannot parse
+    is kept, as text, in ``_corrupt_record`` (NULL for good rows): a rule on
+    it sends the row to quarantine (``quality.load``)."""
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return read_landed(spark, path, file_format, source_kind, kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})})
 
-def _additive(old: T.StructType, new: T.StructType) -> bool:
-    new_by = {f.name: f.dataType for f in new.fields}
-    return all(f.name in new_by and new_by[f.name] == f.dataType for f in old.fields)
+
+class SchemaChangeError(RuntimeError):
+    """A landed schema changed in a way that is not purely additive."""
 
 
 class SchemaStore:
     """Per-flow schema record (the reader's ``schemaLocation``).
 
-    ``resolve`` infers the current landed schema (merging all files), keeps
-    the recorded one when nothing changed, records and returns the wider one
-    when columns were only added (the caller restarts its query with it), and
-    raises :class:`SchemaChangeError` on a rename, drop or type change.
+    ``resolve`` infers the schema of the files that landed since the recorded
+    position (the newest modification time seen), merged into the recorded
+    one: a restart reads the footers (for JSON and CSV the rows) of new files
+    only.  Columns that were only added give the wider schema (the caller
+    restarts its query with it); a type change raises
+    :class:`SchemaChangeError`.  ``files_read`` tells how many files were new.
     """
 
+    files_read = 0
+
     def __init__(self, spark: SparkSession, location: str):
         self.spark = spark
         self.location = location.rstrip("/")
@@ -82,8 +93,22 @@ class SchemaStore:
             return None
         return T.StructType.fromJson(json.loads(fs.read_text(self.spark, self._file())))
 
-    def infer(self, path: str, file_format: str = "parquet") -> T.StructType:
+    def _position(self) -> int | None:
+        """Newest modification time seen, in whole seconds."""
+        file = f"{self.location}/position.json"
+        return json.loads(fs.read_text(self.spark, file))["modified"] if fs.exists(self.spark, file) else None
+
+    def _newer(self, file_format: str, position: int | None):
+        """A reader of the files since ``position``; those of its last second
+        are read again, as times are whole seconds."""
         r = self.spark.read.format(file_format).option("recursiveFileLookup", "true")
+        if position is not None:
+            since = dt.datetime.fromtimestamp(position - 1, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+            r = r.option("modifiedAfter", since).option("timeZone", "UTC")
+        return r
+
+    def infer(self, path: str, file_format: str = "parquet", position: int | None = None) -> T.StructType:
+        r = self._newer(file_format, position)
         if file_format == "parquet":
             r = r.option("mergeSchema", "true")
         elif file_format in ("csv", "json"):
@@ -92,16 +117,26 @@ class SchemaStore:
 
     def resolve(self, path: str, file_format: str = "parquet") -> tuple[T.StructType, bool]:
         """(schema to use, changed?)"""
-        new = self.infer(path, file_format)
-        old = self.recorded()
-        if old is not None and not _additive(old, new):
-            raise SchemaChangeError(f"non-additive schema change at {path}: {old.simpleString()} -> {new.simpleString()}")
+        old, position = self.recorded(), self._position()
+        if old is None:
+            position = None
+        # names and times only: the files' content is not read for this
+        seen = self._newer("binaryFile", position).load(path).agg(F.count(F.lit(1)).alias("n"), F.max(F.unix_seconds("modificationTime")).alias("last")).first()
+        self.files_read = seen["n"]
+        if old is not None and not seen["n"]:
+            return old, False
+        new = self.infer(path, file_format, position)
         if old is not None:
+            types = {f.name: f.dataType for f in new.fields}
+            if any(f.name in types and types[f.name] != f.dataType for f in old.fields):
+                raise SchemaChangeError(f"non-additive schema change at {path}: {old.simpleString()} -> {new.simpleString()}")
             # keep the recorded column order, append new columns at the end
             names = {f.name for f in old.fields}
             new = T.StructType(list(old.fields) + [f for f in new.fields if f.name not in names])
         changed = old is None or new != old
+        fs.mkdirs(self.spark, self.location)
         if changed:
-            fs.mkdirs(self.spark, self.location)
             fs.write_text(self.spark, self._file(), new.json())
+        if seen["last"] is not None:
+            fs.write_text(self.spark, f"{self.location}/position.json", json.dumps({"modified": seen["last"]}))
         return new, changed and old is not None

@@ -58,3 +58,20 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: s
     for x in cond[1:]:
         c = c & x
     return l2.join(r2, c, how).drop(lt, rt, *rk.values())
+
+
+def deduplicated_windows(stream: DataFrame, ts: str, cols: list[str], size: str, watermark: str, group_cols: list[str], aggs: list) -> DataFrame:
+    """Two stateful operators in one query: rows that repeat ``cols`` within
+    the watermark are dropped, and windows count what is left (append mode).
+    Rows behind the watermark are counted by Spark, see
+    :func:`dropped_by_watermark`."""
+    once = as_event_time(stream, ts).withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(cols)
+    out = once.groupBy(F.window("_event_time", size).alias("_w"), *group_cols).agg(*aggs)
+    return out.select(F.col("_w.start").cast("timestamp_ntz").alias("window_start"), F.col("_w.end").cast("timestamp_ntz").alias("window_end"),
+                      *group_cols, *[c for c in out.columns if c not in ("_w", *group_cols)])
+
+
+def dropped_by_watermark(query) -> int:
+    """Rows that the stateful operators of a query dropped as too late, over
+    the batches that its progress still lists."""
+    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)

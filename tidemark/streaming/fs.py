@@ -102,3 +102,13 @@ def size(spark: SparkSession, path: str) -> int:
     """Bytes below a folder, from its listing."""
     fs, p, _ = _fs(spark, path)
     return int(fs.getContentSummary(p).getLength())
+
+
+def replace(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a complete folder in the place of ``target``: the old one is moved
+    aside, and deleted when the new one is there."""
+    aside = f"{target}.old-{uuid.uuid4().hex[:8]}"
+    had = move(spark, target, aside)
+    move(spark, staged, target)
+    if had:
+        delete(spark, aside)
