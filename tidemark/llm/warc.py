@@ -133,15 +133,22 @@ def parse_record(data: bytes, pos: int, proof: bool = False) -> tuple[dict, int]
             "payload": payload}, stop + 4
 
 
+#: Bytes that the decompressor is given at once: what it has not read of them
+#: at a member's end is copied, so the rest of the archive must not be among it.
+PIECE = 1 << 14
+
+
 def _member(data: bytes, pos: int) -> tuple[bytes, int]:
-    z = zlib.decompressobj(31)
+    z, view, out, at = zlib.decompressobj(31), memoryview(data), [], pos
     try:
-        out = z.decompress(memoryview(data)[pos:])
+        while at < len(data) and not z.eof:
+            out.append(z.decompress(view[at:at + PIECE]))
+            at = min(at + PIECE, len(data))
     except zlib.error as e:
         raise BadRecord(f"gzip: {e}") from None
     if not z.eof:
         raise BadRecord("gzip member without an end")
-    return out, len(data) - len(z.unused_data)
+    return b"".join(out), at - len(z.unused_data)
 
 
 def _broken(data: bytes, pos: int) -> tuple[bytes, bool, list[tuple[int, int]]]:
