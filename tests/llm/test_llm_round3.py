@@ -266,3 +266,50 @@ def test_contract_query_recall(spark):
 def test_extreme_magnitudes_keep_their_cosine():
     a = rp_forest.doubles(pa.array([[1e300, 2e300], [3e-300, 1e-300], [1.0, 2.0]]), 2)
     assert np.allclose(rp_forest.cosines(a[:1], a[2:]), 1.0) and np.isfinite(rp_forest.cosines(a[1:2], a[2:])).all()
+
+
+# ---- earlier operators: mended cases ------------------------------------------------
+
+def test_salvage_time_grows_with_the_archive():
+    """Twice the records take about twice the time, not four times."""
+    import gzip
+    import time
+
+    from tidemark.llm import warc
+
+    def archive(n):
+        body = bytes(range(256)) * 24
+        head = "WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:%d>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Length: %d\r\n\r\n"
+        return b"".join(gzip.compress((head % (i, len(body))).encode() + body + str(i).encode()[:0] + b"\r\n\r\n", 0) for i in range(n))
+    took = []
+    for n in (2000, 4000):
+        data = archive(n)
+        t = time.process_time()
+        assert sum(kind == "record" for kind, *_ in warc.salvage(data)) == n
+        took.append(time.process_time() - t)
+    assert took[1] < 3 * took[0] + 0.2
+
+
+def test_blank_texts_have_the_prior_quality(spark):
+    from tidemark.llm import quality_knn
+
+    rows = [(i, ("good words about rivers and hills " if i % 3 else "## $$ || ") * (3 + i % 5)) for i in range(60)] + [(100, "   "), (101, "\n\n"), (102, ""), (103, None)]
+    docs = spark.createDataFrame(rows, TEXTS)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    out = {r["doc_id"]: r["score"] for r in quality_knn.score(docs, quality_knn.train(docs, labels), ["doc_id"]).collect()}
+    assert {out[i] for i in (100, 101, 102, 103)} == {40 / 60}
+
+
+def test_clashing_names_pass_the_pipeline_stages(spark):
+    import corpus_pipeline
+
+    docs = read_table(spark, SF_SMALL, "documents")
+    for c in ("_text", "_letter", "_stage_lang", "_stage_score", "_stage_lines", "_stage_removed"):
+        docs = docs.withColumn(c, F.concat(F.lit(c), F.col("doc_id").cast("string")))
+    plain = read_table(spark, SF_SMALL, "documents")
+    for stage in (corpus_pipeline.language, corpus_pipeline.lines):
+        out = stage(spark, docs, SF_SMALL)
+        assert out.columns == docs.columns
+        assert out.filter("_text != concat('_text', doc_id) or _stage_lang != concat('_stage_lang', doc_id) or _stage_removed != concat('_stage_removed', doc_id)").count() == 0
+        want = stage(spark, plain, SF_SMALL)
+        assert out.select(*plain.columns).exceptAll(want).count() == 0 and out.count() == want.count()

@@ -58,6 +58,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or the first lengthened form of it that no column has (column
+    names do not differ by case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(doc_id: Column | str, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets`` (the contract's folds)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -70,25 +79,6 @@ def hash_order(doc_id: Column | str, seed: str) -> Column:
     return F.xxhash64(F.lit(seed), c)
 
 
-def bounded_sample(df: DataFrame, id_col: str, limit: int, seed: str, by: list[str] | None = None) -> list:
-    """At most ``limit`` rows (per value of ``by``) with the smallest seeded
-    hash of their id, collected.
-
-    The documented bound of training sets: ``limit`` rows reach the driver,
-    whatever the input.  Spark takes them with a per-task top-n, never a sort
-    of the input.
-    """
-    if not by:
-        return df.withColumn("_h", hash_order(id_col, seed)).orderBy("_h", id_col).limit(limit).drop("_h").collect()
-    out = []
-    for row in df.select(*by).distinct().orderBy(*by).limit(1000).collect():
-        part = df
-        for c in by:
-            part = part.filter(F.col(c).eqNullSafe(F.lit(row[c])))
-        out += bounded_sample(part, id_col, limit, seed)
-    return out
-
-
 def stratified_sample(df: DataFrame, id_col: str, by: str, limit: int, seed: str, max_strata: int = 1000) -> DataFrame:
     """About ``limit`` rows of every value of ``by`` (all, if it has fewer),
     by a seeded hash of the id; column ``_h`` is that hash.

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stratified_sample
+from .common import free_name, map_arrow, stratified_sample
 from .ngrams import count_batches, counts
 
 ORDERS = (1, 2, 3)
@@ -133,10 +133,10 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return fit(rows) if rows else None
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Model | None, text: str, out: tuple[str, str]) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], model: Model | None, text: str, letter: str, keep: list[str], out: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         langs, scores = [], []
-        for t, lettered in zip(b.column(text), b.column("_letter").to_pylist(), strict=True):
+        for t, lettered in zip(b.column(text), b.column(letter).to_pylist(), strict=True):
             if not lettered or model is None:
                 langs.append(UND)
                 scores.append(0.0)
@@ -145,9 +145,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model | None, text: str,
             k = int(p.argmax())
             langs.append(model.languages[k])
             scores.append(min(1.0, float(p[k])))
-        keep = [i for i, n in enumerate(b.schema.names) if n not in ("_text", "_letter")]
-        yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                         [*(b.schema.names[i] for i in keep), *out])
+        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*keep, *out])
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text",
@@ -155,10 +153,11 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str
     """Columns ``keep`` with the predicted language and its probability
     (``out``, which replace columns of those names) of the whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one row of weights per hash slot
-    keep = [c for c in keep if c not in (*out, "_text", "_letter")]
+    keep = [c for c in keep if c not in out]
+    own, letter = free_name(keep, "_text"), free_name(keep, "_letter")
     reuse = text_col in keep and docs.schema[text_col].dataType.simpleString() == "string"
-    extra = [] if reuse else [F.col(text_col).cast("string").alias("_text")]
-    rows = docs.select(*keep, *extra, F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
+    extra = [] if reuse else [F.col(text_col).cast("string").alias(own)]
+    rows = docs.select(*keep, *extra, F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)).alias(letter))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keep)
-    source = text_col if reuse else "_text"
-    return map_arrow(rows, lambda it: _predict(it, shared.value, source, out), f"{types}{', ' if types else ''}`{out[0]}` string, `{out[1]}` double")
+    source = text_col if reuse else own
+    return map_arrow(rows, lambda it: _predict(it, shared.value, source, letter, keep, out), f"{types}{', ' if types else ''}`{out[0]}` string, `{out[1]}` double")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stratified_sample
+from .common import free_name, map_arrow, stratified_sample
 from .ngrams import code_points, hashed_points
 
 BITS = 12
@@ -158,7 +158,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
         vectors = np.zeros((b.num_rows, model.basis.shape[1]), np.float32)
         for i, text in enumerate(b.column(b.num_columns - 1)):
             text = text.as_py()
-            if text:
+            if text and text.strip():
                 vectors[i] = model.project(*terms(text))
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(model.vote(vectors), pa.float64())], [*b.schema.names[:-1], "score"])
 
@@ -166,6 +166,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep`` with ``score`` of the whole text (it replaces a column of that name)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by LIMIT, RANK and BITS
-    rows = docs.select(*[c for c in keep if c not in ("score", "_text")], F.col(text_col).cast("string").alias("_text"))
+    keep = [c for c in keep if c != "score"]
+    rows = docs.select(*keep, F.col(text_col).cast("string").alias(free_name(keep, "_text")))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return map_arrow(rows, lambda it: _score(it, shared.value), f"{types}, score double")

@@ -32,7 +32,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stratified_sample
+from .common import free_name, map_arrow, stratified_sample
 
 #: Labelled rows per class the model is fitted on, and the characters of each
 #: that training reads (the documented bounds; scoring reads whole texts).
@@ -238,6 +238,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep`` with ``score`` of the whole text (it replaces a column of that name)."""
     content = (model.ordinary, model.toxic, model.weights, model.prior)  # a few kilobytes
-    rows = docs.select(*[c for c in keep if c not in ("score", "_text")], F.col(text_col).cast("string").alias("_text"))
+    keep = [c for c in keep if c != "score"]
+    rows = docs.select(*keep, F.col(text_col).cast("string").alias(free_name(keep, "_text")))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return map_arrow(rows, lambda it: _score(it, Model(*content)), f"{types}, score double")
