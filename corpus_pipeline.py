@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, line_windows, mixing, packing, shingle_join
-from tidemark.llm.common import read_table, written
+from tidemark.llm.common import free_name, read_table, written
 
 #: A document goes if its language cannot be told: no letter, or a calibrated
 #: confidence below this.
@@ -30,16 +30,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; a null ``lang`` is filled in.
     Trained on the ``lang`` values of the stage's own input."""
     model = langid.train(docs)
-    told = langid.predict(docs, model, docs.columns, out=("_stage_lang", "_stage_score"))
-    kept = told.filter((F.col("_stage_lang") != langid.UND) & (F.col("_stage_score") >= LEAST_CONFIDENCE))
-    return kept.withColumn("lang", F.coalesce("lang", "_stage_lang")).select(*docs.columns)
+    name, score = free_name(docs.columns, "_stage_lang"), free_name(docs.columns, "_stage_score")
+    told = langid.predict(docs, model, docs.columns, out=(name, score))
+    kept = told.filter((F.col(name) != langid.UND) & (F.col(score) >= LEAST_CONFIDENCE))
+    return kept.withColumn("lang", F.coalesce("lang", name)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Text without the later occurrences of repeated three-line windows and
     of repeated passages of over 50 words on one or two lines; a document of which no line is left goes.  ``n_chars`` follows the text."""
-    out = line_windows.dedup_lines(docs, counts=("_stage_lines", "_stage_removed"), long_words=LONG_WORDS).filter("_stage_lines > _stage_removed or _stage_lines = 0")
-    return out.withColumn("n_chars", F.when(F.col("_stage_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    total, gone = free_name(docs.columns, "_stage_lines"), free_name(docs.columns, "_stage_removed")
+    out = line_windows.dedup_lines(docs, counts=(total, gone), long_words=LONG_WORDS).filter((F.col(total) > F.col(gone)) | (F.col(total) == 0))
+    return out.withColumn("n_chars", F.when(F.col(gone) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
