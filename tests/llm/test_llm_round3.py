@@ -313,3 +313,52 @@ def test_clashing_names_pass_the_pipeline_stages(spark):
         assert out.filter("_text != concat('_text', doc_id) or _stage_lang != concat('_stage_lang', doc_id) or _stage_removed != concat('_stage_removed', doc_id)").count() == 0
         want = stage(spark, plain, SF_SMALL)
         assert out.select(*plain.columns).exceptAll(want).count() == 0 and out.count() == want.count()
+
+
+def _toxic_corpus(n, pad, seed=5):
+    """Texts of about ``pad`` characters; every fourth one ends with marks, one of them within a very long word."""
+    rng = random.Random(seed)
+    syllables = ["ta", "re", "mi", "on", "el", "su", "ka"]
+    rows, labels = [], []
+    for i in range(n):
+        words = ["".join(rng.choice(syllables) for _ in range(3)) for _ in range(pad // 7)]
+        if i % 4 == 0:
+            words += [rng.choice(["zvork", "quxify", "blarghs"]) for _ in range(5)] + ["ta" * 60 + "zvork" + "ka" * 60]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    return rows, labels
+
+
+def test_toxic_marks_behind_twenty_thousand_characters(spark):
+    from tidemark.llm import toxicity
+
+    rows, labels = _toxic_corpus(160, 24_000)
+    docs = spark.createDataFrame(rows, TEXTS)
+    model = toxicity.train(docs, spark.createDataFrame([x for x in labels if x[0] < 110], "doc_id long, toxic int"))
+    assert all(s in model.toxic for s in (b"zvork", b"quxify", b"blarghs"))
+    out = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    held = range(110, 160)
+    assert sum(out[i] >= 0.5 for i in held if i % 4 == 0) >= 0.9 * sum(i % 4 == 0 for i in held)
+    assert sum(out[i] >= 0.5 for i in held if i % 4) <= 1
+    # a score is the logistic of the evidence of its windows
+    model.open()
+    text = dict(rows)[112]
+    saved = [len(model._ordinary.compress(w)) - len(model._toxic.compress(w)) for w in toxicity.windows(text)]
+    x = [1.0, np.log1p(len(saved)), *[np.log1p(sum(s >= t for s in saved)) for t in toxicity.THRESHOLDS], max(0, max(saved))]
+    assert abs(out[112] - 1 / (1 + np.exp(-float(np.dot(x, model.weights))))) < 1e-9
+
+
+def test_toxic_recall_on_the_table(spark):
+    """A model that never predicts toxic fails here."""
+    out = QUERIES["op3_toxic_compression"](spark, "/root/testdata/sf0.1").join(read_table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").filter("held_out")
+    share = {r["toxic"]: r["p"] for r in out.groupBy("toxic").agg(F.avg("predicted").alias("p")).collect()}
+    assert share[1] > 0.8 and share[0] < 0.02
+
+
+def test_long_words_count_by_their_pieces():
+    from tidemark.llm import toxicity
+
+    word = "".join(chr(97 + i % 26) for i in range(1000))
+    pieces = set().union(*map(toxicity._segments, toxicity.spaced_words(word)))
+    assert pieces == toxicity._segments(f" {word} ")
+    assert toxicity.spaced_words("a b a") == {" a ", " b "}

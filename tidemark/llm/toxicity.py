@@ -1,12 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text.  The ordinary one
+Two zstandard dictionaries are built from labelled text.  The ordinary one
 holds the words that most ordinary texts use.  The toxic one holds the same
-words and the segments that set toxic texts apart: of all byte segments of 4
-to 12 characters, those whose document frequency in toxic text exceeds what
+words and the segments that set toxic texts apart: of all segments of 4 to 12
+characters, those whose document frequency in toxic text exceeds what
 ordinary text predicts by ``Z_LEAST`` standard deviations, picked greedily by
 the bytes they save (a word that a picked segment explains no longer counts),
-over texts that are not near copies of one another.  A text is cut at word
+over texts that are not near copies of one another.  (zstandard's own
+dictionary trainer covers what is frequent, not what differs; the README has
+the recall it gives.)  Training samples rows, never parts of a text: tasks
+count the words of whole texts and compress whole texts for the calibration;
+the driver receives run hashes, word counts and evidence.  A text is cut at word
 ends into windows of about ``WINDOW`` bytes; each window is compressed with
 both dictionaries, and the bytes that the toxic one saves are compared with
 thresholds.  A logistic regression over the counts of windows beyond each
@@ -28,16 +32,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, map_arrow, stratified_sample
+from .common import free_name, map_arrow, stratified_sample, written
 
-#: Labelled rows per class the model is fitted on, and the characters of each
-#: that training reads (the documented bounds; scoring reads whole texts).
+#: Labelled rows per class the model is fitted on (the documented bound); of
+#: each, training and scoring read the whole text.
 LIMIT = {0: 3000, 1: 1600}
-TRAIN_CHARS = 20_000
+#: Hashes of three-word runs that show near copies among the sampled texts: all
+#: of a text with up to so many runs, about so many of a longer one.
+RUN_HASHES = 256
+#: A longer word counts as overlapping pieces of this length.
+LONG_WORD = 64
 WINDOW = 48
 SEGMENTS = tuple(range(4, 13))
 Z_LEAST = 8.0
@@ -69,29 +78,41 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
 
 # ---- training ------------------------------------------------------------------
 
-def distinct_texts(texts: list[str], share: float = 0.3) -> list[str]:
-    """Texts in order, without those whose three-word runs were mostly seen."""
-    seen: set[str] = set()
+def run_hashes(text: str) -> list[int]:
+    """Hashes of the text's three-word runs: all, or those below a bound that
+    leaves about ``RUN_HASHES`` (texts of like length have like bounds)."""
+    w = text.lower().split()
+    runs = {xxhash.xxh64_intdigest(" ".join(w[i:i + 3])) >> 1 for i in range(len(w) - 2)}
+    return sorted(runs) if len(runs) <= RUN_HASHES else sorted(h for h in runs if h < (RUN_HASHES << 63) // len(runs))
+
+
+def distinct_rows(rows: list[list[int]], share: float = 0.3) -> list[bool]:
+    """Whether each text, in order, is new: not mostly made of runs seen."""
+    seen: set[int] = set()
     out = []
-    for t in texts:
-        w = t.lower().split()
-        runs = {" ".join(w[i:i + 3]) for i in range(len(w) - 2)}
-        if runs and len(runs & seen) > share * len(runs):
-            continue
-        seen |= runs
-        out.append(t)
+    for hashes in rows:
+        old = bool(hashes) and sum(h in seen for h in hashes) > share * len(hashes)
+        out.append(not old)
+        if not old:
+            seen.update(hashes)
     return out
 
 
-def _frequencies(texts: list[str]) -> Counter:
-    n: Counter = Counter()
-    for t in texts:
-        n.update(set(t.lower().replace(GAP, " ").split()))
-    return n
+def spaced_words(text: str) -> set[str]:
+    """The distinct words, each between spaces; a long one as overlapping
+    pieces, so that every segment of it is in one of them."""
+    out = set()
+    for word in text.lower().replace(GAP, " ").split():
+        w = f" {word} "
+        if len(w) <= LONG_WORD:
+            out.add(w)
+        else:
+            step = LONG_WORD - SEGMENTS[-1] + 1
+            out.update(w[i:i + LONG_WORD] for i in range(0, len(w) - SEGMENTS[-1] + 1, step))
+    return out
 
 
-def _segments(word: str) -> set[str]:
-    w = f" {word} "
+def _segments(w: str) -> set[str]:
     return {w[i:i + k] for k in SEGMENTS for i in range(len(w) - k + 1)}
 
 
@@ -99,7 +120,7 @@ def toxic_segments(toxic: Counter, n_toxic: int, ordinary: Counter, n_ordinary:
     """Segments that mark toxic text, the most valuable first."""
     share = n_toxic / max(n_ordinary, 1)
     least = max(4.0, 0.012 * n_toxic)
-    held: dict[str, set[str]] = {w: _segments(w) for w in toxic if len(w) <= 64}
+    held: dict[str, set[str]] = {w: _segments(w) for w in toxic}
     found: Counter = Counter()
     for w, segs in held.items():
         for s in segs:
@@ -107,9 +128,8 @@ def toxic_segments(toxic: Counter, n_toxic: int, ordinary: Counter, n_ordinary:
     wanted = {s for s, n in found.items() if n >= least}
     normal_n: Counter = Counter()
     for w, n in ordinary.items():
-        if len(w) <= 64:
-            for s in _segments(w) & wanted:
-                normal_n[s] += n
+        for s in _segments(w) & wanted:
+            normal_n[s] += n
     expect = {s: (normal_n[s] + 1) * share for s in wanted}
 
     def telling(s, n):
@@ -182,48 +202,85 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
-def fit(toxic: list[str], ordinary: list[str], totals: dict[int, int]) -> Model:
-    """Half of the toxic and two thirds of the ordinary texts train the
-    dictionaries, the rest the calibration."""
-    prior = totals.get(1, 0) / max(1, sum(totals.values()))
-    if len(toxic) < 2 or len(ordinary) < 2:
-        return Model(b"", b"", None, prior)
-    h, g = (len(toxic) + 1) // 2, -(-len(ordinary) * 2 // 3)
-    tox, plain = distinct_texts(toxic[:h]), distinct_texts(ordinary[:g])
-    words = _frequencies(plain)
-    base = (" ".join(w for w, _ in sorted(words.items(), key=lambda x: (x[1], x[0]))[-COMMON_WORDS:]) + " ").encode("utf-8", "surrogatepass")
-    marks = toxic_segments(_frequencies(tox), len(tox), words, len(plain))
+def dictionaries(toxic: Counter, n_toxic: int, ordinary: Counter, n_ordinary: int, prior: float) -> Model:
+    """The two dictionaries from document frequencies of spaced words."""
+    common = [w.strip() for w, _ in sorted(ordinary.items(), key=lambda x: (x[1], x[0])) if w[0] == w[-1] == " "][-COMMON_WORDS:]
+    base = GAP.encode() * 8 + (" ".join(common) + " ").encode("utf-8", "surrogatepass")
+    marks = toxic_segments(toxic, n_toxic, ordinary, n_ordinary)
     # the shared words stand last in both, so ordinary matches cost the same
-    model = Model(GAP.encode() * 8 + base, (GAP + GAP.join(reversed(marks)) + GAP).encode("utf-8", "surrogatepass") + GAP.encode() * 8 + base, None, prior).open()
-    check = [(t, 1.0) for t in toxic[h:]] + [(t, 0.0) for t in ordinary[g:]]
-    if len({y for _, y in check}) == 2:
-        y = np.array([v for _, v in check])
-        x = np.array([evidence(model.saved(t)) for t, _ in check])
+    return Model(base, (GAP + GAP.join(reversed(marks)) + GAP).encode("utf-8", "surrogatepass") + base, None, prior)
+
+
+def calibrate(model: Model, x: np.ndarray, y: np.ndarray) -> None:
+    if len(set(y.tolist())) == 2:
         model.weights = logistic(x, y)
         # the sample holds more toxic rows than the labels do: shift to their share, at most to even odds
         odds = (y.sum() / len(y)) / max(1 - y.sum() / len(y), 1e-9)
-        true = max(prior, 1e-6) / max(1 - prior, 1e-6)
+        true = max(model.prior, 1e-6) / max(1 - model.prior, 1e-6)
         model.weights[0] += min(0.0, math.log(true / odds))
-    return model
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([run_hashes(t.as_py()) for t in b.column(1)], pa.list_(pa.int64()))], names=["n", "runs"])
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        counts = {y: Counter() for y in (0, 1)}
+        for y, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            counts[y].update(spaced_words(t.as_py()))
+        rows = [(y, w, n) for y, c in counts.items() for w, n in c.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 3, (
+            pa.int32(), pa.string(), pa.int64()), strict=True)], names=["y", "word", "n"])
+
+
+def _evidence(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    model.open()
+    for b in batches:
+        found = [evidence(model.saved(t.as_py())).tolist() for t in b.column(2)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.float64()))], names=["n", "y", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on a bounded sample of labelled rows; texts come by a join with
-    the bounded list of sampled ids."""
+    """Fit on a bounded sample of labelled rows.  Half of the toxic and two
+    thirds of the ordinary ones train the dictionaries, the rest the
+    calibration."""
+    spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("_y")).filter("_y in (0, 1) and _lid is not null")
     totals = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    prior = totals.get(1, 0) / max(1, sum(totals.values()))
     chosen, taken = [], Counter()
     for r in sorted(stratified_sample(known, "_lid", "_y", max(LIMIT.values()), "toxic-1").collect(), key=lambda r: (r["_h"], r["_lid"])):
         if taken[r["_y"]] < LIMIT[r["_y"]]:
             taken[r["_y"]] += 1
             chosen.append((r["_lid"], r["_y"], r["_h"]))
+    nothing = Model(b"", b"", None, prior)
     if not chosen:
-        return fit([], [], totals)
-    listed = F.broadcast(docs.sparkSession.createDataFrame(chosen, "_lid long, _y int, _h long"))  # bounded by LIMIT
+        return nothing
+    listed = F.broadcast(spark.createDataFrame(chosen, "_lid long, _y int, _h long"))  # bounded by LIMIT
     rows = docs.select(F.col(id_col).cast("long").alias("_lid"), F.col(text_col).cast("string").alias("_t")).join(listed, "_lid")
-    got = rows.select("_h", "_y", F.substring(F.coalesce("_t", F.lit("")), 1, TRAIN_CHARS).alias("_t")).collect()
-    got.sort(key=lambda r: (r["_h"], r["_y"], r["_t"]))
-    return fit([r["_t"] for r in got if r["_y"] == 1], [r["_t"] for r in got if r["_y"] == 0], totals)
+    # the sampled rows, written once; equal rows of one id are one
+    sample = written(rows.select("_h", "_y", F.coalesce("_t", F.lit("")).alias("_t")).withColumn("_n", F.xxhash64("_h", "_y", "_t"))
+                     .dropDuplicates(["_h", "_y", "_n"]).hint("rebalance"), "toxic-sample")
+    runs = {r["n"]: r["runs"] for r in map_arrow(sample.select("_n", "_t"), _runs, "n long, runs array<long>").collect()}
+    order = {y: [r["_n"] for r in sorted(sample.select("_h", "_y", "_n").filter(F.col("_y") == y).collect(), key=lambda r: (r["_h"], r["_n"]))] for y in (0, 1)}
+    if min(len(x) for x in order.values()) < 2:
+        return nothing
+    cut = {1: (len(order[1]) + 1) // 2, 0: -(-len(order[0]) * 2 // 3)}
+    fresh = {y: [n for n, new in zip(order[y][:cut[y]], distinct_rows([runs[n] for n in order[y][:cut[y]]]), strict=True) if new] for y in (0, 1)}
+    mine = F.broadcast(spark.createDataFrame([(n,) for y in (0, 1) for n in fresh[y]], "_n long"))
+    counted = map_arrow(sample.join(mine, "_n").select("_y", "_t"), _words, "y int, word string, n long").groupBy("y", "word").agg(F.sum("n").alias("n"))
+    words = {0: Counter(), 1: Counter()}
+    for r in counted.collect():
+        words[r["y"]][r["word"]] = r["n"]
+    model = dictionaries(words[1], len(fresh[1]), words[0], len(fresh[0]), prior)
+    content = (model.ordinary, model.toxic, None, prior)
+    held = F.broadcast(spark.createDataFrame([(n,) for y in (0, 1) for n in order[y][cut[y]:]], "_n long"))
+    got = sorted(map_arrow(sample.join(held, "_n").select("_n", "_y", "_t"), lambda it: _evidence(it, Model(*content)), "n long, y int, x array<double>").collect(),
+                 key=lambda r: r["n"])
+    calibrate(model, np.array([r["x"] for r in got]), np.array([float(r["y"]) for r in got]))
+    return model
 
 
 # ---- scoring -------------------------------------------------------------------
