@@ -120,12 +120,12 @@ def toxic_segments(toxic: Counter, n_toxic: int, ordinary: Counter, n_ordinary:
     """Segments that mark toxic text, the most valuable first."""
     share = n_toxic / max(n_ordinary, 1)
     least = max(4.0, 0.012 * n_toxic)
-    held: dict[str, set[str]] = {w: _segments(w) for w in toxic}
     found: Counter = Counter()
-    for w, segs in held.items():
-        for s in segs:
-            found[s] += toxic[w]
-    wanted = {s for s, n in found.items() if n >= least}
+    for w, n in toxic.items():
+        for s in _segments(w):
+            found[s] += n
+    found = Counter({s: n for s, n in found.items() if n >= least})
+    wanted = set(found)
     normal_n: Counter = Counter()
     for w, n in ordinary.items():
         for s in _segments(w) & wanted:
@@ -136,10 +136,10 @@ def toxic_segments(toxic: Counter, n_toxic: int, ordinary: Counter, n_ordinary:
         return n >= least and n >= 6 * expect[s] and (n - expect[s]) / math.sqrt(expect[s] + 1) >= Z_LEAST
 
     wanted = {s for s in wanted if telling(s, found[s])}
+    held: dict[str, set[str]] = {w: telling_of for w in toxic if (telling_of := _segments(w) & wanted)}
     by_segment = defaultdict(list)
     for w, segs in held.items():
-        held[w] = segs & wanted
-        for s in held[w]:
+        for s in segs:
             by_segment[s].append(w)
     left = {s: found[s] for s in wanted}
     picked: list[str] = []
