@@ -205,7 +205,7 @@ def brute_anchors(text, k=syncmers.K):
 
 
 def test_fingerprints_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(syncmers, "SLICE_ROWS", 7)
+    monkeypatch.setattr(syncmers, "SLICE_BYTES", 1500)
     rng = random.Random(8)
     words = ["alpha", "beta", "gämma", "δ", "中文字", "x" * 40, "the", "of"]
     texts = [(i * 3, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for i in range(60)]
@@ -243,6 +243,50 @@ def test_anchors_are_context_free(spark):
     assert m["n"] >= 0.8 * len(a)
 
 
+def test_slices_follow_bytes_for_any_ids(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "SLICE_BYTES", 1000)
+    rng = random.Random(12)
+    text = lambda i: f"t{i} " + "x" * rng.randint(0, 60)
+    hashed = lambda t: signed(xx(t.encode()))
+    tables = {"long": [(None, text(i)) for i in range(200)] + [(7, text(i)) for i in range(150)] + [(7, "same")] * 150 + [(i, text(i)) for i in range(100)],
+              "string": [(f"id-{i}", text(i)) for i in range(300)] + [("id-5", "same")] * 200 + [(None, None)] * 100,
+              "decimal(20,2)": []}
+    for coarse in (4096, 4):  # the second cuts the slices of the driver again
+        monkeypatch.setattr(syncmers, "COARSE", coarse)
+        for kind, data in tables.items():
+            df = spark.createDataFrame(data, f"doc_id {kind}, text string")
+            rows, _ = syncmers.with_next(df)
+            got = rows.filter("_mark = 0").select("_id", "_text", "_next", "_slice").collect()
+            want = sorted(((i is not None, i if i is not None else 0), hashed(t or ""), t or "") if kind == "long"
+                          else ((i is not None, i or ""), hashed(t or ""), t or "") for i, t in data)
+            pairs = sorted((k[0], k[2], want[(at + 1) % len(want)][2]) for at, k in enumerate(want))
+            blank = 0 if kind == "long" else ""
+            assert sorted(((r["_id"] is not None, blank if r["_id"] is None else r["_id"]), r["_text"], r["_next"]) for r in got) == pairs
+            if data:
+                sizes = {}
+                for r in got:
+                    sizes[r["_slice"]] = sizes.get(r["_slice"], 0) + len(r["_text"]) + 64
+                assert len(sizes) >= 8 and max(sizes.values()) <= sum(sizes.values()) / 6, (kind, coarse, sizes)
+
+
+def test_positions_of_repeated_and_common_anchors(spark):
+    rng = random.Random(13)
+    body = " ".join(f"w{rng.randint(0, 9999)}" for _ in range(80))
+    docs = docs_of(spark, [(i, f"{body} only{i} {body}") for i in range(40)] + [(90, None), (None, body)])
+    once, twice = (len(brute_anchors(t)) for t in (body, f"{body} only3 {body}"))
+    got = syncmers.positional_matches(docs.filter("doc_id >= 3"), docs.filter("doc_id < 3 or doc_id is null")).collect()
+    best = {}
+    for r in got:
+        best[r["left_id"]] = max(best.get(r["left_id"], 0), r["n"])
+        assert r["right_id"] in (0, 1, 2) and 0 <= r["first"] <= r["last"] < twice
+    # the anchors across the middle word may differ in number, so the second half may have its own offset
+    assert set(best) == set(range(3, 40)) and min(best.values()) >= once
+    by = {}
+    for r in got:
+        by[r["left_id"]] = by.get(r["left_id"], 0) + r["n"]
+    assert min(by.values()) >= 2 * once and max(by.values()) <= twice  # at most one match per anchor
+
+
 def test_short_texts_without_syncmers_are_not_alike(spark, tmp_path):
     from tidemark.llm.queries import QUERIES
     rng = random.Random(10)
@@ -259,3 +303,22 @@ def test_short_texts_without_syncmers_are_not_alike(spark, tmp_path):
         assert got[i]["near_next"] == 0.0  # different texts, and the empty text after the last
     assert got[1000]["fingerprint"] == got[1001]["fingerprint"] == "" and got[1000]["near_next"] == 1.0
     assert got[1001]["near_next"] == 0.0 and got[1002]["near_next"] == 1.0
+
+
+def test_budgets_of_wide_families_and_repeated_ids(spark, monkeypatch):
+    from tidemark.operators import windows
+    rng = random.Random(14)
+    rows = [(f"d{d}", "en", f"s{s}", rng.choice([0, 3, 50, 400])) for d in range(2) for s in range(300)]
+    leaves = spark.createDataFrame(rows, "domain string, language string, source string, available long")
+    plan = mixing.MixPlan(0.4, 1, "t", {"d0": 3}, {}, {"s1": 4})
+    whole = sorted(mixing.allocate(leaves, plan).collect())
+    plain = windows.with_neighbors
+    monkeypatch.setattr(mixing, "with_neighbors", lambda *a, **k: plain(*a, max_group_rows=40, chunk_rows=50, **k))
+    assert sorted(mixing.allocate(leaves, plan).collect()) == whole and len(whole) == 600
+    monkeypatch.undo()
+    df = docs_of(spark, [(None, "a b c")] * 400 + [(i, "w w") for i in range(50)])
+    leaf = {}
+    for r in mixing.mix(df, mixing.MixPlan(0.3, 1, "s")).collect():
+        leaf.setdefault((r["source"], r["doc_id"]), []).append(r["n_tokens"])
+    # rows without an id are taken or left together
+    assert all(len(v) == 400 for k, v in leaf.items() if k[1] is None)

@@ -79,18 +79,22 @@ def hash_order(doc_id: Column | str, seed: str) -> Column:
     return F.xxhash64(F.lit(seed), c)
 
 
-def stratified_sample(df: DataFrame, id_col: str, by: str, limit: int, seed: str, max_strata: int = 1000) -> DataFrame:
+def stratified_sample(df: DataFrame, id_col: str, by: str, limit: int, seed: str, max_strata: int = 1000,
+                      total: int | None = None) -> DataFrame:
     """About ``limit`` rows of every value of ``by`` (all, if it has fewer),
     by a seeded hash of the id; column ``_h`` is that hash.
 
     Two passes: counts per value, then a filter.  The caller trims each value
     to ``limit`` rows in the order of ``_h`` after collecting.  At most
-    ``max_strata`` values (the most frequent) are sampled.
+    ``max_strata`` values (the most frequent) are sampled, and of ``total``
+    rows each value has an equal part if that is less than ``limit``.
     """
     sizes = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), by).limit(max_strata).collect()
     h = hash_order(id_col, seed)
     if not sizes:
         return df.filter(F.lit(False)).withColumn("_h", h)
+    if total is not None:
+        limit = max(1, min(limit, total // len(sizes)))
     spread = 2.0 ** 64
     limits = F.create_map(*[x for r in sizes for x in (
         F.lit(r[by]), F.lit(min(2 ** 63 - 1, int(-(2 ** 63) + spread * min(1.0, 1.25 * (limit + 20) / r["n"])))))])

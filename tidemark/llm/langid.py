@@ -28,8 +28,11 @@ from .ngrams import count_batches, counts
 
 ORDERS = (1, 2, 3)
 BITS = 16
-#: Labelled rows per language that the model is fitted on (the documented bound).
+#: Labelled rows per language that the model is fitted on, and of all languages
+#: together (the documented bounds): with more than ``TOTAL / LIMIT`` languages
+#: each has an equal part of ``TOTAL``.
 LIMIT = 1500
+TOTAL = 24_000
 UND = "und"
 
 
@@ -119,12 +122,15 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], alpha: float = 1.0, beta
     return model
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", limit: int = LIMIT) -> Model | None:
-    """A model from at most ``limit`` rows per language (None: no labelled row)."""
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", limit: int = LIMIT,
+          total: int = TOTAL) -> Model | None:
+    """A model from at most ``limit`` rows per language and about ``total`` in
+    all, at least one per language (None: no labelled row)."""
     sample = stratified_sample(labelled.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t"), F.col(lang_col).cast("string").alias("_lang"))
-                               .filter(F.col("_t").rlike(r"\p{L}")), "_id", "_lang", limit, "langid-1")
+                               .filter(F.col("_t").rlike(r"\p{L}")), "_id", "_lang", limit, "langid-1", total=total)
     got = map_arrow(sample.select("_h", "_lang", "_t"), lambda it: count_batches(it, ORDERS, BITS, True),
                     "h long, label string, slots binary, counts binary").collect()
+    limit = max(1, min(limit, total // max(1, len({r["label"] for r in got}))))
     rows, taken = [], {}
     for r in sorted(got, key=lambda r: (r["h"], r["label"], r["slots"])):
         taken[r["label"]] = taken.get(r["label"], 0) + 1

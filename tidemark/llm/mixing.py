@@ -10,8 +10,8 @@ seeded epochs of its documents and a token-prefix of one more.
 The sibling rule has a closed form: with children ordered by capacity over
 weight, ``level_i = (budget - capacities before i) / weights from i on``; the
 family's level is the largest of them, and a child gets the lesser of its
-capacity and weight times level.  So each tree level is one window over the
-node table (one row per domain, language and source), never over documents.
+capacity and weight times level.  So each tree level is one ordered pass over
+the node table (one row per domain, language and source), never over documents.
 
 Defined cases: null domain, language or source are nodes named 'other',
 'und' and 'unknown'; a null text has no tokens; documents without tokens
@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.windows import with_neighbors
 from .common import WORD, written
 
 LEVELS = ("domain", "language", "source")
@@ -73,22 +74,24 @@ def _weight(level: str, plan: MixPlan) -> Column:
 def allocate(leaves: DataFrame, plan: MixPlan) -> DataFrame:
     """``leaves`` (domain, language, source, available) with ``leaf_budget``.
 
-    Three windows over the node table, each partitioned by parent.
+    Three passes over the node table, each by parent.  Running sums of a
+    family come from :func:`with_neighbors`, which cuts families of millions
+    of children into chunks; totals are aggregates that are joined back.
     """
-    nodes = leaves.withColumn("_cap", F.col("available") * plan.max_epochs)
-    total = F.sum("available").over(Window.partitionBy(F.lit(1)))  # over the node table
-    budget = nodes.withColumn("_budget", F.least(F.floor(total * plan.budget_share), total * plan.max_epochs))
+    nodes = leaves.withColumn("_cap", F.col("available") * plan.max_epochs).withColumn("_root", F.lit(0))
+    total = nodes.groupBy("_root").agg(F.sum("available").alias("_all"))
+    budget = (nodes.join(total, "_root").withColumn("_budget", F.least(F.floor(F.col("_all") * plan.budget_share), F.col("_all") * plan.max_epochs))
+              .drop("_all"))
     for depth, level in enumerate(LEVELS):
-        parents, path = list(LEVELS[:depth]), list(LEVELS[:depth + 1])
-        fam = budget.groupBy(*path, "_budget").agg(F.sum("_cap").alias("_c")).withColumn("_w", _weight(level, plan)).filter("_w > 0")
-        by = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(1))
-        order = by.orderBy(F.col("_c") / F.col("_w"), level)
-        before = F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        after = F.sum("_w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-        fam = (fam.withColumn("_level", (F.col("_budget") - before).cast("double") / after)
-               .withColumn("_level", F.max("_level").over(by))
-               .withColumn("_share", F.least(F.col("_c"), F.floor(F.col("_w") * F.col("_level")))))
-        budget = (budget.drop("_budget").join(fam.select(*path, F.greatest("_share", F.lit(0).cast("long")).alias("_budget")), path))
+        parents, path = ["_root", *LEVELS[:depth]], list(LEVELS[:depth + 1])
+        fam = (budget.groupBy("_root", *path, "_budget").agg(F.sum("_cap").alias("_c"))
+               .withColumn("_w", _weight(level, plan)).filter("_w > 0").withColumn("_full_at", F.col("_c") / F.col("_w")))
+        run = with_neighbors(fam, parents, ["_full_at", level], cumsum={"_c_to": "_c", "_w_to": "_w"}).drop("_has_next", "_has_prev")
+        run = run.join(fam.groupBy(*parents).agg(F.sum("_w").alias("_w_all")), parents)
+        run = run.withColumn("_at", (F.col("_budget") - F.col("_c_to") + F.col("_c")).cast("double") / (F.col("_w_all") - F.col("_w_to") + F.col("_w")))
+        top = run.groupBy(*parents).agg(F.max("_at").alias("_level"))
+        share = F.least(F.col("_c"), F.floor(F.col("_w") * F.col("_level")))
+        budget = budget.drop("_budget").join(run.join(top, parents).select(*path, F.greatest(share, F.lit(0).cast("long")).alias("_budget")), path)
     return budget.select(*LEVELS, "available", F.col("_budget").alias("leaf_budget"))
 
 
@@ -101,7 +104,7 @@ def select_tokens(tokens: DataFrame, plan: MixPlan) -> DataFrame:
     boundary is ordered by document, so no task orders a whole leaf.
     """
     tok = written(tokens, "mix-tokens")
-    leaves = tok.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("available"))
+    leaves = written(tok.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("available")), "mix-leaves")
     alloc = written(allocate(leaves, plan), "mix-budgets")
     full = F.when(F.col("available") > 0, F.floor(F.col("leaf_budget") / F.col("available"))).otherwise(F.lit(0))
     alloc = alloc.withColumn("_full", F.least(full, F.lit(plan.max_epochs)).cast("long")).withColumn(
@@ -117,8 +120,12 @@ def select_tokens(tokens: DataFrame, plan: MixPlan) -> DataFrame:
             .filter("_start <= _rest").select(*LEVELS, "_slice", "_start", "_end"))
     part = part.join(cuts, [*LEVELS, "_slice"])
     inside = part.filter("_end <= _rest")
+    # rows that share an id share a key: they are one row of the window, however many they are
+    cut = part.filter("_end > _rest")
     run = Window.partitionBy(*LEVELS, "_slice").orderBy("_key")
-    edge = (part.filter("_end > _rest").withColumn("_run", F.col("_start") + F.sum("n_tokens").over(run)).filter("_run <= _rest"))
+    ends = (cut.groupBy(*LEVELS, "_slice", "_key", "_start", "_rest").agg(F.sum("n_tokens").alias("_n"))
+            .withColumn("_run", F.col("_start") + F.sum("_n").over(run)).filter("_run <= _rest").select(*LEVELS, "_slice", "_key"))
+    edge = cut.join(ends, [*LEVELS, "_slice", "_key"], "left_semi")
     return whole.unionByName(inside.select(*cols, F.col("_full").alias("epoch"))).unionByName(
         edge.select(*cols, F.col("_full").alias("epoch")))
 

@@ -19,17 +19,22 @@ the empty fingerprint; without, such a text has it too.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 9          # tokens of an anchor
 MAX_RUN = 16   # code points of a token
 TOKEN = rf"[^\x20\x09-\x0D]{{1,{MAX_RUN}}}"
-#: Documents per slice of the id range (one task each).
-SLICE_ROWS = 5_000
-MAX_SLICES = 4096
+#: Text bytes of a slice of the document order (a task holds a few slices), up to
+#: ``MAX_FINE`` slices; beyond that slices grow with the table instead.
+SLICE_BYTES = 8 << 20
+MAX_FINE = 1 << 20
+#: Slices that the driver cuts itself; more are cut inside these, by Spark.
+COARSE = 4096
+#: Most cuts of one list (the search takes as many steps as this has bits).
+MOST_CUTS = 8191
+#: Sampled points per slice that its cut is chosen from.
+POINTS = 16
 
 
 def anchors(text: Column, k: int = K, stand_in: bool = False) -> Column:
@@ -71,40 +76,86 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def _slice_of(docs: DataFrame, id_col: str) -> Column:
-    """The slice of the id range that an id lies in: binary search, as an
-    expression, in at most ``MAX_SLICES`` split points taken once from
-    approximate quantiles of the ids."""
-    row = docs.agg(F.count(id_col).alias("n")).first()
-    steps = max(0, min(int(math.log2(MAX_SLICES)), math.ceil(math.log2(max(row["n"], 1) / SLICE_ROWS)) if row["n"] > SLICE_ROWS else 0))
-    if steps == 0:
-        return F.lit(0)
-    n = 2 ** steps
-    cuts = docs.agg(F.percentile_approx(id_col, [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"]
-    splits = F.lit([int(x) for x in cuts])  # n - 1 ascending cuts
-    halves = F.lit([2 ** i for i in reversed(range(steps))])
-    return F.when(F.col(id_col).isNull(), 0).otherwise(F.aggregate(
-        halves, F.lit(0), lambda at, step: F.when(F.get(splits, at + step - 1) <= F.col(id_col), at + step).otherwise(at)))
+def _place(ids: Column, hashes: Column, at: Column, h: Column) -> tuple[Column, Column]:
+    """How many of the ascending cuts (ids, hashes) lie below the key (at, h),
+    and how many do not lie above it; null ids come first.  Binary search, as
+    an expression, in arrays of at most ``MOST_CUTS`` cuts."""
+    halves = F.lit([2 ** i for i in reversed(range(MOST_CUTS.bit_length()))])
+
+    def found(tie) -> Column:
+        def step(seen: Column, half: Column) -> Column:
+            k = seen + half
+            cut, cut_h = F.get(ids, k - 1), F.get(hashes, k - 1)
+            under = F.coalesce(cut < at, cut.isNull() & at.isNotNull()) | (cut.eqNullSafe(at) & tie(cut_h, h))
+            return F.when((k <= F.size(ids)) & under, k).otherwise(seen)
+        return F.aggregate(halves, F.lit(0), step)
+    return found(lambda a, b: a < b), found(lambda a, b: a <= b)
+
+
+def _dealt(rows: DataFrame, ids: Column, hashes: Column, name: str) -> DataFrame:
+    """``rows`` with the slice of each row in column ``name``.  Rows that equal
+    a run of repeated cuts are equal in id and text, so any of the run's slices
+    will do."""
+    low, high = _place(ids, hashes, F.col("_id"), F.col("_h"))
+    return rows.withColumn("_low", low).withColumn(name, F.col("_low") + F.floor(F.rand(7) * (high - F.col("_low") + 1)).cast("int")).drop("_low")
+
+
+def _cuts(points: DataFrame, n: int) -> tuple[Column, Column]:
+    """``n - 1`` cuts from about ``POINTS * n`` sorted keys."""
+    kept = points.orderBy("_id", "_h").collect()
+    kept = [kept[len(kept) * i // n] for i in range(1, n)] if kept else []
+    kind = points.schema["_id"].dataType.simpleString()
+    return F.array(*[F.lit(r["_id"]) for r in kept]).cast(f"array<{kind}>"), F.array(*[F.lit(r["_h"]) for r in kept]).cast("array<bigint>")
+
+
+def _sliced(rows: DataFrame) -> DataFrame:
+    """``rows`` (_id, _h, _text) with ``_slice``: ranges of the order (_id, _h)
+    of about equal bytes, numbered in that order.
+
+    Every row gives one point per ``SLICE_BYTES / POINTS`` bytes of its text,
+    a smaller rest one by chance, so the points follow the bytes, whatever the
+    ids are: null, repeated or of any type that has an order.  The cuts are
+    chosen from the points; they decide the balance and never the result.
+    """
+    keys = rows.select("_id", "_h", (F.coalesce(F.octet_length("_text"), F.lit(0)) + 64).alias("_bytes"))
+    total = keys.agg(F.sum("_bytes").alias("n")).first()["n"] or 0
+    n = min(MAX_FINE, total // SLICE_BYTES + 1)
+    if n == 1:
+        return rows.withColumn("_slice", F.lit(0).cast("long"))
+
+    def points(every: float) -> DataFrame:
+        return keys.select("_id", "_h", F.floor(F.col("_bytes") / every + F.rand(11)).cast("int").alias("_k")).filter("_k > 0")
+    each = F.explode(F.array_repeat(F.lit(0), F.col("_k")))
+    first = min(n, COARSE)
+    ids, hashes = _cuts(points(total / (first * POINTS)).select("_id", "_h", each).drop("col"), first)
+    coarse = _dealt(rows, ids, hashes, "_part")
+    if n == first:
+        return coarse.withColumn("_slice", F.col("_part").cast("long")).drop("_part")
+    fine = _dealt(points(total / (n * POINTS)).select("_id", "_h", each).drop("col"), ids, hashes, "_part")
+    run = F.array_sort(F.collect_list(F.struct(F.col("_id").isNotNull().alias("k"), F.col("_id").alias("i"), F.col("_h").alias("h"))))
+    cuts = fine.groupBy("_part").agg(F.filter(run, lambda x, i: i % POINTS == POINTS - 1).alias("_cut"))
+    cuts = cuts.select("_part", F.slice("_cut", 1, MOST_CUTS).alias("_cut"))
+    both = coarse.join(F.broadcast(cuts), "_part", "left").withColumn("_cut", F.coalesce("_cut", F.array().cast(cuts.schema["_cut"].dataType)))  # at most MAX_FINE keys
+    both = _dealt(both, F.col("_cut.i"), F.col("_cut.h"), "_fine")
+    return both.withColumn("_slice", F.col("_part").cast("long") * (MOST_CUTS + 1) + F.col("_fine")).drop("_part", "_fine", "_cut")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Window]:
-    """``_id, _text, _next`` in ascending id order (ties by text, null ids
-    first), the last row followed by the first; and the window that orders
-    the rows of a slice, so that later columns need no new shuffle.
+    """``_id, _text, _next`` in ascending id order (null ids first, ties by
+    the text's hash), the last row followed by the first; and the window that
+    orders the rows of a slice, so that later columns need no new shuffle.
 
-    Rows are dealt by slices of the id range; each slice also gets a copy of
+    Rows are dealt by slices of that order; each slice also gets a copy of
     the first row of the next slice that has rows, marked ``_mark``.
     """
-    base = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"),
-                       _slice_of(docs, id_col).alias("_slice"))
-    rank = F.struct("_id", "_text")
-    firsts = base.groupBy("_slice").agg(F.min(rank).alias("_row"))
-    ring = Window.partitionBy(F.lit(1)).orderBy("_slice")  # at most MAX_SLICES rows
-    whole = Window.partitionBy(F.lit(1))
-    before = F.coalesce(F.lag("_slice").over(ring), F.max("_slice").over(whole))
-    marks = firsts.select(F.col("_row._id").alias("_id"), F.col("_row._text").alias("_text"), before.alias("_slice"), F.lit(1).alias("_mark"))
+    base = _sliced(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+                   .withColumn("_h", F.xxhash64("_text")).select("_id", "_h", "_text"))
+    firsts = base.groupBy("_slice").agg(F.min(F.struct("_id", "_h", "_text")).alias("_row"))
+    ring = Window.partitionBy(F.lit(1)).orderBy("_slice")  # slice numbers only
+    before = firsts.select("_slice", F.coalesce(F.lag("_slice").over(ring), F.max("_slice").over(Window.partitionBy(F.lit(1)))).alias("_before"))
+    marks = firsts.join(before, "_slice").select("_row._id", "_row._h", "_row._text", F.col("_before").alias("_slice"), F.lit(1).alias("_mark"))
     rows = base.withColumn("_mark", F.lit(0)).unionByName(marks)
-    w = Window.partitionBy("_slice").orderBy("_mark", "_id", "_text")
+    w = Window.partitionBy("_slice").orderBy("_mark", "_id", "_h", "_text")
     return rows.withColumn("_next", F.lead("_text").over(w)), w
 
 
@@ -116,7 +167,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n = F.length("_text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("_text"), F.lit(1), (n - half).cast("int")), F.substring(F.col("_next"), F.lit(1), half))
-    r = (rows.select("_id", "_text", "_mark", "_slice", n.cast("long").alias("n_chars"), edited.alias("_edited"), anchors(F.col("_text"), stand_in=stand_in).alias("_a"))
+    r = (rows.select("_id", "_h", "_text", "_mark", "_slice", n.cast("long").alias("n_chars"), edited.alias("_edited"), anchors(F.col("_text"), stand_in=stand_in).alias("_a"))
          .withColumn("_na", F.lead("_a").over(w)).filter("_mark = 0")
          .select("_id", "n_chars", "_edited", "_a", "_na", anchors(F.col("_edited"), stand_in=stand_in).alias("_ea")))
     return r.select(F.col("_id").alias(id_col), "n_chars", F.sha2(F.encode("_edited", "UTF-8"), 256).alias("edited_sha256"),
@@ -125,13 +176,23 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def positional_matches(left: DataFrame, right: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Anchors that two collections share, with the offset between them:
-    ``left_id, right_id, offset, n`` for every pair of documents and every
-    anchor-rank offset on which they share anchors.  A long run of one offset
-    is a shared passage.  Anchors that occur once in a document only, so a
-    repeated anchor gives one row per document pair at most."""
-    def exploded(df, name):
-        a = df.select(F.col(id_col).alias(f"{name}_id"), F.posexplode(anchors(F.col(text_col))).alias("_at", "_h"))
-        return a.groupBy(f"{name}_id", "_h").agg(F.min("_at").alias(f"_{name}_at"), F.count(F.lit(1)).alias("_n")).filter("_n = 1").drop("_n")
-    j = exploded(left, "left").join(exploded(right, "right"), "_h")
-    return j.groupBy("left_id", "right_id", (F.col("_left_at") - F.col("_right_at")).alias("offset")).agg(F.count(F.lit(1)).alias("n"))
+    """Passages of ``left`` that ``right`` holds too: ``left_id, right_id,
+    offset, n, first, last``, the number and the span (anchor ranks in the
+    left document) of the anchors that lie ``offset`` ranks further left in
+    the right one.  A long run of one offset is a shared passage.
+
+    An anchor that repeats within a document counts by its occurrence: the
+    second one meets the second one.  Of the right documents that hold an
+    occurrence the smallest id stands for all (then the least rank), so the
+    result has at most one row per left anchor, however common an anchor is;
+    which documents share a passage with each other follows from the common
+    ``right_id``.  Rows with null ids match nothing; rows that repeat an id
+    are one document, the one of the least text."""
+    def occurrences(df: DataFrame) -> DataFrame:
+        one = df.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.min(text_col).alias("_t"))
+        at = one.select("_id", F.posexplode(anchors(F.col("_t"))).alias("_at", "_h"))
+        return at.groupBy("_id", "_h").agg(F.array_sort(F.collect_list("_at")).alias("_all")).select("_id", "_h", F.posexplode("_all").alias("_nth", "_at"))
+    held = occurrences(right).groupBy("_h", "_nth").agg(F.min(F.struct("_id", "_at")).alias("_r"))
+    j = occurrences(left).join(held, ["_h", "_nth"])
+    return j.groupBy(F.col("_id").alias("left_id"), F.col("_r._id").alias("right_id"), (F.col("_at") - F.col("_r._at")).alias("offset")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"), F.max("_at").alias("last"))
