@@ -304,3 +304,20 @@ def test_rows_dropped_by_the_watermark_are_counted(spark):
         q.awaitTermination()
         dropped += ST.dropped_by_watermark(q)
     assert dropped == 2 and spark.read.parquet(f"{root}/out").agg(F.sum("n")).first()[0] == 40
+
+
+def test_partitioned_landing_is_pruned(spark, tmp_path):
+    from tidemark.sources.files import read_landed, stream_landed
+    land, loose = f"{tmp_path}/land", f"{tmp_path}/loose"
+    spark.range(30).withColumn("day", (F.col("id") % 3).cast("int")).write.partitionBy("day").parquet(land)
+    spark.range(5).write.parquet(f"{loose}/a/b")
+    df = read_landed(spark, land, partitioned=True).filter("day = 1")
+    assert rows(df, "id") == [(i,) for i in range(1, 30, 3)]
+    assert "PartitionFilters: [isnotnull(day" in df._jdf.queryExecution().toString().replace("IsNotNull", "isnotnull")
+    assert len(df.inputFiles()) > 0 and df.select("_ingest_file").distinct().filter("_ingest_file like '%day=1%'").count() >= 1
+    assert read_landed(spark, loose).count() == 5  # other nested folders are read whole
+    assert "day" not in read_landed(spark, land).columns and read_landed(spark, land).count() == 30
+    schema = read_landed(spark, land, partitioned=True).drop("_ingest_source", "_ingest_file", "_ingest_ts").schema
+    q = stream_landed(spark, land, schema, partitioned=True).writeStream.format("memory").queryName("pruned_landing").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert rows(spark.table("pruned_landing"), "id", "day") == [(i, i % 3) for i in range(30)]

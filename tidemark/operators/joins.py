@@ -101,12 +101,13 @@ def grain_report(left: DataFrame, right: DataFrame, left_keys: list[str], right_
 def dedup_then_join(left: DataFrame, right: DataFrame, keys: list[str], right_order: list,
                     how: str = "left") -> DataFrame:
     """Reduce ``right`` to its latest row per key (by ``right_order``, the
-    maximum wins), then join: the left grain is kept.  The reduced side is
-    broadcast when its counted size fits."""
+    maximum wins), then join: the left grain is kept.  Adaptive execution
+    picks the join from the reduced side's actual size, so it is not computed
+    once more to be counted."""
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in right_order])
     one = right.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    return left.join(checked_broadcast(one), keys, how)
+    return left.join(one, keys, how)
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str,

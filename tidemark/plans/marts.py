@@ -64,13 +64,15 @@ def refresh_partitions(spark: SparkSession, mart_path: str, base: DataFrame, cha
     """Recompute only the mart partitions touched by ``changed`` (A-INCR).
 
     ``partition_of`` gives a base row's partition, so the base is cut to the
-    touched partitions before the mart is built from it.  Rebuilt partitions
-    are overwritten; a touched partition that no row is left for is deleted.
+    touched partitions before the mart is built from it, once.  Rebuilt
+    partitions are overwritten; a touched partition that no row is left for is
+    deleted.
     """
     touched = materialise(changed.select(partition_col).distinct(), "touched")
     part = base.withColumn(partition_col, partition_of).join(touched, partition_col, "left_semi").drop(partition_col)
-    write_partitioned(build(part), mart_path, partition_col, overwrite="dynamic")
-    left = build(part).select(partition_col).distinct()
+    built = materialise(build(part), "rebuilt")
+    write_partitioned(built, mart_path, partition_col, overwrite="dynamic")
+    left = built.select(partition_col).distinct()
     # folder names of touched partitions, as many as the change has partitions
     for r in touched.join(left, partition_col, "left_anti").select(F.col(partition_col).cast("string")).collect():
         fs.delete(spark, f"{mart_path}/{partition_col}={r[0]}")

@@ -24,11 +24,19 @@ def add_lineage(df: DataFrame, source_kind: str) -> DataFrame:
               .withColumn("_ingest_ts", F.current_timestamp()))
 
 
+def _nested(reader, partitioned: bool):
+    """Recursive lookup turns partition discovery off."""
+    return reader if partitioned else reader.option("recursiveFileLookup", "true")
+
+
 def read_landed(spark: SparkSession, path: str, file_format: str = "parquet", source_kind: str = "ct",
-                schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
+                schema: T.StructType | None = None, options: dict | None = None, partitioned: bool = False) -> DataFrame:
     """Batch read of a landing folder, with lineage.  Without a schema the
-    files' schemas are merged (additive evolution)."""
-    r = spark.read.format(file_format).option("recursiveFileLookup", "true")
+    files' schemas are merged (additive evolution).  With ``partitioned`` the
+    folders named ``column=value`` are partitions: the column is read and a
+    filter on it skips folders.  Without, folder names mean nothing and are
+    read however deep they are."""
+    r = _nested(spark.read.format(file_format), partitioned)
     if schema is not None:
         r = r.schema(schema)
     elif file_format == "parquet":
@@ -40,12 +48,11 @@ def read_landed(spark: SparkSession, path: str, file_format: str = "parquet", so
 
 def stream_landed(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet",
                   source_kind: str = "ct", max_files_per_trigger: int | None = None,
-                  options: dict | None = None) -> DataFrame:
+                  options: dict | None = None, partitioned: bool = False) -> DataFrame:
     """Incremental once-only read of a landing folder (file stream source);
     the checkpoint of the query that consumes it records which files were
     taken."""
-    r = (spark.readStream.format(file_format).schema(schema)
-         .option("recursiveFileLookup", "true"))
+    r = _nested(spark.readStream.format(file_format).schema(schema), partitioned)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in (options or {}).items():
