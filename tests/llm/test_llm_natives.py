@@ -303,22 +303,3 @@ def test_short_texts_without_syncmers_are_not_alike(spark, tmp_path):
         assert got[i]["near_next"] == 0.0  # different texts, and the empty text after the last
     assert got[1000]["fingerprint"] == got[1001]["fingerprint"] == "" and got[1000]["near_next"] == 1.0
     assert got[1001]["near_next"] == 0.0 and got[1002]["near_next"] == 1.0
-
-
-def test_budgets_of_wide_families_and_repeated_ids(spark, monkeypatch):
-    from tidemark.operators import windows
-    rng = random.Random(14)
-    rows = [(f"d{d}", "en", f"s{s}", rng.choice([0, 3, 50, 400])) for d in range(2) for s in range(300)]
-    leaves = spark.createDataFrame(rows, "domain string, language string, source string, available long")
-    plan = mixing.MixPlan(0.4, 1, "t", {"d0": 3}, {}, {"s1": 4})
-    whole = sorted(mixing.allocate(leaves, plan).collect())
-    plain = windows.with_neighbors
-    monkeypatch.setattr(mixing, "with_neighbors", lambda *a, **k: plain(*a, max_group_rows=40, chunk_rows=50, **k))
-    assert sorted(mixing.allocate(leaves, plan).collect()) == whole and len(whole) == 600
-    monkeypatch.undo()
-    df = docs_of(spark, [(None, "a b c")] * 400 + [(i, "w w") for i in range(50)])
-    leaf = {}
-    for r in mixing.mix(df, mixing.MixPlan(0.3, 1, "s")).collect():
-        leaf.setdefault((r["source"], r["doc_id"]), []).append(r["n_tokens"])
-    # rows without an id are taken or left together
-    assert all(len(v) == 400 for k, v in leaf.items() if k[1] is None)
