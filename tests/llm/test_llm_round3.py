@@ -94,6 +94,19 @@ def test_alignment_counts_over_blocks(spark, libraries):
     assert plain(tuple(r) for r in token_alignment.link_report(small).collect()) == brute_alignment(libraries, rows)
 
 
+def test_texts_are_searched_together(libraries, monkeypatch):
+    """One search serves many short texts and finds what each has alone."""
+    v, calls, search = token_alignment.loaded(None), [], token_alignment.common
+    monkeypatch.setattr(token_alignment, "common", lambda a, b: calls.append(len(a)) or search(a, b))
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    texts = [t for t in ODD * 20]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    docs = [d for b in token_alignment._blocks(iter([batch]), None) for d in b.column("docs")[0].as_py()]
+    assert len(calls) <= 3
+    alone = [token_alignment.aligned(v, [v.encode(t)])[:2] if v.encode(t) else ([0], [""]) for t in texts]
+    assert [(d["id"], [d["n_groups"]], [d["groups_sha256"]]) for d in docs] == [(i, *x) for i, x in enumerate(alone)]
+
+
 def test_groups_and_overlaps(spark, libraries):
     v = token_alignment.loaded(None)
     texts = ["hello wörld  tokenization", "漢字 don't", "antidisestablishment 12345"]

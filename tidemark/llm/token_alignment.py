@@ -7,7 +7,8 @@ are ascending byte offsets.  Each end of the shorter list is searched in the
 longer one by galloping: from a known lower index the step doubles until it
 passes the value, then a binary search closes in.  (A whole list gallops in
 lockstep: every sixteenth end first, by the same rule, and the others from
-the index found for theirs.)  Common ends slice both lists into groups; the
+the index found for theirs; ``link_report`` searches the lists of several
+texts at once.)  Common ends slice both lists into groups; the
 differences of the ranks of a token's two ends in the other list are the range
 of tokens that it overlaps.
 
@@ -44,6 +45,8 @@ from .word_ids import byte_letters
 
 #: Bytes of text whose links are counted together.
 BLOCK_BYTES = 4 << 20
+#: Characters of text that are searched together.
+SEARCH_CHARS = 128 << 10
 #: Runs of white space above this go to the reference implementation, as the
 #: fast one backtracks over them.
 LONG_SPACE = re.compile(r"\s{2000}")
@@ -172,8 +175,9 @@ def overlaps(starts: np.ndarray, ends: np.ndarray, other_ends: np.ndarray) -> tu
     return gallop(starts + 1, other_ends), gallop(ends, other_ends)
 
 
-def digest(v: Vocabularies, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> str:
-    """SHA-256 of the groups: ``a1,a2|b1;a3|b2,b3``."""
+def digests(v: Vocabularies, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, sizes: np.ndarray) -> list[str]:
+    """SHA-256 of every text's groups, ``a1,a2|b1;a3|b2,b3``; ``sizes`` are
+    the texts' numbers of tokens, of A and B together."""
     size_a, size_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
     codes = np.empty(len(a) + len(b), np.int64)
     to_a = np.arange(len(a)) + np.repeat(np.cumsum(size_b) - size_b, size_a)  # B tokens of earlier groups
@@ -181,7 +185,22 @@ def digest(v: Vocabularies, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b
     codes[to_a], codes[to_b] = a + v.mark_at[0], b + v.mark_at[2]
     codes[to_a[at_a]] = a[at_a] + v.mark_at[1]
     codes[to_b[at_b]] = b[at_b] + v.mark_at[3]
-    return hashlib.sha256(b"".join(map(v.marks.__getitem__, codes.tolist()))[:-1]).hexdigest()
+    marks, ends = list(map(v.marks.__getitem__, codes.tolist())), np.cumsum(sizes).tolist()
+    return [hashlib.sha256(b"".join(marks[s:e])[:-1]).hexdigest() for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def aligned(v: Vocabularies, ids: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[int], list[str], np.ndarray]:
+    """Numbers of groups, digests and links (A's id in the upper 32 bits) of
+    several texts.  Their ends stand in one ascending list, a byte apart, so
+    that one search serves all and no two texts share an end; each text's last
+    tokens end together, so no group spans two."""
+    a, b = (np.concatenate(x) for x in zip(*ids, strict=True))
+    n_a, n_b = (np.array([len(x) for x in side]) for side in zip(*ids, strict=True))
+    text = np.arange(len(ids))
+    of_a, of_b = np.repeat(text, n_a), np.repeat(text, n_b)
+    at_a, at_b = common(np.cumsum(v.a_len[a]) + of_a, np.cumsum(v.b_len[b]) + of_b)
+    groups = np.bincount(of_a[at_a], minlength=len(ids)).tolist()
+    return groups, digests(v, a, b, at_a, at_b, n_a + n_b), (a[at_a] << 32) + b[at_b]
 
 
 # ---- groups per document ---------------------------------------------------------
@@ -238,14 +257,26 @@ def _blocks(batches: Iterator[pa.RecordBatch], paths) -> Iterator[pa.RecordBatch
     v, first = loaded(paths), TaskContext.get().partitionId() << 32
     docs: list = []
     links: list[np.ndarray] = []
-    held, block = 0, 0
+    sizes: list[int] = []  # links per document
+    waiting: list[tuple[int, tuple[np.ndarray, np.ndarray]]] = []  # place in docs, ids
+    held, unsearched, block = 0, 0, 0
     kind = None
 
+    def search():
+        if not waiting:
+            return
+        groups, hashes, found = aligned(v, [ids for _, ids in waiting])
+        for (at, _), n, sha in zip(waiting, groups, hashes, strict=True):
+            docs[at]["n_groups"], docs[at]["groups_sha256"], sizes[at] = n, sha, n
+        links.append(found)
+        waiting.clear()
+
     def out():
+        search()
         pairs, slot = np.unique(np.concatenate(links), return_inverse=True) if links else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        owner = np.repeat(np.arange(len(links)), [len(x) for x in links])
+        owner = np.repeat(np.arange(len(sizes)), sizes)
         mine, times = np.unique(owner * max(len(pairs), 1) + slot, return_counts=True)
-        per_doc = np.bincount(mine // max(len(pairs), 1), minlength=len(links)).tolist()
+        per_doc = np.bincount(mine // max(len(pairs), 1), minlength=len(sizes)).tolist()
         rows = [{**d, "n_pairs": n} for d, n in zip(docs, per_doc, strict=True)]
         counted = pa.StructArray.from_arrays([pa.array(pairs), pa.array(np.bincount(slot, minlength=len(pairs)))], names=["pair", "times"])
         return pa.RecordBatch.from_arrays(
@@ -260,19 +291,19 @@ def _blocks(batches: Iterator[pa.RecordBatch], paths) -> Iterator[pa.RecordBatch
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
             text = text.as_py()
             ids = v.encode(text)
-            if ids is None:
-                docs.append({"id": doc_id.as_py(), "n_a": 0, "n_b": 0, "n_groups": 0, "groups_sha256": ""})
-                links.append(np.zeros(0, np.int64))
-            else:
-                a, b = ids
-                at_a, at_b = common(np.cumsum(v.a_len[a]), np.cumsum(v.b_len[b]))
-                docs.append({"id": doc_id.as_py(), "n_a": len(a), "n_b": len(b), "n_groups": len(at_a), "groups_sha256": digest(v, a, b, at_a, at_b)})
-                links.append((a[at_a] << 32) + b[at_b])
-                held += len(text)
+            sizes.append(0)
+            docs.append({"id": doc_id.as_py(), "n_a": 0, "n_b": 0, "n_groups": 0, "groups_sha256": ""})
+            if ids is not None:
+                docs[-1]["n_a"], docs[-1]["n_b"] = map(len, ids)
+                waiting.append((len(docs) - 1, ids))
+                held, unsearched = held + len(text), unsearched + len(text)
+            if unsearched >= SEARCH_CHARS:
+                search()
+                unsearched = 0
             held += 64
             if held >= BLOCK_BYTES:
                 yield out()
-                docs, links, held, block = [], [], 0, block + 1
+                docs, links, sizes, held, unsearched, block = [], [], [], 0, 0, block + 1
     if docs:
         yield out()
 
