@@ -321,3 +321,25 @@ def test_partitioned_landing_is_pruned(spark, tmp_path):
     q = stream_landed(spark, land, schema, partitioned=True).writeStream.format("memory").queryName("pruned_landing").trigger(availableNow=True).start()
     q.awaitTermination()
     assert rows(spark.table("pruned_landing"), "id", "day") == [(i, i % 3) for i in range(30)]
+
+
+def test_batches_of_a_run_do_not_follow_the_files(spark):
+    """A run to completion over many files takes a bounded number of
+    micro-batches, from its landing's first files or later ones."""
+    from tidemark.streaming import fs
+    from tidemark.streaming.flows import Flow, run_flow
+
+    root = scratch_dir(spark, "many_files")
+    landing = f"{root}/landing/events__ct"
+    ct = feeds.feed_events(spark, SF_SMALL)
+    t = IncrementalTarget(spark, f"{root}/target", SPEC, buckets=4)
+    commits = lambda: sum(not n.startswith(".") for n in fs.list_names(spark, f"{root}/state/_checkpoints/ct/commits"))
+    ct.filter("header__change_seq % 2 = 0").repartition(9).write.parquet(f"{landing}/part=0")
+    run_flow(spark, t, Flow("ct", landing, max_files_per_trigger=1), f"{root}/state")
+    assert commits() == 2
+    ct.filter("header__change_seq % 2 = 1").repartition(3).write.parquet(f"{landing}/part=1")
+    run_flow(spark, t, Flow("ct", landing, max_files_per_trigger=1), f"{root}/state")
+    assert commits() == 3
+    s1, s2 = _batch_folds(spark)
+    assert rows(t.read(1)) == s1
+    assert rows(t.read(2)) == s2
