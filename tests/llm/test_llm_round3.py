@@ -375,3 +375,31 @@ def test_long_words_count_by_their_pieces():
     pieces = set().union(*map(toxicity._segments, toxicity.spaced_words(word)))
     assert pieces == toxicity._segments(f" {word} ")
     assert toxicity.spaced_words("a b a") == {" a ", " b "}
+
+
+# ---- near pairs ------------------------------------------------------------------
+
+def test_wide_sketches_are_compared_in_bounded_memory():
+    """Two blocks whose pairs all pass the size test, with sketches of the
+    greatest width: what is gathered for them at once is bounded."""
+    import tracemalloc
+
+    from tidemark.llm import shingle_join
+
+    rng = np.random.default_rng(1)
+
+    def block(first, k):
+        words = rng.integers(0, 2 ** 63, (k, shingle_join.SKETCH_MOST), dtype=np.uint64)
+        words[1] = words[0]
+        sketches = np.empty(k, object)
+        sketches[:] = list(words)
+        return {"doc": np.arange(k) + first, "component": np.arange(k) + first, "n": np.full(k, 10_000), "sketch": sketches}
+
+    left, right = block(0, 900), block(900, 800)
+    right["sketch"][5] = left["sketch"][7]
+    tracemalloc.start()
+    own, across = (shingle_join.near_pairs(left, x, 80, 100).tolist() for x in (None, right))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [*map(sorted, own)] == [[0, 1]] and across == [[7, 5]]
+    assert peak < 64 << 20

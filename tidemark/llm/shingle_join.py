@@ -61,6 +61,7 @@ class Limits:
 
 
 SKETCH_WORDS, SKETCH_MOST = 8, 128  # 64-bit words of a parity sketch, least and most
+SKETCHES_HELD = 1 << 18  # words of sketches that one comparison gathers from each side
 #: Cost model only: shingles that a document of any size shares by boilerplate,
 #: and the cost of a chance candidate in signatures.
 BOILERPLATE, CANDIDATE_COST = 10.0, 5.0
@@ -397,7 +398,8 @@ def near_pairs(left: dict, right: dict | None, num: int, den: int) -> np.ndarray
                         ok &= (theirs > m[:, None]) | (comp == main)
                     i, j = np.nonzero(ok)
                     if len(i) and sk_m is not None:
-                        far = np.bitwise_count(sk_t[j] ^ sk_m[c + i]).sum(1)
+                        some = max(1, SKETCHES_HELD // sk_m.shape[1])
+                        far = np.concatenate([np.bitwise_count(sk_t[j[k:k + some]] ^ sk_m[c + i[k:k + some]]).sum(1) for k in range(0, len(i), some)])
                         near = far <= (from_rows["n"][m][i] + n[j]) * (den - num) // (den + num)
                         i, j = i[near], j[near]
                     if len(i):
