@@ -217,6 +217,31 @@ def test_change_rows_rebuild_the_target(spark):
     assert rows(net.filter("n = 1").select("user_id", "__START_AT")) == rows(t.read(2).select("user_id", "__START_AT")) and net.filter("n not in (0, 1)").count() == 0
 
 
+@pytest.mark.parametrize("mode,keep", [("hard", False), ("soft", True)])
+def test_change_rows_come_from_the_fold(spark, monkeypatch, mode, keep):
+    """A late batch (a new column, equal sequences, deletes) joins old and new
+    targets for no change row, and its change rows are those of that join."""
+    from tidemark.plans import reports
+
+    spec, joined = SPEC.with_(delete_mode=mode, keep_last_values=keep), reports.change_feed
+    seq, op = F.floor(F.col("id") / 2), F.when(F.col("id") % 5 == 2, "D").otherwise("U")
+    ct = spark.range(120).select((F.col("id") % 7).alias("user_id"), F.concat(F.lit("e"), F.col("id") % 3).alias("event_type"),
+                                 (F.col("id") % 4 / 2).alias("value"), op.alias("header__change_oper"), seq.alias("header__change_seq"))
+    t = IncrementalTarget(spark, scratch_dir(spark, "foldfeed"), spec, buckets=2)
+    monkeypatch.setattr(reports, "change_feed", None)
+    second, first = _parts(ct, 2, 3)
+    t.apply(first, 0)
+    keys = {1: ["user_id"], 2: ["user_id", "__START_AT"]}
+    held = {scd: spark.createDataFrame(t.read(scd).collect(), t.read(scd).schema).withColumn("props", F.lit(None).cast("string")) for scd in keys}
+    t.apply(second.withColumn("props", F.when(F.col("value") > 0, "{}")), 1)
+    assert t.rows_read["closed"] > 0
+    for scd, by in keys.items():
+        new = t.read(scd)
+        want = joined(held[scd].select(*new.columns), new, by, 2, F.lit(None).cast("timestamp_ntz")).drop("_commit_timestamp")
+        got = t.change_feed(scd, from_version=1).select(*want.columns)
+        assert got.count() and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_flows_that_keep_running_are_one_query(spark):
     from tidemark.streaming.flows import Flow, run_flows
 
